@@ -64,12 +64,17 @@ def summarise(df: DataFrame, names: Sequence[str], quartiles: bool = True, exact
     return result
 
 
-def describe_numeric(df: DataFrame, names: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def describe_numeric(
+    df: DataFrame,
+    names: Sequence[str] | None = None,
+    exact: bool = True,
+    summaries: dict[str, Summary] | None = None,
+) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per number column."""
     names = list(names) if names is not None else columns_of(df, "number")
+    summaries = summaries or summarise(df, names, exact=exact)
     rows = [
-        (c, s.n, s.mean, s.std, s.low, s.q25, s.q50, s.q75, s.high)
-        for c, s in summarise(df, names, exact=exact).items()
+        (c, s.n, s.mean, s.std, s.low, s.q25, s.q50, s.q75, s.high) for c in names if (s := summaries[c])
     ]
     return df.sparkSession.createDataFrame(
         rows,
@@ -99,10 +104,10 @@ def _pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*entries)))
 
 
-def describe_all(df: DataFrame, exact: bool = True) -> DataFrame:
+def describe_all(df: DataFrame, exact: bool = True, summaries: dict[str, Summary] | None = None) -> DataFrame:
     """The numeric summary and the top-value summary of text and boolean columns in one table."""
     spark = df.sparkSession
-    numeric = describe_numeric(df, exact=exact).select(
+    numeric = describe_numeric(df, exact=exact, summaries=summaries).select(
         "variable", "n",
         F.lit(None).cast("bigint").alias("unique"), F.lit(None).cast("string").alias("top"),
         F.lit(None).cast("bigint").alias("freq"),
@@ -146,19 +151,23 @@ def outlier_thresholds(
 
 
 def outlier_counts(
-    df: DataFrame, names: Sequence[str] | None = None, nr_stdev: float = NR_STDEV, iqr_factor: float = IQR_FACTOR
+    df: DataFrame,
+    names: Sequence[str] | None = None,
+    nr_stdev: float = NR_STDEV,
+    iqr_factor: float = IQR_FACTOR,
+    summaries: dict[str, Summary] | None = None,
 ) -> DataFrame:
     """Values strictly outside the thresholds per variable; boolean variables count none."""
     names = list(names) if names is not None else columns_of(df, "number", "bool")
     numbers = [c for c in names if c in columns_of(df, "number")]
-    summaries = summarise(df, numbers)
+    summaries = summaries or summarise(df, numbers)
     result = None
     for part in chunks(names, _COLUMNS_PER_JOB):
         aggregates, entries = [], []
         for c in part:
             cells = [F.lit(c).alias("variable")]
             for criterion, factor in (("stdev", nr_stdev), ("iqr", iqr_factor)):
-                limits = thresholds(summaries[c], criterion, factor) if c in summaries else None
+                limits = thresholds(summaries[c], criterion, factor) if c in numbers else None
                 v = number(df, c)
                 flag = (v < limits[0]) | (v > limits[1]) if limits else F.lit(False)
                 aggregates.append(F.count_if(flag).alias(f"{criterion}_{c}"))
@@ -266,10 +275,15 @@ def _bin_grid(spark: SparkSession, bins: dict[str, Bins]) -> DataFrame:
     return grid
 
 
-def boxplot_statistics(df: DataFrame, names: Sequence[str] | None = None, factor: float = IQR_FACTOR) -> DataFrame:
+def boxplot_statistics(
+    df: DataFrame,
+    names: Sequence[str] | None = None,
+    factor: float = IQR_FACTOR,
+    summaries: dict[str, Summary] | None = None,
+) -> DataFrame:
     """Quartiles, whiskers (last values inside the fences) and fliers per variable."""
     names = list(names) if names is not None else columns_of(df, "number")
-    summaries = {c: s for c, s in summarise(df, names).items() if s.n}
+    summaries = {c: s for c, s in (summaries or summarise(df, names)).items() if s.n and c in names}
     result = None
     for part in chunks(list(summaries), _COLUMNS_PER_JOB):
         aggregates, entries = [], []
