@@ -35,7 +35,8 @@ def aggregate_by(
     if how not in AGGREGATES:
         raise ValueError(f"unknown aggregate '{how}'; known: {sorted(AGGREGATES)}")
     fn = AGGREGATES[how]
-    return df.groupBy(*by, period_start(F.col(ts), level).alias(ts)).agg(
+    period = period_start(F.col(ts), level).cast(df.schema[ts].dataType)
+    return df.groupBy(*by, period.alias(ts)).agg(
         *[fn(F.col(v), F.col(ts)).alias(v) for v in values]
     )
 

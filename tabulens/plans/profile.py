@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tabulens.functions.columns import columns_of, number
+from tabulens.functions.columns import columns_of
 from tabulens.operators import dimensionality, distribution, granularity, sparsity
-from tabulens.operators.project import drop_incomplete_rows
-from tabulens.plans.studies import kept
 
 
 def profile_dimensionality(df: DataFrame) -> dict[str, DataFrame]:
@@ -58,17 +56,13 @@ def profile_granularity(df: DataFrame, fmt: str | None = None) -> dict[str, Data
 
 
 def profile_sparsity(df: DataFrame, target: str | None = None, bins: int = 10) -> dict[str, DataFrame]:
-    """Correlations and pair densities, from one kept copy of the complete numeric rows."""
-    names = columns_of(df, "number", "bool")
-    complete = drop_incomplete_rows(df).select(
-        *[number(df, c).alias(c) for c in names if c != target], *([F.col(target)] if target else [])
-    )
-    with kept(complete) as (rows,):
-        result = {
-            "correlation": sparsity.correlation_matrix(rows, columns_of(rows, "number", "bool"), drop_incomplete=False),
-            "pairs": sparsity.pair_density(rows, [c for c in columns_of(rows, "number") if c != target], bins=bins, drop_incomplete=False),
-        }
-        if target is not None:
-            result["pairs_by_class"] = sparsity.pair_density(rows, None, target, bins, drop_incomplete=False)
+    """Correlations, pair densities (per class too when there is a target) and grid occupancy."""
+    numbers = [c for c in columns_of(df, "number") if c != target]
+    result = {
+        "correlation": sparsity.correlation_matrix(df),
+        "pairs": sparsity.pair_density(df, numbers, bins=bins),
+    }
+    if target is not None:
+        result["pairs_by_class"] = sparsity.pair_density(df, numbers, target, bins)
     result["occupancy"] = sparsity.pair_occupancy(result["pairs"], bins)
     return result
