@@ -25,6 +25,7 @@ QUERY_ROWS = 16_384
 MAX_BOXES = 4_096
 MAX_SLICES = 64
 _DIGITS = 9
+_NUMPY = {"double": "float64", "float": "float32", "long": "int64", "integer": "int32", "short": "int16", "byte": "int8", "boolean": "bool"}
 
 
 @dataclass
@@ -200,7 +201,9 @@ def nearest_rows(
                 times = boxes.parts[b]
                 q, b = np.repeat(q, times), np.repeat(b, times)
                 part = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
-                yield pdf.iloc[q].assign(far=limit[q], box=box_names[b], part=part.astype(np.int64))
+                out = {c: _plain(pdf[c])[q] for c in by}
+                out.update({n: x[q, j] for j, n in enumerate(names)})
+                yield pd.DataFrame({**out, "far": limit[q], "box": box_names[b], "part": part.astype(np.int64)})
 
     routed = asked.mapInPandas(route, schema) if boxes.names else queries.sparkSession.createDataFrame([], schema)
 
@@ -243,7 +246,7 @@ def nearest_rows(
 
     def search(asked_here: pd.DataFrame, rows_here: pd.DataFrame) -> pd.DataFrame:
         if asked_here.empty or rows_here.empty:
-            return pd.DataFrame({f.name: [] for f in found_schema.fields})
+            return pd.DataFrame({f.name: np.empty(0, dtype=_NUMPY.get(f.dataType.typeName(), object)) for f in found_schema.fields})
         rows_here = rows_here.sort_values("train_key", kind="stable").reset_index(drop=True)
         r = rows_here[names].to_numpy(dtype=float)
         outputs = []
@@ -256,15 +259,14 @@ def nearest_rows(
                 wanted = pdf["need"].to_numpy(dtype=int)
                 dist[np.isnan(r[:, wanted].T)] = np.inf
             q, t = _k_smallest(dist, k)
-            out = pdf[by].iloc[q].reset_index(drop=True)
+            out = {c: _plain(pdf[c])[q] for c in by}
             out["distance"] = dist[q, t]
-            out["train_key"] = rows_here["train_key"].to_numpy()[t]
+            out["train_key"] = _plain(rows_here["train_key"])[t]
             if need:
                 out["value"] = r[t, wanted[q]]
-            for c in carry:
-                out[c] = rows_here[c].to_numpy()[t]
+            out.update({c: _plain(rows_here[c])[t] for c in carry})
             outputs.append(out)
-        return pd.concat(outputs)
+        return pd.DataFrame({f.name: np.concatenate([o[f.name] for o in outputs]) for f in found_schema.fields})
 
     groups = ["box", "part", "salt"]
     n = max(
@@ -304,6 +306,11 @@ def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     return total
 
 
+def _plain(column: pd.Series) -> np.ndarray:
+    """Numbers as they are, everything else as Python objects."""
+    return column.to_numpy() if column.dtype.kind in "iufb" else column.to_numpy(dtype=object)
+
+
 def _vote(labels: Column, k: int) -> Column:
     """Most frequent of the first k labels, the smallest on a tie."""
     near = F.slice(labels, 1, k)
