@@ -158,7 +158,7 @@ def _knn_oracle(metric: str) -> str:
 def c05_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest train rows of every test row."""
     train, test = part_split(spark, folder)
-    near = nn.nearest_rows(train, test, PART_FEATURES, "p_partkey", 5, "euclidean")
+    near = nn.nearest_rows(nn.build_index(train, PART_FEATURES, "p_partkey", 5), test, 5, "euclidean")
     named = test.select("p_partkey", nn.query_id(test, PART_FEATURES).alias("query"))
     return rounded(named.join(near, "query").select("p_partkey", "place", "train_key", "distance"))
 
@@ -176,7 +176,8 @@ C05_VECTORS = f"""WITH {_split_ctes(VECTOR_SPLIT, [])}, {near_sql(VECTOR_DISTANC
 def c05_lines(spark: SparkSession, folder: str) -> DataFrame:
     """All of lineitem: no SQL counterpart, the pairs are too many for it."""
     train, test = line_split(spark, folder)
-    counts = nn.knn_label_counts(train, test, LINE_FEATURES, "y", LINE_KEY, [5], "manhattan")
+    index = nn.build_index(train, LINE_FEATURES, LINE_KEY, 5, ["y"])
+    counts = nn.knn_label_counts(index, test, "y", [5], "manhattan")
     return counts.select("k", F.col("y").alias("true_label"), F.col("p").alias("pred_label"), "n")
 
 

@@ -65,15 +65,5 @@ def key_text(key: str | Sequence[str]) -> Column:
 
 
 def key_hash(key: str | Sequence[str], seed: int) -> Column:
-    """A uniform 60-bit number per row: the first 15 hex digits of md5('key|seed')."""
-    digest = F.md5(F.concat(key_text(key), F.lit(f"|{seed}")))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-
-
-def long_table(df: DataFrame, entries: Sequence[tuple], names: Sequence[str]) -> DataFrame:
-    """Turn each row into one row per entry; `entries` holds tuples of columns."""
-    structs = [
-        F.struct(*[(c if isinstance(c, Column) else F.lit(c)).alias(n) for c, n in zip(e, names)])
-        for e in entries
-    ]
-    return df.select(F.inline(F.array(*structs)))
+    """The md5 hex text of 'key|seed': uniform, and in the same order in every SQL engine."""
+    return F.md5(F.concat(key_text(key), F.lit(f"|{seed}")))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabulens.functions.columns import key_hash, key_text
 
-HASH_RANGE = 16**15
+HASH_DIGITS = 15
 MAX_CLASSES = 1_000
 _NO_CLASS = "\u0000"
 
@@ -40,6 +40,13 @@ def _per_class(classes: Column, values: dict[str, object]) -> Column:
     return F.element_at(F.create_map(*entries), classes)
 
 
+def hash_at(share: float) -> str:
+    """The hex text below which this share of all hashes lies."""
+    if share >= 1:
+        return "g"
+    return format(int(max(0.0, share) * 16**HASH_DIGITS), f"0{HASH_DIGITS}x")
+
+
 def hash_cutoffs(
     df: DataFrame,
     key: str | Sequence[str],
@@ -47,31 +54,29 @@ def hash_cutoffs(
     sizes: dict[str, int],
     by: str | None,
     seed: int,
-) -> dict[str, tuple[int, str]]:
-    """(hash, key) of the last row of each class that belongs to its quota."""
+) -> dict[str, tuple[str, str]]:
+    """(hash, key) of the last row of each class that belongs to its quota.
+
+    One pass per try: rows below the band shrink to one counted group per class before the shuffle, so only
+    the band itself is ordered.
+    """
     slim = df.select(class_text(by).alias("c"), key_hash(key, seed).alias("h"), key_text(key).alias("k"))
-    found: dict[str, tuple[int, str]] = {}
+    found: dict[str, tuple[str, str]] = {}
     width = 6.0
     open_classes = {c: q for c, q in quotas.items() if q > 0}
     while open_classes:
-        lows, highs = {}, {}
-        for c, q in open_classes.items():
-            n = sizes[c]
-            spread = (width * math.sqrt(n) + 50) / n
-            lows[c] = int(max(0.0, q / n - spread) * HASH_RANGE)
-            highs[c] = int(min(1.0, q / n + spread) * HASH_RANGE)
-        rows = slim.filter(F.col("c").isin(list(open_classes)))
-        low, high = _per_class(F.col("c"), lows), _per_class(F.col("c"), highs)
-        below = {
-            r["c"]: r["n"]
-            for r in rows.filter(F.col("h") < low).groupBy("c").agg(F.count("*").alias("n")).collect()
-        }
-        wanted = {c: q - below.get(c, 0) for c, q in open_classes.items()}
-        order = Window.partitionBy("c").orderBy("h", "k")
-        cut = (
-            rows.filter((F.col("h") >= low) & (F.col("h") <= high))
-            .withColumn("rn", F.row_number().over(order))
-            .filter(F.col("rn") == _per_class(F.col("c"), wanted))
+        spread = {c: (width * math.sqrt(sizes[c]) + 50) / sizes[c] for c in open_classes}
+        low = _per_class(F.col("c"), {c: hash_at(q / sizes[c] - spread[c]) for c, q in open_classes.items()})
+        high = _per_class(F.col("c"), {c: hash_at(q / sizes[c] + spread[c]) for c, q in open_classes.items()})
+        rows = slim.filter(F.col("c").isin(list(open_classes))).filter(F.col("h") <= high)
+        below = F.col("h") < low
+        counted = (
+            rows.select("c", F.when(below, "").otherwise(F.col("h")).alias("h"), F.when(below, "").otherwise(F.col("k")).alias("k"))
+            .groupBy("c", "h", "k").agg(F.count("*").alias("n"))
+        )
+        order = Window.partitionBy("c").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
+        cut = counted.withColumn("upto", F.sum("n").over(order)).filter(
+            (F.col("upto") == _per_class(F.col("c"), open_classes)) & (F.col("h") != "")
         )
         found.update({r["c"]: (r["h"], r["k"]) for r in cut.collect()})
         open_classes = {c: q for c, q in open_classes.items() if c not in found}
@@ -80,7 +85,7 @@ def hash_cutoffs(
 
 
 def within_quota(
-    key: str | Sequence[str], cutoffs: dict[str, tuple[int, str]], by: str | None, seed: int
+    key: str | Sequence[str], cutoffs: dict[str, tuple[str, str]], by: str | None, seed: int
 ) -> Column:
     """True for the rows at or before the cutoff of their class; classes without a cutoff have none."""
     if not cutoffs:

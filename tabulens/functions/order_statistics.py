@@ -1,9 +1,10 @@
 """Exact order statistics without sorting the table in one place.
 
 Each round narrows every wanted rank to the values strictly between two cut points. The cut points come
-from the bounded-size quantile sketch, the decision from exact counts, so the result is exact and no task
-ever holds more than FETCH_LIMIT values. A value that fills many rows becomes a cut point and is answered
-by its count. About two scans per factor of a thousand rows above the limit.
+from the quantile sketch of a row sample; the decision comes from exact counts over all rows, so the result
+is exact whatever the sample was, and no task ever holds more than FETCH_LIMIT values. A value that fills
+many rows becomes a cut point and is answered by its count. A round costs two scans of the wanted columns
+and leaves about one row in a thousand, so ten billion rows take three rounds.
 """
 
 from __future__ import annotations
@@ -17,8 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabulens.functions.columns import chunks
 
 FETCH_LIMIT = 200_000
-SKETCH_ACCURACY = 2_000
-_COLUMNS_PER_JOB = 10
+SKETCH_ACCURACY = 5_000
+SAMPLE_SHARE = 0.05
+SAMPLE_MIN = 50_000
+SAMPLE_MAX = 10_000_000
+# Wider aggregates than this leave whole-stage code generation.
+_COUNTS_PER_JOB = 60
+_BRACKETS_PER_JOB = 6
 
 
 @dataclass
@@ -59,38 +65,53 @@ def order_statistics(
     work = [b for b in work if b.ranks]
     while work:
         following: list[_Bracket] = []
-        for part in chunks(work, _COLUMNS_PER_JOB):
+        for part in chunks(work, _BRACKETS_PER_JOB):
             following += _narrow(df, columns, part, answers, limit)
         work = following
     return answers
 
 
 def _narrow(df, columns, brackets, answers, limit) -> list[_Bracket]:
-    aggregates = []
-    for i, b in enumerate(brackets):
-        v = b.values(columns)
-        if b.inside <= limit:
-            ordered = F.sort_array(F.collect_list(v))
-            picked = F.array(*[F.get(ordered, F.lit(r - b.below)) for r in b.ranks])
-            aggregates.append(picked.alias(f"b{i}"))
-        else:
-            slack = 2.0 / SKETCH_ACCURACY
-            places = set()
-            for r in b.ranks:
-                at = (r - b.below) / b.inside
-                places |= {max(0.0, at - slack), min(1.0, at + slack)}
-            aggregates.append(F.percentile_approx(v, sorted(places), SKETCH_ACCURACY).alias(f"b{i}"))
-    found = df.agg(*aggregates).first()
-
-    wide: list[tuple[_Bracket, list]] = []
-    for i, b in enumerate(brackets):
-        if b.inside <= limit:
+    small = [b for b in brackets if b.inside <= limit]
+    large = [b for b in brackets if b.inside > limit]
+    if small:
+        ordered = df.agg(*[F.sort_array(F.collect_list(b.values(columns))).alias(f"o{i}") for i, b in enumerate(small)])
+        found = ordered.select(
+            *[F.array(*[F.get(f"o{i}", F.lit(r - b.below)) for r in b.ranks]).alias(f"b{i}") for i, b in enumerate(small)]
+        ).first()
+        for i, b in enumerate(small):
             answers[b.name].update(zip(b.ranks, found[f"b{i}"]))
-        else:
-            wide.append((b, sorted(set(found[f"b{i}"]))))
-    if not wide:
-        return []
+    return _split(df, columns, large, answers) if large else []
+
 
+def _cut_points(df, columns, brackets) -> list[list]:
+    """Two cut points around every wanted rank, from a sample that is about ten million values at most."""
+    rows = max(b.inside for b in brackets)
+    share = min(1.0, max(SAMPLE_MIN, min(SAMPLE_MAX, rows * SAMPLE_SHARE)) / min(b.inside for b in brackets))
+    sampled = df.sample(share, seed=1) if share < 1.0 else df
+    slack = 2.0 / SKETCH_ACCURACY + (2.5 / math.sqrt(share * min(b.inside for b in brackets)) if share < 1.0 else 0.0)
+    sketches = []
+    for i, b in enumerate(brackets):
+        places = set()
+        for r in b.ranks:
+            at = (r - b.below) / b.inside
+            places |= {max(0.0, at - slack), min(1.0, at + slack)}
+        sketches.append(F.percentile_approx(b.values(columns), _thinned(sorted(places)), SKETCH_ACCURACY).alias(f"b{i}"))
+    found = sampled.agg(*sketches).first()
+    return [sorted(set(found[f"b{i}"] or [])) for i in range(len(brackets))]
+
+
+def _thinned(places: list[float]) -> list[float]:
+    """Drop places that are as good as the one before (the two ranks of one quantile share their cut points)."""
+    kept: list[float] = []
+    for p in places:
+        if not kept or p - kept[-1] > 1e-4:
+            kept.append(p)
+    return kept
+
+
+def _split(df, columns, brackets, answers) -> list[_Bracket]:
+    wide = list(zip(brackets, _cut_points(df, columns, brackets)))
     aggregates = []
     for i, (b, cuts) in enumerate(wide):
         v = b.values(columns)
@@ -99,7 +120,9 @@ def _narrow(df, columns, brackets, answers, limit) -> list[_Bracket]:
                 F.count_if(v < F.lit(cut)).alias(f"lt_{i}_{j}"),
                 F.count_if(v == F.lit(cut)).alias(f"eq_{i}_{j}"),
             ]
-    counted = df.agg(*aggregates).first()
+    counted: dict[str, int] = {}
+    for part in chunks(aggregates, _COUNTS_PER_JOB):
+        counted.update(df.agg(*part).first().asDict())
 
     following = []
     for i, (b, cuts) in enumerate(wide):

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabulens.functions.columns import value
+from tabulens.session import ensure_checkpoint_dir
 
-RANGE_ROWS = 500_000
+RANGE_ROWS = 2_000_000
 MAX_RANGES = 4_096
 
 
@@ -38,6 +39,8 @@ def running_totals(
     Ranges come from the quantile sketch; only the range sums (at most MAX_RANGES rows) are brought
     into one order.
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     v = value(df, order).cast("double")
     n = df.count()
     pieces = min(MAX_RANGES, n // range_rows + 1)

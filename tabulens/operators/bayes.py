@@ -13,7 +13,7 @@ from tabulens.functions.hash_order import MAX_CLASSES
 
 VARIANTS = ["gaussian", "multinomial", "bernoulli"]
 _SMOOTHING = 1e-9
-_COLUMNS_PER_JOB = 30
+_COLUMNS_PER_JOB = 18
 
 
 class NegativeValues(ValueError):
@@ -55,15 +55,20 @@ class BayesModel:
         return df.withColumn(name, F.element_at(labels, F.lit(1) - ranked["i"]))
 
 
+def _largest_variance(classes: list[dict], width: int) -> float:
+    """Largest variance of a feature over all rows, from the counts, means and variances per class."""
+    n = sum(c["n"] for c in classes)
+    largest = 0.0
+    for i in range(width):
+        mean = sum(c["n"] * c["a"][i] for c in classes) / n
+        largest = max(largest, sum(c["n"] * (c["b"][i] + (c["a"][i] - mean) ** 2) for c in classes) / n)
+    return largest
+
+
 def fit_bayes(train: DataFrame, features: Sequence[str], target: str, variant: str = "gaussian") -> BayesModel:
     """Fit from counts, means and variances per class (or sums per class)."""
     features = list(features)
-    if variant == "multinomial":
-        lows = train.agg(*[F.min(number(train, f)).alias(f) for f in features]).first()
-        if any(v is not None and v < 0 for v in lows):
-            raise NegativeValues("negative values in the features of a multinomial model")
     stats: dict[object, dict] = {}
-    largest = 0.0
     for part in chunks(features, _COLUMNS_PER_JOB):
         aggregates = [F.count("*").alias("_n")]
         for i, f in enumerate(part):
@@ -71,7 +76,7 @@ def fit_bayes(train: DataFrame, features: Sequence[str], target: str, variant: s
             if variant == "gaussian":
                 aggregates += [F.avg(x).alias(f"a{i}"), F.var_pop(x).alias(f"b{i}")]
             elif variant == "multinomial":
-                aggregates.append(F.sum(x).alias(f"a{i}"))
+                aggregates += [F.sum(x).alias(f"a{i}"), F.min(x).alias(f"b{i}")]
             else:
                 aggregates.append(F.count_if(x > 0).alias(f"a{i}"))
         rows = train.groupBy(F.col(target).alias("_y")).agg(*aggregates).limit(MAX_CLASSES + 1).collect()
@@ -80,11 +85,11 @@ def fit_bayes(train: DataFrame, features: Sequence[str], target: str, variant: s
         for r in rows:
             entry = stats.setdefault(r["_y"], {"n": r["_n"], "a": [], "b": []})
             entry["a"] += [r[f"a{i}"] for i in range(len(part))]
-            if variant == "gaussian":
+            if variant != "bernoulli":
                 entry["b"] += [r[f"b{i}"] for i in range(len(part))]
-        if variant == "gaussian":
-            overall = train.agg(*[F.var_pop(number(train, f)).alias(f) for f in part]).first()
-            largest = max([largest, *overall])
+    if variant == "multinomial" and any(v is not None and v < 0 for s in stats.values() for v in s["b"]):
+        raise NegativeValues("negative values in the features of a multinomial model")
+    largest = _largest_variance(list(stats.values()), len(features)) if variant == "gaussian" else 0.0
 
     total = sum(s["n"] for s in stats.values())
     classes = []

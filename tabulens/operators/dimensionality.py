@@ -43,8 +43,8 @@ def missing_per_variable(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct non-missing values per variable.
 
-    Exact counts group (variable, value) pairs, so partial aggregation removes repeated values before the
-    only shuffle and no value list is kept in one task.
+    Each column is read and made distinct on its own, in its own type: repeated values go before the shuffle
+    and no value list is kept in one task.
     """
     names = [c for c in df.columns if not isinstance(data_type(df, c), (T.MapType, T.ArrayType, T.StructType))]
     if approximate:
@@ -52,17 +52,11 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
         return one.select(
             F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").alias("n_distinct")) for c in names]))
         )
-    pairs = df.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("variable"), value(df, c).cast("string").alias("value")) for c in names]
-            )
-        )
-    )
-    return (
-        pairs.groupBy("variable", "value").agg(F.lit(1).alias("one"))
-        .groupBy("variable").agg(F.count("value").alias("n_distinct"))
-    )
+    counted = None
+    for c in names:
+        one = df.select(value(df, c).alias("v")).distinct().agg(F.lit(c).alias("variable"), F.count("v").alias("n_distinct"))
+        counted = one if counted is None else counted.unionAll(one)
+    return counted
 
 
 def has_two_values(df: DataFrame, names: Sequence[str]) -> dict[str, bool]:
@@ -92,11 +86,13 @@ def _scalar_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
 
 
-def semantic_types(df: DataFrame, formats: Sequence[str] = tuple(DATE_FORMATS)) -> dict[str, str]:
+def semantic_types(df: DataFrame, formats: dict[str, str] | None = None) -> dict[str, str]:
     """Type of each variable from its values: two values are binary, then numbers, dates, symbols.
 
-    Text is a date when one format fits the whole column. Empty columns are numeric.
+    Text is a date when one format (given with the regular expression of its shape) fits the whole column.
+    Empty columns are numeric. The shape test spares the parser what cannot fit.
     """
+    formats = formats or DATE_FORMATS
     scalars = _scalar_columns(df)
     two = has_two_values(df, scalars)
     result = {c: "symbolic" for c in df.columns}
@@ -116,8 +112,8 @@ def semantic_types(df: DataFrame, formats: Sequence[str] = tuple(DATE_FORMATS))
             v = F.col(f"`{c}`")
             checks.append(F.count_if(~v.rlike(NUMBER_PATTERN)).alias(f"n{i}"))
             checks += [
-                F.count_if(v.isNotNull() & F.try_to_timestamp(v, F.lit(f)).isNull()).alias(f"d{i}_{j}")
-                for j, f in enumerate(formats)
+                F.count_if(v.isNotNull() & F.when(v.rlike(shape), F.try_to_timestamp(v, F.lit(f))).isNull()).alias(f"d{i}_{j}")
+                for j, (f, shape) in enumerate(formats.items())
             ]
         row = df.agg(*checks).first()
         for i, c in enumerate(part):

@@ -16,7 +16,8 @@ from tabulens.fixed_values import IQR_FACTOR, NR_STDEV
 from tabulens.functions.columns import chunks, columns_of, number, value
 from tabulens.functions.order_statistics import exact_quantiles
 
-_COLUMNS_PER_JOB = 20
+# Wider aggregates leave whole-stage code generation.
+_COLUMNS_PER_JOB = 11
 
 
 @dataclass
@@ -26,7 +27,6 @@ class Summary:
     n: int
     mean: float | None
     std: float | None
-    std_pop: float | None
     low: float | None
     high: float | None
     q25: float | None = None
@@ -47,13 +47,13 @@ def summarise(df: DataFrame, names: Sequence[str], quartiles: bool = True, exact
             v = number(df, c)
             aggregates += [
                 F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
-                F.stddev_pop(v).alias(f"pop{i}"), F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}"),
+                F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}"),
             ]
             if quartiles and not exact:
                 aggregates.append(F.percentile_approx(v, shares, 10_000).alias(f"q{i}"))
         row = df.agg(*aggregates).first()
         for i, c in enumerate(part):
-            s = Summary(row[f"n{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"pop{i}"], row[f"low{i}"], row[f"high{i}"])
+            s = Summary(row[f"n{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"low{i}"], row[f"high{i}"])
             if quartiles and not exact and s.n:
                 s.q25, s.q50, s.q75 = row[f"q{i}"]
             result[c] = s

@@ -5,7 +5,8 @@ the boxes give an upper limit of its k-th distance, and only boxes that can hold
 Query points travel to their boxes by an equi-key shuffle; a box and its query points meet in groups of bounded
 size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point.
 Equal train points are cut to their first k keys and equal query points are searched once, so copies do not
-make a group hot. The result is exact for every metric offered.
+make a group hot. The result is exact for every metric offered. The cut and boxed train points are
+checkpointed once and serve every search on them.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabulens.functions.columns import key_list, key_text, number
+from tabulens.session import ensure_checkpoint_dir
 
 METRICS = ["manhattan", "euclidean", "chebyshev"]
 BLOCK_ROWS = 2_048
@@ -51,57 +53,87 @@ def _train_key(key: str | Sequence[str]) -> Column:
     return F.col(keys[0]) if len(keys) == 1 else key_text(keys)
 
 
-def _slices(df: DataFrame, features: list[str], block_rows: int) -> dict[str, list[float]]:
+def _slices(points: DataFrame, names: list[str], block_rows: int) -> list[tuple[str, list[float]]]:
     """Cut points: the feature with the widest remaining slice is halved until the boxes are small enough."""
-    row = df.agg(
-        F.count("*").alias("n"), *[F.stddev_pop(number(df, f)).alias(f"s{i}") for i, f in enumerate(features)]
-    ).first()
-    widths = np.array([row[f"s{i}"] or 0.0 for i in range(len(features))])
-    pieces = np.ones(len(features), dtype=int)
+    row = points.agg(F.count("*").alias("n"), *[F.stddev_pop(x).alias(x) for x in names]).first()
+    widths = np.array([row[x] or 0.0 for x in names])
+    pieces = np.ones(len(names), dtype=int)
     target = min(MAX_BOXES, row["n"] // block_rows + 1)
     while pieces.prod() < target:
         reach = np.where(pieces < MAX_SLICES, widths / pieces, 0.0)
         if reach.max() <= 0:
             break
         pieces[int(reach.argmax())] *= 2
-    chosen = [i for i in range(len(features)) if pieces[i] > 1]
+    chosen = [(x, int(p)) for x, p in zip(names, pieces) if p > 1]
     if not chosen:
-        return {}
-    found = df.agg(
-        *[
-            F.percentile_approx(number(df, features[i]), [j / pieces[i] for j in range(1, pieces[i])], 1_000).alias(f"c{i}")
-            for i in chosen
-        ]
+        return []
+    found = points.agg(
+        *[F.percentile_approx(x, [j / p for j in range(1, p)], 1_000).alias(x) for x, p in chosen]
     ).first()
-    return {features[i]: sorted(set(found[f"c{i}"] or [])) for i in chosen}
+    return [(x, sorted(set(found[x] or []))) for x, _ in chosen]
 
 
-def _box_name(df: DataFrame, features: list[str], slices: dict[str, list[float]], gaps: bool) -> Column:
+def _box_name(names: list[str], slices: list[tuple[str, list[float]]], gaps: bool) -> Column:
     parts = []
     if gaps:
-        parts.append(F.concat(*[F.when(number(df, f).isNull(), "0").otherwise("1") for f in features]))
-    for f, cuts in slices.items():
-        x, edges = number(df, f), F.array(*[F.lit(c) for c in cuts])
-        above = F.size(F.filter(edges, lambda c, x=x: x > c))
-        parts.append(F.coalesce(above, F.lit(0)).cast("string"))
+        parts.append(F.concat(*[F.when(F.col(x).isNull(), "0").otherwise("1") for x in names]))
+    for x, cuts in slices:
+        above = sum((F.when(F.col(x) > c, 1).otherwise(0) for c in cuts), F.lit(0))
+        parts.append(F.when(F.col(x).isNull(), "-").otherwise(above.cast("string")))
     return F.concat_ws("/", *parts) if parts else F.lit("")
 
 
-def _collect_boxes(df: DataFrame, features: list[str], box: Column, k: int, block_rows: int) -> _Boxes:
-    edges = [f(number(df, c)).alias(f"{p}{i}") for i, c in enumerate(features) for p, f in (("a", F.min), ("b", F.max))]
-    points = F.approx_count_distinct(query_id(df, features))
-    rows = (
-        df.groupBy(box.alias("box"))
-        .agg(F.count("*").alias("n"), F.least(F.count("*"), points * F.lit(k)).alias("kept"), *edges)
-        .orderBy("box").collect()
-    )
-    d = len(features)
-    low = np.array([[np.nan if r[f"a{i}"] is None else r[f"a{i}"] for i in range(d)] for r in rows], dtype=float).reshape(-1, d)
-    high = np.array([[np.nan if r[f"b{i}"] is None else r[f"b{i}"] for i in range(d)] for r in rows], dtype=float).reshape(-1, d)
-    return _Boxes(
-        [r["box"] for r in rows], low, high, np.array([r["n"] for r in rows], dtype=np.int64),
-        np.array([r["kept"] // block_rows + 1 for r in rows], dtype=np.int64), ~np.isnan(low),
+def _collect_boxes(boxed: DataFrame, names: list[str], block_rows: int) -> _Boxes:
+    edges = [f(x).alias(f"{p}_{x}") for x in names for p, f in (("low", F.min), ("high", F.max))]
+    rows = boxed.groupBy("box").agg(F.count("*").alias("n"), *edges).orderBy("box").collect()
+
+    def table(side: str) -> np.ndarray:
+        cells = [[np.nan if r[f"{side}_{x}"] is None else r[f"{side}_{x}"] for x in names] for r in rows]
+        return np.array(cells, dtype=float).reshape(-1, len(names))
+
+    counts = np.array([r["n"] for r in rows], dtype=np.int64)
+    low = table("low")
+    return _Boxes([r["box"] for r in rows], low, table("high"), counts, counts // block_rows + 1, ~np.isnan(low))
+
+
+@dataclass
+class Index:
+    """Train points cut to k rows per point, with their box; `names` are the feature columns x0, x1, ..."""
+
+    features: list[str]
+    names: list[str]
+    carry: list[str]
+    k: int
+    gaps: bool
+    boxed: DataFrame
+    boxes: _Boxes
+
+
+def build_index(
+    train: DataFrame,
+    features: Sequence[str],
+    key: str | Sequence[str],
+    k: int,
+    carry: Sequence[str] = (),
+    gaps: bool = False,
+    block_rows: int = BLOCK_ROWS,
+) -> Index:
+    """Prepare a train table for searches of up to k neighbours. `gaps` allows missing feature values."""
+    ensure_checkpoint_dir(train.sparkSession)
+    features, carry = list(features), list(carry)
+    names = [f"x{i}" for i in range(len(features))]
+    first = Window.partitionBy("point").orderBy("train_key")
+    points = (
+        train.select(
+            query_id(train, features).alias("point"), _train_key(key).alias("train_key"),
+            *[number(train, f).alias(x) for f, x in zip(features, names)], *carry,
+        )
+        .withColumn("copy", F.row_number().over(first)).filter(F.col("copy") <= k).drop("copy", "point")
+        .checkpoint()
     )
+    slices = _slices(points, names, block_rows)
+    boxed = points.withColumn("box", _box_name(names, slices, gaps))
+    return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, block_rows))
 
 
 def _fold(gaps: np.ndarray, metric: str) -> np.ndarray:
@@ -152,15 +184,11 @@ def _k_smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def nearest_rows(
-    train: DataFrame,
+    index: Index,
     queries: DataFrame,
-    features: Sequence[str],
-    key: str | Sequence[str],
     k: int,
     metric: str = "euclidean",
-    carry: Sequence[str] = (),
     need: str | None = None,
-    block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """The k nearest train rows of every distinct query point: (query, [need,] place, distance, train_key, carry...).
@@ -168,12 +196,10 @@ def nearest_rows(
     Distances are compared after rounding to nine digits, ties by train key. `need` names a query column with
     a feature number; only rows that have this feature count then, and its value is returned as `value`.
     """
-    features, carry = list(features), list(carry)
-    d, gaps = len(features), metric == "nan_euclidean"
-    names = [f"x{i}" for i in range(d)]
-
-    slices = _slices(train, features, block_rows)
-    boxes = _collect_boxes(train, features, _box_name(train, features, slices, gaps), k, block_rows)
+    if k > index.k:
+        raise ValueError(f"the index keeps {index.k} rows per point, not {k}")
+    features, names, carry, boxes = index.features, index.names, index.carry, index.boxes
+    spark, d = queries.sparkSession, len(names)
 
     asked = queries.select(
         query_id(queries, features).alias("query"),
@@ -205,36 +231,20 @@ def nearest_rows(
                 out.update({n: x[q, j] for j, n in enumerate(names)})
                 yield pd.DataFrame({**out, "far": limit[q], "box": box_names[b], "part": part.astype(np.int64)})
 
-    routed = asked.mapInPandas(route, schema) if boxes.names else queries.sparkSession.createDataFrame([], schema)
+    routed = asked.mapInPandas(route, schema) if boxes.names else spark.createDataFrame([], schema)
 
     salts: dict[str, int] = {}
-    if queries.count() > query_rows:
+    if boxes.names and queries.count() > query_rows:
         load = routed.groupBy("box", "part").agg(F.count("*").alias("n")).groupBy("box").agg(F.max("n").alias("n"))
         salts = {r["box"]: r["n"] // query_rows + 1 for r in load.collect() if r["n"] > query_rows}
-    salt_of = F.lit(1)
-    if salts:
-        table = F.create_map(*[F.lit(v) for pair in sorted(salts.items()) for v in pair])
-        salt_of = F.coalesce(F.element_at(table, F.col("box")), F.lit(1))
+    salt_of = _by_box(salts)
     routed = routed.withColumn("salt", F.pmod(F.xxhash64("query"), salt_of).cast("int"))
 
-    first = Window.partitionBy("point").orderBy("train_key")
-    part_of = F.lit(1)
-    split = {n: int(p) for n, p in zip(boxes.names, boxes.parts) if p > 1}
-    if split:
-        table = F.create_map(*[F.lit(v) for pair in split.items() for v in pair])
-        part_of = F.coalesce(F.element_at(table, F.col("box")), F.lit(1))
+    part_of = _by_box({n: int(p) for n, p in zip(boxes.names, boxes.parts) if p > 1})
     rows = (
-        train.select(
-            query_id(train, features).alias("point"),
-            _train_key(key).alias("train_key"),
-            *[number(train, f).alias(n) for f, n in zip(features, names)],
-            *[F.col(c) for c in carry],
-            _box_name(train, features, slices, gaps).alias("box"),
-        )
-        .withColumn("_copy", F.row_number().over(first)).filter(F.col("_copy") <= k)
+        index.boxed
         .withColumn("part", F.pmod(F.xxhash64("train_key"), part_of).cast("bigint"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), salt_of - 1)))
-        .select("box", "part", "salt", "train_key", *names, *carry)
     )
 
     found_schema = T.StructType(
@@ -269,10 +279,7 @@ def nearest_rows(
         return pd.DataFrame({f.name: np.concatenate([o[f.name] for o in outputs]) for f in found_schema.fields})
 
     groups = ["box", "part", "salt"]
-    n = max(
-        int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        min(20_000, int(boxes.parts.sum()) // 4 if len(boxes.names) else 1),
-    )
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, int(boxes.parts.sum()) // 4))
     found = (
         routed.repartition(n, *groups).groupBy(*groups)
         .cogroup(rows.repartition(n, *groups).groupBy(*groups))
@@ -282,6 +289,14 @@ def nearest_rows(
     return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k)
 
 
+def _by_box(values: dict[str, int]) -> Column:
+    """The value of the row's box, 1 where it has none."""
+    if not values:
+        return F.lit(1)
+    table = F.create_map(*[F.lit(v) for pair in sorted(values.items()) for v in pair])
+    return F.coalesce(F.element_at(table, F.col("box")), F.lit(1))
+
+
 def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     """Distances of all query points of a group to all its rows, feature by feature."""
     total = np.zeros((len(q), len(r)))
@@ -321,18 +336,9 @@ def _vote(labels: Column, k: int) -> Column:
     return F.array_min(ranked)["label"]
 
 
-def knn_votes(
-    train: DataFrame,
-    test: DataFrame,
-    features: Sequence[str],
-    target: str,
-    key: str | Sequence[str],
-    ks: Sequence[int],
-    metric: str = "euclidean",
-    **limits: int,
-) -> DataFrame:
+def knn_votes(index: Index, test: DataFrame, target: str, ks: Sequence[int], metric: str = "euclidean", **limits: int) -> DataFrame:
     """(query, k, p): the prediction of every distinct test point for every k, from one neighbour search."""
-    near = nearest_rows(train, test, features, key, max(ks), metric, carry=[target], **limits)
+    near = nearest_rows(index, test, max(ks), metric, **limits)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col(target).alias("label")))), lambda s: s["label"])
     labels = near.groupBy("query").agg(ordered.alias("labels"))
     votes = F.array(*[F.struct(F.lit(k).alias("k"), _vote(F.col("labels"), k).alias("p")) for k in ks])
@@ -351,7 +357,8 @@ def knn_predict(
     **limits: int,
 ) -> DataFrame:
     """Test rows with the uniform vote of their k nearest train rows."""
-    votes = knn_votes(train, test, features, target, key, [k], metric, **limits)
+    index = build_index(train, features, key, k, [target])
+    votes = knn_votes(index, test, target, [k], metric, **limits)
     return (
         test.withColumn("query", query_id(test, features))
         .join(votes.select("query", F.col("p").alias(name)), "query", "left").drop("query")
@@ -359,18 +366,12 @@ def knn_predict(
 
 
 def knn_label_counts(
-    train: DataFrame,
-    test: DataFrame,
-    features: Sequence[str],
-    target: str,
-    key: str | Sequence[str],
-    ks: Sequence[int],
-    metric: str = "euclidean",
-    **limits: int,
+    index: Index, test: DataFrame, target: str, ks: Sequence[int], metric: str = "euclidean", **limits: int
 ) -> DataFrame:
     """(k, y, p, n) on the test rows. Test rows are counted per point before they meet the predictions."""
-    votes = knn_votes(train, test, features, target, key, ks, metric, **limits)
-    points = test.groupBy(query_id(test, features).alias("query"), F.col(target).alias("y")).agg(F.count("*").alias("n"))
+    votes = knn_votes(index, test, target, ks, metric, **limits)
+    query = query_id(test, index.features).alias("query")
+    points = test.groupBy(query, F.col(target).alias("y")).agg(F.count("*").alias("n"))
     return points.join(votes, "query").groupBy("k", "y", "p").agg(F.sum("n").alias("n"))
 
 
@@ -386,7 +387,8 @@ def fill_from_neighbours(df: DataFrame, key: str | Sequence[str], neighbours: in
     marked = df.withColumn("_holes", F.filter(holes, lambda h: h.isNotNull()))
     asked = marked.filter(F.size("_holes") > 0)
     queries = asked.select(*features, F.explode("_holes").alias("_need"))
-    near = nearest_rows(df, queries, features, key, neighbours, "nan_euclidean", need="_need", **limits)
+    index = build_index(df, features, key, neighbours, gaps=True)
+    near = nearest_rows(index, queries, neighbours, "nan_euclidean", need="_need", **limits)
     values = near.groupBy("query", "need").agg(F.avg("value").alias("v"))
     wide = values.groupBy("query").agg(
         *[F.max(F.when(F.col("need") == i, F.col("v"))).alias(f"_v{i}") for i in range(len(features))]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabulens.fixed_values import CAP_LIMIT, CAP_TEST_ROWS, CAP_TRAIN_ROWS, SEED, TEST_SHARE
 from tabulens.functions.columns import key_hash, key_list
-from tabulens.functions.hash_order import class_sizes, hash_cutoffs, share_quotas, within_quota
+from tabulens.functions.hash_order import class_sizes, hash_at, hash_cutoffs, share_quotas, within_quota
 from tabulens.functions.order_statistics import kth_row, not_after
 
 
@@ -28,7 +28,7 @@ def sample_fraction(
 ) -> DataFrame:
     """round(fraction * n) rows; `exact=False` is one narrow filter whose size is only about right."""
     if not exact:
-        return df.filter(key_hash(key, seed) < F.lit(int(fraction * 16**15)))
+        return df.filter(key_hash(key, seed) < F.lit(hash_at(fraction)))
     return sample_rows(df, key, round(fraction * df.count()), seed)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -12,18 +13,40 @@ from tabulens.functions.columns import chunks, columns_of, number
 from tabulens.operators.distribution import Bins, bin_number, summarise
 from tabulens.operators.project import drop_incomplete_rows
 
-_PAIRS_PER_JOB = 60
+_PAIRS_PER_JOB = 80
+_GAP_PAIRS_PER_JOB = 9
+_COLUMNS_PER_JOB = 30
 
 
 def _correlation(a: Column, b: Column) -> Column:
-    # `corr` itself raises on a constant column in ANSI mode.
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    # Rows that lack either value do not count; `corr` itself raises on a constant column in ANSI mode.
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def correlation_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float | None]:
-    """Absolute Pearson correlation of every pair i < j; None where a column is constant."""
+    """Absolute Pearson correlation of every pair i < j; None where a column is constant.
+
+    Complete columns are centred by their means first, so each pair needs one sum in the second pass.
+    Pairs with missing values use the rows that have both.
+    """
     result: dict[tuple[str, str], float | None] = {}
-    for part in chunks(list(combinations(names, 2)), _PAIRS_PER_JOB):
+    total, count, mean = df.count(), {}, {}
+    for part in chunks(list(names), _COLUMNS_PER_JOB):
+        row = df.agg(*[f(number(df, c)).alias(f"{p}{i}") for i, c in enumerate(part) for p, f in (("n", F.count), ("m", F.avg))]).first()
+        for i, c in enumerate(part):
+            count[c], mean[c] = row[f"n{i}"], row[f"m{i}"]
+    whole = [c for c in names if total and count[c] == total]
+    centred = {c: number(df, c) - F.lit(mean[c]) for c in whole}
+    products: dict[tuple[str, str], float] = {}
+    for part in chunks([(c, c) for c in whole] + list(combinations(whole, 2)), _PAIRS_PER_JOB):
+        row = df.agg(*[F.sum(centred[a] * centred[b]).alias(f"s{i}") for i, (a, b) in enumerate(part)]).first()
+        products.update({pair: row[f"s{i}"] for i, pair in enumerate(part)})
+    for a, b in combinations(whole, 2):
+        spread = math.sqrt(products[(a, a)]) * math.sqrt(products[(b, b)])
+        result[(a, b)] = min(1.0, abs(products[(a, b)]) / spread) if spread > 0 else None
+    rest = [(a, b) for a, b in combinations(names, 2) if (a, b) not in result]
+    for part in chunks(rest, _GAP_PAIRS_PER_JOB):
         row = df.agg(
             *[F.abs(_correlation(number(df, a), number(df, b))).alias(f"r{i}") for i, (a, b) in enumerate(part)]
         ).first()
@@ -45,7 +68,7 @@ def correlation_matrix(df: DataFrame, names: Sequence[str] | None = None, drop_i
                 r = 1.0 if edges[f"a_{a}"] != edges[f"b_{a}"] else None
             else:
                 r = pairs[(a, b)] if (a, b) in pairs else pairs[(b, a)]
-            table.append((a, b, None if r is None else min(r, 1.0)))
+            table.append((a, b, r))
     return df.sparkSession.createDataFrame(table, "v1 string, v2 string, r double")
 
 

@@ -26,9 +26,9 @@ def local_session(cpus: int = 8, app: str = "tabulens", memory: str = "8g") -> S
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where nothing is set (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or tempfile.mkdtemp(prefix="tabulens-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Checkpoints go to the shared folder the cluster names; to a temporary one only where none is set."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tabulens-checkpoint-"))
