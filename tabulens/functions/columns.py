@@ -25,17 +25,25 @@ def columns_of(df: DataFrame, *kinds: str) -> list[str]:
     return [f.name for f in df.schema.fields if any(test[k](f.dataType) for k in kinds)]
 
 
+def value_sql(df: DataFrame, name: str) -> str:
+    """The column as SQL text with NaN turned into NULL, so both count as missing."""
+    return f"IF(isnan(`{name}`), NULL, `{name}`)" if isinstance(data_type(df, name), _FLOATS) else f"`{name}`"
+
+
+def number_sql(df: DataFrame, name: str) -> str:
+    """The column as SQL text of a double without NaN; booleans become 0 and 1."""
+    if isinstance(data_type(df, name), T.BooleanType):
+        return f"CAST(CAST(`{name}` AS INT) AS DOUBLE)"
+    text = value_sql(df, name)
+    return text if isinstance(data_type(df, name), T.DoubleType) else f"CAST({text} AS DOUBLE)"
+
+
 def value(df: DataFrame, name: str) -> Column:
-    """The column with NaN turned into NULL, so both count as missing."""
-    c = F.col(f"`{name}`")
-    return F.when(~F.isnan(c), c) if isinstance(data_type(df, name), _FLOATS) else c
+    return F.expr(value_sql(df, name))
 
 
 def number(df: DataFrame, name: str) -> Column:
-    """The column as a double without NaN; booleans become 0 and 1."""
-    if isinstance(data_type(df, name), T.BooleanType):
-        return F.col(f"`{name}`").cast("int").cast("double")
-    return value(df, name).cast("double")
+    return F.expr(number_sql(df, name))
 
 
 def missing(df: DataFrame, name: str) -> Column:

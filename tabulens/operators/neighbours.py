@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabulens.functions.columns import key_list, key_text, number
+from tabulens.functions.columns import key_list, key_text, number, number_sql
 from tabulens.session import ensure_checkpoint_dir
 
 METRICS = ["manhattan", "euclidean", "chebyshev"]
@@ -44,8 +44,8 @@ class _Boxes:
 
 def query_id(df: DataFrame, features: Sequence[str]) -> Column:
     """A key that is equal for equal feature vectors; missing values are equal to each other."""
-    texts = [F.coalesce((number(df, f) + F.lit(0.0)).cast("string"), F.lit("~")) for f in features]
-    return F.md5(F.concat_ws("|", *texts))
+    texts = [f"coalesce(CAST({number_sql(df, f)} + 0.0D AS STRING), '~')" for f in features]
+    return F.expr(f"md5(concat_ws('|', {', '.join(texts)}))")
 
 
 def _train_key(key: str | Sequence[str]) -> Column:
@@ -76,10 +76,10 @@ def _slices(points: DataFrame, names: list[str], block_rows: int) -> list[tuple[
 def _box_name(names: list[str], slices: list[tuple[str, list[float]]], gaps: bool) -> Column:
     parts = []
     if gaps:
-        parts.append(F.concat(*[F.when(F.col(x).isNull(), "0").otherwise("1") for x in names]))
+        parts.append(F.expr("concat(" + ", ".join(f"IF({x} IS NULL, '0', '1')" for x in names) + ")"))
     for x, cuts in slices:
-        above = sum((F.when(F.col(x) > c, 1).otherwise(0) for c in cuts), F.lit(0))
-        parts.append(F.when(F.col(x).isNull(), "-").otherwise(above.cast("string")))
+        above = " + ".join(f"IF({x} > {c!r}D, 1, 0)" for c in cuts) or "0"
+        parts.append(F.expr(f"IF({x} IS NULL, '-', CAST({above} AS STRING))"))
     return F.concat_ws("/", *parts) if parts else F.lit("")
 
 
