@@ -4,15 +4,18 @@ Each round narrows every wanted rank to the values strictly between two cut poin
 from the quantile sketch of a row sample; the decision comes from exact counts over all rows, so the result
 is exact whatever the sample was, and no task ever holds more than FETCH_LIMIT values. A value that fills
 many rows becomes a cut point and is answered by its count. A round costs two scans of the wanted columns
-and leaves about one row in a thousand, so ten billion rows take three rounds.
+and leaves about one row in a thousand, so ten billion rows take three rounds. Tables of a bounded size are
+kept in memory during the rounds, and spread over the cores when they come from few files.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulens.functions.columns import chunks
@@ -24,12 +27,15 @@ SAMPLE_MIN = 50_000
 SAMPLE_MAX = 10_000_000
 # Wider aggregates than this leave whole-stage code generation.
 _COUNTS_PER_JOB = 60
-_BRACKETS_PER_JOB = 6
+_BRACKETS_PER_JOB = 12
+# Tables up to HELD_CELLS values are kept in memory during the rounds (tiny ones are not worth it).
+SPREAD_CELLS = 500_000
+HELD_CELLS = 50_000_000
 
 
 @dataclass
 class _Bracket:
-    """Values of `name` strictly between `low` and `high`; `below` values are <= low."""
+    """Values of column `name` strictly between `low` and `high`; `below` values are <= low."""
 
     name: str
     ranks: list[int]
@@ -38,14 +44,38 @@ class _Bracket:
     below: int
     inside: int
 
-    def values(self, columns: dict[str, Column]) -> Column:
-        v = columns[self.name]
-        keep = v.isNotNull()
+    def test(self) -> str:
+        """SQL text that is true for the values inside."""
+        parts = [f"{self.name} IS NOT NULL"]
         if self.low is not None:
-            keep = keep & (v > F.lit(self.low))
+            parts.append(f"{self.name} > {_literal(self.low)}")
         if self.high is not None:
-            keep = keep & (v < F.lit(self.high))
-        return F.when(keep, v)
+            parts.append(f"{self.name} < {_literal(self.high)}")
+        return "(" + " AND ".join(parts) + ")"
+
+    def values(self) -> str:
+        return f"IF({self.test()}, {self.name}, NULL)"
+
+
+def _literal(v: object) -> str:
+    if isinstance(v, bool) or not isinstance(v, (int, float)):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{v}L" if isinstance(v, int) else f"CAST('{v!r}' AS DOUBLE)"
+
+
+@contextmanager
+def _held(df: DataFrame, cells: int) -> Iterator[DataFrame]:
+    """The table itself, or a kept copy when it is small enough to keep."""
+    if not SPREAD_CELLS < cells <= HELD_CELLS:
+        yield df
+        return
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
 
 
 def order_statistics(
@@ -58,33 +88,38 @@ def order_statistics(
     """Values at zero-based `ranks` of the sorted non-null values; `counts` are the non-null counts."""
     limit = fetch_limit or FETCH_LIMIT
     answers: dict[str, dict[int, object]] = {n: {} for n in columns}
+    alias = {n: f"v{i}" for i, n in enumerate(columns)}
     work = [
-        _Bracket(n, sorted({r for r in ranks.get(n, []) if 0 <= r < counts[n]}), None, None, 0, counts[n])
+        _Bracket(alias[n], sorted({r for r in ranks.get(n, []) if 0 <= r < counts[n]}), None, None, 0, counts[n])
         for n in columns
     ]
     work = [b for b in work if b.ranks]
-    while work:
-        following: list[_Bracket] = []
-        for part in chunks(work, _BRACKETS_PER_JOB):
-            following += _narrow(df, columns, part, answers, limit)
-        work = following
+    slim = df.select(*[c.alias(alias[n]) for n, c in columns.items()])
+    found: dict[str, dict[int, object]] = {alias[n]: answers[n] for n in columns}
+    with _held(slim, len(work) * max([counts[n] for n in columns], default=0)) as rows:
+        while work:
+            following: list[_Bracket] = []
+            for part in chunks(work, _BRACKETS_PER_JOB):
+                following += _narrow(rows, part, found, limit)
+            work = following
     return answers
 
 
-def _narrow(df, columns, brackets, answers, limit) -> list[_Bracket]:
+def _narrow(df, brackets, answers, limit) -> list[_Bracket]:
     small = [b for b in brackets if b.inside <= limit]
     large = [b for b in brackets if b.inside > limit]
     if small:
-        ordered = df.agg(*[F.sort_array(F.collect_list(b.values(columns))).alias(f"o{i}") for i, b in enumerate(small)])
+        rows = df.filter(" OR ".join(b.test() for b in small))
+        ordered = rows.agg(*[F.expr(f"sort_array(collect_list({b.values()}))").alias(f"o{i}") for i, b in enumerate(small)])
         found = ordered.select(
-            *[F.array(*[F.get(f"o{i}", F.lit(r - b.below)) for r in b.ranks]).alias(f"b{i}") for i, b in enumerate(small)]
+            *[F.expr("array(" + ", ".join(f"get(o{i}, {r - b.below})" for r in b.ranks) + ")").alias(f"b{i}") for i, b in enumerate(small)]
         ).first()
         for i, b in enumerate(small):
             answers[b.name].update(zip(b.ranks, found[f"b{i}"]))
-    return _split(df, columns, large, answers) if large else []
+    return _split(df, large, answers) if large else []
 
 
-def _cut_points(df, columns, brackets) -> list[list]:
+def _cut_points(df, brackets) -> list[list]:
     """Two cut points around every wanted rank, from a sample that is about ten million values at most."""
     rows = max(b.inside for b in brackets)
     share = min(1.0, max(SAMPLE_MIN, min(SAMPLE_MAX, rows * SAMPLE_SHARE)) / min(b.inside for b in brackets))
@@ -96,7 +131,8 @@ def _cut_points(df, columns, brackets) -> list[list]:
         for r in b.ranks:
             at = (r - b.below) / b.inside
             places |= {max(0.0, at - slack), min(1.0, at + slack)}
-        sketches.append(F.percentile_approx(b.values(columns), _thinned(sorted(places)), SKETCH_ACCURACY).alias(f"b{i}"))
+        wanted = ", ".join(f"{p!r}D" for p in _thinned(sorted(places)))
+        sketches.append(F.expr(f"percentile_approx({b.values()}, array({wanted}), {SKETCH_ACCURACY})").alias(f"b{i}"))
     found = sampled.agg(*sketches).first()
     return [sorted(set(found[f"b{i}"] or [])) for i in range(len(brackets))]
 
@@ -110,15 +146,14 @@ def _thinned(places: list[float]) -> list[float]:
     return kept
 
 
-def _split(df, columns, brackets, answers) -> list[_Bracket]:
-    wide = list(zip(brackets, _cut_points(df, columns, brackets)))
+def _split(df, brackets, answers) -> list[_Bracket]:
+    wide = list(zip(brackets, _cut_points(df, brackets)))
     aggregates = []
     for i, (b, cuts) in enumerate(wide):
-        v = b.values(columns)
         for j, cut in enumerate(cuts):
             aggregates += [
-                F.count_if(v < F.lit(cut)).alias(f"lt_{i}_{j}"),
-                F.count_if(v == F.lit(cut)).alias(f"eq_{i}_{j}"),
+                F.expr(f"count_if({b.values()} < {_literal(cut)})").alias(f"lt_{i}_{j}"),
+                F.expr(f"count_if({b.values()} = {_literal(cut)})").alias(f"eq_{i}_{j}"),
             ]
     counted: dict[str, int] = {}
     for part in chunks(aggregates, _COUNTS_PER_JOB):
