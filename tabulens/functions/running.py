@@ -71,3 +71,33 @@ def running_totals(
             for new, old in totals.items()
         ],
     )
+
+
+def grouped_medians(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Exact median of a column per group, without holding a group in one task.
+
+    Equal values of a group become one counted row. These rows are range-partitioned by group and value, so a
+    large group lies in many partitions of even size; the count before each row is the count in the earlier
+    partitions of its group plus the running count inside its own partition.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    counted = (
+        df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+        .repartitionByRange(*by, "_v").withColumn("_piece", F.spark_partition_id()).checkpoint()
+    )
+    groups = Window.partitionBy(*by)
+    pieces = (
+        counted.groupBy(*by, "_piece").agg(F.sum("_n").alias("_here"))
+        .withColumn("_all", F.sum("_here").over(groups))
+        .withColumn("_before", F.sum("_here").over(groups.orderBy("_piece")) - F.col("_here"))
+        .drop("_here")
+    )
+    inside = Window.partitionBy(*by, "_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.join(pieces, [*by, "_piece"]).withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
+    lower, upper = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+
+    def holds(rank: Column) -> Column:
+        return ((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)).cast("int")
+
+    hits = holds(lower) + holds(upper)
+    return placed.groupBy(*by).agg((F.sum(F.col("_v") * hits) / 2).alias(value))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabulens.functions.running import running_totals
+from tabulens.functions.running import grouped_medians, running_totals
 
 UNITS = {"H": "hour", "D": "day", "W": "week", "M": "month", "Q": "quarter", "Y": "year"}
 EPSILON = 2.220446049250313e-16
@@ -18,7 +18,6 @@ AGGREGATES = {
     "max": lambda v, t: F.max(v),
     "count": lambda v, t: F.count(v),
     "std": lambda v, t: F.stddev_samp(v),
-    "median": lambda v, t: F.median(v),
     "first": lambda v, t: F.min_by(v, F.when(v.isNotNull(), t)),
     "last": lambda v, t: F.max_by(v, F.when(v.isNotNull(), t)),
 }
@@ -32,10 +31,16 @@ def aggregate_by(
     df: DataFrame, ts: str, values: Sequence[str], level: str = "D", how: str = "mean", by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per period (and per `by` group); periods without data do not appear, weeks start on Monday."""
-    if how not in AGGREGATES:
-        raise ValueError(f"unknown aggregate '{how}'; known: {sorted(AGGREGATES)}")
-    fn = AGGREGATES[how]
+    if how not in AGGREGATES and how != "median":
+        raise ValueError(f"unknown aggregate '{how}'; known: {sorted([*AGGREGATES, 'median'])}")
     period = period_start(F.col(ts), level).cast(df.schema[ts].dataType)
+    if how == "median":
+        rows = df.select(*by, period.alias(ts), *values)
+        result = rows.select(*by, ts).distinct()
+        for v in values:
+            result = result.join(grouped_medians(rows, [*by, ts], v), [*by, ts], "left")
+        return result
+    fn = AGGREGATES[how]
     return df.groupBy(*by, period.alias(ts)).agg(
         *[fn(F.col(v), F.col(ts)).alias(v) for v in values]
     )

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabulens.functions.running import grouped_medians
 from tabulens.operators import timeseries as ts
 
 
@@ -64,3 +65,12 @@ def test_row_positions(spark):
     df, _ = series(spark, 30)
     rows = ts.row_positions(df, "ts", range_rows=4).orderBy("ts").collect()
     assert [r["position"] for r in rows] == list(range(30))
+
+
+def test_grouped_medians_with_a_hot_group_and_a_hot_value(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 4)).alias("g"),
+        F.when(F.col("id") % 5 < 2, 4.0).when(F.col("id") % 50 == 3, None).otherwise((F.col("id") * 31 % 101).cast("double")).alias("v"),
+    )
+    found = {r["g"]: r["v"] for r in grouped_medians(df, ["g"], "v").collect()}
+    assert found == df.toPandas().groupby("g")["v"].median().to_dict()
