@@ -44,8 +44,11 @@ class _Boxes:
 
 def query_id(df: DataFrame, features: Sequence[str]) -> Column:
     """A key that is equal for equal feature vectors; missing values are equal to each other."""
-    texts = [f"coalesce(CAST({number_sql(df, f)} + 0.0D AS STRING), '~')" for f in features]
-    return F.expr(f"md5(concat_ws('|', {', '.join(texts)}))")
+    values = [f"{number_sql(df, f)} + 0.0D" for f in features]
+    gaps = [f"{v} IS NULL" for v in values]
+    # Two differently seeded 64-bit hashes; missing values are hashed as flags because they are skipped as values.
+    both = ", ".join([*values, *gaps])
+    return F.expr(f"concat(hex(xxhash64({both})), '-', hex(xxhash64(1, {both})))")
 
 
 def _train_key(key: str | Sequence[str]) -> Column:
