@@ -16,7 +16,7 @@ from tabulens.functions.columns import key_hash, key_text
 
 HASH_DIGITS = 15
 MAX_CLASSES = 1_000
-_NO_CLASS = "\u0000"
+_NO_CLASS = "<missing>"
 
 
 def class_text(by: str | None) -> Column:
