@@ -24,7 +24,7 @@ HOURLY = "(SELECT date_trunc('hour', ts) AS ts, sum(value) AS value FROM events
 
 
 def aggregated(level: str, how: str):
-    return lambda s, d: rounded(ts.aggregate_by(table(s, d, "events"), "ts", ["value"], level, how), 4)
+    return lambda s, d: rounded(ts.aggregate_by(table(s, d, "events"), "ts", ["value"], level, how), 8)
 
 
 _SQL_AGGREGATES = {
@@ -50,10 +50,10 @@ FORECAST = f"""(SELECT a.ts, a.value, b.value AS p, CASE WHEN row_number() OVER
 def t08(spark: SparkSession, folder: str) -> DataFrame:
     df = naive_forecast(spark, folder)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
-    return rounded(ts.tagged_series(train, test, test, "ts", "value", "p"), 4)
+    return rounded(ts.tagged_series(train, test, test, "ts", "value", "p"), 8)
 
 
-def _decomposition(source: str, period: int, digits: int = 4) -> str:
+def _decomposition(source: str, period: int, digits: int = 8) -> str:
     reach = period // 2
     if period % 2:
         average = f"sum(value) OVER w / {period}"
@@ -86,32 +86,32 @@ def _split(columns: str, source: str, order: str) -> str:
 
 QUERIES = {
     **{f"t01_aggregate_{_LEVELS[level]}_{how}": aggregated(level, how) for level, how in _AGGREGATIONS},
-    "t01_aggregate_by_type": lambda s, d: rounded(ts.aggregate_by(table(s, d, "events"), "ts", ["value"], "D", "mean", ["event_type"]), 4),
+    "t01_aggregate_by_type": lambda s, d: rounded(ts.aggregate_by(table(s, d, "events"), "ts", ["value"], "D", "mean", ["event_type"]), 8),
     "t02_series_split": t02,
     "t03_temporal_split": events_split,
     "t03_temporal_split_ties": orders_split,
-    "t04_decomposition_week": lambda s, d: rounded(ts.decompose_additive(daily(s, d), "ts", "value", 7), 4),
+    "t04_decomposition_week": lambda s, d: rounded(ts.decompose_additive(daily(s, d), "ts", "value", 7), 8),
     "t04_decomposition_day": lambda s, d: rounded(ts.decompose_additive(hourly(s, d), "ts", "value", 24, block=100, range_rows=200), 6),
-    "t05_deviation_band": lambda s, d: rounded(ts.deviation_band(daily(s, d), "ts", "value"), 4),
-    "t06_long_series": lambda s, d: rounded(ts.long_series(daily(s, d), "ts", ["value", "users"]), 4),
-    "t07_forecast_errors": lambda s, d: rounded(ts.forecast_errors(naive_forecast(s, d), "value", "p"), 4),
+    "t05_deviation_band": lambda s, d: rounded(ts.deviation_band(daily(s, d), "ts", "value"), 8),
+    "t06_long_series": lambda s, d: rounded(ts.long_series(daily(s, d), "ts", ["value", "users"]), 8),
+    "t07_forecast_errors": lambda s, d: rounded(ts.forecast_errors(naive_forecast(s, d), "value", "p"), 8),
     "t08_tagged_series": t08,
 }
 
 ORACLES = {
     **{
-        f"t01_aggregate_{_LEVELS[level]}_{how}": f"SELECT date_trunc('{_LEVELS[level]}', ts)::TIMESTAMP AS ts, {r(_SQL_AGGREGATES[how], 'value', 4)} FROM events GROUP BY 1"
+        f"t01_aggregate_{_LEVELS[level]}_{how}": f"SELECT date_trunc('{_LEVELS[level]}', ts)::TIMESTAMP AS ts, {r(_SQL_AGGREGATES[how], 'value', 8)} FROM events GROUP BY 1"
         for level, how in _AGGREGATIONS
     },
-    "t01_aggregate_by_type": f"SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS ts, {r('avg(value)', 'value', 4)} FROM events GROUP BY 1, 2",
+    "t01_aggregate_by_type": f"SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS ts, {r('avg(value)', 'value', 8)} FROM events GROUP BY 1, 2",
     "t02_series_split": _split("ts, value", "events", "ts, event_id"),
     "t03_temporal_split": _split("event_id, ts, value", "events", "ts, event_id"),
     "t03_temporal_split_ties": _split("o_orderkey, o_orderdate", "orders", "o_orderdate, o_orderkey"),
     "t04_decomposition_week": _decomposition(DAILY, 7),
     "t04_decomposition_day": _decomposition(HOURLY, 24, 6),
-    "t05_deviation_band": f"SELECT ts, {r('value', 'value', 4)}, {r('value - w', 'bottom', 4)}, {r('value + w', 'top', 4)} FROM {DAILY}, (SELECT round(stddev_pop(value), 3) AS w FROM {DAILY})",
-    "t06_long_series": union([f"SELECT ts, '{v}' AS variable, {r(v, 'value', 4)} FROM {DAILY}" for v in ("value", "users")]),
-    "t07_forecast_errors": f"""SELECT split, {r('sqrt(avg(pow(value - p, 2)))', 'rmse', 4)}, {r('avg(abs(value - p))', 'mae', 4)},
- {r('avg(abs(value - p) / greatest(abs(value), 2.220446049250313e-16))', 'mape', 4)}, {r('1 - sum(pow(value - p, 2)) / (var_pop(value) * count(*))', 'r2', 4)} FROM {FORECAST} GROUP BY split""",
-    "t08_tagged_series": f"WITH f AS {FORECAST} SELECT ts, {r('value', 'value', 4)}, split AS part FROM f UNION ALL SELECT ts, {r('p', 'value', 4)}, 'prediction' FROM f WHERE split = 'test'",
+    "t05_deviation_band": f"SELECT ts, {r('value', 'value', 8)}, {r('value - w', 'bottom', 8)}, {r('value + w', 'top', 8)} FROM {DAILY}, (SELECT round(stddev_pop(value), 3) AS w FROM {DAILY})",
+    "t06_long_series": union([f"SELECT ts, '{v}' AS variable, {r(v, 'value', 8)} FROM {DAILY}" for v in ("value", "users")]),
+    "t07_forecast_errors": f"""SELECT split, {r('sqrt(avg(pow(value - p, 2)))', 'rmse', 8)}, {r('avg(abs(value - p))', 'mae', 8)},
+ {r('avg(abs(value - p) / greatest(abs(value), 2.220446049250313e-16))', 'mape', 8)}, {r('1 - sum(pow(value - p, 2)) / (var_pop(value) * count(*))', 'r2', 8)} FROM {FORECAST} GROUP BY split""",
+    "t08_tagged_series": f"WITH f AS {FORECAST} SELECT ts, {r('value', 'value', 8)}, split AS part FROM f UNION ALL SELECT ts, {r('p', 'value', 8)}, 'prediction' FROM f WHERE split = 'test'",
 }
