@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tabulens.session import shared_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path under the folder the cluster shares; a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base}/tabulens-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    """A new path under the folder the cluster shares."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

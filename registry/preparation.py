@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from registry.common import r, rounded, shared_folder, table, union
+from registry.common import r, rounded, new_folder, table, union
 from registry.profiling import CORRELATED, CORRELATED_NAMES, ORDERS_WITH_GAPS, correlated_lines, orders_with_gaps
 from tabulens.operators import encoding, feature_selection as fs, missing as mv, sampling
 from tabulens.plans.prepare import prepare_dataset
@@ -31,14 +31,14 @@ SELECT {keep}, CASE WHEN rn <= q THEN 'test' ELSE 'train' END AS part FROM place
 
 def s01(spark: SparkSession, folder: str) -> DataFrame:
     """CSV written by Spark and read with header and inferred types."""
-    path = shared_folder(spark) + ".csv"
+    path = new_folder(spark) + ".csv"
     src.write_table(table(spark, folder, "customer"), path, "csv")
     return src.read_csv(spark, path)
 
 
 def s02(spark: SparkSession, folder: str) -> DataFrame:
     """CSV with several missing-value tokens."""
-    path = shared_folder(spark) + ".csv"
+    path = new_folder(spark) + ".csv"
     o = table(spark, folder, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "F", "N/A").when(F.col("o_orderstatus") == "P", "null").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
@@ -50,7 +50,7 @@ def s02(spark: SparkSession, folder: str) -> DataFrame:
 
 def s03(spark: SparkSession, folder: str) -> DataFrame:
     """Train and test files written and opened again: the sorted labels of the train file with sizes."""
-    path = shared_folder(spark)
+    path = new_folder(spark)
     train, test = sampling.stratified_split(table(spark, folder, "orders"), "o_orderkey", "o_orderpriority")
     src.write_table(train, f"{path}_train")
     src.write_table(test, f"{path}_test")
@@ -64,7 +64,7 @@ def s05(spark: SparkSession, folder: str) -> DataFrame:
     """A result table written as one CSV file and read back."""
     from tabulens.operators.distribution import class_distribution
 
-    path = shared_folder(spark) + ".csv"
+    path = new_folder(spark) + ".csv"
     src.write_result(rounded(class_distribution(table(spark, folder, "orders"), "o_orderstatus")), path)
     return src.read_csv(spark, path)
 
@@ -251,7 +251,7 @@ def lines_to_select(spark: SparkSession, folder: str) -> DataFrame:
 
 def e11(spark: SparkSession, folder: str) -> DataFrame:
     """Redundant variables of the train table dropped from both tables, written and read back."""
-    path = shared_folder(spark)
+    path = new_folder(spark)
     train, test = sampling.stratified_split(lines_to_select(spark, folder), LINE_KEY, "l_linestatus")
     dropped = fs.redundant_variables(train.drop(*LINE_KEY), 0.9, target="l_linestatus")
     fs.apply_selection(train, test, dropped, path, "kept")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,9 +27,18 @@ def local_session(cpus: int = 8, app: str = "tabulens", memory: str = "8g") -> S
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder under spark.checkpoint.dir. Only a local session may lack that setting; it gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^,\]]*(,\d+)?\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/tabulens-{spark.sparkContext.applicationId}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Checkpoints go to the shared folder the cluster names; to a temporary one only where none is set."""
+    """Checkpoints go to the shared folder the cluster names."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tabulens-checkpoint-"))
+        context.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
