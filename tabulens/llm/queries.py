@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabulens.llm import chat, language_id, packing, quality_rules, simhash, suffix_dedup, warc
+from tabulens.llm import chat, language_id, packing, pieces, quality_rules, simhash, sketches, suffix_dedup, toxicity, warc
 from tabulens.llm.common import staged, table
 from tabulens.session import shared_folder
 
@@ -25,6 +25,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(table(spark, folder, "documents"))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     written = staged(warc.write(table(spark, folder, "pages"), archives), "warc-files")
@@ -33,6 +37,10 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(spark, archives).drop("url")
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.compare_edited(table(spark, folder, "documents"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -44,6 +52,14 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels").select("doc_id", "toxic")
+    learned = labels.where("doc_id is not null").where(~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.fit(learned.join(docs, "doc_id"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, i, role, r"\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(extra)
@@ -53,7 +69,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    mine = [op1_quality_rules, op2_suffix_dedup, op3_simhash, op5_warc, op7_packing, op8_language_id, op10_chat]
+    mine = [op1_quality_rules, op2_suffix_dedup, op3_simhash, op4_sentencepiece, op5_warc, op6_fingerprints, op7_packing, op8_language_id, op9_toxicity, op10_chat]
     return {f.__name__: f for f in mine} | {"pipeline": corpus_pipeline.run}
 
 
