@@ -29,6 +29,7 @@ UNKNOWN = 10.0
 MULTIPLIER = 0x9E3779B97F4A7C15
 #: Words a Python worker remembers before it starts anew, and cells (words x length) one group of words may have.
 REMEMBERED, CELLS = 1_500_000, 1 << 18
+LEADING_BITS = 20
 
 
 class Pieces:
@@ -57,6 +58,8 @@ class Pieces:
         order = np.argsort(hashes)
         self.keys, self.ids = hashes[order], np.array([i for i, _ in pieces.values()], np.int64)[order]
         self.scores = np.array([s for _, s in pieces.values()])[order]
+        self.leading = np.zeros(1 << LEADING_BITS, bool)  # leading bits of the keys: most substrings are no pieces and need no search
+        self.leading[self.keys >> np.uint64(64 - LEADING_BITS)] = True
         self.spelled = {i: p.replace(SPACE, " ").encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.is_byte = np.zeros(max(self.spelled) + 1, bool)
         self.is_byte[byte_ids] = True
@@ -82,8 +85,9 @@ class Pieces:
                 prefix[:, j] = prefix[:, j - 1] * np.uint64(MULTIPLIER) + codes[:, j - 1] + np.uint64(1)
                 first = max(0, j - self.longest)  # the longest piece comes first and wins ties
                 hashes = prefix[:, j, None] - prefix[:, first:j] * self.powers[j - first : 0 : -1]
-                at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-                found = self.keys[at] == hashes
+                maybe, at = self.leading[hashes >> np.uint64(64 - LEADING_BITS)], np.zeros(hashes.shape, np.int64)
+                at[maybe] = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
+                found = maybe & (self.keys[at] == hashes)
                 total = np.where(found, best[:, first:j] + self.scores[at], -np.inf)
                 alone = ~found[:, -1]
                 total[alone, -1] = best[alone, j - 1] + self.unknown
