@@ -94,21 +94,43 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             start = first - np.append(0, ends)[row]
             digest = xxhash.xxh3_64_intdigest
             content = np.array([digest(blob[a:b]) for a, b in zip(first.tolist(), (first + count + length - 1).tolist())], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (h, content.view(np.int64), doc[row].astype(np.int64), (ordinal[row].astype(np.int64) << ORDINAL_BITS) + start, count.astype(np.int32))],
-                ["h", "r", "doc", "at", "n"],
-            )
+            columns = _combine(h, content.view(np.int64), doc[row].astype(np.int64), (ordinal[row].astype(np.int64) << ORDINAL_BITS) + start, count.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "r", "doc", "at", "n"])
 
     return docs.select("doc", "ordinal", F.col("text").cast("binary").alias("text")).mapInArrow(run, "h long, r long, doc long, at long, n int")
 
 
+def _combine(h, r, doc, at, n):
+    """The rows of a batch, where only the first of equal records keeps its anchor. The others begin later than a record of the same batch,
+    so they are repeats whatever else there is: they get an arbitrary anchor and a negative n, and a frequent record meets once per batch."""
+    order = np.argsort(r, kind="stable")
+    same = np.append(False, r[order][1:] == r[order][:-1])
+    group = order[same | np.append(same[1:], False)]
+    group = group[np.lexsort((at[group], doc[group], r[group]))]
+    head = np.append(True, r[group][1:] != r[group][:-1]) if len(group) else np.zeros(0, bool)
+    own = group[np.flatnonzero(head)][np.cumsum(head) - 1]
+    later = (doc[group] != doc[own]) | (at[group] != at[own])
+    repeat, again = group[later], group[~later & ~head]  # again: the same place of a repeated row
+    with np.errstate(over="ignore"):
+        h[repeat] = (doc[repeat] * 1_000_003 + at[repeat]) * np.int64(0x1E3779B97F4A7C15)
+    n[repeat] *= -1
+    kept = np.ones(len(h), bool)
+    kept[again] = False
+    return tuple(x[kept] for x in (h, r, doc, at, n))
+
+
 def _settle(batches):
     """Of rows sorted by (h, r, doc, at): repeats of equal records (candidate false), and the first of each content where an anchor has several."""
     last = pending = None  # (h, r, doc, at) of the current run's first record; the only content so far of the current anchor
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, r, d, at, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        every = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        known = every[4] < 0
+        yield _settled(every[2][known], every[3][known], -every[4][known])
+        h, r, d, at, n = (x[~known] for x in every)
+        if not len(h):
+            continue
         before = last or (~h[0], 0, 0, 0)
         hs, rs = np.append(before[0], h), np.append(before[1], r)
         new_h = hs[1:] != hs[:-1]
@@ -127,15 +149,19 @@ def _settle(batches):
             s = starts[-1]
             pending = (h[s], d[s], at[s], n[s]) if lone[-1] else None
         last = (h[-1], r[-1], own_d[-1], own_at[-1])
-        many = [np.concatenate(x) for x in zip(*rows)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(np.zeros(len(repeat), bool), np.ones(len(many[0]), bool))),
-                pa.array(np.append(np.zeros(len(repeat), np.int64), many[0]), mask=np.append(np.ones(len(repeat), bool), np.zeros(len(many[0]), bool))),
-                *(pa.array(np.append(x[repeat], y).astype(t)) for x, y, t in ((d, many[1], np.int64), (at, many[2], np.int64), (n, many[3], np.int32))),
-            ],
-            ["candidate", "h", "doc", "at", "n"],
-        )
+        yield _settled(d[repeat], at[repeat], n[repeat], *(np.concatenate(x) for x in zip(*rows)))
+
+
+def _settled(d, at, n, h=np.zeros(0, np.int64), some_d=np.zeros(0, np.int64), some_at=np.zeros(0, np.int64), some_n=np.zeros(0, np.int32)):
+    """A batch of repeats and of candidates with their anchors."""
+    candidate = np.append(np.zeros(len(d), bool), np.ones(len(h), bool))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(candidate), pa.array(np.append(np.zeros(len(d), np.int64), h), mask=~candidate),
+            *(pa.array(np.append(x, y).astype(t)) for x, y, t in ((d, some_d, np.int64), (at, some_at, np.int64), (n, some_n, np.int32))),
+        ],
+        ["candidate", "h", "doc", "at", "n"],
+    )
 
 
 def shard_bwt(symbols: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
