@@ -25,7 +25,7 @@ OPEN, CLOSE, LEARNED = "### ", "</turn>\n", "assistant"
 TURN = re.compile(r"### ((?:[^\\:\n]|\\.)*):\n((?:[^\\<]|\\.|<(?!/turn>\n))*)</turn>\n", re.S)
 ESCAPED = re.compile(r"\\(.)", re.S)
 #: What is escaped in (role, text), from nothing to everything that can conflict.
-LEVELS = ((None, None), (re.compile(r"[\\:\n]"), re.compile(r"\\|<(?=/turn>)|#(?=## )")), (re.compile(r"[\\:\n#<]"), re.compile(r"[\\<#]")))
+LEVELS = ((None, None), (re.compile(r"[\\:\n]"), re.compile(r"\\|<(?=/turn>)|(?<=#)#(?=# )")), (re.compile(r"[\\:\n#<]"), re.compile(r"[\\<#]")))
 
 
 def parse(formatted: str) -> list[tuple[str, str, int, int]]:

@@ -55,7 +55,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels").select("doc_id", "toxic")
     learned = labels.where("doc_id is not null").where(~toxicity.held_out(F.col("doc_id")))
-    model = toxicity.fit(learned.join(docs, "doc_id"))
+    model = toxicity.fit(docs, learned)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

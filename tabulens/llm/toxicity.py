@@ -123,12 +123,17 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 2500, chars: int = 6000) -> Model:
-    """A model from (id, text, label 0 or 1); about `rows` rows per label and `chars` characters of each reach the driver."""
-    source = labelled.select(F.xxhash64(id_col).alias("k"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    found = dict(source.groupBy("label").count().collect())
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 2500, chars: int = 6000) -> Model:
+    """A model from the labelled rows (id, label 0 or 1) of docs; about `rows` rows per label and `chars` characters of each reach the driver.
+
+    The sample is drawn from the labels, so its ids have a fixed bound and are broadcast; no text is shuffled.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("k"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
+    found = dict(known.groupBy("label").count().collect())
     share = F.create_map(*[x for label in (0, 1) for x in (F.lit(label), F.lit(min(1 << 40, int(rows / max(found.get(label, 0), 1) * (1 << 40)) + 1)))])
-    sample = source.where(F.pmod("k", F.lit(1 << 40)) < share[F.col("label")]).select("k", F.substring("text", 1, chars).alias("text"), "label").collect()
+    picked = known.where(F.pmod("k", F.lit(1 << 40)) < share[F.col("label")]).dropDuplicates(["id"])
+    texts = docs.select(F.col(id_col).alias("id"), F.substring(text_col, 1, chars).alias("text")).where("text is not null")
+    sample = texts.join(F.broadcast(picked), "id").select("k", "text", "label").collect()
     sample.sort()
     return train([r["text"] for r in sample], np.array([r["label"] for r in sample], np.int64))
 
