@@ -76,7 +76,7 @@ def successors(keys: DataFrame) -> DataFrame:
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fraction: int = FRACTION) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, within_edited, within_next).
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, within_edited, within_next, next_id).
 
     The edited text has the last half of a document replaced by the beginning of the next one. Texts are shuffled once whole, and once
     more only as far as the document before needs them.
@@ -87,16 +87,18 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = successors(light.select(F.col("doc_id").alias("id"), "k"))
     before = order.join(light.select("k", "half"), "k").select(F.col("k").alias("before_k"), F.col("half").alias("before_half"), F.col("next_k").alias("k"))
     own = with_shingles(rows, "text", "all").select("doc_id", "k", "text", F.size("all").alias("n"), sketch(F.col("all"), fraction).alias("own_s"))
-    placed = own.join(before, "k")
-    given = placed.select(F.col("before_k").alias("k"), F.expr("substring(text, 1, before_half)").alias("tail"), F.col("n").alias("next_n"), F.col("own_s").alias("next_s")).dropDuplicates(["k"])
-    pairs = placed.select("k", "doc_id", "text", "n", "own_s").join(given, "k")
+    # both joins take the same columns of `own` by the same key, so its texts are shuffled once and the exchange is used again
+    given = own.join(before, "k").select(
+        F.col("before_k").alias("k"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, before_half)").alias("tail"), F.col("n").alias("next_n"), F.col("own_s").alias("next_s")
+    ).dropDuplicates(["k"])
+    pairs = own.join(given, "k")
     size = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.col("tail"))
-    pairs = pairs.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "n", "own_s", "next_n", "next_s")
+    pairs = pairs.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "n", "own_s", "next_id", "next_n", "next_s")
     pairs = with_shingles(pairs, "edited", "all").select("*", sketch(F.col("all"), fraction).alias("edited_s"), F.size("all").alias("edited_n"))
     written = pairs.select("*", *[fingerprint(F.col(n), F.col(f"{c}_s")).alias(f"{c}_fp") for c, n in (("own", "n"), ("edited", "edited_n"), ("next", "next_n"))])
     return written.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("own_fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
         _likeness("own", "edited").alias("near_edited"), _likeness("own", "next").alias("near_next"),
-        containment(F.col("own_s"), F.col("edited_s")).alias("within_edited"), containment(F.col("own_s"), F.col("next_s")).alias("within_next"),
+        containment(F.col("own_s"), F.col("edited_s")).alias("within_edited"), containment(F.col("own_s"), F.col("next_s")).alias("within_next"), "next_id",
     )
