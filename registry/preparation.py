@@ -89,13 +89,13 @@ def s06(spark: SparkSession, folder: str) -> DataFrame:
 def p07(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     train, test = sampling.stratified_split(o, "o_orderkey", "o_orderstatus")
-    train, test = sampling.cap_sample(train, test, "o_orderkey", limit=10_000)
+    train, test = sampling.cap_sample(train, test, "o_orderkey")
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 P07 = f"""WITH split AS ({split_sql('(SELECT o_orderkey, o_orderstatus FROM orders)', 'o_orderkey', 'o_orderstatus', 'o_orderkey, o_orderstatus')}),
- sized AS (SELECT *, count(*) FILTER (part = 'train') OVER () AS n_train, row_number() OVER (PARTITION BY part ORDER BY {hash_order('o_orderkey')}) AS rn FROM split)
-SELECT o_orderkey, o_orderstatus, part FROM sized WHERE n_train <= 10000 OR rn <= CASE WHEN part = 'train' THEN 1000 ELSE 300 END"""
+ sized AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY {hash_order('o_orderkey')}) AS rn FROM split)
+SELECT o_orderkey, o_orderstatus, part FROM sized WHERE part = 'test' OR rn <= 1000"""
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINE_KEY_SQL = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"

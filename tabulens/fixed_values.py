@@ -8,10 +8,8 @@ IQR_FACTOR = 1.5
 SEED = 42
 TEST_SHARE = 0.3
 
-# Train tables larger than the limit are cut to CAP_TRAIN_ROWS / CAP_TEST_ROWS in the capped studies.
-CAP_LIMIT = 100_000
-CAP_TRAIN_ROWS = 1_000
-CAP_TEST_ROWS = 300
+# Rows the capped studies fit on.
+FIT_ROWS = 1_000
 
 # A candidate model replaces the best one only if it is better by more than this.
 DELTA_IMPROVE = 0.001
@@ -48,10 +46,6 @@ FILL_NUMERIC = -1
 FILL_SYMBOLIC = "NA"
 FILL_BINARY = False
 
-# Pair studies: wide tables are cut into chunks of variables.
-PAIR_CHUNK_LIMIT = 25
-PAIR_CHUNK_SIZE = 20
-
 # Study grids.
 KNN_STUDY_K = list(range(1, 50, 2))
 KNN_STUDY_METRICS = ["manhattan", "euclidean", "chebyshev"]
@@ -73,24 +67,3 @@ LEADERBOARD = {
     "LogReg": {"penalty": "l2", "max_iter": 1000},
     "MLP": {"hidden": 50, "max_iter": 500},
 }
-
-# Flight columns known only after arrival, dropped before modelling.
-FLIGHT_LEAKAGE = [
-    "ArrTime", "ArrDelayMinutes", "ArrDelay", "ActualElapsedTime",
-    "WheelsOn", "TaxiIn", "ArrivalDelayGroups", "ArrTimeBlk",
-]
-
-# Accident columns profiled.
-ACCIDENT_COLUMNS = [
-    "crash_type", "num_units", "injuries_total", "injuries_fatal", "injuries_incapacitating",
-    "injuries_non_incapacitating", "injuries_reported_not_evident", "injuries_no_indication",
-    "crash_hour", "crash_day_of_week", "crash_month", "traffic_control_device", "weather_condition",
-    "lighting_condition", "first_crash_type", "trafficway_type", "alignment", "roadway_surface_cond",
-    "road_defect", "intersection_related_i",
-]
-
-# Datasets: name, file, target.
-DATASETS = [
-    ("Accidents", "traffic_accidents.csv", "crash_type"),
-    ("Flights", "Combined_Flights_2022.csv", "ArrDel15"),
-]

@@ -80,6 +80,8 @@ def hash_cutoffs(
         )
         found.update({r["c"]: (r["h"], r["k"]) for r in cut.collect()})
         open_classes = {c: q for c, q in open_classes.items() if c not in found}
+        if any(spread[c] >= 1 for c in open_classes):  # the band held all rows of the class
+            raise ValueError(f"the key {key!r} repeats or is null where the quota ends; add columns that make it unique")
         width *= 8
     return found
 

@@ -93,7 +93,9 @@ def grouped_medians(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         .drop("_here")
     )
     inside = Window.partitionBy(*by, "_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.join(pieces, [*by, "_piece"]).withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
+    named = pieces.select("_all", "_before", *[F.col(k).alias(f"_g{i}") for i, k in enumerate([*by, "_piece"])])
+    same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate([*by, "_piece"])]  # groups may be null
+    placed = counted.join(named, same).withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
     lower, upper = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
 
     def holds(rank: Column) -> Column:

@@ -36,6 +36,8 @@ def drop_sparse(df: DataFrame, min_share_per_variable: float = 0.1, min_share_pe
 
 def _fill_literal(df: DataFrame, name: str, v: object):
     to = data_type(df, name)
+    if isinstance(v, bool) and isinstance(to, (T.DateType, T.TimestampType)):
+        return value(df, name).alias(name)  # no constant stands for a missing date
     filled = F.lit(v).cast("string").cast(to) if isinstance(to, T.StringType) else F.lit(v).cast(to)
     return F.coalesce(value(df, name), filled).alias(name)
 

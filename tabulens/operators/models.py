@@ -34,8 +34,10 @@ def assemble(df: DataFrame, features: Sequence[str], target: str, labels: Sequen
 
 
 def decision_tree(criterion: str = "gini", max_depth: int = 5, seed: int = SEED, max_bins: int = 256):
+    if max_depth > 30:
+        raise ValueError("trees are at most 30 levels deep")
     return DecisionTreeClassifier(
-        impurity=criterion, maxDepth=min(max_depth, 30), maxBins=max_bins, seed=seed, cacheNodeIds=False
+        impurity=criterion, maxDepth=max_depth, maxBins=max_bins, seed=seed, cacheNodeIds=False
     )
 
 

@@ -372,6 +372,9 @@ def knn_label_counts(
     index: Index, test: DataFrame, target: str, ks: Sequence[int], metric: str = "euclidean", **limits: int
 ) -> DataFrame:
     """(k, y, p, n) on the test rows. Test rows are counted per point before they meet the predictions."""
+    gaps = F.exists(F.array(*[F.col(f"`{f}`").isNull() for f in index.features]), lambda x: x)
+    if not test.where(gaps).isEmpty():
+        raise ValueError("a test row lacks a feature; fill or drop such rows first")
     votes = knn_votes(index, test, target, ks, metric, **limits)
     query = query_id(test, index.features).alias("query")
     points = test.groupBy(query, F.col(target).alias("y")).agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabulens.fixed_values import CAP_LIMIT, CAP_TEST_ROWS, CAP_TRAIN_ROWS, SEED, TEST_SHARE
+from tabulens.fixed_values import FIT_ROWS, SEED, TEST_SHARE
 from tabulens.functions.columns import key_hash, key_list
 from tabulens.functions.hash_order import class_sizes, hash_at, hash_cutoffs, share_quotas, within_quota
 from tabulens.functions.order_statistics import kth_row, not_after
@@ -36,15 +36,11 @@ def cap_sample(
     train: DataFrame,
     test: DataFrame,
     key: str | Sequence[str],
-    limit: int = CAP_LIMIT,
-    train_rows: int = CAP_TRAIN_ROWS,
-    test_rows: int = CAP_TEST_ROWS,
+    fit_rows: int = FIT_ROWS,
     seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame]:
-    """Cut both tables when the train table is above the limit, else leave both whole."""
-    if train.count() <= limit:
-        return train, test
-    return sample_rows(train, key, train_rows, seed), sample_rows(test, key, test_rows, seed)
+    """At most `fit_rows` train rows to fit on, and all test rows."""
+    return sample_rows(train, key, fit_rows, seed), test
 
 
 def mark_split(

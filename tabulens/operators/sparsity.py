@@ -8,7 +8,6 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabulens.fixed_values import PAIR_CHUNK_LIMIT, PAIR_CHUNK_SIZE
 from tabulens.functions.columns import chunks, columns_of, number
 from tabulens.operators.distribution import Bins, bin_number, summarise
 from tabulens.operators.project import drop_incomplete_rows
@@ -31,11 +30,13 @@ def correlation_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, st
     Pairs with missing values use the rows that have both.
     """
     result: dict[tuple[str, str], float | None] = {}
-    total, count, mean = df.count(), {}, {}
+    total, count, mean, constant = df.count(), {}, {}, set()
     for part in chunks(list(names), _COLUMNS_PER_JOB):
-        row = df.agg(*[f(number(df, c)).alias(f"{p}{i}") for i, c in enumerate(part) for p, f in (("n", F.count), ("m", F.avg))]).first()
+        row = df.agg(*[f(number(df, c)).alias(f"{p}{i}") for i, c in enumerate(part) for p, f in (("n", F.count), ("m", F.avg), ("a", F.min), ("b", F.max))]).first()
         for i, c in enumerate(part):
             count[c], mean[c] = row[f"n{i}"], row[f"m{i}"]
+            if row[f"a{i}"] == row[f"b{i}"]:  # the mean of equal values need not be that value
+                constant.add(c)
     whole = [c for c in names if total and count[c] == total]
     centred = {c: number(df, c) - F.lit(mean[c]) for c in whole}
     products: dict[tuple[str, str], float] = {}
@@ -44,7 +45,7 @@ def correlation_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, st
         products.update({pair: row[f"s{i}"] for i, pair in enumerate(part)})
     for a, b in combinations(whole, 2):
         spread = math.sqrt(products[(a, a)]) * math.sqrt(products[(b, b)])
-        result[(a, b)] = min(1.0, abs(products[(a, b)]) / spread) if spread > 0 else None
+        result[(a, b)] = min(1.0, abs(products[(a, b)]) / spread) if spread > 0 and not {a, b} & constant else None
     rest = [(a, b) for a, b in combinations(names, 2) if (a, b) not in result]
     for part in chunks(rest, _GAP_PAIRS_PER_JOB):
         row = df.agg(
@@ -72,11 +73,9 @@ def correlation_matrix(df: DataFrame, names: Sequence[str] | None = None, drop_i
     return df.sparkSession.createDataFrame(table, "v1 string, v2 string, r double")
 
 
-def study_pairs(names: Sequence[str], chunk_limit: int | None = None, chunk_size: int = PAIR_CHUNK_SIZE):
-    """Pairs i < j; with a limit, wide tables only pair variables of the same chunk."""
-    if chunk_limit is None or len(names) <= chunk_limit:
-        return list(combinations(names, 2))
-    return [p for part in chunks(list(names), chunk_size) for p in combinations(part, 2)]
+def study_pairs(names: Sequence[str], chunk_size: int | None = None):
+    """Pairs i < j; on demand only those of the same chunk of names."""
+    return [p for part in chunks(list(names), chunk_size or len(names)) for p in combinations(part, 2)]
 
 
 def pair_density(
@@ -85,6 +84,7 @@ def pair_density(
     target: str | None = None,
     bins: int = 10,
     drop_incomplete: bool = True,
+    chunk_size: int | None = None,
 ) -> DataFrame:
     """Rows per cell of a bins x bins grid for every variable pair, and per class when a target is given.
 
@@ -105,7 +105,7 @@ def pair_density(
     )
     by = ["class"] if target else []
     result = None
-    pairs = study_pairs(names, PAIR_CHUNK_LIMIT if target else None)
+    pairs = study_pairs(names, chunk_size)
     for part in chunks(pairs, 200):
         entries = [
             F.struct(F.lit(a).alias("v1"), F.lit(b).alias("v2"), F.col(f"`_b_{a}`").alias("bx"), F.col(f"`_b_{b}`").alias("by"))

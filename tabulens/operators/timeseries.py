@@ -37,8 +37,11 @@ def aggregate_by(
     if how == "median":
         rows = df.select(*by, period.alias(ts), *values)
         result = rows.select(*by, ts).distinct()
+        keys = [*by, ts]
         for v in values:
-            result = result.join(grouped_medians(rows, [*by, ts], v), [*by, ts], "left")
+            medians = grouped_medians(rows, keys, v).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], v)
+            same = [F.col(f"_key{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]  # groups may be null
+            result = result.join(medians, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])
         return result
     fn = AGGREGATES[how]
     return df.groupBy(*by, period.alias(ts)).agg(

@@ -24,13 +24,16 @@ def read_csv(
     schema: T.StructType | None = None,
     na_tokens: Sequence[str] = tuple(NA_TOKENS),
     infer: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with header. NA tokens become NULL before any value is cast.
+    """CSV with header; a quote inside a quoted field is doubled. NA tokens become NULL before any value is cast.
+
+    With `multi_line` quoted fields may hold line ends; each file is then read by one task.
 
     With a schema the text is read once and cast. Without one the types are inferred from a first pass in
     which the tokens are already taken out; give a schema for large files.
     """
-    text = spark.read.csv(path, header=True, inferSchema=False)
+    text = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multi_line)
     text = text.select(*[_without_tokens(c, na_tokens).alias(c) for c in text.columns])
     if schema is None:
         if not infer:
@@ -94,7 +97,7 @@ def read_train_test(
 def write_table(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> None:
     """Distributed write; there is no row-number column to write."""
     if kind == "csv":
-        df.write.mode(mode).csv(path, header=True)
+        df.write.mode(mode).csv(path, header=True, escape='"')
     else:
         df.write.mode(mode).format(kind).save(path)
 

@@ -95,9 +95,9 @@ def test_samples(spark):
     assert sampling.sample_rows(df, "k", 9000).count() == 5000
     assert sampling.sample_rows(df, "k", 0).count() == 0
     assert 350 < sampling.sample_fraction(df, "k", 0.1, exact=False).count() < 650
-    a, b = sampling.cap_sample(df, df, "k", limit=100, train_rows=40, test_rows=12)
-    assert (a.count(), b.count()) == (40, 12)
-    a, b = sampling.cap_sample(df, df, "k", limit=5000)
+    a, b = sampling.cap_sample(df, df, "k", fit_rows=40)
+    assert (a.count(), b.count()) == (40, 5000)
+    a, b = sampling.cap_sample(df, df, "k", fit_rows=9000)
     assert (a.count(), b.count()) == (5000, 5000)
 
 
@@ -111,3 +111,14 @@ def test_temporal_split_with_ties(spark):
     train, test = sampling.temporal_split(df, "ts", "k", 0.55)
     assert sorted(r["k"] for r in train.collect()) == list(range(11))
     assert test.count() == 9
+
+
+def test_repeated_keys_end_with_an_error(spark):
+    import pytest
+
+    from tabulens.operators import sampling
+
+    for keys in ([1] * 100, [i % 10 for i in range(100)], [None] * 100):
+        df = spark.createDataFrame([(k,) for k in keys], "k long")
+        with pytest.raises(ValueError):
+            sampling.sample_rows(df, "k", 15).count()

@@ -121,7 +121,8 @@ def test_pair_density_counts_every_row_once_per_pair(spark):
     assert {r["s"] for r in density.groupBy("v1", "v2").agg(F.sum("n").alias("s")).collect()} == {500}
     by_class = spar.pair_density(df, ["a", "b", "c"], "y")
     assert by_class.agg(F.sum("n")).first()[0] == 1500
-    assert len(spar.study_pairs([f"v{i}" for i in range(30)], 25, 20)) == 190 + 45
+    assert len(spar.study_pairs([f"v{i}" for i in range(30)], 20)) == 190 + 45
+    assert len(spar.study_pairs([f"v{i}" for i in range(30)])) == 435
     with pytest.raises(ValueError):
         spar.pair_density(df, ["a"])
 
@@ -147,3 +148,10 @@ def test_profiles(spark):
     assert set(profile.profile_granularity(df)) == {"when_date", "properties"}
     sparsity = profile.profile_sparsity(df, "y")
     assert sparsity["occupancy"].count() == 1 and sparsity["pairs_by_class"].count() > 0
+
+
+def test_wide_tables_keep_all_pairs_and_constants_have_no_correlation(spark):
+    df = spark.range(40).selectExpr("id % 2 AS y", "0.1D AS c", *[f"CAST((id * {i + 3}) % 17 AS DOUBLE) AS v{i}" for i in range(28)])
+    pairs = spar.pair_density(df, ["c", *[f"v{i}" for i in range(28)]], "y").select("v1", "v2").distinct().count()
+    assert pairs == 29 * 28 // 2
+    assert spar.correlation_matrix(df, ["c", "v0"]).where("r is not null and v1 <> v2").count() == 0

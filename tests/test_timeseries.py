@@ -74,3 +74,13 @@ def test_grouped_medians_with_a_hot_group_and_a_hot_value(spark):
     )
     found = {r["g"]: r["v"] for r in grouped_medians(df, ["g"], "v").collect()}
     assert found == df.toPandas().groupby("g")["v"].median().to_dict()
+
+
+def test_medians_of_null_groups(spark):
+    from datetime import datetime
+
+    from tabulens.operators.timeseries import aggregate_by
+
+    df = spark.createDataFrame([(datetime(2024, 1, 1), g, v) for g, v in ((None, 1.0), (None, 3.0), ("a", 5.0))], "t timestamp, g string, v double")
+    got = {r["g"]: r["v"] for r in aggregate_by(df, "t", ["v"], "D", "median", ["g"]).collect()}
+    assert got == {None: 2.0, "a": 5.0}
