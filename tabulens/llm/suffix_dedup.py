@@ -12,7 +12,9 @@ cross documents and are judged on the input.
    by contexts that grow by two symbols each pass. Blocks whose contexts agree so far are the repeated intervals of that length; suffixes
    alone in their block have reached their longest common prefix and leave. Blocks left at `length` symbols are the repeated strings.
 
-Step 2 only passes on what can repeat; step 3 decides. Copies of a text never bring more than their records' hashes into one task.
+Step 2 only passes on what can repeat; step 3 decides. Copies of a text never bring more than their records' hashes into one task. An
+anchor whose candidates have more than CROWD_BYTES (a phrase in very many contexts) would be merged in one task, so its windows become
+records of their own, which lie under as many different keys as there are different windows and are settled as in step 2.
 
 Defined results: null texts are empty; texts shorter than `length` stay whole; repeated rows of a document (same doc_id and text) count as
 one document and each get its row; rows of one doc_id with different texts follow each other in the order of a hash of their texts; a null
@@ -34,6 +36,8 @@ LENGTH = 100
 GRAM = 24
 #: Bytes of text hashed at once, bytes of one shard, and bytes of shards merged at once.
 HASH_BYTES, SHARD_BYTES, MERGE_BYTES = 4 << 20, 1 << 18, 1 << 21
+#: Bytes of different contexts one anchor may bring into one merge.
+CROWD_BYTES = 4 << 20
 #: Low bits of a hash that give way to the position in the batch; a batch is shorter than 2 ** PLACE_BITS.
 PLACE_BITS = 31
 #: Positions are ordinal * 2 ** ORDINAL_BITS + start; the ordinal tells texts of one doc_id apart.
@@ -251,6 +255,22 @@ def _merged(length: int):
     return run
 
 
+def _windows(length: int):
+    """Every window of the candidates as a record of its own, under its own hash."""
+
+    def run(batches):
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches_of(batches, HASH_BYTES // length):
+            doc, at, data = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_pylist()
+            count = np.array([len(d) - length + 1 for d in data], np.int64)
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            r = np.array([digest(d[i : i + length]) for d in data for i in range(len(d) - length + 1)], np.uint64).view(np.int64)
+            columns = _combine(r.copy(), r, np.repeat(doc, count), np.repeat(at, count) + place, np.ones(len(r), np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "r", "doc", "at", "n"])
+
+    return run
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
     """The rows with `doc` (doc_id, null first) and `ordinal` (0, or the place of the text among different texts of one doc_id)."""
     docs = docs.withColumn("doc", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))
@@ -264,17 +284,32 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return keyed.withColumn("ordinal", F.coalesce("ordinal", F.lit(0))).drop("t")
 
 
-def repeated_ranges(numbered: DataFrame, length: int = LENGTH) -> DataFrame:
+def _settled_rows(rows: DataFrame) -> DataFrame:
+    return rows.repartition("h").sortWithinPartitions("h", "r", "doc", "at").mapInArrow(_settle, "candidate boolean, h long, doc long, at long, n int")
+
+
+def repeated_ranges(numbered: DataFrame, length: int = LENGTH, crowd_bytes: int = CROWD_BYTES) -> DataFrame:
     """(doc, ordinal, ranges): the windows of each text that begin earlier elsewhere, as (first start, number of starts)."""
-    rows = _anchor_rows(numbered, length).repartition("h").sortWithinPartitions("h", "r", "doc", "at")
-    settled = staged(rows.mapInArrow(_settle, "candidate boolean, h long, doc long, at long, n int"), "records")
+    settled = staged(_settled_rows(_anchor_rows(numbered, length)), "records")
     ordinal = F.shiftright("at", ORDINAL_BITS).cast("int").alias("ordinal")
-    candidates = settled.where("candidate").groupBy("doc", ordinal).agg(F.collect_list(F.struct("h", "at", "n")).alias("wanted"))
     start = F.col("w.at").bitwiseAND((1 << ORDINAL_BITS) - 1).cast("int")
-    cut = numbered.select("doc", "ordinal", F.col("text").cast("binary").alias("text")).join(candidates, ["doc", "ordinal"])
-    cut = cut.select("doc", "text", F.explode("wanted").alias("w")).select(F.col("w.h").alias("h"), "doc", F.col("w.at").alias("at"), F.substring("text", start + 1, F.col("w.n") + length - 1).alias("data"))
-    merged = cut.repartition("h").sortWithinPartitions("h", "doc", "at").mapInArrow(_merged(length), "doc long, at long, n int")
-    repeats = settled.where("not candidate").select("doc", "at", "n").union(merged)
+
+    def with_bytes(candidates: DataFrame) -> DataFrame:
+        wanted = candidates.groupBy("doc", ordinal).agg(F.collect_list(F.struct("h", "at", "n")).alias("wanted"))
+        cut = numbered.select("doc", "ordinal", F.col("text").cast("binary").alias("text")).join(wanted, ["doc", "ordinal"])
+        return cut.select("doc", "text", F.explode("wanted").alias("w")).select(F.col("w.h").alias("h"), "doc", F.col("w.at").alias("at"), F.substring("text", start + 1, F.col("w.n") + length - 1).alias("data"))
+
+    def merged(candidates: DataFrame) -> DataFrame:
+        return with_bytes(candidates).repartition("h").sortWithinPartitions("h", "doc", "at").mapInArrow(_merged(length), "doc long, at long, n int")
+
+    candidates = settled.where("candidate").select("h", "doc", "at", "n")
+    repeats = settled.where("not candidate").select("doc", "at", "n")
+    crowded = staged(candidates.groupBy("h").agg(F.sum(F.col("n") + length - 1).alias("size")).where(F.col("size") > crowd_bytes).select("h"), "crowded-anchors")
+    if crowded.isEmpty():
+        repeats = repeats.union(merged(candidates))
+    else:
+        windows = with_bytes(candidates.join(crowded, "h", "left_semi")).mapInArrow(_windows(length), "h long, r long, doc long, at long, n int")
+        repeats = repeats.union(merged(candidates.join(crowded, "h", "left_anti"))).union(_settled_rows(windows).select("doc", "at", "n"))
     return repeats.groupBy("doc", ordinal).agg(F.collect_list(F.struct("at", "n")).alias("ranges"))
 
 
@@ -292,12 +327,12 @@ def _kept(data: bytes, ranges, length: int) -> tuple[bytes, int, int]:
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), spans
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False, crowd_bytes: int = CROWD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), and the remaining bytes as `kept` on demand."""
     if length % 2 or length <= GRAM + 8:
         raise ValueError(f"length must be even and above {GRAM + 8}")
     numbered = _numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
-    joined = numbered.select("doc_id", "doc", "ordinal", F.col("text").cast("binary").alias("text")).join(repeated_ranges(numbered, length), ["doc", "ordinal"], "left")
+    joined = numbered.select("doc_id", "doc", "ordinal", F.col("text").cast("binary").alias("text")).join(repeated_ranges(numbered, length, crowd_bytes), ["doc", "ordinal"], "left")
 
     def run(batches):
         for batch in batches_of(batches):

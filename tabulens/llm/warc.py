@@ -149,7 +149,9 @@ def write(pages: DataFrame, folder: str, least: int = 1000, file_bytes: int = 8
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).withColumn("digest", F.when(F.octet_length("payload") >= least, F.sha1("payload")))
     firsts = rows.where("digest is not null").groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first_id")
     refers = F.when(F.col("first_id") != F.coalesce("page_id", F.col("first_id") - 1), F.col("first_id"))
-    joined = rows.join(firsts, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    # small payloads have no digest; each gets a key of its own, so that they don't meet in one task
+    keyed = rows.withColumn("digest", F.coalesce("digest", F.concat(F.lit("page "), F.coalesce("page_id", F.octet_length("payload")))))
+    joined = keyed.join(firsts, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
 
     def run(batches):
         from pyarrow import fs

@@ -113,6 +113,10 @@ def test_suffix_dedup_matches_brute_force(spark, texts):
     assert {r[0]: tuple(r) for r in queries.op2_suffix_dedup(spark, FOLDER).collect()} == _brute_repeats(texts)
 
 
+def test_crowded_anchors_give_the_same(spark, docs, texts):
+    assert {r[0]: tuple(r) for r in suffix_dedup.remove_repeats(docs, crowd_bytes=300).collect()} == _brute_repeats(texts)
+
+
 @pytest.mark.parametrize("alphabet", [b"ab", b"abc \n\xc3\xa9"])
 def test_merged_transforms_find_all_repeats(alphabet):
     rng = random.Random(5)
