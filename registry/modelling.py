@@ -236,17 +236,17 @@ C14 = f"WITH {_split_ctes(PART_SPLIT, PART_FEATURES)}, {evaluate_ctes(PART_FEATU
 
 def e09(spark: SparkSession, folder: str) -> DataFrame:
     train, test = part_split(spark, folder)
-    return rounded(studies.variance_study(train, test, PART_WIDE, "y", "p_partkey", max_threshold=0.2, lag=0.05))
+    return rounded(studies.variance_study(train, test, PART_WIDE, "y", "p_partkey"))
 
 
 def _e09() -> str:
-    # The variances at hand: shares lie below 0.1, the others far above 0.2.
+    # The variances at hand: shares lie below 0.1, the others far above 1.
     small, rest = ["size_share", "price_share"], [f for f in PART_WIDE if f not in ("size_share", "price_share")]
     variance = {f: f"(SELECT var_samp({f}) FROM train)" for f in small}
     sets = {"both": PART_WIDE, "size": [f for f in PART_WIDE if f != "price_share"], "price": [f for f in PART_WIDE if f != "size_share"], "none": rest}
     ctes = ", ".join(evaluate_ctes(f, t) for t, f in sets.items())
     rows = []
-    for t in studies.variance_options(0.2, 0.05):
+    for t in studies.variance_options(1.0, 0.05):
         chosen = f"CASE WHEN {variance['size_share']} < {t} THEN CASE WHEN {variance['price_share']} < {t} THEN 'none' ELSE 'price' END WHEN {variance['price_share']} < {t} THEN 'size' ELSE 'both' END"
         rows.append(f"SELECT {t}::DOUBLE AS threshold, variables, {r('nb', 'nb')}, {r('knn', 'knn')} FROM results WHERE tag = {chosen}")
     results = union([f"SELECT '{t}' AS tag, {len(f)}::INT AS variables, n.accuracy AS nb, k.accuracy AS knn FROM nb_best_{t} n, knn_best_{t} k" for t, f in sets.items()])
@@ -288,7 +288,7 @@ def c09(spark: SparkSession, folder: str) -> DataFrame:
 
 def c10(spark: SparkSession, folder: str) -> DataFrame:
     train, test = line_split(spark, folder)
-    return rounded(studies.logistic_study(train, test, LINE_FEATURES, "y", iterations=[10, 50]), 4)
+    return rounded(studies.logistic_study(train, test, LINE_FEATURES, "y"), 4)
 
 
 def c11(spark: SparkSession, folder: str) -> DataFrame:

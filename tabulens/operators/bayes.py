@@ -16,6 +16,11 @@ _SMOOTHING = 1e-9
 _COLUMNS_PER_JOB = 18
 
 
+def _lacking(df: DataFrame, features: Sequence[str]) -> Column:
+    """True where a row lacks one of the features."""
+    return F.exists(F.array(*[number(df, f).isNull() for f in features]), lambda x: x)
+
+
 class NegativeValues(ValueError):
     """Multinomial Naive Bayes needs features without negative values."""
 
@@ -47,12 +52,13 @@ class BayesModel:
         return result
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
-        """Add the most likely class; equal scores take the smallest label."""
+        """Add the most likely class; equal scores take the smallest label. A row that lacks a feature is an error."""
         ranked = F.array_max(
             F.array(*[F.struct(s.alias("s"), F.lit(-i).alias("i")) for i, s in enumerate(self.scores(df))])
         )
         labels = F.array(*[F.lit(c[0]) for c in self.classes])
-        return df.withColumn(name, F.element_at(labels, F.lit(1) - ranked["i"]))
+        refused = F.raise_error(F.lit("a row lacks a feature; fill or drop such rows first"))
+        return df.withColumn(name, F.when(_lacking(df, self.features), refused).otherwise(F.element_at(labels, F.lit(1) - ranked["i"])))
 
 
 def _largest_variance(classes: list[dict], width: int) -> float:
@@ -70,7 +76,7 @@ def fit_bayes(train: DataFrame, features: Sequence[str], target: str, variant: s
     features = list(features)
     stats: dict[object, dict] = {}
     for part in chunks(features, _COLUMNS_PER_JOB):
-        aggregates = [F.count("*").alias("_n")]
+        aggregates = [F.count("*").alias("_n"), F.count_if(_lacking(train, part)).alias("_gaps")]
         for i, f in enumerate(part):
             x = number(train, f)
             if variant == "gaussian":
@@ -82,6 +88,8 @@ def fit_bayes(train: DataFrame, features: Sequence[str], target: str, variant: s
         rows = train.groupBy(F.col(target).alias("_y")).agg(*aggregates).limit(MAX_CLASSES + 1).collect()
         if len(rows) > MAX_CLASSES:
             raise ValueError(f"'{target}' has more than {MAX_CLASSES} classes")
+        if any(r["_gaps"] for r in rows):
+            raise ValueError("a train row lacks a feature; fill or drop such rows first")
         for r in rows:
             entry = stats.setdefault(r["_y"], {"n": r["_n"], "a": [], "b": []})
             entry["a"] += [r[f"a{i}"] for i in range(len(part))]

@@ -18,6 +18,10 @@ AGGREGATES = {
     "max": lambda v, t: F.max(v),
     "count": lambda v, t: F.count(v),
     "std": lambda v, t: F.stddev_samp(v),
+    "var": lambda v, t: F.var_samp(v),
+    "sem": lambda v, t: F.stddev_samp(v) / F.sqrt(F.count(v)),
+    "prod": lambda v, t: F.product(v),
+    "nunique": lambda v, t: F.count_distinct(v),
     "first": lambda v, t: F.min_by(v, F.when(v.isNotNull(), t)),
     "last": lambda v, t: F.max_by(v, F.when(v.isNotNull(), t)),
 }
@@ -28,9 +32,12 @@ def period_start(ts: Column, level: str) -> Column:
 
 
 def aggregate_by(
-    df: DataFrame, ts: str, values: Sequence[str], level: str = "D", how: str = "mean", by: Sequence[str] = ()
+    df: DataFrame, ts: str, values: Sequence[str], level: str = "D", how: str = "mean", by: Sequence[str] = (), key: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per period (and per `by` group); periods without data do not appear, weeks start on Monday."""
+    """One row per period (and per `by` group); periods without data do not appear, weeks start on Monday.
+
+    "first" and "last" order equal times by the columns `key`.
+    """
     if how not in AGGREGATES and how != "median":
         raise ValueError(f"unknown aggregate '{how}'; known: {sorted([*AGGREGATES, 'median'])}")
     period = period_start(F.col(ts), level).cast(df.schema[ts].dataType)
@@ -45,7 +52,7 @@ def aggregate_by(
         return result
     fn = AGGREGATES[how]
     return df.groupBy(*by, period.alias(ts)).agg(
-        *[fn(F.col(v), F.col(ts)).alias(v) for v in values]
+        *[fn(F.col(v), F.struct(ts, *key) if key else F.col(ts)).alias(v) for v in values]
     )
 
 

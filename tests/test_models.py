@@ -143,3 +143,15 @@ def test_feature_selection_studies(spark):
     train, test = points(spark, 200, 8), points(spark, 80, 9)
     found = studies.redundancy_study(train, test, ["a", "b", "c"], "y", "k").collect()
     assert [r["threshold"] for r in found] == [0.9, 0.95, 1.0] and {r["variables"] for r in found} == {3}
+
+
+@pytest.mark.parametrize("variant", ["gaussian", "multinomial", "bernoulli"])
+def test_bayes_refuses_missing_features(spark, variant):
+    whole = spark.createDataFrame([(float(i % 5), float(i % 3), i % 2) for i in range(40)], "a double, b double, y int")
+    holes = whole.withColumn("a", F.when(F.col("b") != 1, F.col("a")))
+    with pytest.raises(ValueError, match="lacks a feature"):
+        fit_bayes(holes, ["a", "b"], "y", variant)
+    model = fit_bayes(whole, ["a", "b"], "y", variant)
+    assert model.predict(whole).where("prediction is null").count() == 0
+    with pytest.raises(Exception, match="lacks a feature"):
+        model.predict(holes).collect()

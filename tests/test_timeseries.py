@@ -84,3 +84,12 @@ def test_medians_of_null_groups(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1), g, v) for g, v in ((None, 1.0), (None, 3.0), ("a", 5.0))], "t timestamp, g string, v double")
     got = {r["g"]: r["v"] for r in aggregate_by(df, "t", ["v"], "D", "median", ["g"]).collect()}
     assert got == {None: 2.0, "a": 5.0}
+
+
+def test_more_aggregates_and_tied_times(spark):
+    rows = [("2024-01-01 00:00:00", 2, 3.0), ("2024-01-01 00:00:00", 1, 5.0), ("2024-01-01 06:00:00", 3, 4.0), ("2024-01-01 06:00:00", 4, 4.0)]
+    df = spark.createDataFrame(rows, "t string, k int, v double").withColumn("t", F.col("t").cast("timestamp"))
+    value = lambda how, **o: ts.aggregate_by(df, "t", ["v"], "D", how, **o).first()["v"]
+    assert value("first", key=["k"]) == 5.0 and value("last", key=["k"]) == 4.0
+    assert value("nunique") == 3 and value("prod") == 240.0
+    assert abs(value("var") - 2 / 3) < 1e-12 and abs(value("sem") - (2 / 3) ** 0.5 / 2) < 1e-12
