@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabulens.llm.common import staged
+
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -116,10 +118,9 @@ def score(counted: DataFrame, id_cols: list[str], threshold: float = 0.5) -> Dat
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of docs that are kept, with their own columns. The counts are made twice, so texts are neither stored nor shuffled."""
+    """The rows of docs that are kept, with their own columns. The counts are made once: rows are stored with their votes."""
     p = "_quality_"
-    counted = counts(docs, text_col, p)
-    model = fit(counted.select(pattern(p).alias("pattern"))).select(F.col("pattern").alias(f"{p}of"), F.col("posterior").alias(f"{p}posterior"))
-    marked = counted.withColumn(f"{p}of", pattern(p)).join(F.broadcast(model), f"{p}of")
-    # one condition over both sides: a condition on the counts alone would be pushed below them and make them again
-    return marked.where(F.when(base_failed(p), False).otherwise(F.col(f"{p}posterior") >= threshold)).select(*[docs[c] for c in docs.columns])
+    voted = staged(counts(docs, text_col, p).select(*[F.col(f"`{c}`") for c in docs.columns], pattern(p).alias(f"{p}of"), base_failed(p).alias(f"{p}failed")), "quality-votes")
+    model = fit(voted.select(F.col(f"{p}of").alias("pattern"))).select(F.col("pattern").alias(f"{p}of"), F.col("posterior").alias(f"{p}posterior"))
+    marked = voted.join(F.broadcast(model), f"{p}of")
+    return marked.where(~F.col(f"{p}failed") & (F.col(f"{p}posterior") >= threshold)).select(*[F.col(f"`{c}`") for c in docs.columns])
