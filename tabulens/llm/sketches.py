@@ -3,9 +3,11 @@
 Everything is a DataFrame expression. Shingles are five words (fewer: the whole text), hashed to 64 bits. The sketch of a set of shingles
 is exactly its hashes below the bound, so the sketch of a union is the union of sketches, and |A & B| / |A| in sketches estimates
 how much of A is contained in B, however unequal their sizes. A fingerprint is written as the number of different shingles, a colon, and
-the retained hashes in order, 16 hex digits each.
+the retained hashes in order, 16 hex digits each. A set of few shingles may have none below the bound; its fingerprint has a second
+colon and then all its hashes, and two such sets are compared exactly.
 
-Defined results: null texts are empty and have the fingerprint "0:"; two empty sketches are alike only if their fingerprints are equal;
+Defined results: null texts are empty and have the fingerprint "0:"; two empty sets are alike; a set without a retained hash and one with
+some are estimated to share nothing, and how much of the former the latter contains is null;
 repeated rows (same id and text) are one document in the order of documents and each get a row; rows of one id with different texts
 follow each other by a hash of their texts; a null id comes first; other columns are ignored; an empty table gives no rows.
 """
@@ -18,7 +20,7 @@ from tabulens.llm.common import staged
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: One in FRACTION hashes is retained.
-FRACTION = 8
+FRACTION = 2
 WORDS = 5
 
 
@@ -37,9 +39,14 @@ def sketch(shingles: Column, fraction: int = FRACTION) -> Column:
     return F.sort_array(F.filter(shingles, lambda h: h < F.lit(bound)))
 
 
-def fingerprint(n: Column, kept: Column) -> Column:
-    """The written form of a sketch."""
-    return F.concat(n.cast("string"), F.lit(":"), F.array_join(F.transform(kept, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), ""))
+def fingerprint(all_: Column, kept: Column) -> Column:
+    """The written form of a sketch of the shingles all_."""
+    rest = F.when((F.size(kept) == 0) & (F.size(all_) > 0), F.concat(F.lit(":"), _hex(F.sort_array(all_)))).otherwise("")
+    return F.concat(F.size(all_).cast("string"), F.lit(":"), _hex(kept), rest)
+
+
+def _hex(hashes: Column) -> Column:
+    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
 def resemblance(a: Column, b: Column) -> Column:
@@ -59,8 +66,15 @@ def merge(sketches: Column) -> Column:
 
 
 def _likeness(a: str, b: str) -> Column:
-    same = F.col(f"{a}_fp") == F.col(f"{b}_fp")
-    return F.coalesce(resemblance(F.col(f"{a}_s"), F.col(f"{b}_s")), same.cast("double"))
+    """From the sketches; from all shingles if both sketches are empty."""
+    exact = F.coalesce(resemblance(F.col(f"{a}_all"), F.col(f"{b}_all")), F.lit(1.0))
+    return F.coalesce(resemblance(F.col(f"{a}_s"), F.col(f"{b}_s")), exact)
+
+
+def _share(a: str, b: str) -> Column:
+    """From the sketches; from all shingles if both sketches are empty."""
+    exact = F.when(F.size(f"{b}_s") == 0, containment(F.col(f"{a}_all"), F.col(f"{b}_all")))
+    return F.coalesce(containment(F.col(f"{a}_s"), F.col(f"{b}_s")), exact)
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -78,27 +92,27 @@ def successors(keys: DataFrame) -> DataFrame:
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fraction: int = FRACTION) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, within_edited, within_next, next_id).
 
-    The edited text has the last half of a document replaced by the beginning of the next one. Texts are shuffled once whole, and once
-    more only as far as the document before needs them.
+    The edited text has the last half of a document replaced by the beginning of the next one. Texts are shuffled twice, to their own row
+    and to that of the document before; shingles are made where they are compared, as they take more room than the texts.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("k", F.xxhash64("doc_id", "text"))
     light = staged(rows.select("doc_id", "k", F.floor(F.length("text") / 2).cast("int").alias("half")).distinct(), "halves")
     order = successors(light.select(F.col("doc_id").alias("id"), "k"))
     before = order.join(light.select("k", "half"), "k").select(F.col("k").alias("before_k"), F.col("half").alias("before_half"), F.col("next_k").alias("k"))
-    own = with_shingles(rows, "text", "all").select("doc_id", "k", "text", F.size("all").alias("n"), sketch(F.col("all"), fraction).alias("own_s"))
+    own = rows.select("doc_id", "k", "text")
     # both joins take the same columns of `own` by the same key, so its texts are shuffled once and the exchange is used again
     given = own.join(before, "k").select(
-        F.col("before_k").alias("k"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, before_half)").alias("tail"), F.col("n").alias("next_n"), F.col("own_s").alias("next_s")
+        F.col("before_k").alias("k"), "before_half", F.col("doc_id").alias("next_id"), F.col("text").alias("next")
     ).dropDuplicates(["k"])
     pairs = own.join(given, "k")
-    size = F.length("text")
-    edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.col("tail"))
-    pairs = pairs.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "n", "own_s", "next_id", "next_n", "next_s")
-    pairs = with_shingles(pairs, "edited", "all").select("*", sketch(F.col("all"), fraction).alias("edited_s"), F.size("all").alias("edited_n"))
-    written = pairs.select("*", *[fingerprint(F.col(n), F.col(f"{c}_s")).alias(f"{c}_fp") for c, n in (("own", "n"), ("edited", "edited_n"), ("next", "next_n"))])
-    return written.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("own_fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
+    edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.expr("substring(next, 1, before_half)"))
+    pairs = pairs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.col("text").alias("own"), edited.alias("edited"), "next", "next_id")
+    for name in ("own", "edited", "next"):
+        pairs = with_shingles(pairs, name, f"{name}_all").withColumn(f"{name}_s", sketch(F.col(f"{name}_all"), fraction))
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(F.col("own_all"), F.col("own_s")).alias("fingerprint"), fingerprint(F.col("edited_all"), F.col("edited_s")).alias("edited_fingerprint"),
         _likeness("own", "edited").alias("near_edited"), _likeness("own", "next").alias("near_next"),
-        containment(F.col("own_s"), F.col("edited_s")).alias("within_edited"), containment(F.col("own_s"), F.col("next_s")).alias("within_next"), "next_id",
+        _share("own", "edited").alias("within_edited"), _share("own", "next").alias("within_next"), "next_id",
     )

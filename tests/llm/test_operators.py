@@ -208,6 +208,24 @@ def test_fingerprints(spark, texts):
             assert r["near_edited"] == pytest.approx(len(set(own) & set(other)) / len(set(own) | set(other)))
 
 
+def test_fingerprints_of_few_shingles(spark):
+    """Sets without a retained hash are compared by all their hashes: unrelated texts of equal count share nothing, equal texts all."""
+    signed = lambda t: simhash._signed(xxhash.xxh64_intdigest(t.encode(), 42))
+    bare = [w for w in (f"word{i}" for i in range(200)) if signed(w) >= 0][:3]
+    made = dict(enumerate([bare[0], bare[1], bare[2], bare[2]]))
+    for fraction in (2, 8):
+        got = {r["doc_id"]: r for r in sketches.compare_edited(spark.createDataFrame(list(made.items()), "doc_id long, text string"), fraction=fraction).collect()}
+        assert [got[i]["near_next"] for i in range(4)] == [0, 0, 1, 0] and [got[i]["within_next"] for i in range(4)] == [0, 0, 1, 0]
+        assert got[0]["fingerprint"] == f"1::{signed(bare[0]):016x}" and len({r["fingerprint"] for r in got.values()}) == 3
+
+
+def test_short_texts_keep_hashes(spark):
+    folder = "/root/testdata/sf0.1"
+    short = table(spark, folder, "documents").where("size(split(text, ' ')) between 20 and 60")
+    got = sketches.with_shingles(short, "text", "all").select(F.size("all").alias("n"), F.size(sketches.sketch(F.col("all"))).alias("kept"))
+    assert got.where("n > 12 and kept = 0").count() == 0 < got.where("n > 12").count()
+
+
 def test_packing(spark, odd, texts):
     from tokenizers import Tokenizer
 
