@@ -293,23 +293,20 @@ def c10(spark: SparkSession, folder: str) -> DataFrame:
 
 def c11(spark: SparkSession, folder: str) -> DataFrame:
     train, test = line_split(spark, folder)
-    settings = {"MLP": {"hidden": 50, "max_iter": 50}}
+    settings = {"MLP": fixed.LEADERBOARD["MLP"]}
     return studies.leaderboard([("lineitem", train, test, LINE_FEATURES, "y", LINE_KEY)], settings)
 
 
 def c12(spark: SparkSession, folder: str) -> DataFrame:
     train, test = part_split(spark, folder)
     features = ["size_share", "price_share"]
-    table_, _ = studies.mlp_study(train, test, features, "y", rates=[0.5, 0.05], lag=20, max_iterations=60, hidden=20)
+    table_, _ = studies.mlp_study(train, test, features, "y")
     return rounded(table_, 4)
 
 
 def c13(spark: SparkSession, folder: str) -> DataFrame:
     lines, parts = line_split(spark, folder), part_split(spark, folder)
-    settings = {**fixed.LEADERBOARD, "MLP": {"hidden": 50, "max_iter": 50}}
-    return studies.leaderboard(
-        [("lineitem", *lines, LINE_FEATURES, "y", LINE_KEY), ("part", *parts, PART_FEATURES, "y", "p_partkey")], settings
-    )
+    return studies.leaderboard([("lineitem", *lines, LINE_FEATURES, "y", LINE_KEY), ("part", *parts, PART_FEATURES, "y", "p_partkey")])
 
 
 def c13_exact(spark: SparkSession, folder: str) -> DataFrame:

@@ -134,6 +134,39 @@ def test_mllib_studies_beat_the_majority(spark):
     assert notes["NaiveBayes"] == ("Failed", 0.0) and notes["KNN"][0] == "Success" and notes["KNN"][1] > share
 
 
+def test_registered_perceptrons_run_the_full_grids(spark, monkeypatch):
+    """What the registered queries ask the trainer for, without training."""
+    from registry import modelling
+    from tabulens import fixed_values as fixed
+
+    asked = []
+
+    class Trained:
+        weights = None
+
+        def fit(self, _):
+            return self
+
+        def summary(self):
+            return type("Summary", (), {"objectiveHistory": [1.0]})
+
+        def setInitialWeights(self, _):
+            pass
+
+    def trainer(n_features, n_classes, hidden, max_iter, *_):
+        asked.append((hidden, max_iter))
+        return Trained()
+
+    monkeypatch.setattr(studies, "perceptron", trainer)
+    monkeypatch.setattr(studies, "_counts_of", lambda *_: [(1, 1, 1)])
+    folder = "/root/testdata/sf0.001"
+    assert modelling.c12(spark, folder).count() == 120 and asked == [(100, fixed.MLP_STUDY_LAG)] * 120
+    for query, datasets in ((modelling.c11, 1), (modelling.c13, 2)):
+        asked.clear()
+        query(spark, folder)
+        assert asked == [(fixed.LEADERBOARD["MLP"]["hidden"], fixed.LEADERBOARD["MLP"]["max_iter"])] * datasets
+
+
 def test_study_options():
     assert studies.variance_options(1.0, 0.05)[0] == 0.05 and len(studies.variance_options(1.0, 0.05)) == 20
     assert studies.redundancy_options(0.9, 0.05) == [0.9, 0.95, 1.0]
