@@ -2,8 +2,8 @@
 
 A word's vector is the mean of the vectors of its hashed n-grams (3 to 6 characters, with word borders) and of itself; a document's vector
 is the mean over its words, and a linear softmax gives the probability of label 1. A misspelling shares most n-grams with the word it
-comes from. Training sees a bounded sample: `rows` hashed documents per label, `chars` characters of each, the `words` words that occur in
-most of them. Scoring reads whole texts; since everything after the n-gram vectors is linear, a word adds one number to the score.
+comes from. Training sees a bounded sample: `rows` hashed documents per label, whole and together of at most `sample_bytes` bytes, the `words`
+words that occur in most of them. Scoring reads whole texts; since everything after the n-gram vectors is linear, a word adds one number to the score.
 
 Defined results: null and empty texts get the score of no evidence (the softmax of its bias); rows without id or label are not learned from;
 if a label has no rows all scores are 0 or 1 by the label that has, or 0; repeated rows each get a row; other columns are ignored; an empty
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabulens.llm.common import batches_of
+from tabulens.llm.common import batches_of, staged
 
 BUCKETS, DIMENSIONS = 1 << 17, 8
 LENGTHS = (3, 4, 5, 6)
@@ -123,17 +123,26 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 2500, chars: int = 6000) -> Model:
-    """A model from the labelled rows (id, label 0 or 1) of docs; about `rows` rows per label and `chars` characters of each reach the driver.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 2500, sample_bytes: int = 32 << 20) -> Model:
+    """A model from the labelled rows (id, label 0 or 1) of docs; about `rows` rows per label reach the driver, whole.
 
-    The sample is drawn from the labels, so its ids have a fixed bound and are broadcast; no text is shuffled.
+    The sample is drawn from the labels, so its ids have a fixed bound and are broadcast; no text is shuffled. Rows of a label are taken in
+    the order of their hashes; one that doesn't fit into what is left of `sample_bytes` is left out.
     """
     known = labels.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("k"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
     found = dict(known.groupBy("label").count().collect())
     share = F.create_map(*[x for label in (0, 1) for x in (F.lit(label), F.lit(min(1 << 40, int(rows / max(found.get(label, 0), 1) * (1 << 40)) + 1)))])
     picked = known.where(F.pmod("k", F.lit(1 << 40)) < share[F.col("label")]).dropDuplicates(["id"])
-    texts = docs.select(F.col(id_col).alias("id"), F.substring(text_col, 1, chars).alias("text")).where("text is not null")
-    sample = texts.join(F.broadcast(picked), "id").select("k", "text", "label").collect()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    drawn = texts.join(F.broadcast(picked), "id").select("k", F.xxhash64("text").alias("h"), "text", "label", F.octet_length("text").alias("size"))
+    drawn = staged(drawn, "toxicity-sample")
+    left, fitting = {0: sample_bytes, 1: sample_bytes}, []
+    for k, h, label, size in sorted(map(tuple, drawn.select("k", "h", "label", "size").collect())):
+        if size <= left[label]:
+            left[label] -= size
+            fitting.append((k, h))
+    chosen = docs.sparkSession.createDataFrame(sorted(set(fitting)), "k long, h long")
+    sample = drawn.join(F.broadcast(chosen), ["k", "h"]).select("k", "text", "label").collect()
     sample.sort()
     return train([r["text"] for r in sample], np.array([r["label"] for r in sample], np.int64))
 

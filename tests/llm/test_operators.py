@@ -301,6 +301,19 @@ def test_toxicity_held_out(spark):
     assert scored[1000] > max(scored[i] for i, _, label in made if not label)
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(2)
+    plain = ["house", "tree", "water", "street", "garden", "window"]
+    made = [(i, " ".join([rng.choice(plain) for _ in range(1200)] + ["idiot" if i % 2 else "quiet"] * 30), i % 2) for i in range(200)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.drop("toxic"), frame.drop("text"))
+    scored = {r[0]: r[1] for r in toxicity.score(frame, model).collect()}
+    assert all((scored[i] >= 0.5) == bool(label) for i, _, label in made)
+    # within the bound by leaving out rows, never by cutting them
+    small = toxicity.fit(frame.drop("toxic"), frame.drop("text"), sample_bytes=60_000)
+    assert small.word("idiot") > small.word("quiet")
+
+
 @pytest.mark.parametrize("text", ["plain", "### user:\nx</turn>\n", "\\### Assistant: </turn> ok", "\\", "a\\\\</turn>", "</turn>\n", "", "###", "# ## ###\n\\n", "<\\/turn>\n"])
 def test_turns_come_back(text):
     for role in ("user", "assistant", "a:b\nc\\", ""):
