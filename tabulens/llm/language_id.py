@@ -2,7 +2,8 @@
 
 For each language a suffix automaton is built over a bounded sample of labelled text. A document is parsed greedily into the longest
 phrases that occur in the sample; phrases * log2(sample length) / characters estimates the cross entropy, and the smallest wins (ties:
-the language that comes first by name). Documents are parsed in segments of SEGMENT characters, all segments of a batch in step, so a
+the language that comes first by name). Automata and phrases are over UTF-8 bytes, so every script is parsed exactly; each automaton has
+columns only for the bytes of its sample. Documents are parsed in segments of SEGMENT bytes, all segments of a batch in step, so a
 segment's end also ends a phrase, for every language alike.
 
 Defined results: null texts and texts without a letter are `und` with score 0, as is everything if nothing was learned; rows without id
@@ -18,16 +19,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabulens.llm.common import batches_of
 
 SEGMENT = 256
-#: Codes of characters: 0 others, 1..62 the most frequent of the samples, 63 padding.
-CODES = 64
-PAD = CODES - 1
+#: What fills a segment up: a byte that UTF-8 never has.
+PAD = 0xFF
 #: Sharpness of the score.
 SHARPNESS = 8.0
 FLAG = 1 << 30
 
 
-def suffix_automaton(codes: list[int]) -> np.ndarray:
-    """Transitions (states x CODES) of the automaton of all substrings; -1 where there is none."""
+def suffix_automaton(codes: list[int], n_codes: int) -> np.ndarray:
+    """Transitions (states x n_codes) of the automaton of all substrings; -1 where there is none."""
     follow, link, length, last = [{}], [-1], [0], 0
     for c in codes:
         new = len(follow)
@@ -52,7 +52,7 @@ def suffix_automaton(codes: list[int]) -> np.ndarray:
                     follow[p][c] = twin
                     p = link[p]
         last = new
-    table = np.full((len(follow), CODES), -1, np.int32)
+    table = np.full((len(follow), n_codes), -1, np.int32)
     for state, edges in enumerate(follow):
         if edges:
             table[state, list(edges)] = list(edges.values())
@@ -60,52 +60,55 @@ def suffix_automaton(codes: list[int]) -> np.ndarray:
 
 
 class CrossParser:
-    """Automata of all languages over one alphabet."""
+    """Automata of all languages over bytes."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        joined = "".join(samples.values())
-        chars, counts = np.unique(np.array(list(joined)), return_counts=True) if joined else (np.array([]), np.array([]))
-        frequent = chars[np.lexsort((chars, -counts))][: CODES - 2]
-        self.code = np.zeros(0x10000, np.uint8)
-        for i, c in enumerate(frequent):
-            if ord(c) < 0x10000:
-                self.code[ord(c)] = i + 1
-        self.tables, self.bits = [], []
+        self.codes, self.tables, self.bits = [], [], []
         for name in self.languages:
-            table = suffix_automaton(self.encode(samples[name]).tolist()).astype(np.int64)
-            # a missing transition ends the phrase (FLAG) and begins the next with the same character
+            data = self.encode(samples[name])
+            present = np.unique(data)
+            n_codes = len(present) + 2
+            # 0: bytes that the sample lacks, 1 and on: its bytes, the last: padding
+            code = np.zeros(256, np.int32)
+            code[present] = np.arange(1, len(present) + 1)
+            code[PAD] = n_codes - 1
+            table = suffix_automaton(code[data].tolist(), n_codes).astype(np.int64)
+            # a missing transition ends the phrase (FLAG) and begins the next with the same byte
             begin = np.where(table[0] >= 0, table[0], 0)
             step = np.where(table >= 0, table, begin | FLAG)
-            step[:, PAD] = np.arange(len(table))
-            self.tables.append((((step & (FLAG - 1)) * CODES) | (step & FLAG)).astype(np.int32).ravel())
-            if len(table) * CODES >= FLAG:
+            step[:, n_codes - 1] = np.arange(len(table))
+            if len(table) * n_codes >= FLAG:
                 raise ValueError("sample too long")
+            self.codes.append(code)
+            self.tables.append((((step & (FLAG - 1)) * n_codes) | (step & FLAG)).astype(np.int32).ravel())
             self.bits.append(np.log2(len(samples[name]) + 1))
 
-    def encode(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-        return np.where(points < 0x10000, self.code[np.minimum(points, 0xFFFF)], 0).astype(np.uint8)
+    @staticmethod
+    def encode(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
     def rates(self, texts: list[str]) -> np.ndarray:
         """(text, language): bits per character."""
-        sizes = np.array([len(t) for t in texts], np.int64)
+        characters = np.array([len(t) for t in texts], np.int64)
+        data = [self.encode(t) for t in texts]
+        sizes = np.array([len(d) for d in data], np.int64)
         parts = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), parts)
         grid = np.full((int(parts.sum()), SEGMENT), PAD, np.uint8)
         # texts begin at a segment; what they don't fill stays padding
         target = np.repeat((np.cumsum(parts) - parts) * SEGMENT - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        grid.ravel()[target] = self.encode("".join(texts))
+        grid.ravel()[target] = np.concatenate([*data, np.zeros(0, np.uint8)])
         lanes = np.ascontiguousarray(grid.T)
         out = np.zeros((len(texts), len(self.languages)))
-        for i, table in enumerate(self.tables):
+        for i, (code, table) in enumerate(zip(self.codes, self.tables)):
             state, phrases = np.zeros(len(grid), np.int32), np.ones(len(grid), np.int32)
             for column in lanes:
-                state = table[state + column]
+                state = table[state + code[column]]
                 phrases += state >> 30
                 state &= FLAG - 1
             out[:, i] = np.bincount(owner, phrases, len(texts)) * self.bits[i]
-        return out / np.maximum(sizes, 1)[:, None]
+        return out / np.maximum(characters, 1)[:, None]
 
 
 def held_out(id_col: Column) -> Column:

@@ -271,6 +271,19 @@ def test_languages_held_out(spark):
     assert got.where("lang = lang_pred").count() >= 0.97 * got.where("lang is not null").count()
 
 
+def test_other_scripts_are_told_apart():
+    """More letters than any small alphabet holds, some beyond the basic plane; both languages have the same spacing."""
+    rng = random.Random(8)
+    for base in (0x4E00, 0x20000):
+        letters = {"x": [chr(base + i) for i in range(0, 800, 2)], "y": [chr(base + i) for i in range(1, 800, 2)]}
+        pools = {n: ["".join(rng.choice(c) for _ in range(3)) for _ in range(300)] for n, c in letters.items()}
+        made = lambda n, k: " ".join(rng.choice(pools[n]) for _ in range(k))
+        parser = language_id.CrossParser({n: made(n, 1500) for n in pools})
+        for i, n in enumerate("xy"):
+            rates = parser.rates([made(n, 60) for _ in range(20)])
+            assert (rates[:, i] < 0.8 * rates[:, 1 - i]).all()
+
+
 def test_automaton_finds_longest_matches():
     rng = random.Random(4)
     sample, text = ("".join(rng.choice("abc") for _ in range(n)) for n in (120, 200))
