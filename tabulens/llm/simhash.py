@@ -43,7 +43,7 @@ def simhash(text: str | None, words: int = 4, seed: int = 42) -> int:
     return int(np.packbits(majority, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, id_type: str = "long") -> DataFrame:
     """(doc_id, fp): the fingerprint of every row as a signed long."""
 
     def run(batches):
@@ -51,8 +51,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             values = [simhash(t, words, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = docs.select(F.col(id_col).cast(id_type).alias("doc_id"), F.col(text_col).alias("text"))
+    return source.mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
 def block_masks(blocks: int, distance: int) -> list[int]:
@@ -95,22 +95,32 @@ def links(prints: DataFrame, distance: int = 4, blocks: int = 7, crowd: int = 20
     return pairs.union(stars)
 
 
+def _classes(firsts: DataFrame, distance: int, blocks: int, crowd: int) -> DataFrame:
+    """The rows (fp, ...) of different fingerprints, each with the root of its component."""
+    roots = connected_components(links(firsts.select("fp"), distance, blocks, crowd))
+    return firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, distance: int = 4, blocks: int = 7, crowd: int = 2048
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; component_id is the smallest doc_id reachable over links."""
     prints = staged(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
     firsts = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = connected_components(links(firsts.select("fp"), distance, blocks, crowd))
-    labelled = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    labelled = _classes(firsts, distance, blocks, crowd)
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = labelled.join(smallest, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_representatives(docs: DataFrame, **options) -> DataFrame:
-    """The rows of one document per group: that with the smallest doc_id. Repeated rows of it count as one, rows without doc_id stay."""
-    groups = near_duplicates(docs, **options)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+def keep_representatives(docs: DataFrame, words: int = 4, seed: int = 42, distance: int = 4, blocks: int = 7, crowd: int = 2048) -> DataFrame:
+    """The rows of one document per group: that with the smallest doc_id, of several texts under it the one with the smallest fingerprint and
+    text hash. Repeated rows of it count as one, rows without doc_id stay."""
+    key, digest = docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    prints = staged(fingerprints(docs.where("doc_id is not null").select(F.struct(key.alias("id"), digest.alias("h")).alias("d"), "text"), "d", "text", words, seed, "struct<id:bigint,h:bigint>"), "fingerprints")
+    firsts = staged(prints.groupBy("fp").agg(F.min(F.struct("doc_id.id", "fp", "doc_id.h")).alias("first")), "distinct-fingerprints")
+    kept = _classes(firsts, distance, blocks, crowd).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.id").alias("kept_id"), F.col("first.h").alias("kept_h"))
+    taken = set(docs.columns)
+    mark = next(n for n in (f"hash{i}" for i in range(len(taken) + 1)) if n not in taken)
+    named = docs.withColumn(mark, digest).join(kept, (key == kept["kept_id"]) & (F.col(mark) == kept["kept_h"]), "left_semi").dropDuplicates(["doc_id", mark]).drop(mark)
     return named.union(docs.where("doc_id is null"))

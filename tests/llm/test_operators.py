@@ -88,6 +88,15 @@ def test_crowded_buckets_link_the_same(spark):
     assert roots(2) == roots(2048)
 
 
+def test_representative_of_an_id_with_two_texts(spark):
+    """The text that is the smallest of its group stays, not the one whose group has a smaller id."""
+    copied, other = " ".join(f"word{i}" for i in range(40)), " ".join(f"Wort{i * 7}" for i in range(40))
+    rows = [(2, copied), (5, copied), (5, other), (9, other)]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        assert sorted(map(tuple, simhash.keep_representatives(frame).collect())) == [(2, copied), (5, other)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
