@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabulens.llm import chat, language_id, packing, pieces, quality_rules, simhash, sketches, suffix_dedup, toxicity, warc
+from tabulens.llm import chat, collocations, language_id, mixing, packing, pieces, prefix_trie, quality_rules, simhash, sketches, suffix_dedup, toxicity, warc
 from tabulens.llm.common import staged, table
+from tabulens.llm.oracles import ORACLES
 from tabulens.session import shared_folder
 
 
@@ -66,14 +67,26 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_turns(conversations))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    mine = [op1_quality_rules, op2_suffix_dedup, op3_simhash, op4_sentencepiece, op5_warc, op6_fingerprints, op7_packing, op8_language_id, op9_toxicity, op10_chat]
+    mine = [op1_quality_rules, op2_suffix_dedup, op3_simhash, op4_sentencepiece, op5_warc, op6_fingerprints, op7_packing, op8_language_id, op9_toxicity, op10_chat, op11_prefix_trie, op12_mixing, op13_collocations]
     return {f.__name__: f for f in mine} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
     import corpus_pipeline
 
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
