@@ -237,7 +237,7 @@ def united(made: DataFrame, least: int, width: int) -> DataFrame:
         for batch in batches_of(batches):
             for lang, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 paths, _ = Transducer.of_bytes(parts).paths()
-                some = paths[np.arange(each) * len(paths) // each, :width]
+                some = paths[np.arange(min(each, len(paths))) * len(paths) // each, :width]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.tolist(), pa.list_(pa.int64()))], ["lang", "edge"])
 
     few = made.where(F.pmod(F.xxhash64("shard"), F.lit(1 << 30)) < share).select("lang", "automaton").mapInArrow(sample, "lang string, edge array<long>")
