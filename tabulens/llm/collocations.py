@@ -23,8 +23,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tabulens.llm.common import batches_of, staged
-from tabulens.llm.transducer import Transducer, ranges_of, sort_paths, union
+from tabulens.llm.common import batches_of, discard, staged
+from tabulens.llm.transducer import Transducer, packed, sort_paths, union, unpacked
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 8 << 20
@@ -57,14 +57,21 @@ def tokens(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary.take(pa.array(order)), stream
 
 
+def _by_frequency(counts: np.ndarray) -> np.ndarray:
+    """Order of the word numbers, most frequent first: streams of such ranks pack well."""
+    return np.argsort(-counts, kind="stable")
+
+
 def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(shard, lang, total, words, counts, ids): sorted words of a shard, their counts, and its texts as word numbers."""
+    """(shard, lang, total, words, counts, ids): sorted words of a shard, their counts, and its texts as ranks by frequency (0: end of a piece)."""
     schema = pa.schema([("shard", pa.string()), ("lang", pa.string()), ("total", pa.int64()), ("words", WORDS), ("counts", pa.list_(pa.int64())), ("ids", pa.binary())])
 
     def row(lang: str, texts: list[bytes]) -> pa.RecordBatch:
         words, stream = tokens(texts)
         counts = np.bincount(stream[stream >= 0], minlength=len(words))
-        columns = [[uuid.uuid4().hex], [lang], [int(counts.sum())], None, [counts], [stream.astype("<i4").tobytes()]]
+        rank = np.zeros(len(words) + 1, np.int64)  # the last entry stays 0, for breaks
+        rank[_by_frequency(counts)] = np.arange(1, len(words) + 1)
+        columns = [[uuid.uuid4().hex], [lang], [int(counts.sum())], None, [counts], [packed(rank[stream])]]
         lists = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.binary()))
         return pa.RecordBatch.from_arrays([lists if c is None else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -152,7 +159,7 @@ def frequent_words(stored: DataFrame, least: int) -> DataFrame:
             mine = gid[codes[a:b]]
             known = np.flatnonzero(mine >= 0)
             if len(known):
-                add(lang=lang, shard=shard, local=(known + begin).astype("<i4").tobytes(), gids=mine[known].astype("<i8").tobytes())
+                add(lang=lang, shard=shard, local=packed(known + begin), gids=packed(mine[known]))
         return pa.table({c: pa.array(rows[c], schema.field(c).type) for c in schema.names})
 
     dealt = stored.select("lang", "shard", "words", "counts").mapInArrow(deal, "part long, lang string, shard string, begin long, words array<binary>, counts array<long>")
@@ -171,24 +178,30 @@ def _first_not_below(words: pa.Array, bound: bytes) -> int:
 
 
 def pairs_of_shards(stored: DataFrame, found: DataFrame) -> DataFrame:
-    """(shard, lang, codes, gids, states, automaton): the texts as numbers of frequent words, and the transducer of their pairs."""
+    """(shard, lang, codes, gids, states, automaton): runs of three frequent words or more in the texts (one more than their numbers, 0: break), and the transducer of their pairs."""
     known = found.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("local", "gids")).alias("known"))
-    joined = stored.select("shard", "lang", "ids", F.size("words").alias("n_words")).join(known, "shard")
+    joined = stored.select("shard", "lang", "ids", "counts").join(known, "shard")
 
     def run(batches):
         for batch in batches_of(batches):
             for r in batch.to_pylist():
-                local = np.concatenate([np.frombuffer(k["local"], "<i4") for k in r["known"]])
-                gids = np.concatenate([np.frombuffer(k["gids"], "<i8") for k in r["known"]])
-                order = np.argsort(gids)
-                gids, code = gids[order], np.full(r["n_words"] + 1, -1, np.int32)
-                code[local[order]] = np.arange(len(order), dtype=np.int32)  # the last entry stays -1, for breaks
-                stream = code[np.frombuffer(r["ids"], "<i4")]
-                both = np.flatnonzero((stream[:-1] >= 0) & (stream[1:] >= 0))
+                local = np.concatenate([unpacked(k["local"]) for k in r["known"]])
+                gids = np.concatenate([unpacked(k["gids"]) for k in r["known"]])
+                order, words = np.argsort(gids), _by_frequency(np.array(r["counts"], np.int64))
+                gids, code = gids[order], np.full(len(words), -1, np.int32)
+                code[local[order]] = np.arange(len(order), dtype=np.int32)
+                stream = np.append(np.int32(-1), code[words])[unpacked(r["ids"])]
+                good = (stream[:-1] >= 0) & (stream[1:] >= 0)
+                both = np.flatnonzero(good)
                 key, n = np.unique(stream[both].astype(np.int64) * len(gids) + stream[both + 1], return_counts=True)
                 made = Transducer.from_sorted(np.stack([gids[key // len(gids)], gids[key % len(gids)]], axis=1), n)
+                # of the text only words in runs of three frequent ones stay, and one break between runs
+                threes = np.append(good[:-1] & good[1:], [False, False]) if len(stream) > 1 else np.zeros(len(stream), bool)
+                inside = threes | np.append(False, threes)[:-1] | np.append([False, False], threes)[: len(stream)]
+                stream = np.where(inside, stream, -1)
+                stream = stream[inside | np.append(False, inside)[:-1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], t) for x, t in ((r["shard"], pa.string()), (r["lang"], pa.string()), (stream.astype("<i4").tobytes(), pa.binary()), (gids.tobytes(), pa.binary()), (len(key), pa.int64()), (made.to_bytes(), WORDS))],
+                    [pa.array([x], t) for x, t in ((r["shard"], pa.string()), (r["lang"], pa.string()), (packed(stream + 1), pa.binary()), (packed(gids), pa.binary()), (len(key), pa.int64()), (made.to_bytes(), WORDS))],
                     ["shard", "lang", "codes", "gids", "states", "automaton"])
 
     return joined.mapInArrow(run, "shard string, lang string, codes binary, gids binary, states long, automaton array<binary>")
@@ -202,8 +215,8 @@ def runs_of_shards(coded: DataFrame, pairs: DataFrame, longest: int) -> DataFram
     def run(batches):
         for batch in batches_of(batches):
             for r in batch.to_pylist():
-                gids, stream = np.frombuffer(r["gids"], "<i8"), np.frombuffer(r["codes"], "<i4")
-                often = np.concatenate([np.frombuffer(k, "<i8").reshape(-1, 2) for k in r["known"]])
+                gids, stream = unpacked(r["gids"]), unpacked(r["codes"]) - 1
+                often = np.concatenate([unpacked(k).reshape(-1, 2) for k in r["known"]])
                 often = np.sort(np.searchsorted(gids, often[:, 0]) * len(gids) + np.searchsorted(gids, often[:, 1]))
                 key = stream[:-1].astype(np.int64) * len(gids) + stream[1:]
                 good = (stream[:-1] >= 0) & (stream[1:] >= 0)
@@ -265,7 +278,7 @@ def united(made: DataFrame, least: int, width: int) -> DataFrame:
                 mine, _ = automaton.paths()
                 mine = mine[whole.compose(mine) >= least]
                 if len(mine):
-                    for column, value in zip(rows, (key[0].as_py(), None, None, shard, mine.astype("<i8").tobytes())):
+                    for column, value in zip(rows, (key[0].as_py(), None, None, shard, packed(mine))):
                         column.append(value)
         return pa.table({f.name: pa.array(c, f.type) for f, c in zip(schema, rows)})
 
@@ -305,14 +318,17 @@ def counted(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFr
     stored = staged(shards(docs), "collocation-shards")
     words = staged(frequent_words(stored, least), "collocation-words")
     coded = staged(pairs_of_shards(stored, words), "collocation-pairs")
+    totals = staged(stored.groupBy("lang").agg(F.sum("total").alias("total")), "collocation-totals")
+    discard(stored)
     pairs = staged(united(coded, least, 2), "collocation-pair-counts")
     named = words.where("shard is null").select("lang", "word", "gid", "n")
     single = named.select("lang", F.unhex(F.lpad(F.hex("gid"), 16, "0")).alias("path"), "n")
     grams = single.union(pairs.where("shard is null").select("lang", "path", "n"))
     if longest > 2:
         runs = staged(runs_of_shards(coded, pairs, longest), "collocation-runs")
+        discard(coded)
         grams = grams.union(united(runs, least, 3).select("lang", "path", "n"))
-    return stored.groupBy("lang").agg(F.sum("total").alias("total")), named.drop("n"), staged(grams, "collocation-counts")
+    return totals, named.drop("n"), staged(grams, "collocation-counts")
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000) -> DataFrame:

@@ -23,7 +23,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table of `staged` that nothing reads any more."""
+    context = stored.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(stored.stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,17 @@ before its extensions.
 from __future__ import annotations
 
 import numpy as np
+import zstandard
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: byte planes (the upper ones are nearly constant), compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
 
 
 class Transducer:
@@ -79,7 +90,7 @@ class Transducer:
         """Per layer: labels, number of arcs of each state of the layer before, weights."""
         out, before = [], 1
         for labels, parents, weights in self.layers:
-            out += [labels.astype("<i8").tobytes(), np.bincount(parents, minlength=before).astype("<i4").tobytes(), weights.astype("<i8").tobytes()]
+            out += [packed(labels), packed(np.bincount(parents, minlength=before)), packed(weights)]
             before = len(labels)
         return out
 
@@ -87,8 +98,8 @@ class Transducer:
     def of_bytes(cls, parts: list[bytes]) -> Transducer:
         layers = []
         for labels, arcs, weights in zip(parts[::3], parts[1::3], parts[2::3]):
-            counts = np.frombuffer(arcs, "<i4")
-            layers.append((np.frombuffer(labels, "<i8"), np.repeat(np.arange(len(counts)), counts), np.frombuffer(weights, "<i8")))
+            counts = unpacked(arcs)
+            layers.append((unpacked(labels), np.repeat(np.arange(len(counts)), counts), unpacked(weights)))
         return cls(layers)
 
     def cut(self, edges: np.ndarray) -> list[tuple[int, Transducer]]:
