@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from registry.common import r, rounded, table, union
 from registry.preparation import LINE_KEY, LINE_KEY_SQL, split_sql
 from tabulens import fixed_values as fixed
-from tabulens.operators import neighbours as nn, sampling
+from tabulens.functions.blocks import Blocks, weighted_points
+from tabulens.operators import logistic, neighbours as nn, sampling
 from tabulens.operators.bayes import fit_bayes
 from tabulens.operators.evaluation import best_configuration
 from tabulens.plans import studies
@@ -36,6 +37,15 @@ def part_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return sampling.stratified_split(p, "p_partkey", "y")
 
 
+PRICE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def price_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Four features, nearly every row a point of its own, and a label that they explain only in part."""
+    li = table(spark, folder, "lineitem").select(*LINE_KEY, *PRICE_FEATURES, (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    return sampling.stratified_split(li, LINE_KEY, "y")
+
+
 def vector_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
     e = table(spark, folder, "embeddings")
     names = [f"e{i}" for i in range(64)]
@@ -48,6 +58,10 @@ LINE_SPLIT = split_sql(
     f"(SELECT {LINE_KEY_SQL} AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, (l_quantity * (1 - l_discount) > 20)::INT AS y FROM lineitem)",
     "k", "y", "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, y",
 )
+PRICE_SPLIT = split_sql(
+    f"(SELECT {LINE_KEY_SQL} AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(PRICE_FEATURES)}, (l_returnflag = 'R')::INT AS y FROM lineitem)",
+    "k", "y", f"k, l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(PRICE_FEATURES)}, y",
+)
 PART_SPLIT = split_sql(
     """(SELECT p_partkey, p_size, p_retailprice, p_size / 50.0::DOUBLE AS size_share, p_retailprice / 1000 AS price_share, p_retailprice * 2 AS price_twice,
  p_retailprice + p_size / 100.0::DOUBLE AS price_plus, (p_size * 20 + p_retailprice > 1500)::INT AS y FROM part)""",
@@ -268,7 +282,85 @@ C15 = f"""SELECT metric, k, accuracy, "precision", recall FROM ({C06})
 ORDER BY accuracy DESC, CASE metric WHEN 'manhattan' THEN 0 WHEN 'euclidean' THEN 1 ELSE 2 END, k LIMIT 1"""
 
 
-# --- MLlib models: rows only --------------------------------------------------------------------------------------
+# --- trees and logistic regression in SQL, for two classes 0 and 1 ------------------------------------------------
+
+
+def tree_sql(features: list[str], criterion: str, depth: int, tag: str) -> str:
+    """CTEs ending in `<tag>_counts(depth, y, p, n)`: the label counts of the test rows at every depth of one exact tree."""
+    names = ", ".join(features)
+
+    def impurity(a: str, b: str) -> str:
+        if criterion == "gini":
+            return f"(CASE WHEN {a} + {b} > 0 THEN {a} + {b} - ({a} * {a} + {b} * {b}) / ({a} + {b}) ELSE 0 END)"
+        weighed = lambda c: f"(CASE WHEN {c} > 0 THEN ({c}) * ln({c}) ELSE 0 END)"
+        return f"({weighed(f'{a} + {b}')} - ({weighed(a)} + {weighed(b)}))"
+
+    pick = "CASE feature " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(features)) + " END"
+    root = "(SELECT (count_if(y = 1) > count_if(y = 0))::INT FROM train)"
+    ctes = [
+        f"{tag}_rows_0 AS MATERIALIZED (SELECT {names}, y, count(*)::DOUBLE AS n, 1::BIGINT AS node FROM train GROUP BY ALL)",
+        f"{tag}_test_0 AS MATERIALIZED (SELECT {names}, y, count(*) AS n, 1::BIGINT AS node, {root} AS p FROM test GROUP BY ALL)",
+    ]
+    for d in range(depth):
+        cells = union([f"SELECT node, {i} AS feature, {f}::DOUBLE AS v, sum(n) FILTER (y = 0) AS a, sum(n) FILTER (y = 1) AS b FROM {tag}_rows_{d} GROUP BY node, {f}" for i, f in enumerate(features)])
+        ctes.append(f"""{tag}_best_{d} AS MATERIALIZED (SELECT node, feature, CASE WHEN (v + next) / 2 < next THEN (v + next) / 2 ELSE v END AS threshold, (l1 > l0)::INT AS pl, (r1 > r0)::INT AS pr FROM (
+ SELECT *, t0 - l0 AS r0, t1 - l1 AS r1 FROM (SELECT node, feature, v, lead(v) OVER w AS next, sum(coalesce(a, 0)) OVER w AS l0, sum(coalesce(b, 0)) OVER w AS l1,
+  sum(coalesce(a, 0)) OVER (PARTITION BY node, feature) AS t0, sum(coalesce(b, 0)) OVER (PARTITION BY node, feature) AS t1 FROM ({cells}) WINDOW w AS (PARTITION BY node, feature ORDER BY v)))
+ WHERE next IS NOT NULL AND t0 > 0 AND t1 > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(({impurity('l0', 'l1')} + {impurity('r0', 'r1')}) / (t0 + t1), 10), feature, v) = 1)""")
+        child = f"CASE WHEN b.node IS NULL THEN s.node WHEN {pick} <= threshold THEN 2 * s.node ELSE 2 * s.node + 1 END AS node"
+        moved = f"LEFT JOIN {tag}_best_{d} b ON b.node = s.node"
+        ctes.append(f"{tag}_rows_{d + 1} AS MATERIALIZED (SELECT {names}, y, n, {child} FROM {tag}_rows_{d} s {moved})")
+        ctes.append(f"{tag}_test_{d + 1} AS MATERIALIZED (SELECT {names}, y, n, {child}, CASE WHEN b.node IS NULL THEN p WHEN {pick} <= threshold THEN pl ELSE pr END AS p FROM {tag}_test_{d} s {moved})")
+    ctes.append(f"{tag}_counts AS (" + union([f"SELECT {d} AS depth, y, p, sum(n) AS n FROM {tag}_test_{d} GROUP BY y, p" for d in range(depth + 1)]) + ")")
+    return ", ".join(ctes)
+
+
+def _trees_oracle(grid: dict[str, list[int]], split: str, features: list[str]) -> str:
+    depths = {c: max(d) for c, d in grid.items()}
+    counts = union([f"SELECT '{c}' AS criterion, depth AS max_depth, y, p, n FROM {c}_counts WHERE depth IN ({', '.join(map(str, d))})" for c, d in grid.items()])
+    order = " ".join(f"WHEN criterion = '{c}' AND max_depth = {d} THEN {i}" for i, (c, d) in enumerate((c, d) for c, ds in grid.items() for d in ds))
+    ctes = ", ".join(tree_sql(features, c, d, c) for c, d in depths.items())
+    scores = f"SELECT * FROM ({weighted_sql('counts', 'criterion, max_depth')})"
+    return f"""WITH {_split_ctes(split, features)}, {ctes}, counts AS ({counts})
+ SELECT (CASE {order} END)::INT AS position, criterion, max_depth, round(accuracy, 4) AS accuracy, round("precision", 4) AS "precision", round(recall, 4) AS recall FROM ({scores})"""
+
+
+def logistic_sql(features: list[str], steps: int) -> str:
+    """CTEs ending in `logit(w0, w1, ...)`, the intercept last: so many Newton steps of the l2 problem from zero, over grouped rows."""
+    n = len(features) + 1
+    x = [f"x.{f}" for f in features] + ["1"]
+    start = ", ".join(f"0::DOUBLE AS w{i}" for i in range(n))
+    ctes = [f"points AS MATERIALIZED (SELECT {', '.join(features)}, y, count(*)::DOUBLE AS n FROM train GROUP BY ALL)", f"logit_0 AS (SELECT {start})"]
+    for k in range(steps):
+        z = " + ".join(f"w.w{i} * {x[i]}" for i in range(n))
+        keep = ", ".join(f"any_value(w{i}) AS w{i}" for i in range(n))
+        grad = ", ".join(f"sum(n * (p - y) * {'1' if i == n - 1 else features[i]}) + any_value(w{i}) AS a{i}_{n}" for i in range(n))
+        column = lambda i: "1" if i == n - 1 else features[i]
+        hess = ", ".join(f"sum(n * p * (1 - p) * {column(i)} * {column(j)}) + {int(i == j)} AS a{i}_{j}" for i in range(n) for j in range(n))
+        query = f"SELECT {keep}, {grad}, {hess} FROM (SELECT x.*, w.*, 1 / (1 + exp(-({z}))) AS p FROM points x, logit_{k} w)"
+        for i in range(n):  # elimination without pivots: the matrix is positive definite
+            cells = [f"a{r}_{c} - a{i}_{c} * a{r}_{i} / a{i}_{i} AS a{r}_{c}" if r != i and c > i else f"a{r}_{c}" for r in range(n) for c in range(n + 1)]
+            query = f"SELECT {', '.join(f'w{j}' for j in range(n))}, {', '.join(cells)} FROM ({query})"
+        ctes.append(f"logit_{k + 1} AS MATERIALIZED (SELECT " + ", ".join(f"w{i} - a{i}_{n} / a{i}_{i} AS w{i}" for i in range(n)) + f" FROM ({query}))")
+    return ", ".join(ctes) + f", logit AS (SELECT * FROM logit_{steps})"
+
+
+_LOGIT = f"WITH {_split_ctes(LINE_SPLIT, LINE_FEATURES)}, {logistic_sql(LINE_FEATURES, 24)}"
+_LOGIT_SCORE = " + ".join([*[f"w{i} * {f}" for i, f in enumerate(LINE_FEATURES)], f"w{len(LINE_FEATURES)}"])
+C09 = f"""{_LOGIT}, counts AS (SELECT y, p, count(*) AS n FROM (SELECT y, ({_LOGIT_SCORE} > 0)::INT AS p FROM test, logit) GROUP BY y, p)
+ SELECT 0 AS position, 'l2' AS penalty, 1000 AS max_iter, round(accuracy, 4) AS accuracy, round("precision", 4) AS "precision", round(recall, 4) AS recall FROM ({weighted_sql('counts', '')})"""
+C09_WEIGHTS = f"{_LOGIT} " + union([f"SELECT '{f}' AS feature, {r(f'w{i}', 'weight', 4)} FROM logit" for i, f in enumerate([*LINE_FEATURES, "(intercept)"])])
+
+
+def c09_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """The weights of the l2 fit."""
+    train, _ = line_split(spark, folder)
+    with Blocks(weighted_points(train, LINE_FEATURES, "y", [0, 1]), len(LINE_FEATURES)) as blocks:
+        weights = logistic.fit_path(blocks, [0, 1], "l2", 1000).after(1000)[0]
+    return rounded(spark.createDataFrame(list(zip([*LINE_FEATURES, "(intercept)"], map(float, weights))), "feature string, weight double"), 4)
+
+
+# --- studies of the fitted models --------------------------------------------------------------------------------
 
 
 def c07(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,6 +373,11 @@ def c08(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(studies.tree_study(train, test, LINE_FEATURES, "y"), 4)
 
 
+def c08_prices(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = price_split(spark, folder)
+    return rounded(studies.tree_study(train, test, PRICE_FEATURES, "y", ["entropy", "gini"], [2, 4, 6]), 4)
+
+
 def c09(spark: SparkSession, folder: str) -> DataFrame:
     train, test = line_split(spark, folder)
     return rounded(studies.logistic_study(train, test, LINE_FEATURES, "y", ["l2"], [1000]), 4)
@@ -336,7 +433,9 @@ QUERIES = {
     "c06_knn_study": c06,
     "c07_decision_tree": c07,
     "c08_tree_study": c08,
+    "c08_tree_study_prices": c08_prices,
     "c09_logistic": c09,
+    "c09_logistic_weights": c09_weights,
     "c10_logistic_study": c10,
     "c11_perceptron": c11,
     "c12_mlp_study": c12,
@@ -358,6 +457,11 @@ ORACLES = {
  t.p_partkey AS train_key, {r(distance_sql(PART_FEATURES, 'euclidean'), 'distance')} FROM test q, train t) WHERE place <= 5""",
     "c05_knn_vectors": C05_VECTORS,
     "c06_knn_study": C06,
+    "c07_decision_tree": _trees_oracle({"entropy": [10]}, LINE_SPLIT, LINE_FEATURES),
+    "c08_tree_study": _trees_oracle({c: fixed.TREE_STUDY_DEPTHS for c in fixed.TREE_STUDY_CRITERIA}, LINE_SPLIT, LINE_FEATURES),
+    "c08_tree_study_prices": _trees_oracle({"entropy": [2, 4, 6], "gini": [2, 4, 6]}, PRICE_SPLIT, PRICE_FEATURES),
+    "c09_logistic": C09,
+    "c09_logistic_weights": C09_WEIGHTS,
     "c13_leaderboard_exact_models": C13_EXACT,
     "c14_evaluate_approach": C14,
     "c15_best_configuration": C15,

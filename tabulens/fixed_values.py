@@ -58,6 +58,7 @@ MLP_STUDY_SCHEDULES = ["constant", "invscaling", "adaptive"]
 MLP_STUDY_RATES = [0.5, 0.05, 0.005, 0.0005]
 MLP_STUDY_LAG = 250
 MLP_STUDY_MAX_ITERATIONS = 2500
+ADAM_RATE = 0.001
 
 # Leaderboard: one configuration per model.
 LEADERBOARD = {

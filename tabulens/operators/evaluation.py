@@ -103,7 +103,11 @@ def confusion_matrix(df: DataFrame, y: str = "y", p: str = "p", labels: Sequence
 
 def classification_report(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Scores per label plus the accuracy, macro and weighted rows."""
-    counts = label_counts(df, y, p)
+    return report_of(label_counts(df, y, p))
+
+
+def report_of(counts: DataFrame) -> DataFrame:
+    """The classification report from (y, p, n)."""
     scores = class_scores(counts).select(F.col("label").cast("string").alias("label"), "precision", "recall", "f1", "support")
     total = counts.agg(F.sum("n").alias("support"))
     rows = scores

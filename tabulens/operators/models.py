@@ -1,64 +1,41 @@
-"""Tree, logistic and perceptron baselines on MLlib."""
+"""What models over weighted points share: their labels, and the label counts of many predictions from one pass over the test points."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-)
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+from pyspark.sql import DataFrame
 
-from tabulens.fixed_values import SEED
-from tabulens.functions.columns import number
+from tabulens.functions.blocks import Blocks
 from tabulens.functions.hash_order import MAX_CLASSES
 
 
 def label_list(train: DataFrame, target: str) -> list:
-    rows = train.select(target).distinct().limit(MAX_CLASSES + 1).collect()
+    rows = train.select(target).where(f"`{target}` is not null").distinct().limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"'{target}' has more than {MAX_CLASSES} classes")
     return sorted(r[0] for r in rows)
 
 
-def assemble(df: DataFrame, features: Sequence[str], target: str, labels: Sequence, keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., y, label, features): features as a vector, the target as its position in `labels`."""
-    places = F.create_map(*[F.lit(x) for i, v in enumerate(labels) for x in (v, float(i))])
-    columns = [number(df, f).alias(f"_x{i}") for i, f in enumerate(features)]
-    named = df.select(*keep, F.col(target).alias("y"), F.element_at(places, F.col(target)).alias("label"), *columns)
-    built = VectorAssembler(inputCols=[f"_x{i}" for i in range(len(features))], outputCol="features").transform(named)
-    return built.select(*keep, "y", "label", "features")
+def labels_of(train: DataFrame, test: DataFrame, target: str) -> tuple[list, int]:
+    """The train labels in order, then those that only test rows have; and the number of train labels, which models know."""
+    known = label_list(train, target)
+    return known + [v for v in label_list(test, target) if v not in set(known)], len(known)
 
 
-def decision_tree(criterion: str = "gini", max_depth: int = 5, seed: int = SEED, max_bins: int = 256):
-    if max_depth > 30:
-        raise ValueError("trees are at most 30 levels deep")
-    return DecisionTreeClassifier(
-        impurity=criterion, maxDepth=max_depth, maxBins=max_bins, seed=seed, cacheNodeIds=False
-    )
+def counts_of(test: Blocks, labels: Sequence, predictions: Sequence[Callable[[np.ndarray], np.ndarray]]) -> list[list[tuple]]:
+    """Per prediction (a function from features to positions of labels, -1: none) the rows (label, predicted, n)."""
+    k = len(labels)
 
+    def run(x, y, w):
+        out = np.zeros((len(predictions), k, k))
+        for table, predict in zip(out, predictions):
+            p = predict(x)
+            there = (y >= 0) & (p >= 0)
+            np.add.at(table, (y[there], p[there]), w[there])
+        return out.ravel()
 
-def logistic(penalty: str, max_iter: int, n_train: int, c: float = 1.0):
-    """The strength 1 / (C n) gives the penalty the weight it has in a summed loss with constant C."""
-    return LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / (c * max(1, n_train)), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-        standardization=False,
-    )
-
-
-def perceptron(
-    n_features: int, n_classes: int, hidden: int = 100, max_iter: int = 100, solver: str = "l-bfgs",
-    step: float = 0.03, seed: int = SEED,
-):
-    return MultilayerPerceptronClassifier(
-        layers=[n_features, hidden, n_classes], maxIter=max_iter, solver=solver, stepSize=step, seed=seed, tol=1e-4
-    )
-
-
-def predicted_labels(model, data: DataFrame, labels: Sequence) -> DataFrame:
-    """Add `p`, the predicted label."""
-    values = F.array(*[F.lit(v) for v in labels])
-    return model.transform(data).withColumn("p", F.element_at(values, F.col("prediction").cast("int") + 1))
+    total = test.sum(run)
+    tables = total.reshape(len(predictions), k, k) if len(total) else np.zeros((len(predictions), k, k))
+    return [[(labels[i], labels[j], int(t[i, j])) for i, j in zip(*np.nonzero(t))] for t in tables]

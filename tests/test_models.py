@@ -7,7 +7,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tabulens.operators import evaluation as ev, neighbours as nn
+from tabulens.functions.blocks import Blocks, weighted_points
+from tabulens.operators import evaluation as ev, logistic, neighbours as nn, perceptron, trees
 from tabulens.operators.bayes import NegativeValues, fit_bayes
 from tabulens.operators.missing import fill_missing
 from tabulens.plans import studies
@@ -119,19 +120,127 @@ def test_best_configuration_takes_the_first_of_equals(spark):
     assert ev.best_configuration(df, "accuracy", "position").first()["name"] == "y"
 
 
-def test_mllib_studies_beat_the_majority(spark):
+def test_studies_beat_the_majority(spark):
     train, test = points(spark, 500, 6), points(spark, 200, 7)
     features = ["a", "b", "c"]
     share = max(test.filter("y = 1").count(), test.filter("y = 0").count()) / 200
-    trees = studies.tree_study(train, test, features, "y", ["gini"], [2, 6])
-    assert trees.agg(F.max("accuracy")).first()[0] > share
+    trees_ = studies.tree_study(train, test, features, "y", ["gini"], [2, 6])
+    assert trees_.agg(F.max("accuracy")).first()[0] > share
     logits = studies.logistic_study(train, test, features, "y", ["l2"], [5, 100, 200]).orderBy("max_iter").collect()
     assert logits[1]["accuracy"] > share and logits[1]["accuracy"] == logits[2]["accuracy"]
     table, weights = studies.mlp_study(train, test, features, "y", ["adaptive"], [0.5], 10, 20, hidden=5)
     assert table.count() == 2 and weights is not None
-    board = studies.leaderboard([("d", train, test, features, "y", "k")], {"NaiveBayes": {"variant": "multinomial"}, "KNN": {"k": 5, "metric": "manhattan"}})
+    board = studies.leaderboard([("d", train, test, features, "y", "k")], {"NaiveBayes": {"variant": "multinomial"}, "KNN": {"k": 5, "metric": "manhattan"}, "MLP": {"hidden": 8, "max_iter": 60}, "LogReg": {"penalty": "l1", "max_iter": 50}, "DecisionTree": {"criterion": "entropy", "max_depth": 4}})
     notes = {r["model"]: (r["note"], r["accuracy"]) for r in board.collect()}
-    assert notes["NaiveBayes"] == ("Failed", 0.0) and notes["KNN"][0] == "Success" and notes["KNN"][1] > share
+    assert notes["NaiveBayes"] == ("Failed", 0.0) and all(notes[m][0] == "Success" and notes[m][1] > share for m in ("KNN", "LogReg", "DecisionTree"))
+    assert notes["MLP"][0] == "Success"
+
+
+def test_best_of_a_study_and_its_report(spark):
+    train, test = points(spark, 300, 6), points(spark, 100, 7)
+    study = studies.knn_study_full(train, test, ["a", "b", "c"], "y", "k", [1, 9], ["manhattan"])
+    best = study.best.first()
+    assert best["accuracy"] == study.scores.agg(F.max("accuracy")).first()[0]
+    report = {r["label"]: r for r in study.report.collect()}
+    assert math.isclose(report["accuracy"]["f1"], best["accuracy"]) and report["macro avg"]["support"] == 100
+    assert studies.bayes_study_full(train, test, ["a", "b", "c"], "y").best.first()["variant"] in ("gaussian", "bernoulli")
+    assert {r["label"] for r in studies.logistic_study_full(train, test, ["a"], "y", ["l1"], [3]).report.collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+
+
+def _best_split(x, y, w, n_labels, criterion):
+    def impurity(c):
+        n = c.sum()
+        if criterion == "gini":
+            return n - (c * c).sum() / n
+        return -(c[c > 0] * np.log(c[c > 0] / n)).sum()
+
+    found = []
+    for f in range(x.shape[1]):
+        for a, b in zip(*(lambda v: (v[:-1], v[1:]))(np.unique(x[:, f]))):
+            left = x[:, f] <= a
+            sides = [np.bincount(y[s], w[s], n_labels) for s in (left, ~left)]
+            found.append((round(sum(map(impurity, sides)) / w.sum(), 10), f, a, (a + b) / 2))
+    return min(found) if found else None
+
+
+@pytest.mark.parametrize("criterion", ["gini", "entropy"])
+@pytest.mark.parametrize("range_points", [10**6, 15])
+def test_trees_take_the_best_of_all_splits(spark, criterion, range_points):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(150, 2)) * 4, 1)
+    y = ((x[:, 0] * x[:, 1] > 1).astype(int) + (x[:, 0] > 3)) % 3
+    y[rng.random(150) < 0.1] = 2
+    rows = [(*map(float, r), "abc"[v]) for r, v in zip(x, y)] + [(0.5, 0.5, "a"), (0.5, 0.5, "b")] * 3
+    x, y = np.array([r[:2] for r in rows]), np.array(["abc".index(r[2]) for r in rows])
+    frame = spark.createDataFrame(rows, "a double, b double, y string")
+    grown = trees.grow(frame, ["a", "b"], "y", ["a", "b", "c"], [criterion], 30, range_points=range_points)
+
+    def expected(at, depth):
+        counts = np.bincount(y[at], minlength=3)
+        split = _best_split(x[at], y[at], np.ones(len(at)), 3, criterion) if depth and (counts > 0).sum() > 1 else None
+        if split is None:
+            return lambda q: "abc"[counts.argmax()]
+        left = x[at, split[1]] <= split[2]
+        below = expected(at[left], depth - 1), expected(at[~left], depth - 1)
+        return lambda q: below[int(q[split[1]] > split[3])](q)
+
+    asked = [tuple(map(float, r)) for r in np.round(rng.normal(size=(60, 2)) * 4, 2)]
+    for depth in (0, 2, 5, 30):
+        tree = expected(np.arange(len(x)), depth)
+        got = trees.predict(grown, spark.createDataFrame(asked, "a double, b double"), depth=depth)
+        assert {(r["a"], r["b"]): r["prediction"] for r in got.collect()} == {q: tree(q) for q in asked}
+
+
+@pytest.mark.parametrize("penalty", ["l1", "l2"])
+@pytest.mark.parametrize("labels", [2, 3])
+def test_logistic_weights_are_optimal(spark, penalty, labels):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(400, 3)) * [5, 1, 0.1], 1)
+    y = np.clip((x[:, 0] / 4 + rng.logistic(size=400)).round().astype(int) + 1, 0, labels - 1)
+    frame = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y)], "a double, b double, c double, y int")
+    with Blocks(weighted_points(frame, ["a", "b", "c"], "y", list(range(labels))), 3, block_points=40) as blocks:
+        path = logistic.fit_path(blocks, list(range(labels)), penalty, 200)
+    ones = np.c_[x, np.ones(400)]
+    for c, w in enumerate(path.weights[-1]):
+        grad = ones.T @ (1 / (1 + np.exp(-ones @ w)) - (y == (1 if labels == 2 else c)))
+        if penalty == "l2":
+            assert np.abs(grad + w).max() < 1e-4
+        else:
+            assert np.abs(grad[w != 0] + np.sign(w[w != 0])).max(initial=0) < 1e-4 and np.abs(grad[w == 0]).max(initial=0) <= 1 + 1e-4
+    assert len(path.weights) < 40 and path.after(10_000) is path.weights[-1] and not path.after(0).any()
+
+
+@pytest.mark.parametrize("activation,labels", [("relu", 2), ("logistic", 3)])
+def test_perceptron_steps(spark, activation, labels):
+    """The gradient against differences of the loss; the first steps of both solvers by hand; schedules."""
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(90, 2)).round(1), rng.integers(0, labels, 90)
+    frame = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y)], "a double, b double, y int")
+    shape = perceptron.Shape(2, 4, labels, activation)
+    start = shape.start(1)
+
+    def loss(v):
+        z = perceptron._forward(shape, v, x)[1]
+        z = np.c_[np.zeros(len(z)), z] if labels == 2 else z
+        return -(z[np.arange(90), y] - np.log(np.exp(z).sum(1))).mean() + 0.5 * perceptron.ALPHA / 90 * (shape.penalised() * v * v).sum()
+
+    grad = np.array([(loss(start + h) - loss(start - h)) / 2e-6 for h in np.eye(shape.size) * 1e-6])
+    with Blocks(weighted_points(frame, ["a", "b"], "y", list(range(labels))), 2, block_points=20) as blocks:
+        trainer = perceptron.Trainer(blocks, shape, [("adam", "constant", 0.01), ("sgd", "constant", 0.1), ("sgd", "invscaling", 0.1), ("sgd", "adaptive", 1e-5)], seed=1)
+        after = trainer.run(1)
+        assert trainer.losses[0] == pytest.approx(loss(start))
+        assert after[0] == pytest.approx(start - 0.01 * grad / (np.abs(grad) + 1e-8 / np.sqrt(1 - 0.999)), abs=1e-5)
+        assert after[1] == pytest.approx(start - 0.1 * 1.9 * grad, abs=1e-6)
+        trainer.run(12)
+    assert trainer.rates[2] == pytest.approx(0.1 / np.sqrt(14)) and trainer.rates[3] == pytest.approx(2e-6) and trainer.losses[1] < loss(start)
+
+
+def test_points_with_gaps_are_refused(spark):
+    train = points(spark, 50, 1)
+    holes = train.withColumn("b", F.when(F.col("k") != 3, F.col("b")))
+    for study in (studies.tree_study, studies.logistic_study, studies.mlp_study):
+        with pytest.raises(ValueError, match="lacks a feature"):
+            study(holes, train, ["a", "b"], "y")
 
 
 def test_registered_perceptrons_run_the_full_grids(spark, monkeypatch):
@@ -142,29 +251,20 @@ def test_registered_perceptrons_run_the_full_grids(spark, monkeypatch):
     asked = []
 
     class Trained:
-        weights = None
-
-        def fit(self, _):
-            return self
-
-        def summary(self):
-            return type("Summary", (), {"objectiveHistory": [1.0]})
-
-        def setInitialWeights(self, _):
-            pass
+        def __init__(self, _, shape, settings):
+            self.hidden, self.weights = shape.hidden, np.tile(shape.start(), (len(settings), 1))
 
-    def trainer(n_features, n_classes, hidden, max_iter, *_):
-        asked.append((hidden, max_iter))
-        return Trained()
+        def run(self, steps):
+            asked.append((self.hidden, len(self.weights), steps))
+            return self.weights
 
-    monkeypatch.setattr(studies, "perceptron", trainer)
-    monkeypatch.setattr(studies, "_counts_of", lambda *_: [(1, 1, 1)])
+    monkeypatch.setattr(studies.perceptron, "Trainer", Trained)
     folder = "/root/testdata/sf0.001"
-    assert modelling.c12(spark, folder).count() == 120 and asked == [(100, fixed.MLP_STUDY_LAG)] * 120
+    assert modelling.c12(spark, folder).count() == 120 and asked == [(100, 12, fixed.MLP_STUDY_LAG)] * 10
     for query, datasets in ((modelling.c11, 1), (modelling.c13, 2)):
         asked.clear()
         query(spark, folder)
-        assert asked == [(fixed.LEADERBOARD["MLP"]["hidden"], fixed.LEADERBOARD["MLP"]["max_iter"])] * datasets
+        assert asked == [(fixed.LEADERBOARD["MLP"]["hidden"], 1, fixed.LEADERBOARD["MLP"]["max_iter"])] * datasets
 
 
 def test_study_options():
