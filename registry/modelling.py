@@ -56,7 +56,7 @@ def vector_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 LINE_SPLIT = split_sql(
     f"(SELECT {LINE_KEY_SQL} AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, (l_quantity * (1 - l_discount) > 20)::INT AS y FROM lineitem)",
-    "k", "y", "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, y",
+    "k", "y", "k, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, y",
 )
 PRICE_SPLIT = split_sql(
     f"(SELECT {LINE_KEY_SQL} AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(PRICE_FEATURES)}, (l_returnflag = 'R')::INT AS y FROM lineitem)",
@@ -188,13 +188,30 @@ C05_VECTORS = f"""WITH {_split_ctes(VECTOR_SPLIT, [])}, {near_sql(VECTOR_DISTANC
 
 
 def c05_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """All of lineitem: no SQL counterpart, the pairs are too many for it."""
+    """All of lineitem."""
     train, test = line_split(spark, folder)
     index = nn.build_index(train, LINE_FEATURES, LINE_KEY, 5, ["y"])
     counts = nn.knn_label_counts(index, test, "y", [5], "manhattan")
     return counts.select("k", F.col("y").alias("true_label"), F.col("p").alias("pred_label"), "n")
 
 
+def c05_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """All of lineitem by four features; nearly every row is a point of its own."""
+    train, test = price_split(spark, folder)
+    counts = nn.knn_label_counts(nn.build_index(train, PRICE_FEATURES, LINE_KEY, 5, ["y"]), test, "y", [5], "manhattan")
+    return counts.select("k", F.col("y").alias("true_label"), F.col("p").alias("pred_label"), "n")
+
+
+def _knn_counts_oracle(split: str, features: list[str]) -> str:
+    """Votes of the five nearest rows by a bounded minimum instead of ranked pairs; equal test points are searched once."""
+    names = ", ".join(features)
+    near = f"min(struct_pack(d := {distance_sql(features, 'manhattan')}, k := t.k, y := t.y), 5)"
+    return f"""WITH {_split_ctes(split, features)}, asked AS (SELECT {names}, count_if(y = 0) AS n0, count_if(y = 1) AS n1 FROM test GROUP BY ALL),
+ five AS (SELECT any_value(n0) AS n0, any_value(n1) AS n1, {near} AS near FROM asked q, (SELECT * FROM train QUALIFY row_number() OVER (PARTITION BY {names} ORDER BY k) <= 5) t GROUP BY {', '.join('q.' + f for f in features)}),
+ voted AS (SELECT n0, n1, (2 * list_sum(list_transform(near, lambda s: s.y)) > len(near))::INT AS p FROM five)
+ SELECT 5::INT AS k, y AS true_label, p AS pred_label, sum(n)::BIGINT AS n FROM (SELECT 0 AS y, p, n0 AS n FROM voted UNION ALL SELECT 1, p, n1 FROM voted) GROUP BY y, p HAVING sum(n) > 0"""
+
+
 def c06(spark: SparkSession, folder: str) -> DataFrame:
     train, test = part_split(spark, folder)
     return rounded(studies.knn_study(train, test, PART_FEATURES, "y", "p_partkey"))
@@ -430,6 +447,7 @@ QUERIES = {
     "c05_nearest_rows": c05_neighbours,
     "c05_knn_vectors": c05_vectors,
     "c05_knn_lineitem": c05_lines,
+    "c05_knn_prices": c05_prices,
     "c06_knn_study": c06,
     "c07_decision_tree": c07,
     "c08_tree_study": c08,
@@ -456,6 +474,8 @@ ORACLES = {
     "c05_nearest_rows": f"""WITH {_split_ctes(PART_SPLIT, PART_FEATURES)} SELECT * FROM (SELECT q.p_partkey, row_number() OVER (PARTITION BY q.p_partkey ORDER BY {distance_sql(PART_FEATURES, 'euclidean')}, t.p_partkey) AS place,
  t.p_partkey AS train_key, {r(distance_sql(PART_FEATURES, 'euclidean'), 'distance')} FROM test q, train t) WHERE place <= 5""",
     "c05_knn_vectors": C05_VECTORS,
+    "c05_knn_lineitem": _knn_counts_oracle(LINE_SPLIT, LINE_FEATURES),
+    "c05_knn_prices": _knn_counts_oracle(PRICE_SPLIT, PRICE_FEATURES),
     "c06_knn_study": C06,
     "c07_decision_tree": _trees_oracle({"entropy": [10]}, LINE_SPLIT, LINE_FEATURES),
     "c08_tree_study": _trees_oracle({c: fixed.TREE_STUDY_DEPTHS for c in fixed.TREE_STUDY_CRITERIA}, LINE_SPLIT, LINE_FEATURES),

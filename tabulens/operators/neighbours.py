@@ -1,11 +1,14 @@
 """Exact nearest rows, the k-nearest-neighbour classifier, and imputation from neighbours.
 
-The train rows are cut into boxes by quantile slices of the widest features. For every distinct query point
-the boxes give an upper limit of its k-th distance, and only boxes that can hold a closer row are searched.
+The train rows are cut into boxes: by quantile slices of the widest features, or, with many features (where slices of a few
+exclude little), by their nearest pivot. Pivots are the means of a bounded sample; a box then also knows the least and largest
+distance of its rows to the pivot, and the triangle inequality bounds distances in every metric offered. For every distinct query
+point the boxes give an upper limit of its k-th distance, and only boxes that can hold a closer row are searched.
 Query points travel to their boxes by an equi-key shuffle; a box and its query points meet in groups of bounded
 size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point.
 Equal train points are cut to their first k keys and equal query points are searched once, so copies do not
-make a group hot. The result is exact for every metric offered. The cut and boxed train points are
+make a group hot. The result is exact for every metric offered. Rows that lack a feature are refused, in the train table and
+among the queries, unless the index is made for gaps. The cut and boxed train points are
 checkpointed once and serve every search on them.
 """
 
@@ -18,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tabulens.functions.blocks import refuse_gaps
 from tabulens.functions.columns import key_list, key_text, number, number_sql
 from tabulens.session import ensure_checkpoint_dir
 
@@ -26,13 +30,15 @@ BLOCK_ROWS = 2_048
 QUERY_ROWS = 16_384
 MAX_BOXES = 4_096
 MAX_SLICES = 64
+#: From so many features on, boxes are made around pivots; sampled rows per pivot, and rounds of moving pivots to their means.
+PIVOT_FEATURES, PIVOT_SAMPLE, PIVOT_ROUNDS = 8, 8, 4
 _DIGITS = 9
 _NUMPY = {"double": "float64", "float": "float32", "long": "int64", "integer": "int32", "short": "int16", "byte": "int8", "boolean": "bool"}
 
 
 @dataclass
 class _Boxes:
-    """Box edges, row counts, number of parts per box and, with missing values, the present features."""
+    """Box edges, row counts, number of parts per box, with missing values the present features, with pivots these and the rows' distances."""
 
     names: list[str]
     low: np.ndarray
@@ -40,6 +46,9 @@ class _Boxes:
     rows: np.ndarray
     parts: np.ndarray
     present: np.ndarray
+    pivots: np.ndarray | None = None
+    least: dict[str, np.ndarray] | None = None
+    most: dict[str, np.ndarray] | None = None
 
 
 def query_id(df: DataFrame, features: Sequence[str]) -> Column:
@@ -86,8 +95,46 @@ def _box_name(names: list[str], slices: list[tuple[str, list[float]]], gaps: boo
     return F.concat_ws("/", *parts) if parts else F.lit("")
 
 
-def _collect_boxes(boxed: DataFrame, names: list[str], block_rows: int) -> _Boxes:
+def _pivots(points: DataFrame, names: list[str], block_rows: int) -> np.ndarray:
+    """One pivot per `block_rows` rows, MAX_BOXES at most: means of a hashed sample, moved as in k-means. Only the sample reaches the driver."""
+    n = points.count()
+    target = min(MAX_BOXES, n // block_rows + 1)
+    share = min(1.0, PIVOT_SAMPLE * target / max(n, 1))
+    picked = points.where(F.pmod(F.xxhash64(*names), F.lit(1 << 30)) < int(share * (1 << 30))).select(*names).limit(4 * PIVOT_SAMPLE * target)
+    sample = np.array(sorted(map(tuple, picked.collect())), float).reshape(-1, len(names))
+    if not len(sample):
+        return np.zeros((1, len(names)))
+    pivots = sample[np.linspace(0, len(sample) - 1, min(target, len(sample))).astype(int)]
+    for _ in range(PIVOT_ROUNDS):
+        near = _nearest_pivot(sample, pivots)
+        held = np.bincount(near, minlength=len(pivots))
+        sums = np.stack([np.bincount(near, c, len(pivots)) for c in sample.T], axis=1)
+        pivots = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], pivots)
+    return pivots
+
+
+def _nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return ((pivots**2).sum(1) - 2 * x @ pivots.T).argmin(1)
+
+
+def _by_pivot(points: DataFrame, names: list[str], pivots: np.ndarray) -> DataFrame:
+    """The points with their box and, per metric, their distance to its pivot."""
+    fields = [*points.schema.fields, T.StructField("box", T.StringType()), *[T.StructField(f"to_{m}", T.DoubleType()) for m in METRICS]]
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x = pdf[names].to_numpy(dtype=float)
+            near = _nearest_pivot(x, pivots)
+            gaps = np.abs(x - pivots[near])
+            yield pdf.assign(box=[f"p{i}" for i in near], **{f"to_{m}": _fold(gaps, m) for m in METRICS})
+
+    return points.mapInPandas(assign, T.StructType(fields))
+
+
+def _collect_boxes(boxed: DataFrame, names: list[str], block_rows: int, pivots: np.ndarray | None = None) -> _Boxes:
     edges = [f(x).alias(f"{p}_{x}") for x in names for p, f in (("low", F.min), ("high", F.max))]
+    if pivots is not None:
+        edges += [f(f"to_{m}").alias(f"{p}_{m}") for m in METRICS for p, f in (("low", F.min), ("high", F.max))]
     rows = boxed.groupBy("box").agg(F.count("*").alias("n"), *edges).orderBy("box").collect()
 
     def table(side: str) -> np.ndarray:
@@ -96,7 +143,11 @@ def _collect_boxes(boxed: DataFrame, names: list[str], block_rows: int) -> _Boxe
 
     counts = np.array([r["n"] for r in rows], dtype=np.int64)
     low = table("low")
-    return _Boxes([r["box"] for r in rows], low, table("high"), counts, counts // block_rows + 1, ~np.isnan(low))
+    found = _Boxes([r["box"] for r in rows], low, table("high"), counts, counts // block_rows + 1, ~np.isnan(low))
+    if pivots is not None:
+        found.pivots = pivots[[int(r["box"][1:]) for r in rows]].reshape(-1, len(names))
+        found.least, found.most = ({m: np.array([r[f"{side}_{m}"] for r in rows]) for m in METRICS} for side in ("low", "high"))
+    return found
 
 
 @dataclass
@@ -124,6 +175,8 @@ def build_index(
     """Prepare a train table for searches of up to k neighbours. `gaps` allows missing feature values."""
     ensure_checkpoint_dir(train.sparkSession)
     features, carry = list(features), list(carry)
+    if not gaps:
+        refuse_gaps(train, features)
     names = [f"x{i}" for i in range(len(features))]
     first = Window.partitionBy("point").orderBy("train_key")
     points = (
@@ -134,6 +187,10 @@ def build_index(
         .withColumn("copy", F.row_number().over(first)).filter(F.col("copy") <= k).drop("copy", "point")
         .checkpoint()
     )
+    if not gaps and len(names) >= PIVOT_FEATURES:
+        pivots = _pivots(points, names, block_rows)
+        boxed = _by_pivot(points, names, pivots).checkpoint()
+        return Index(features, names, carry, k, gaps, boxed.drop(*[f"to_{m}" for m in METRICS]), _collect_boxes(boxed, names, block_rows, pivots))
     slices = _slices(points, names, block_rows)
     boxed = points.withColumn("box", _box_name(names, slices, gaps))
     return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, block_rows))
@@ -159,6 +216,10 @@ def _reachable(x: np.ndarray, need: np.ndarray | None, boxes: _Boxes, k: int, me
     below, above = boxes.low[None] - x[:, None], x[:, None] - boxes.high[None]
     nearest = _fold(np.maximum(np.maximum(below, above), 0.0), metric)
     farthest = _fold(np.maximum(np.abs(below), np.abs(above)), metric)
+    if boxes.pivots is not None:
+        away = _distances(x, boxes.pivots, metric)
+        nearest = np.maximum(nearest, np.maximum(away - boxes.most[metric], boxes.least[metric] - away))
+        farthest = np.minimum(farthest, away + boxes.most[metric])
     usable = np.isfinite(nearest)
     if need is not None:
         usable &= boxes.present[:, need].T
@@ -202,6 +263,8 @@ def nearest_rows(
     if k > index.k:
         raise ValueError(f"the index keeps {index.k} rows per point, not {k}")
     features, names, carry, boxes = index.features, index.names, index.carry, index.boxes
+    if not index.gaps:
+        refuse_gaps(queries, features)
     spark, d = queries.sparkSession, len(names)
 
     asked = queries.select(
@@ -292,6 +355,19 @@ def nearest_rows(
     return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k)
 
 
+def boxes_searched(index: Index, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
+    """(query, boxes): to how many boxes each distinct query point is sent, of `len(index.boxes.names)`."""
+    names, boxes = index.names, index.boxes
+    asked = queries.select(query_id(queries, index.features).alias("query"), *[number(queries, f).alias(n) for f, n in zip(index.features, names)])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            hit, _ = _reachable(pdf[names].to_numpy(dtype=float), None, boxes, k, metric)
+            yield pd.DataFrame({"query": pdf["query"], "boxes": hit.sum(axis=1)})
+
+    return asked.dropDuplicates(["query"]).mapInPandas(count, "query string, boxes long")
+
+
 def _by_box(values: dict[str, int]) -> Column:
     """The value of the row's box, 1 where it has none."""
     if not values:
@@ -372,9 +448,6 @@ def knn_label_counts(
     index: Index, test: DataFrame, target: str, ks: Sequence[int], metric: str = "euclidean", **limits: int
 ) -> DataFrame:
     """(k, y, p, n) on the test rows. Test rows are counted per point before they meet the predictions."""
-    gaps = F.exists(F.array(*[F.col(f"`{f}`").isNull() for f in index.features]), lambda x: x)
-    if not test.where(gaps).isEmpty():
-        raise ValueError("a test row lacks a feature; fill or drop such rows first")
     votes = knn_votes(index, test, target, ks, metric, **limits)
     query = query_id(test, index.features).alias("query")
     points = test.groupBy(query, F.col(target).alias("y")).agg(F.count("*").alias("n"))
