@@ -289,6 +289,16 @@ def e10(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(studies.redundancy_study(train, test, PART_WIDE, "y", "p_partkey"))
 
 
+def _e10() -> str:
+    # p_retailprice and its multiples correlate fully, price_plus nearly so
+    sets = {"pair": ["p_size", "size_share"], "plus": ["p_size", "size_share", "price_plus"]}
+    ctes = ", ".join(evaluate_ctes(f, t) for t, f in sets.items())
+    results = union([f"SELECT '{t}' AS tag, {len(f)}::INT AS variables, n.accuracy AS nb, k.accuracy AS knn FROM nb_best_{t} n, knn_best_{t} k" for t, f in sets.items()])
+    near = "(SELECT round(abs(corr(p_retailprice, price_plus)), 12) FROM train)"
+    rows = [f"SELECT {t}::DOUBLE AS threshold, variables, {r('nb', 'nb')}, {r('knn', 'knn')} FROM results WHERE tag = CASE WHEN {near} >= {t} THEN 'pair' ELSE 'plus' END" for t in studies.redundancy_options(0.9, 0.05)]
+    return f"WITH {_split_ctes(PART_SPLIT, PART_WIDE)}, {ctes}, results AS ({results}) " + union(rows)
+
+
 def best_of_study(spark: SparkSession, folder: str) -> DataFrame:
     order = F.when(F.col("metric") == "manhattan", 0).when(F.col("metric") == "euclidean", 1).otherwise(2)
     study = c06(spark, folder).withColumn("position", order * 100 + F.col("k"))
@@ -486,4 +496,5 @@ ORACLES = {
     "c14_evaluate_approach": C14,
     "c15_best_configuration": C15,
     "e09_variance_study": _e09(),
+    "e10_redundancy_study": _e10(),
 }

@@ -48,6 +48,17 @@ ORDERS_WITH_GAPS = """(SELECT o_orderkey, o_custkey, o_orderstatus,
   o_orderstatus = 'O' AS is_open FROM orders)"""
 
 
+#: Columns of dates in further forms: Spark's pattern and the SQL engine's. `day_first` has days beyond 12, so its order is known.
+DATE_TEXTS = {
+    "day_first": ("dd.MM.yyyy HH:mm", "%d.%m.%Y %H:%M"),
+    "slashes": ("yyyy/MM/dd HH:mm:ss", "%Y/%m/%d %H:%M:%S"),
+    "named_month": ("dd-MMM-yyyy", "%d-%b-%Y"),
+    "month_name": ("MMM dd, yyyy", "%b %d, %Y"),
+    "zulu": ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ"),
+    "half_day": ("M/d/yyyy h:mm a", "%-m/%-d/%Y %-I:%M %p"),
+}
+
+
 def typed_events(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events")
     return e.select(
@@ -58,6 +69,7 @@ def typed_events(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("value") > 100, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "MM/dd/yyyy")).alias("mixed_dates"),
         F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("user_text"),
         (F.col("value") > 50).alias("is_big"),
+        *[F.date_format("ts", f).alias(n) for n, (f, _) in DATE_TEXTS.items()],
         F.lit("x").alias("constant"),
         F.lit(None).cast("string").alias("nothing"),
     )
@@ -68,10 +80,11 @@ def _semantic_oracle() -> str:
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, strftime(ts, '%m/%d/%Y %I:%M:%S %p') AS ts_us,
       CASE WHEN event_type = 'error' THEN '2024-01-01' ELSE '01/02/2024' END AS two_dates,
       CASE WHEN value > 100 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%m/%d/%Y') END AS mixed_dates,
-      ' ' || user_id::VARCHAR AS user_text, value > 50 AS is_big, 'x' AS constant, NULL::VARCHAR AS nothing FROM events)"""
-    formats = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%m/%d/%Y", "%m/%d/%Y %I:%M:%S %p"]
+      ' ' || user_id::VARCHAR AS user_text, value > 50 AS is_big, DATE_TEXTS, 'x' AS constant, NULL::VARCHAR AS nothing FROM events)""".replace(
+        "DATE_TEXTS", ", ".join(f"strftime(ts, '{f}') AS {n}" for n, (_, f) in DATE_TEXTS.items()))
+    formats = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%m/%d/%Y", "%m/%d/%Y %I:%M:%S %p", *[f for _, f in DATE_TEXTS.values()]]
     parts = []
-    for c in ["event_id", "event_type", "value", "ts", "ts_text", "ts_us", "two_dates", "mixed_dates", "user_text", "is_big", "constant", "nothing"]:
+    for c in ["event_id", "event_type", "value", "ts", "ts_text", "ts_us", "two_dates", "mixed_dates", "user_text", "is_big", *DATE_TEXTS, "constant", "nothing"]:
         if c == "ts":
             rest = "'date'"
         else:
@@ -269,6 +282,12 @@ def d02(spark, folder):
     return gran.date_variables_lenient(e, ["ts"], "MM/dd/yyyy hh:mm:ss a").drop("ts")
 
 
+def d02_inferred(spark, folder):
+    """The formats come from the values: one column with the day first, one with the month's name."""
+    e = table(spark, folder, "events").select("event_id", F.date_format("ts", "dd.MM.yyyy HH:mm").alias("a"), F.date_format("ts", "MMM dd, yyyy").alias("b"))
+    return gran.date_variables_lenient(e, ["a", "b"]).drop("a", "b")
+
+
 def _levels_oracle(column: str, source: str, levels: list[str]) -> str:
     return union([
         f"SELECT '{p}' AS level, {p}({column})::BIGINT AS value, count(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY {p}({column})"
@@ -321,6 +340,7 @@ QUERIES = {
     "a26_majority_baseline": lambda s, d: rounded(dist.majority_baseline(table(s, d, "orders"), "o_orderstatus")),
     "d01_date_variables": lambda s, d: gran.date_variables(table(s, d, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate"]).drop("o_orderdate"),
     "d02_lenient_dates": d02,
+    "d02_inferred_dates": d02_inferred,
     "d03_date_granularity": lambda s, d: gran.date_granularity(table(s, d, "events"), "ts"),
     "d03_date_granularity_frequency": lambda s, d: gran.date_granularity(table(s, d, "orders"), "o_orderdate", order="frequency"),
     "d04_property_granularity": lambda s, d: gran.property_granularity(table(s, d, "part")),
@@ -379,6 +399,7 @@ LEFT JOIN ({_semantic_oracle()}) v ON v.type = t.type GROUP BY t.type""",
 month(o_orderdate)::INT AS o_orderdate_month, day(o_orderdate)::INT AS o_orderdate_day FROM orders""",
     "d02_lenient_dates": """SELECT event_id, year(t)::INT AS ts_year, quarter(t)::INT AS ts_quarter, month(t)::INT AS ts_month, day(t)::INT AS ts_day, hour(t)::INT AS ts_hour
 FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS t FROM events)""",
+    "d02_inferred_dates": "SELECT event_id, " + ", ".join(f"{part}(ts)::INT AS {c}_{part}" for c in "ab" for part in ("year", "quarter", "month", "day")) + ", hour(ts)::INT AS a_hour FROM events",
     "d03_date_granularity": _levels_oracle("ts", "events", ["year", "quarter", "month", "day", "hour"]),
     "d03_date_granularity_frequency": _levels_oracle("o_orderdate", "orders", ["year", "quarter", "month", "day"]),
     "d04_property_granularity": _values_oracle({"p_name": "part", "p_brand": "part", "p_type": "part"}),

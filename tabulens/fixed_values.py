@@ -29,15 +29,6 @@ DATE_NAME_PARTS = ["date", "time", "year"]
 # Date levels in order.
 DATE_LEVELS = ["year", "quarter", "month", "day", "hour"]
 
-# Date formats tried for text columns, each with the shape its values have; one format must fit the whole column.
-DATE_FORMATS = {
-    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
-    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
-    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
-    "MM/dd/yyyy": r"^\d{2}/\d{2}/\d{4}$",
-    "MM/dd/yyyy hh:mm:ss a": r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2} [AP]M$",
-}
-
 # Text accepted as a number.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI]nf(inity)?|[nN]a[nN])\s*$"
 

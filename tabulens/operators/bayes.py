@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,7 +19,7 @@ _COLUMNS_PER_JOB = 18
 
 def _lacking(df: DataFrame, features: Sequence[str]) -> Column:
     """True where a row lacks one of the features."""
-    return F.exists(F.array(*[number(df, f).isNull() for f in features]), lambda x: x)
+    return functools.reduce(Column.__or__, [number(df, f).isNull() for f in features])
 
 
 class NegativeValues(ValueError):

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabulens.fixed_values import DATE_FORMATS, DATE_NAME_PARTS, NUMBER_PATTERN, UNKNOWN_TOKEN
+from tabulens.fixed_values import DATE_NAME_PARTS, NUMBER_PATTERN, UNKNOWN_TOKEN
 from tabulens.functions.columns import any_missing, chunks, columns_of, data_type, missing, value
+from tabulens.functions.date_shapes import infer_formats
 
 _TYPE_NAMES = ["numeric", "binary", "date", "symbolic"]
 _COLUMNS_PER_JOB = 20
@@ -86,13 +87,11 @@ def _scalar_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
 
 
-def semantic_types(df: DataFrame, formats: dict[str, str] | None = None) -> dict[str, str]:
+def semantic_types(df: DataFrame) -> dict[str, str]:
     """Type of each variable from its values: two values are binary, then numbers, dates, symbols.
 
-    Text is a date when one format (given with the regular expression of its shape) fits the whole column.
-    Empty columns are numeric. The shape test spares the parser what cannot fit.
+    Text is a date when one format, inferred from the shapes of its values, fits the whole column. Empty columns are numeric.
     """
-    formats = formats or DATE_FORMATS
     scalars = _scalar_columns(df)
     two = has_two_values(df, scalars)
     result = {c: "symbolic" for c in df.columns}
@@ -109,19 +108,13 @@ def semantic_types(df: DataFrame, formats: dict[str, str] | None = None) -> dict
     for part in chunks(text, 5):
         checks = []
         for i, c in enumerate(part):
-            v = F.col(f"`{c}`")
-            checks.append(F.count_if(~v.rlike(NUMBER_PATTERN)).alias(f"n{i}"))
-            checks += [
-                F.count_if(v.isNotNull() & F.when(v.rlike(shape), F.try_to_timestamp(v, F.lit(f))).isNull()).alias(f"d{i}_{j}")
-                for j, (f, shape) in enumerate(formats.items())
-            ]
+            checks.append(F.count_if(~F.col(f"`{c}`").rlike(NUMBER_PATTERN)).alias(f"n{i}"))
         row = df.agg(*checks).first()
         for i, c in enumerate(part):
             if row[f"n{i}"] == 0:
                 result[c] = "numeric"
-            elif any(row[f"d{i}_{j}"] == 0 for j in range(len(formats))):
-                result[c] = "date"
-    return result
+    dates = infer_formats(df, [c for c in text if result[c] == "symbolic"])
+    return result | dict.fromkeys(dates, "date")
 
 
 def storage_types(df: DataFrame, target: str | None = None, skip_long_dates: bool = True) -> dict[str, str]:
@@ -134,9 +127,9 @@ def storage_types(df: DataFrame, target: str | None = None, skip_long_dates: boo
     dates = [c for c in columns_of(df, "datetime") if c != target]
     long_dates: set[str] = set()
     if skip_long_dates and dates:
-        for r in distinct_counts(df.select(*dates)).collect():
-            if r["n_distinct"] > 50:
-                long_dates.add(r["variable"])
+        for c in dates:  # no full count: 51 values are enough to know
+            if df.select(c).where(F.col(f"`{c}`").isNotNull()).distinct().limit(51).count() > 50:
+                long_dates.add(c)
     result = {}
     for c in df.columns:
         if c == target or c in long_dates:

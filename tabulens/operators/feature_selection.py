@@ -33,7 +33,8 @@ def redundant_from(
     """
     partners: dict[str, list[str]] = {c: [] for c in names}
     for (a, b), r in pairs.items():
-        if r is not None and r >= min_threshold:
+        # rounded, so that equal columns in other units have a correlation of 1
+        if r is not None and round(r, 12) >= min_threshold:
             partners[a].append(b)
             partners[b].append(a)
     place = {c: i for i, c in enumerate(names)}

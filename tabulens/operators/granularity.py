@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulens.fixed_values import DATE_LEVELS
 from tabulens.functions.columns import columns_of, value
+from tabulens.functions.date_shapes import infer_formats, to_dates
 
 
 def _parts(c: Column) -> dict[str, Column]:
@@ -35,12 +36,16 @@ def has_hours(df: DataFrame, name: str) -> bool:
 
 
 def date_variables_lenient(df: DataFrame, names: Sequence[str], fmt: str | None = None) -> DataFrame:
-    """Parse text leniently, add the date parts, and the hour where there is more than one."""
+    """Parse text leniently (in the format given, or the one that its values' shapes tell), add the date parts, and the hour where there is more than one."""
     text = [c for c in names if c in columns_of(df, "text")]
     if text:
         if fmt is None:
-            raise ValueError("a format is needed to parse text dates")
-        df = parse_dates(df, text, fmt)
+            formats = infer_formats(df, text)
+            if missing := [c for c in text if c not in formats]:
+                raise ValueError(f"no date format fits all values of {', '.join(missing)}; give one")
+            df = to_dates(df, formats)
+        else:
+            df = parse_dates(df, text, fmt)
     result = date_variables(df, names)
     return result.withColumns({f"{c}_hour": F.hour(F.col(c)) for c in names if has_hours(df, c)})
 

@@ -55,7 +55,7 @@ def _parse(name: str, to: T.DataType):
 
 
 def infer_types(text: DataFrame) -> T.StructType:
-    """Whole number, decimal number, boolean or text, from one aggregate over the text columns.
+    """Whole number (LONG, or DECIMAL where digits would be lost), decimal number, boolean or text, from one aggregate over the text columns.
 
     An empty column becomes a number, as do whole numbers with missing values (kept as LONG here).
     """
@@ -66,7 +66,8 @@ def infer_types(text: DataFrame) -> T.StructType:
             v = F.col(f"`{c}`")
             checks += [
                 F.count(v).alias(f"n_{c}"),
-                F.count_if(~v.rlike(r"^[+-]?\d{1,18}$")).alias(f"whole_{c}"),
+                F.count_if(~v.rlike(r"^[+-]?\d+$") | v.try_cast("bigint").isNull()).alias(f"whole_{c}"),
+                F.count_if(~v.rlike(r"^[+-]?0*\d{1,38}$")).alias(f"long_{c}"),
                 F.count_if(~v.rlike(NUMBER_PATTERN)).alias(f"number_{c}"),
                 F.count_if(~F.lower(v).isin("true", "false")).alias(f"bool_{c}"),
             ]
@@ -76,6 +77,8 @@ def infer_types(text: DataFrame) -> T.StructType:
                 fields[c] = T.DoubleType()
             elif row[f"whole_{c}"] == 0:
                 fields[c] = T.LongType()
+            elif row[f"long_{c}"] == 0:
+                fields[c] = T.DecimalType(38, 0)
             elif row[f"number_{c}"] == 0:
                 fields[c] = T.DoubleType()
             elif row[f"bool_{c}"] == 0:

@@ -288,3 +288,32 @@ def test_bayes_refuses_missing_features(spark, variant):
     assert model.predict(whole).where("prediction is null").count() == 0
     with pytest.raises(Exception, match="lacks a feature"):
         model.predict(holes).collect()
+
+
+@pytest.mark.parametrize("metric", ["manhattan", "euclidean", "chebyshev"])
+def test_pivot_boxes_are_exact_and_exclude(spark, metric):
+    """Clustered rows of twelve features: the same neighbours as brute force, from few boxes."""
+    rng = np.random.default_rng(7)
+    names, centres = [f"f{i}" for i in range(12)], rng.normal(size=(20, 12)) * 50
+    made = lambda n: np.round(centres[rng.integers(0, 20, n)] + rng.normal(size=(n, 12)), 2)
+    x, q = made(900), made(60)
+    x[:200] = x[0]
+    frame = lambda v: spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(v)], "k long, " + ", ".join(f"{n} double" for n in names))
+    index = nn.build_index(frame(x), names, "k", 4, block_rows=30)
+    assert index.boxes.pivots is not None and len(index.boxes.names) > 8
+    near = nn.nearest_rows(index, frame(q), 4, metric)
+    fold = {"manhattan": lambda g: g.sum(-1), "euclidean": lambda g: np.sqrt((g * g).sum(-1)), "chebyshev": lambda g: g.max(-1)}[metric]
+    named = frame(q).withColumn("query", nn.query_id(frame(q), names)).select("k", "query").join(near, "query")
+    got = {(r["k"], r["place"]): r["train_key"] for r in named.collect()}
+    for i, row in enumerate(q):
+        d = np.round(fold(np.abs(x - row)), 9)
+        assert [got[i, p] for p in range(1, 5)] == np.argsort(d, kind="stable")[:4].tolist()
+    assert nn.boxes_searched(index, frame(q), 4, metric).agg(F.avg("boxes")).first()[0] < 0.3 * len(index.boxes.names)
+
+
+def test_neighbours_refuse_gaps(spark):
+    train = points(spark, 40, 1)
+    holes = train.withColumn("b", F.when(F.col("k") != 3, F.col("b")))
+    for a, b in ((holes, train), (train, holes)):
+        with pytest.raises(ValueError, match="lacks a feature"):
+            nn.knn_predict(a, b, ["a", "b"], "y", "k")

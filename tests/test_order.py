@@ -122,3 +122,16 @@ def test_repeated_keys_end_with_an_error(spark):
         df = spark.createDataFrame([(k,) for k in keys], "k long")
         with pytest.raises(ValueError):
             sampling.sample_rows(df, "k", 15).count()
+
+
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_temporal_split_by_text_keys(spark, monkeypatch, limit):
+    """All rows have one time; the keys share long beginnings and differ in length."""
+    from tabulens.functions import order_statistics
+
+    monkeypatch.setattr(order_statistics, "FETCH_LIMIT", limit)
+    keys = sorted({f"key-{i % 7}-{'é' * (i % 3)}{i}" for i in range(300)} | {"", "k", "key"}, key=str.encode)
+    df = spark.createDataFrame([(k, 5) for k in keys[::-1]], "k string, t int").select("k", F.timestamp_seconds("t").alias("t"))
+    train, test = sampling.temporal_split(df, "t", "k", 0.6)
+    n = int(len(keys) * 0.6)
+    assert sorted((r["k"] for r in train.collect()), key=str.encode) == keys[:n] and test.count() == len(keys) - n

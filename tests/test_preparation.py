@@ -90,3 +90,11 @@ def test_prepare_dataset(spark, tmp_path):
     prepared.save(str(tmp_path / "out"))
     train, test, labels, features = src.read_train_test(spark, str(tmp_path / "out_train"), str(tmp_path / "out_test"), "y")
     assert [r["y"] for r in labels.collect()] == ["y0", "y1"] and features == ["k", "a"] and test.count() == 54
+
+
+def test_long_whole_numbers_keep_their_digits(spark, tmp_path):
+    path = tmp_path / "long.csv"
+    path.write_text("id,huge,both\n9223372036854775807,12345678901234567890123,1\n-1000000000000000000,1,1.5\n")
+    df = src.read_csv(spark, str(path))
+    assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "decimal(38,0)", "double"]
+    assert sorted(int(r["id"]) for r in df.collect()) == [-(10**18), 2**63 - 1] and max(int(r["huge"]) for r in df.collect()) == 12345678901234567890123

@@ -155,3 +155,39 @@ def test_wide_tables_keep_all_pairs_and_constants_have_no_correlation(spark):
     pairs = spar.pair_density(df, ["c", *[f"v{i}" for i in range(28)]], "y").select("v1", "v2").distinct().count()
     assert pairs == 29 * 28 // 2
     assert spar.correlation_matrix(df, ["c", "v0"]).where("r is not null and v1 <> v2").count() == 0
+
+
+@pytest.mark.parametrize("texts,fmt", [
+    (["2024-01-05", "2023-12-31"], "yyyy-M-d"),
+    (["2024-01-05T10:11:12.5Z", "2024-01-05T10:11:12Z"], "yyyy-M-d'T'H:mm:ss[.SSSSSSSSS]X"),
+    (["2024-01-05 10:11:12.123", "2024-01-06 10:11:12.1"], "yyyy-M-d H:mm:ss.SSSSSSSSS"),
+    (["2024/1/5 7:05", "2024/12/5 17:05"], "yyyy/M/d H:mm"),
+    (["1/2/2024", "3/4/2024"], "M/d/yyyy"),  # both orders fit: the month comes first
+    (["1/2/2024", "13/4/2024"], "d/M/yyyy"),
+    (["05.06.2024", "25.06.2024"], "d.M.yyyy"),
+    (["5 Jan 2024", "15 Dec 2024"], "d MMM yyyy"),
+    (["January 5, 2024", "March 15, 2024"], "MMMM d, yyyy"),
+    (["01/02/2024 05:06:07 PM", "01/02/2024 11:06:07 AM"], "M/d/yyyy h:mm:ss a"),
+    (["2024-01-05T10:11:12+02:00"], "yyyy-M-d'T'H:mm:ssXXX"),
+    (["2024-01-05", "05/01/2024"], None),
+    (["2024-13-45"], None),
+    (["2024-01/05"], None),
+    (["a long text of many words", "x"], None),
+    (["12", "1234", "123456", "1.2", "-"], None),
+    ([None, None], None),
+])
+def test_date_formats(spark, texts, fmt):
+    from tabulens.functions.date_shapes import infer_formats, to_dates
+
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "`a.b` string").withColumnRenamed("a.b", "d")
+    found = infer_formats(df, ["d"])
+    assert found == ({"d": fmt} if fmt else {})
+    if fmt:
+        assert to_dates(df, found).where("d is not null").count() == len(texts)
+
+
+def test_fractions_of_seconds_are_kept(spark):
+    from tabulens.functions.date_shapes import infer_formats, to_dates
+
+    df = spark.createDataFrame([("2024-01-05 10:11:12.5",), ("2024-01-05 10:11:12",)], "d string")
+    assert sorted(r[0] for r in to_dates(df, infer_formats(df, ["d"])).selectExpr("unix_micros(d) % 1000000").collect()) == [0, 500000]
