@@ -119,12 +119,12 @@ def series_split(
 
 
 def _leading_bytes(text: Column) -> list[Column]:
-    """The first bytes of a text as whole numbers of seven bytes, in the order of the text: unlike texts these have quantiles.
+    """The first bytes of a text as whole numbers of six bytes, in the order of the text: unlike texts these have quantiles.
 
     What ties on all of them is ordered by the text itself.
     """
     digits = F.hex(text.cast("binary"))
-    return [F.conv(F.rpad(F.substring(digits, 14 * i + 1, 14), 14, "0"), 16, 10).cast("long") for i in range(6)]
+    return [F.conv(F.rpad(F.substring(digits, 12 * i + 1, 12), 12, "0"), 16, 10).cast("long") for i in range(8)]
 
 
 def _micros(df: DataFrame, ts: str):
