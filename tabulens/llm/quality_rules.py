@@ -22,18 +22,29 @@ def _share(part: str, whole: str):
     return lambda c: F.coalesce(F.try_divide(c(part), c(whole)), F.lit(0.0))
 
 
+def _within(share, low: float, high: float):
+    return lambda c: (share(c) >= low) & (share(c) <= high)
+
+
+#: Frequent small words of English, German, French and Spanish (fixed values).
+FUNCTION_WORDS = (
+    "the of and to a in is that it for was on with as be by this are at from an or "
+    "der die das und den von zu mit sich des auf ist im dem nicht ein eine als "
+    "le la les de et un une du en que est pour dans qui el los las y del se por con una"
+).split()
 SYMBOLS, REPEATS, LINES = _share("n_symbols", "word_chars"), _share("n_repeat_words", "n_words"), _share("n_dup_lines", "n_lines")
 CAPITALS, LETTERS, WORD = _share("n_upper", "n_letters"), _share("n_letters", "word_chars"), _share("word_chars", "n_words")
-#: (name, condition, vote). A rule for one defect only votes against, the rule for prose only in favour; elsewhere they abstain.
+SMALL, ENDS, LINE = _share("n_small_words", "n_words"), _share("n_ends", "n_words"), _share("n_words", "n_lines")
+#: (name, in favour, against). Each rule looks at evidence of its own, votes both ways and abstains between; so votes conflict.
 RULES = (
-    ("length", lambda c: c("n_words") < 50, -1),
-    ("symbols", lambda c: SYMBOLS(c) > 0.03, -1),
-    ("repeats", lambda c: REPEATS(c) > 0.4, -1),
-    ("lines", lambda c: LINES(c) > 0.5, -1),
-    ("capitals", lambda c: CAPITALS(c) > 0.4, -1),
-    ("letters", lambda c: LETTERS(c) < 0.6, -1),
-    ("word_length", lambda c: (WORD(c) < 2.5) | (WORD(c) > 15), -1),
-    ("prose", lambda c: (c("n_words") >= 50) & (SYMBOLS(c) < 0.01) & (REPEATS(c) < 0.4) & (LINES(c) <= 0.5) & (CAPITALS(c) < 0.2) & (LETTERS(c) > 0.8), 1),
+    ("symbols", lambda c: SYMBOLS(c) <= 0.005, lambda c: SYMBOLS(c) > 0.03),
+    ("letters", lambda c: LETTERS(c) >= 0.94, lambda c: LETTERS(c) < 0.88),
+    ("word_length", _within(WORD, 4.4, 6.0), lambda c: (WORD(c) < 3.0) | (WORD(c) > 7.0)),
+    ("small_words", lambda c: SMALL(c) >= 0.15, lambda c: SMALL(c) < 0.08),
+    ("sentences", _within(ENDS, 0.05, 0.15), lambda c: (ENDS(c) < 0.03) | (ENDS(c) > 0.25)),
+    ("line_length", lambda c: LINE(c) >= 15, lambda c: LINE(c) < 8),
+    ("repeats", lambda c: (REPEATS(c) <= 0.05) & (LINES(c) <= 0.1), lambda c: (REPEATS(c) > 0.25) | (LINES(c) > 0.4)),
+    ("capitals", _within(CAPITALS, 0.005, 0.05), lambda c: CAPITALS(c) > 0.2),
 )
 ITERATIONS = 25
 
@@ -59,6 +70,8 @@ def counts(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFra
     new = {
         "n_words": F.size(words).cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "n_symbols": count(r"[^#*$%&|<>]+"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"), "n_repeat_words": F.when(ordered.isNull(), 0).otherwise(covered).cast("long"),
+        "n_small_words": F.size(F.filter(words, lambda w: F.lower(w).isin(FUNCTION_WORDS))).cast("long"),
+        "n_ends": F.regexp_count(text, F.lit(r"[.!?](?=[\x20\x09-\x0D]|$)")).cast("long"),
         "n_lines": F.size(lines).cast("long"), "n_upper": count(r"\P{Lu}+"), "n_letters": count(r"\P{L}+"),
     }
     return df.withColumns({f"{p}{k}": v for k, v in new.items()}).drop(*[f"{p}{c}" for c in ("words", "lines", "windows", "ordered")])
@@ -71,7 +84,8 @@ def base_failed(prefix: str = "") -> Column:
 
 def votes(prefix: str = "") -> list[Column]:
     """One vote per rule."""
-    return [F.when(condition(lambda n: F.col(f"{prefix}{n}")), vote).otherwise(0) for _, condition, vote in RULES]
+    c = lambda n: F.col(f"{prefix}{n}")
+    return [F.when(against(c), -1).when(favour(c), 1).otherwise(0) for _, favour, against in RULES]
 
 
 def pattern(prefix: str = "") -> Column:
@@ -88,7 +102,9 @@ def fit(patterns: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     # one row of bounded length; sorted, so that sums have one order
     model = seen.select(F.struct("pattern", vote.alias("v"), "n").alias("p")).agg(F.sort_array(F.collect_list("p")).alias("all"))
     patterns_ = F.col("all")
-    start = F.transform(patterns_, lambda p: F.when(F.exists(p["v"], lambda x: x == 0), 0.1).when(F.exists(p["v"], lambda x: x == 1), 0.8).otherwise(0.95))
+    # to begin with, the share of the votes in favour (one more of each kind)
+    number = lambda p, vote: F.size(F.filter(p["v"], lambda x: x == vote))
+    start = F.transform(patterns_, lambda p: (number(p, 2) + 1) / (number(p, 0) + number(p, 2) + 2))
 
     def step(r: Column) -> Column:
         joined = F.zip_with(patterns_, r, lambda p, q: F.struct(p["v"].alias("v"), (p["n"] * q).alias("g"), (p["n"] * (1 - q)).alias("b")))
@@ -114,12 +130,14 @@ def score(counted: DataFrame, id_cols: list[str], threshold: float = 0.5) -> Dat
     scored = table.join(F.broadcast(fit(table.select("pattern"))), "pattern")
     kept = ~F.col("base_failed") & (F.col("posterior") >= threshold)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return scored.withColumn("base_failed", base_failed()).select(*id_cols, *base, "base_failed", kept.alias("kept"), "posterior")
+    return scored.withColumn("base_failed", base_failed()).select(*id_cols, *base, "base_failed", kept.alias("kept"), "posterior", "pattern")
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of docs that are kept, with their own columns. The counts are made once: rows are stored with their votes."""
     p = "_quality_"
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p = f"_{p}"
     voted = staged(counts(docs, text_col, p).select(*[F.col(f"`{c}`") for c in docs.columns], pattern(p).alias(f"{p}of"), base_failed(p).alias(f"{p}failed")), "quality-votes")
     model = fit(voted.select(F.col(f"{p}of").alias("pattern"))).select(F.col("pattern").alias(f"{p}of"), F.col("posterior").alias(f"{p}posterior"))
     marked = voted.join(F.broadcast(model), f"{p}of")

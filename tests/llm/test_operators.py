@@ -60,6 +60,30 @@ def test_quality_verdict_follows_labels(spark):
     assert joined.where("kept = (quality = 1)").count() >= 0.98 * joined.count()
 
 
+def test_quality_posteriors_match_brute_force(spark):
+    """Expectation-maximisation over the documents themselves; its verdict isn't that of any rule."""
+    folder = "/root/testdata/sf0.01"
+    rows = queries.op1_quality_rules(spark, folder).collect()
+    votes = np.array([[r["pattern"] // 3**j % 3 for j in range(len(quality_rules.RULES))] for r in rows])
+    good = ((votes == 2).sum(1) + 1) / ((votes != 1).sum(1) + 2)
+    for _ in range(quality_rules.ITERATIONS):
+        odds = np.full(len(rows), np.log((good.sum() + 1) / ((1 - good).sum() + 1)))
+        for j in range(votes.shape[1]):
+            for v in range(3):
+                hit = votes[:, j] == v
+                odds[hit] += np.log((good[hit].sum() + 1) / (good.sum() + 3)) - np.log(((1 - good)[hit].sum() + 1) / ((1 - good).sum() + 3))
+        good = 1 / (1 + np.exp(-odds))
+    assert np.array([r["posterior"] for r in rows]) == pytest.approx(good, abs=1e-9)
+    assert [r["kept"] for r in rows] == [bool(g >= 0.5 and not r["base_failed"]) for g, r in zip(good, rows)]
+    against, kept, met = (votes == 0).any(1), np.array([r["kept"] for r in rows]), np.array([not r["base_failed"] for r in rows])
+    assert (against & kept).any() and (~kept & met & (votes == 2).any(1)).any()
+
+
+def test_kept_rows_have_any_column_names(spark):
+    frame = spark.createDataFrame([("some words. " * 40, 1, 2, 3)], "text string, _quality_of int, `a.b` int, __quality_x int")
+    assert quality_rules.keep_good(frame).columns == frame.columns
+
+
 def test_simhash_matches_brute_force(spark, docs, texts):
     def brute(text):
         words = text.encode().lower().split()
