@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences: quality, language, near copies, repeated passages, packing."""
+"""From raw documents to packed training sequences: quality, language, near copies, repeated passages, packing.
+
+Defined results: documents with null or empty texts are rejected by the quality stage; null ids stay until the operators of a stage say
+otherwise (each operator's docstring does); extra columns go through all stages but the last; an empty table gives no pieces.
+"""
 
 from __future__ import annotations
 
@@ -30,8 +34,8 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences."""
-    return packing.pack(docs)
+    """Pieces of packed sequences with their token ids."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [("quality_rules", quality), ("language_id", language), ("simhash", near_copies), ("suffix_dedup", passages), ("packing", sequences)]
