@@ -33,9 +33,7 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     written = staged(warc.write(table(spark, folder, "pages"), archives), "warc-files")
-    if written.isEmpty():
-        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    return warc.read(spark, archives).drop("url")
+    return warc.read(written, archives).drop("url")
 
 
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """WARC archives compressed with Zstandard: one frame per record, the dictionary in a skippable frame at the beginning.
 
-`write` makes archives of at most about `file_bytes` of records in a folder that all executors share, and `read` gets the records back
-with Spark's binary file source. Each task names its files by partition and number and moves them into place when they are complete, so
-a task that runs again replaces its own files. Payloads of at least `least` bytes that occur more than once are stored once, in the
+`write` makes archives of at most about `file_bytes` of records in a folder that all executors share and returns the list of its files.
+File names carry the task attempt, and `read` opens the listed files alone, so what an attempt that was lost or ran twice left behind in
+the folder is never read; store the list (Spark commits one attempt per task) before reading. Payloads of at least `least` bytes that occur more than once are stored once, in the
 record with the largest page_id; the others are revisits of it. Only a digest and an id per payload are grouped for that.
 
 The reader checks the dictionary frame, the record version, the header fields it needs, the block length and its digest, the length in
@@ -23,7 +23,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tabulens.llm.common import batches_of
 
@@ -159,14 +159,14 @@ def write(pages: DataFrame, folder: str, least: int = 1000, file_bytes: int = 8
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
         context, files, held, size = TaskContext.get(), 0, [], 0
+        attempt = f"{context.partitionId():06d}-{context.taskAttemptId()}"
 
         def flush():
             nonlocal files, held, size
-            name = f"part-{context.partitionId():06d}-{files:05d}.warc.zst"
+            name = f"part-{attempt}-{files:05d}.warc.zst"
             data = archive(held)
-            with system.open_output_stream(f"{root}/_{name}.{context.taskAttemptId()}", compression=None) as out:
+            with system.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(data)
-            system.move(f"{root}/_{name}.{context.taskAttemptId()}", f"{root}/{name}")
             row = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(held)], pa.int64()), pa.array([len(data)], pa.int64())], ["file", "records", "bytes"])
             files, held, size = files + 1, [], 0
             return row
@@ -188,17 +188,28 @@ def _number(field: str | None) -> int | None:
     return int(text) if text else None
 
 
-def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url) of every record, and the payload itself on demand."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
+def read(written: DataFrame, folder: str, with_payload: bool = False, task_bytes: int = 32 << 20) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url) of every record, and the payload itself on demand.
+
+    `written` lists the files as (file, records, bytes), as `write` does; a file with another number of records raises ValueError. The list
+    is dealt over tasks of about `task_bytes` each.
+    """
+    total = written.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    files = written.select("file", "records").repartition(1 + total // task_bytes, "file")
 
     def run(batches):
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"] + ["payload"] * with_payload
         types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()] + [pa.binary()] * with_payload
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for i in range(batch.num_rows):
-                rows, size = [], 0
-                for data in frames(batch.column(0)[i].as_py()):
+            for name, records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows, size, seen = [], 0, 0
+                with system.open_input_stream(f"{root}/{name}", compression=None) as stream:
+                    content = stream.read()
+                for data in frames(content):
+                    seen += 1
                     fields, payload, length = parse(data)
                     row = (_number(fields["warc-record-id"]), length, fields["warc-payload-digest"].removeprefix("sha1:"), fields["warc-type"], _number(fields.get("warc-refers-to")), fields.get("warc-target-uri"))
                     rows.append(row + (payload,) * with_payload)
@@ -206,6 +217,8 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
                     if size >= 8 << 20 or len(rows) >= 10_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
                         rows, size = [], 0
+                if seen != records:
+                    raise ValueError(f"{name}: {seen} records instead of {records}")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
