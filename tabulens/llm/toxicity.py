@@ -2,10 +2,11 @@
 
 A word's vector is the mean of the vectors of its hashed n-grams (3 to 6 characters, with word borders) and of itself; a document's vector
 is the mean over its words, and a linear softmax gives the probability of label 1. A misspelling shares most n-grams with the word it
-comes from. Training sees a bounded sample: `rows` hashed documents per label, whole and together of at most `sample_bytes` bytes, the `words`
+comes from. Training sees a bounded sample: about `rows` hashed documents per label, whole and together of at most `sample_bytes` bytes, the `words`
 words that occur in most of them. Scoring reads whole texts; since everything after the n-gram vectors is linear, a word adds one number to the score.
 
 Defined results: null and empty texts get the score of no evidence (the softmax of its bias); rows without id or label are not learned from;
+of several labels of an id the largest counts, of several texts one, repeated rows are learned from once;
 if a label has no rows all scores are 0 or 1 by the label that has, or 0; repeated rows each get a row; other columns are ignored; an empty
 table gives no rows.
 """
@@ -89,8 +90,8 @@ def train(texts: list[str], labels: np.ndarray, words: int = 30_000, epochs: int
                 word.append(index[w])
                 share.append(n / total)
     doc, word, share = np.array(doc, np.int64), np.array(word, np.int64), np.array(share, np.float32)[:, None]
-    grams = [subwords(w) for w in chosen]
-    gram_word = np.repeat(np.arange(len(chosen)), [len(g) for g in grams])
+    grams = [subwords(w) for w in index]
+    gram_word = np.repeat(np.arange(len(index)), [len(g) for g in grams])
     gram = np.array([b for g in grams for b in g], np.int64)
     part = np.array([1 / len(g) for g in grams], np.float32)[gram_word][:, None]
     by_word, by_gram = np.argsort(word, kind="stable"), np.argsort(gram, kind="stable")
@@ -101,14 +102,14 @@ def train(texts: list[str], labels: np.ndarray, words: int = 30_000, epochs: int
     weight = (np.array([1 - POSITIVE, POSITIVE]) / np.bincount(labels, minlength=2))[labels].astype(np.float32)[:, None]
     for step in range(1, epochs + 1):
         embedding, linear, bias = params
-        vectors = _rows(embedding[gram] * part, gram_word, len(chosen))
+        vectors = _rows(embedding[gram] * part, gram_word, len(index))
         hidden = _rows(vectors[word] * share, doc, len(texts)) * SCALE
         logits = hidden @ linear + bias
         logits -= logits.max(axis=1, keepdims=True)
         odds = np.exp(logits)
         error = (odds / odds.sum(axis=1, keepdims=True) - target) * weight
         back = (error @ linear.T) * SCALE
-        to_word = _rows((back[doc] * share)[by_word], word[by_word], len(chosen))
+        to_word = _rows((back[doc] * share)[by_word], word[by_word], len(index))
         to_gram = _rows((to_word[gram_word] * part)[by_gram], gram[by_gram], BUCKETS)
         gradients = [to_gram + decay * embedding, hidden.T @ error, error.sum(axis=0)]
         for p, g, m, v in zip(params, gradients, first, second):
@@ -127,22 +128,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model from the labelled rows (id, label 0 or 1) of docs; about `rows` rows per label reach the driver, whole.
 
     The sample is drawn from the labels, so its ids have a fixed bound and are broadcast; no text is shuffled. Rows of a label are taken in
-    the order of their hashes; one that doesn't fit into what is left of `sample_bytes` is left out.
+    the order of their hashes; one that doesn't fit into what is left of its half of `sample_bytes` is left out.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("k"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
+    known = known.groupBy("id").agg(F.max("label").alias("label")).withColumn("k", F.xxhash64("id"))
     found = dict(known.groupBy("label").count().collect())
     share = F.create_map(*[x for label in (0, 1) for x in (F.lit(label), F.lit(min(1 << 40, int(rows / max(found.get(label, 0), 1) * (1 << 40)) + 1)))])
-    picked = known.where(F.pmod("k", F.lit(1 << 40)) < share[F.col("label")]).dropDuplicates(["id"])
+    picked = known.where(F.pmod("k", F.lit(1 << 40)) < share[F.col("label")])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     drawn = texts.join(F.broadcast(picked), "id").select("k", F.xxhash64("text").alias("h"), "text", "label", F.octet_length("text").alias("size"))
     drawn = staged(drawn, "toxicity-sample")
-    left, fitting = {0: sample_bytes, 1: sample_bytes}, []
-    for k, h, label, size in sorted(map(tuple, drawn.select("k", "h", "label", "size").collect())):
+    left, fitting = {0: sample_bytes // 2, 1: sample_bytes // 2}, []
+    # one row an id, however often it occurs and however many texts it has
+    firsts = drawn.groupBy("k", "label").agg(F.min(F.struct("h", "size")).alias("first")).select("k", "first.h", "label", "first.size")
+    for k, h, label, size in sorted(map(tuple, firsts.collect())):
         if size <= left[label]:
             left[label] -= size
             fitting.append((k, h))
     chosen = docs.sparkSession.createDataFrame(sorted(set(fitting)), "k long, h long")
-    sample = drawn.join(F.broadcast(chosen), ["k", "h"]).select("k", "text", "label").collect()
+    sample = drawn.join(F.broadcast(chosen), ["k", "h"]).dropDuplicates(["k", "h"]).select("k", "text", "label").collect()
     sample.sort()
     return train([r["text"] for r in sample], np.array([r["label"] for r in sample], np.int64))
 
