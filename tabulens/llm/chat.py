@@ -21,8 +21,11 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tabulens.llm.common import batches_of
+
 OPEN, CLOSE, LEARNED = "### ", "</turn>\n", "assistant"
-TURN = re.compile(r"### ((?:[^\\:\n]|\\.)*):\n((?:[^\\<]|\\.|<(?!/turn>\n))*)</turn>\n", re.S)
+#: What can end a role and a text, or make the next character ordinary.
+ROLE_ENDS, TEXT_ENDS = re.compile(r"[\\:\n]"), re.compile(r"\\|</turn>\n")
 ESCAPED = re.compile(r"\\(.)", re.S)
 #: What is escaped in (role, text), from nothing to everything that can conflict.
 LEVELS = ((None, None), (re.compile(r"[\\:\n]"), re.compile(r"\\|<(?=/turn>)|(?<=#)#(?=# )")), (re.compile(r"[\\:\n#<]"), re.compile(r"[\\<#]")))
@@ -32,15 +35,32 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
     """(role, text, begin and end of the escaped text) of every turn; a ValueError if the string is no conversation."""
     turns, at = [], 0
     while at < len(formatted):
-        found = TURN.match(formatted, at)
-        if not found:
+        if not formatted.startswith(OPEN, at):
             raise ValueError(f"no turn at character {at}")
-        role, text = (ESCAPED.sub(r"\1", x) if "\\" in x else x for x in found.groups())
-        turns.append((role, text, *found.span(2)))
-        at = found.end()
+        begin = at + len(OPEN)
+        middle = _end(formatted, begin, ROLE_ENDS)
+        if not formatted.startswith(":\n", middle):
+            raise ValueError(f"no role at character {begin}")
+        end = _end(formatted, middle + 2, TEXT_ENDS)
+        turns.append((_plain(formatted[begin:middle]), _plain(formatted[middle + 2 : end]), middle + 2, end))
+        at = end + len(CLOSE)
     return turns
 
 
+def _end(formatted: str, at: int, ends: re.Pattern) -> int:
+    """Where the part that begins at `at` ends: at the first match of `ends` that isn't escaped."""
+    found = ends.search(formatted, at)
+    while found and found.group() == "\\":
+        found = ends.search(formatted, found.end() + 1)
+    if not found:
+        raise ValueError(f"no end of what begins at character {at}")
+    return found.start()
+
+
+def _plain(escaped: str) -> str:
+    return ESCAPED.sub(r"\1", escaped) if "\\" in escaped else escaped
+
+
 def render(role: str, text: str) -> str:
     """One turn, with as little escaped as needed."""
     for in_role, in_text in LEVELS:
@@ -61,7 +81,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text, formatted): each turn's rendering; a conversation is the concatenation in that order."""
 
     def run(batches):
-        for batch in batches:
+        for batch in batches_of(batches):
             out = [render(r, t) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "formatted"])
 
@@ -96,7 +116,7 @@ def read_back(turns: DataFrame) -> DataFrame:
 
     def run(batches):
         reader, done = None, []
-        for batch in batches:
+        for batch in batches_of(batches):
             for conv_id, formatted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if reader is None or conv_id != reader.conv_id:
                     if reader:
