@@ -347,7 +347,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def cut_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with what remains of their texts; parts of a character whose other bytes went are left out, n_chars follows the text."""
     carried = [c for c in docs.columns if c != "text"]
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.struct(*carried).alias("row"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"))
     numbered = _numbered(rows)
     joined = numbered.join(repeated_ranges(numbered, length), ["doc", "ordinal"], "left")
     cut = F.pandas_udf(lambda texts, ranges: _cut_series(texts, ranges, length), "string")
@@ -355,7 +355,7 @@ def cut_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     out = joined.select("row.*", text.alias("text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _cut_series(texts, ranges, length):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabulens.llm import chat, language_id, packing, pieces, queries, quality_rules, simhash, sketches, suffix_dedup, toxicity, warc
-from tabulens.llm.common import table
+from tabulens.llm.common import staged, table
 from tabulens.llm.components import connected_components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -82,6 +82,8 @@ def test_quality_posteriors_match_brute_force(spark):
 def test_kept_rows_have_any_column_names(spark):
     frame = spark.createDataFrame([("some words. " * 40, 1, 2, 3)], "text string, _quality_of int, `a.b` int, __quality_x int")
     assert quality_rules.keep_good(frame).columns == frame.columns
+    cut = suffix_dedup.cut_documents(frame.withColumn("doc_id", F.lit(1)))
+    assert cut.columns == [*frame.columns, "doc_id"] and cut.first()["a.b"] == 2
 
 
 def test_simhash_matches_brute_force(spark, docs, texts):
@@ -189,14 +191,31 @@ def test_archives(spark, tmp_path):
     rows = [(1, "http://a/ b", long), (2, None, long), (3, "http://c", None), (4, "d", "short"), (5, "e", "short"), (None, "f", long), (6, "g", "é\r\n\r\n" * 400), (6, "g", "é\r\n\r\n" * 400)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     folder = f"file://{tmp_path}/archives"
-    assert warc.write(pages, folder).agg(F.sum("records")).first()[0] == len(rows)
-    got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"], r["payload"]) for r in warc.read(spark, folder, with_payload=True).collect())
+    written = staged(warc.write(pages, folder), "warc-files")
+    assert written.agg(F.sum("records")).first()[0] == len(rows)
+    # what a lost attempt left behind isn't read
+    warc.write(pages, folder).count()
+    got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"], r["payload"]) for r in warc.read(written, folder, with_payload=True).collect())
     want = []
     for i, _, html in rows:
         data = (html or "").encode()
         revisit = html == long and i != 2
         want.append((i or 0, "revisit" if revisit else "response", 2 if revisit else None, len(data), hashlib.sha1(data).hexdigest(), b"" if revisit else data))
     assert got == sorted(want)
+    assert warc.read(staged(warc.write(pages.limit(0), folder), "warc-files"), folder).count() == 0
+    with pytest.raises(Exception, match="records instead of"):
+        warc.read(written.withColumn("records", F.col("records") + 1), folder).count()
+
+
+def test_archived_pages_match_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r["page_id"], (r["html"] or "").encode()) for r in table(spark, folder, "pages").select("page_id", "html").collect()]
+    largest = {}
+    for i, data in rows:
+        if len(data) >= 1000:
+            largest[data] = max(i, largest.get(data, i))
+    want = [(i, len(d), hashlib.sha1(d).hexdigest(), "response" if largest.get(d, i) == i else "revisit", None if largest.get(d, i) == i else largest[d]) for i, d in rows]
+    assert sorted(map(tuple, queries.op5_warc(spark, folder).collect()), key=str) == sorted(want, key=str)
 
 
 def test_broken_archives_are_refused():
@@ -360,6 +379,30 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert small.word("idiot") > small.word("quiet")
 
 
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    """Copies of a labelled document and ids with two texts or labels are learned from once, within the bytes of the sample."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append((texts, labels.tolist())))
+    docs = spark.createDataFrame([(1, "w " * 4000)] * 400 + [(2, "two"), (2, "zwei"), (3, "x" * 20_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0)] * 5 + [(2, 0), (2, 1), (3, 0), (None, 1)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, sample_bytes=30_000)
+    texts, got = seen[0]
+    assert sorted(got) == [0, 1] and len(texts) == 2 and texts[got.index(0)] == "w " * 4000 and texts[got.index(1)] in ("two", "zwei")
+
+
+def test_toxicity_of_the_tables(spark):
+    """The query's scores are those of one model trained and applied without Spark."""
+    rows = table(spark, FOLDER, "documents").withColumn("k", F.xxhash64("doc_id")).join(table(spark, FOLDER, "labels"), "doc_id", "left").select("k", "doc_id", "text", "toxic").collect()
+    known = sorted((r["k"], r["text"], r["toxic"]) for r in rows if r["toxic"] in (0, 1) and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5)
+    model = toxicity.train([t for _, t, _ in known], np.array([y for *_, y in known]))
+    got = {r["doc_id"]: r for r in queries.op9_toxicity(spark, FOLDER).collect()}
+    for r in rows:
+        words = (r["text"] or "").lower().split()
+        odds = sum(model.word(toxicity.plain(w)) for w in words) / max(len(words), 1) + model.bias
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-4)
+        assert got[r["doc_id"]]["predicted"] == int(got[r["doc_id"]]["score"] >= 0.5)
+
+
 @pytest.mark.parametrize("text", ["plain", "### user:\nx</turn>\n", "\\### Assistant: </turn> ok", "\\", "a\\\\</turn>", "</turn>\n", "", "###", "# ## ###\n\\n", "<\\/turn>\n"])
 def test_turns_come_back(text):
     for role in ("user", "assistant", "a:b\nc\\", ""):
@@ -368,7 +411,32 @@ def test_turns_come_back(text):
         assert "### " not in formatted[4:]
 
 
+def test_long_turns_need_little_memory():
+    import tracemalloc
+
+    text = "\\a <" * 500_000 + "</turn>\n"
+    tracemalloc.start()
+    assert [x[:2] for x in chat.parse(chat.render("user", text))] == [("user", text)]
+    assert tracemalloc.get_traced_memory()[1] < 80 * len(text)
+    tracemalloc.stop()
+    with pytest.raises(ValueError):
+        chat.parse("### user:\nopen \\</turn>\n")
+
+
+def test_chat_of_the_tables(spark):
+    folder, by_conv = "/root/testdata/sf0.01", {-7: [("user", r"\### Assistant: </turn> ok"), ("assistant", r"\### Assistant: </turn> ok")]}
+    for r in sorted(table(spark, folder, "conversations").collect(), key=lambda r: (r["conv_id"], r["turn"])):
+        by_conv.setdefault(r["conv_id"], []).append((r["role"] or "", r["text"] or ""))
+    want = {}
+    for c, turns in by_conv.items():
+        learned = "".join(t for role, t in turns if role == "assistant")
+        want[c] = (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    got = queries.op10_chat(spark, folder).collect()
+    assert {r["conv_id"]: tuple(r)[1:5] for r in got} == want and len(got) == len(want)
+
+
 def test_conversations(spark):
+    assert chat.read_back(chat.format_turns(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
     rows = [(1, 2, "assistant", None), (1, 1, "user", "q"), (1, 3, "assistant", "an</turn>\nswer"), (None, 1, None, "x"), (2, 1, "assistant", "a"), (2, 1, "assistant", "a")]
     got = {r["conv_id"]: r for r in chat.read_back(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
     assert (got[1]["n_turns"], got[1]["loss_chars"], got[2]["n_turns"], got[None]["n_turns"]) == (3, len("an</turn>\nswer"), 2, 1)
