@@ -12,6 +12,8 @@ or lang are not learned from; repeated rows each get a row; other columns are ig
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -83,6 +85,25 @@ class CrossParser:
             self.codes.append(code)
             self.tables.append((((step & (FLAG - 1)) * n_codes) | (step & FLAG)).astype(np.int32).ravel())
             self.bits.append(np.log2(len(samples[name]) + 1))
+        self.limits = np.full(len(self.languages), np.inf)
+
+    def calibrate(self, excerpts: dict[str, list[str]]) -> None:
+        """Bound the bits per character of each language's texts, by labelled excerpts that are not part of the samples.
+
+        The limit lies halfway between what nine in ten of its own excerpts stay below and what half of the other languages' excerpts need:
+        a text beyond it is as far from the language as other languages are. Without excerpts of its own the limit is the others' median,
+        without excerpts of others there is none.
+        """
+        names = [name for name in self.languages for _ in excerpts.get(name, ())]
+        if not names:
+            return
+        rates, names = self.rates([x for name in self.languages for x in excerpts.get(name, ())]), np.array(names, object)
+        for i, name in enumerate(self.languages):
+            own, others = rates[names == name, i], rates[names != name, i]
+            if len(others):
+                foreign = float(np.median(others))
+                near = float(np.quantile(own, 0.9)) if len(own) else foreign
+                self.limits[i] = max(near, (near + foreign) / 2)
 
     @staticmethod
     def encode(text: str) -> np.ndarray:
@@ -116,7 +137,8 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = 150, chars: int = 400, sample_chars: int = 20_000) -> CrossParser:
-    """A parser from at most `sample_chars` characters per language, excerpts of `chars` characters from about `rows` hashed rows each.
+    """A parser from at most `sample_chars` characters per language, excerpts of `chars` characters from about 2 * `rows` hashed rows each;
+    those beyond `sample_chars` set the limits of the languages.
 
     The only data that reach the driver; the bounds are parameters and do not grow with the input.
     """
@@ -128,37 +150,51 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     picked = source.where(F.pmod("k", F.lit(1 << 40)) < share[F.col("lang")])
     start = F.pmod(F.shiftright("k", 8), F.greatest(F.length("text") - chars, F.lit(1))).cast("int") + 1
     samples: dict[str, str] = dict.fromkeys(found, "")
+    beyond: dict[str, list[str]] = {lang: [] for lang in found}
     excerpts = picked.select("lang", "k", F.substring("text", start, F.lit(chars)).alias("x")).collect()
     for lang, _, text in sorted(excerpts):
-        samples[lang] = (samples[lang] + "\n" + text)[:sample_chars]
-    return CrossParser(samples)
+        if len(samples[lang]) < sample_chars:
+            samples[lang] = (samples[lang] + "\n" + text)[:sample_chars]
+        else:
+            beyond[lang].append(text)
+    parser = CrossParser(samples)
+    parser.calibrate(beyond)
+    return parser
 
 
 def identify(docs: DataFrame, parser: CrossParser, carried: list[str], text_col: str = "text") -> DataFrame:
-    """The carried columns of each row with lang_pred and score."""
+    """The carried columns of each row with lang_pred, score and `within`: whether the text stays below the limit of its language (an
+    unfinished last phrase isn't held against it)."""
     shared = docs.sparkSession.sparkContext.broadcast(parser)
     source = docs.select(*carried, F.when(F.col(text_col).rlike(r"\p{L}"), F.lower(F.col(text_col))).alias("_lowered"))
-    schema = source.drop("_lowered").schema.add("lang_pred", "string").add("score", "double")
+    schema = source.drop("_lowered").schema.add("lang_pred", "string").add("score", "double").add("within", "boolean")
 
     def run(batches):
         model = shared.value
         for batch in batches_of(batches):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             lettered = np.array([t is not None for t in texts], bool) & bool(model.languages)
-            names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
+            names, scores, within = np.full(len(texts), "und", object), np.zeros(len(texts)), np.zeros(len(texts), bool)
             if lettered.any():
+                characters = np.array([len(t) for t, ok in zip(texts, lettered) if ok])
                 rates = model.rates([t for t, ok in zip(texts, lettered) if ok])
                 best = rates.argmin(axis=1)
                 names[lettered] = np.array(model.languages, object)[best]
                 scores[lettered] = 1 / np.exp(-SHARPNESS * (rates - rates.min(axis=1)[:, None])).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names[:-1], "lang_pred", "score"])
+                within[lettered] = rates.min(axis=1) <= model.limits[best] + np.array(model.bits)[best] / characters
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(names, pa.string()), pa.array(scores), pa.array(within)], [*batch.schema.names[:-1], "lang_pred", "score", "within"])
 
     return source.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, parser: CrossParser, least: float = 0.3) -> DataFrame:
-    """The rows whose language is known with a score of at least `least`."""
+def keep_identified(docs: DataFrame, parser: CrossParser, least: float = 0.5, wanted: Collection[str] | None = None) -> DataFrame:
+    """The rows in a wanted language (None: any that was learned), with a score of at least `least` and within the language's limit.
+
+    A text in a language nobody labelled, random letters or markup needs as many phrases as foreign text does, and goes, as does a text
+    whose language is a toss-up.
+    """
     taken = set(docs.columns)
     row = next(n for n in (f"row{i}" for i in range(len(taken) + 1)) if n not in taken)
     marked = identify(docs.select(F.struct("*").alias(row), "text"), parser, [row])
-    return marked.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(f"{row}.*")
+    chosen = F.col("lang_pred") != "und" if wanted is None else F.col("lang_pred").isin(sorted(wanted))
+    return marked.where(chosen & F.col("within") & (F.col("score") >= least)).select(f"{row}.*")

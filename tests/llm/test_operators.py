@@ -323,6 +323,23 @@ def test_languages_held_out(spark):
     assert got.where("lang = lang_pred").count() >= 0.97 * got.where("lang is not null").count()
 
 
+def test_unlearned_languages_go(spark):
+    """Clean texts of the learned languages stay; texts of one that was left out, random letters and unwanted languages go."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang").where("lang is not null and length(text) >= 300")
+    learned = [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").collect()]
+    rng = random.Random(4)
+    noise = spark.createDataFrame([(-i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(80)), "xx") for i in range(1, 41)], docs.schema)
+    share = lambda kept, all_: {r["lang"]: r["n"] / r["all"] for r in all_.groupBy("lang").agg(F.count("*").alias("all")).join(kept.groupBy("lang").agg(F.count("*").alias("n")), "lang").collect()}
+    full = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))))
+    clean = docs.where(language_id.held_out(F.col("doc_id"))).union(noise)
+    kept = share(language_id.keep_identified(clean, full), clean)
+    assert "xx" not in kept and all(kept[x] >= 0.99 for x in learned), kept
+    assert set(share(language_id.keep_identified(clean, full, wanted=learned[:1]), clean)) <= set(learned[:2])
+    fewer = language_id.fit(docs.where(F.col("lang") != learned[0]).where(~language_id.held_out(F.col("doc_id"))))
+    kept = share(language_id.keep_identified(clean, fewer), clean)
+    assert kept.get(learned[0], 0) <= 0.05 and all(kept[x] >= 0.99 for x in learned[1:]), kept
+
+
 def test_other_scripts_are_told_apart():
     """More letters than any small alphabet holds, some beyond the basic plane; both languages have the same spacing."""
     rng = random.Random(8)
