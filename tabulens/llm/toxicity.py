@@ -2,8 +2,8 @@
 
 A word's vector is the mean of the vectors of its hashed n-grams (3 to 6 characters, with word borders) and of itself; a document's vector
 is the mean over its words, and a linear softmax gives the probability of label 1. A misspelling shares most n-grams with the word it
-comes from. Training sees a bounded sample: about `rows` hashed documents per label, whole and together of at most `sample_bytes` bytes, the `words`
-words that occur in most of them. Scoring reads whole texts; since everything after the n-gram vectors is linear, a word adds one number to the score.
+comes from. Training sees a bounded sample: about `rows` hashed documents per label, whole and together of at most `sample_bytes` bytes, and
+every word of them. Scoring reads whole texts; since everything after the n-gram vectors is linear, a word adds one number to the score.
 
 Defined results: null and empty texts get the score of no evidence (the softmax of its bias); rows without id or label are not learned from;
 of several labels of an id the largest counts, of several texts one, repeated rows are learned from once;
@@ -65,30 +65,25 @@ def _rows(values: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def train(texts: list[str], labels: np.ndarray, words: int = 30_000, epochs: int = 50, rate: float = 0.03, decay: float = 1e-5, seed: int = 7) -> Model:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 50, rate: float = 0.03, decay: float = 1e-5, seed: int = 7) -> Model:
     """Full-batch Adam on the cross entropy; label 1 has POSITIVE of the weight, however often it was sampled."""
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, np.float32), 30.0 if len(labels) and labels[0] else -30.0)
     counts: list[dict[str, int]] = []
-    frequency: dict[str, int] = {}
     for t in texts:
         own: dict[str, int] = {}
         for w in t.lower().split():
             w = plain(w)
             own[w] = own.get(w, 0) + 1
         counts.append(own)
-        for w in own:
-            frequency[w] = frequency.get(w, 0) + 1
-    chosen = sorted(frequency, key=lambda w: (-frequency[w], w))[:words]
-    index = {w: i for i, w in enumerate(chosen)}
+    index = {w: i for i, w in enumerate(sorted(set().union(*counts)))}
     doc, word, share = [], [], []
     for d, own in enumerate(counts):
         total = sum(own.values())
         for w, n in own.items():
-            if w in index:
-                doc.append(d)
-                word.append(index[w])
-                share.append(n / total)
+            doc.append(d)
+            word.append(index[w])
+            share.append(n / total)
     doc, word, share = np.array(doc, np.int64), np.array(word, np.int64), np.array(share, np.float32)[:, None]
     grams = [subwords(w) for w in index]
     gram_word = np.repeat(np.arange(len(index)), [len(g) for g in grams])
