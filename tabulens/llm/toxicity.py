@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import string
 import zlib
+from array import array
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +33,8 @@ SCALE = np.float32(100.0)
 POSITIVE = 0.25
 #: Words a Python worker remembers before it starts anew.
 REMEMBERED = 1_000_000
+#: Entries of the training sample that are multiplied at a time.
+PIECE = 1 << 16
 
 
 def subwords(word: str) -> list[int]:
@@ -56,12 +60,16 @@ class Model:
         return float(self.weights[grams].mean()) if word else 0.0
 
 
-def _rows(values: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of values by owner; owners are sorted."""
+def _sums(values: np.ndarray, taken: np.ndarray, owners: np.ndarray, n: int, shares: np.ndarray | None = None) -> np.ndarray:
+    """Sums of values[taken] (times shares) by owner, PIECE entries at a time; owners are sorted."""
     out = np.zeros((n, values.shape[1]), np.float32)
-    if len(owners):
-        first = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
-        out[owners[first]] = np.add.reduceat(values, first, axis=0)
+    for at in range(0, len(owners), PIECE):
+        own = owners[at : at + PIECE]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        some = np.take(values, taken[at : at + PIECE], axis=0)
+        if shares is not None:
+            some *= shares[at : at + PIECE, None]
+        out[own[first]] += np.add.reduceat(some, first, axis=0)
     return out
 
 
@@ -69,27 +77,27 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 50, rate: float =
     """Full-batch Adam on the cross entropy; label 1 has POSITIVE of the weight, however often it was sampled."""
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, np.float32), 30.0 if len(labels) and labels[0] else -30.0)
-    counts: list[dict[str, int]] = []
-    for t in texts:
-        own: dict[str, int] = {}
-        for w in t.lower().split():
-            w = plain(w)
-            own[w] = own.get(w, 0) + 1
-        counts.append(own)
-    index = {w: i for i, w in enumerate(sorted(set().union(*counts)))}
-    doc, word, share = [], [], []
-    for d, own in enumerate(counts):
-        total = sum(own.values())
-        for w, n in own.items():
+    index: dict[str, int] = {}
+    doc, word, share = array("i"), array("i"), array("f")
+    for d, t in enumerate(texts):
+        words = [plain(w) for w in t.lower().split()]
+        for w, n in Counter(words).items():
             doc.append(d)
-            word.append(index[w])
-            share.append(n / total)
-    doc, word, share = np.array(doc, np.int64), np.array(word, np.int64), np.array(share, np.float32)[:, None]
-    grams = [subwords(w) for w in index]
-    gram_word = np.repeat(np.arange(len(index)), [len(g) for g in grams])
-    gram = np.array([b for g in grams for b in g], np.int64)
-    part = np.array([1 / len(g) for g in grams], np.float32)[gram_word][:, None]
+            word.append(index.setdefault(w, len(index)))
+            share.append(n / len(words))
+    doc, word, share = np.array(doc, np.int32), np.array(word, np.int32), np.array(share, np.float32)
+    gram, width = array("i"), array("i")
+    for w in index:
+        own = subwords(w)
+        gram.extend(own)
+        width.append(len(own))
+    gram, width = np.array(gram, np.int32), np.array(width, np.int32)
+    gram_word, part = np.repeat(np.arange(len(index), dtype=np.int32), width), (1 / width).astype(np.float32)[:, None]
     by_word, by_gram = np.argsort(word, kind="stable"), np.argsort(gram, kind="stable")
+    # the same entries in the order of their words and of their n-grams, for the way back
+    back_doc, back_share, back_word = doc[by_word], share[by_word], word[by_word]
+    back_gram_word, back_gram = gram_word[by_gram], gram[by_gram]
+    del by_word, by_gram
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32), rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32), np.zeros(2, np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -97,15 +105,15 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 50, rate: float =
     weight = (np.array([1 - POSITIVE, POSITIVE]) / np.bincount(labels, minlength=2))[labels].astype(np.float32)[:, None]
     for step in range(1, epochs + 1):
         embedding, linear, bias = params
-        vectors = _rows(embedding[gram] * part, gram_word, len(index))
-        hidden = _rows(vectors[word] * share, doc, len(texts)) * SCALE
+        vectors = _sums(embedding, gram, gram_word, len(index)) * part
+        hidden = _sums(vectors, word, doc, len(texts), share) * SCALE
         logits = hidden @ linear + bias
         logits -= logits.max(axis=1, keepdims=True)
         odds = np.exp(logits)
         error = (odds / odds.sum(axis=1, keepdims=True) - target) * weight
         back = (error @ linear.T) * SCALE
-        to_word = _rows((back[doc] * share)[by_word], word[by_word], len(index))
-        to_gram = _rows((to_word[gram_word] * part)[by_gram], gram[by_gram], BUCKETS)
+        to_word = _sums(back, back_doc, back_word, len(index), back_share) * part
+        to_gram = _sums(to_word, back_gram_word, back_gram, BUCKETS)
         gradients = [to_gram + decay * embedding, hidden.T @ error, error.sum(axis=0)]
         for p, g, m, v in zip(params, gradients, first, second):
             m += 0.1 * (g - m)
