@@ -207,8 +207,12 @@ def _boxplot_oracle() -> str:
     return union(parts)
 
 
-FITS = """(SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s, min(o_totalprice) AS mn,
-  avg(ln(o_totalprice)) FILTER (o_totalprice > 0) AS mu, stddev_pop(ln(o_totalprice)) FILTER (o_totalprice > 0) AS sg FROM orders)"""
+def _fits(c: str, source: str) -> str:
+    return f"""(SELECT avg({c}) AS m, stddev_pop({c}) AS s, min({c}) AS mn,
+  avg(ln({c})) FILTER ({c} > 0) AS mu, stddev_pop(ln({c})) FILTER ({c} > 0) AS sg FROM {source})"""
+
+
+FITS = _fits("o_totalprice", "orders")
 
 
 def a20(spark, folder):
@@ -216,13 +220,25 @@ def a20(spark, folder):
     return df.select("family", "bin", F.round("x", 4).alias("x"), F.round("pdf", 12).alias("pdf"))
 
 
-def _density_oracle() -> str:
-    grid = f"""(SELECT bin, mn + (bin + 0.5) * ((mx - mn) / k) AS x FROM (SELECT *, unnest(range(k)) AS bin FROM {_bins('o_totalprice', 'orders')}))"""
-    x = r("x", "x", 4)
+def a20_all(spark, folder):
+    df = dist.density_grids(table(spark, folder, "lineitem"), LINE_MEASURES)
+    return df.select("variable", "family", "bin", F.round("x", 4).alias("x"), F.round("pdf", 9).alias("pdf"))
+
+
+def _density_oracle(c: str = "o_totalprice", source: str = "orders", digits: int = 12, head: str = "") -> str:
+    grid = f"""(SELECT bin, mn + (bin + 0.5) * ((mx - mn) / k) AS x FROM (SELECT *, unnest(range(k)) AS bin FROM {_bins(c, source)}))"""
+    x, fits = r("x", "x", 4), _fits(c, source)
+    return union([
+        f"SELECT {head}'normal' AS family, bin, {x}, {r('exp(-pow((x - m) / s, 2) / 2) / (s * sqrt(2 * pi()))', 'pdf', digits)} FROM {grid}, {fits}",
+        f"SELECT {head}'exponential' AS family, bin, {x}, {r('CASE WHEN x >= mn THEN exp(-(x - mn) / (m - mn)) / (m - mn) ELSE 0 END', 'pdf', digits)} FROM {grid}, {fits}",
+        f"SELECT {head}'lognormal' AS family, bin, {x}, {r('CASE WHEN x > 0 THEN exp(-pow((ln(x) - mu) / sg, 2) / 2) / (x * sg * sqrt(2 * pi())) ELSE 0 END', 'pdf', digits)} FROM {grid}, {fits}",
+    ])
+
+
+def _fit_oracle() -> str:
     return union([
-        f"SELECT 'normal' AS family, bin, {x}, {r('exp(-pow((x - m) / s, 2) / 2) / (s * sqrt(2 * pi()))', 'pdf', 12)} FROM {grid}, {FITS}",
-        f"SELECT 'exponential' AS family, bin, {x}, {r('CASE WHEN x >= mn THEN exp(-(x - mn) / (m - mn)) / (m - mn) ELSE 0 END', 'pdf', 12)} FROM {grid}, {FITS}",
-        f"SELECT 'lognormal' AS family, bin, {x}, {r('CASE WHEN x > 0 THEN exp(-pow((ln(x) - mu) / sg, 2) / 2) / (x * sg * sqrt(2 * pi())) ELSE 0 END', 'pdf', 12)} FROM {grid}, {FITS}",
+        f"SELECT '{c}' AS variable, '{family}' AS family, {r(p1, 'p1', 4)}, {r(p2, 'p2', 4)} FROM {_fits(c, 'lineitem')}"
+        for c in LINE_MEASURES for family, p1, p2 in (("normal", "m", "s"), ("exponential", "mn", "m - mn"), ("lognormal", "mu", "sg"))
     ])
 
 
@@ -256,6 +272,29 @@ def _correlation_oracle() -> str:
     return f"WITH source AS {CORRELATED}\n" + union(rows)
 
 
+WIDE = {f"w{i}": (f"(l_orderkey * {i + 1} + l_partkey) % {101 + i}", i % 9) for i in range(36)}
+
+
+def a21_wide(spark, folder):
+    """36 columns of lineitem, most with gaps of their own."""
+    wide = table(spark, folder, "lineitem").select(
+        "l_quantity", F.lit(7).alias("constant"), *[F.expr(f"CASE WHEN l_linenumber <> {gap} THEN {x} END").alias(c) for c, (x, gap) in WIDE.items()]
+    )
+    return rounded(spar.correlation_matrix(wide, drop_incomplete=False))
+
+
+def _wide_oracle() -> str:
+    columns = ", ".join(f"CASE WHEN l_linenumber <> {gap} THEN {x} END AS {c}" for c, (x, gap) in WIDE.items())
+    names, cells = ["l_quantity", "constant", *WIDE], []
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            low, high = (a, b) if i < j else (b, a)
+            value = "NULL::DOUBLE" if "constant" in (a, b) else "1.0::DOUBLE" if a == b else f"round(abs(corr({low}::DOUBLE, {high}::DOUBLE)), 6)"
+            cells.append(f"{{'v1': '{a}', 'v2': '{b}', 'r': {value}}}")
+    return f"""SELECT cell.v1 AS v1, cell.v2 AS v2, cell.r AS r FROM (SELECT unnest(cells) AS cell FROM (
+SELECT [{', '.join(cells)}] AS cells FROM (SELECT l_quantity, 7 AS constant, {columns} FROM lineitem)))"""
+
+
 def _pair_oracle(by_class: bool) -> str:
     edges = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in LINE_MEASURES)
     bins = ", ".join(f"least(floor(({c} - lo_{c}) * 10.0 / (hi_{c} - lo_{c})), 9)::BIGINT AS b_{c}" for c in LINE_MEASURES)
@@ -330,7 +369,10 @@ QUERIES = {
     "a16_boxplot_statistics": lambda s, d: rounded(dist.boxplot_statistics(table(s, d, "lineitem")), 4),
     "a16_fliers": lambda s, d: dist.fliers(table(s, d, "events"), "value").select("event_id", "value"),
     "a17_a18_a19_distribution_fits": lambda s, d: rounded(dist.distribution_fits(table(s, d, "orders"), "o_totalprice").drop("label"), 4),
+    "a17_a18_a19_fits_all": lambda s, d: rounded(dist.fit_table(table(s, d, "lineitem"), LINE_MEASURES).drop("label"), 4),
     "a20_density_grid": a20,
+    "a20_density_grids_all": a20_all,
+    "a21_correlation_wide": a21_wide,
     "a21_correlation": lambda s, d: rounded(spar.correlation_matrix(correlated_lines(s, d))),
     "a22_pair_density": lambda s, d: spar.pair_density(table(s, d, "lineitem"), LINE_MEASURES),
     "a22_pair_occupancy": a22_occupancy,
@@ -387,7 +429,10 @@ LEFT JOIN ({_semantic_oracle()}) v ON v.type = t.type GROUP BY t.type""",
         f"SELECT 'exponential' AS family, {r('mn', 'p1', 4)}, {r('m - mn', 'p2', 4)} FROM {FITS}",
         f"SELECT 'lognormal' AS family, {r('mu', 'p1', 4)}, {r('sg', 'p2', 4)} FROM {FITS}",
     ]),
+    "a17_a18_a19_fits_all": _fit_oracle(),
     "a20_density_grid": _density_oracle(),
+    "a20_density_grids_all": union([_density_oracle(c, "lineitem", 9, f"'{c}' AS variable, ") for c in LINE_MEASURES]),
+    "a21_correlation_wide": _wide_oracle(),
     "a21_correlation": _correlation_oracle(),
     "a22_pair_density": _pair_oracle(False),
     "a22_pair_occupancy": f"SELECT v1, v2, count(*) AS cells, sum(n)::BIGINT AS n, {r('count(*) / 100.0', 'occupancy')} FROM ({_pair_oracle(False)}) GROUP BY v1, v2",

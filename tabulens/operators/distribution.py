@@ -18,6 +18,7 @@ from tabulens.functions.order_statistics import exact_quantiles
 
 # Wider aggregates leave whole-stage code generation.
 _COLUMNS_PER_JOB = 11
+_FITS_PER_JOB = 12
 
 
 @dataclass
@@ -329,29 +330,61 @@ class Fit:
         return F.when(x > 0, inside / (x * (self.p2 * math.sqrt(2 * math.pi)))).otherwise(0.0)
 
 
-def fit_distributions(df: DataFrame, name: str) -> list[Fit]:
-    """Normal, exponential and log-normal maximum-likelihood fits from one aggregate.
+def fit_all(df: DataFrame, names: Sequence[str]) -> dict[str, list[Fit]]:
+    """Normal, exponential and log-normal maximum-likelihood fits of each variable, from one aggregate per group of columns.
 
     Parameters are (mean, population deviation), (minimum, mean - minimum) and (mean, deviation) of the
-    logarithm of the positive values.
+    logarithm of the positive values. A family that the values don't allow is left out.
     """
-    v = number(df, name)
-    log_v = F.when(v > 0, F.ln(v))
-    row = df.agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("dev"), F.min(v).alias("low"),
-        F.count(log_v).alias("n_log"), F.avg(log_v).alias("mu"), F.stddev_pop(log_v).alias("sigma"),
-    ).first()
-    fits = []
-    if not row["n"]:
-        return fits
-    if row["dev"] > 0:
-        fits.append(Fit("normal", f"Normal({row['mean']:.1f},{row['dev']:.2f})", row["mean"], row["dev"]))
-    scale = row["mean"] - row["low"]
-    if scale > 0:
-        fits.append(Fit("exponential", f"Exp({1 / scale:.2f})", row["low"], scale))
-    if row["n_log"] > 1 and row["sigma"] > 0:
-        fits.append(Fit("lognormal", f"LogNor({row['mu']:.1f},{row['sigma']:.2f})", row["mu"], row["sigma"]))
-    return fits
+    result = {}
+    for part in chunks(list(names), _FITS_PER_JOB):
+        aggregates = []
+        for i, c in enumerate(part):
+            v = number(df, c)
+            log_v = F.when(v > 0, F.ln(v))
+            aggregates += [
+                F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_pop(v).alias(f"dev{i}"), F.min(v).alias(f"low{i}"),
+                F.count(log_v).alias(f"n_log{i}"), F.avg(log_v).alias(f"mu{i}"), F.stddev_pop(log_v).alias(f"sigma{i}"),
+            ]
+        row = df.agg(*aggregates).first()
+        for i, c in enumerate(part):
+            n, mean, dev, low, n_log, mu, sigma = (row[f"{k}{i}"] for k in ("n", "mean", "dev", "low", "n_log", "mu", "sigma"))
+            fits = result.setdefault(c, [])
+            if n and dev > 0:
+                fits.append(Fit("normal", f"Normal({mean:.1f},{dev:.2f})", mean, dev))
+            if n and mean - low > 0:
+                fits.append(Fit("exponential", f"Exp({1 / (mean - low):.2f})", low, mean - low))
+            if n_log > 1 and sigma > 0:
+                fits.append(Fit("lognormal", f"LogNor({mu:.1f},{sigma:.2f})", mu, sigma))
+    return result
+
+
+def fit_distributions(df: DataFrame, name: str) -> list[Fit]:
+    """The fits of one variable."""
+    return fit_all(df, [name])[name]
+
+
+def fit_table(df: DataFrame, names: Sequence[str], fits: dict[str, list[Fit]] | None = None) -> DataFrame:
+    """(variable, family, label, p1, p2) of all variables."""
+    rows = [(c, f.family, f.label, f.p1, f.p2) for c, found in (fits or fit_all(df, names)).items() for f in found]
+    return df.sparkSession.createDataFrame(rows, "variable string, family string, label string, p1 double, p2 double")
+
+
+def density_grids(
+    df: DataFrame, names: Sequence[str], fits: dict[str, list[Fit]] | None = None, summaries: dict[str, Summary] | None = None
+) -> DataFrame:
+    """(variable, family, bin, x, pdf): fitted densities at the bin centres of all variables; beside the summaries one pass over the rows."""
+    fits, summaries = fits or fit_all(df, names), summaries or summarise(df, names)
+    result = None
+    for c in names:
+        if not (fits[c] and (bins := automatic_bins(summaries[c]))):
+            continue
+        step = (bins.high - bins.low) / bins.count
+        centres = df.sparkSession.range(bins.count).select(F.col("id").alias("bin"), (F.lit(bins.low) + (F.col("id") + 0.5) * F.lit(step)).alias("x"))
+        entries = [F.struct(F.lit(c).alias("variable"), F.lit(f.family).alias("family"), F.col("bin"), F.col("x"), f.density(F.col("x")).alias("pdf")) for f in fits[c]]
+        rows = centres.select(F.inline(F.array(*entries)))
+        result = rows if result is None else result.unionAll(rows)
+    return df.sparkSession.createDataFrame([], "variable string, family string, bin bigint, x double, pdf double") if result is None else result
 
 
 def distribution_fits(df: DataFrame, name: str) -> DataFrame:
@@ -361,14 +394,4 @@ def distribution_fits(df: DataFrame, name: str) -> DataFrame:
 
 def density_grid(df: DataFrame, name: str) -> DataFrame:
     """Fitted densities at the centres of the automatic histogram bins."""
-    spark = df.sparkSession
-    bins = automatic_bins(summarise(df, [name])[name])
-    step = (bins.high - bins.low) / bins.count
-    centres = spark.range(bins.count).select(
-        F.col("id").alias("bin"), (F.lit(bins.low) + (F.col("id") + 0.5) * F.lit(step)).alias("x")
-    )
-    entries = [
-        F.struct(F.lit(f.family).alias("family"), F.col("bin"), F.col("x"), f.density(F.col("x")).alias("pdf"))
-        for f in fit_distributions(df, name)
-    ]
-    return centres.select(F.inline(F.array(*entries)))
+    return density_grids(df, [name]).drop("variable")

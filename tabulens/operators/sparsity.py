@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulens.functions.columns import chunks, columns_of, number
@@ -15,6 +18,9 @@ from tabulens.operators.project import drop_incomplete_rows
 _PAIRS_PER_JOB = 80
 _GAP_PAIRS_PER_JOB = 9
 _COLUMNS_PER_JOB = 30
+#: Columns whose products one task sums (four matrices of doubles), and rows multiplied at a time.
+_GRAM_COLUMNS = 1_024
+_GRAM_ROWS = 2_048
 
 
 def _correlation(a: Column, b: Column) -> Column:
@@ -23,36 +29,136 @@ def _correlation(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def correlation_pairs(df: DataFrame, names: Sequence[str]) -> dict[tuple[str, str], float | None]:
+@dataclass
+class Moments:
+    """Rows of the table, and of a column its values, their mean, smallest and largest."""
+
+    rows: int
+    count: dict[str, int]
+    mean: dict[str, float]
+    constant: set[str]
+
+
+def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _GRAM_ROWS):
+            yield np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.slice(at, _GRAM_ROWS).columns])
+
+
+def _numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.select(*[number(df, c).alias(f"c{i}") for i, c in enumerate(names)])
+
+
+def _wide_moments(df: DataFrame, names: Sequence[str]) -> list:
+    """(i, rows, n, m, a, b) of all columns in one scan, summed by task in numpy."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, n, total = 0, np.zeros(len(names), np.int64), np.zeros(len(names))
+        low, high = np.full(len(names), np.inf), np.full(len(names), -np.inf)
+        for x in _matrices(batches):
+            there = ~np.isnan(x)
+            rows += len(x)
+            n += there.sum(axis=0)
+            total += np.where(there, x, 0.0).sum(axis=0)
+            low = np.minimum(low, np.where(there, x, np.inf).min(axis=0))
+            high = np.maximum(high, np.where(there, x, -np.inf).max(axis=0))
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v) for v in (np.arange(len(names)), np.full(len(names), rows), n, total, low, high)], ["i", "rows", "n", "m", "a", "b"]
+            )
+
+    sums = _numbers(df, names).mapInArrow(run, "i long, rows long, n long, m double, a double, b double")
+    mean = F.try_divide(F.sum("m"), F.sum("n")).alias("m")
+    return sums.groupBy("i").agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"), mean, F.min("a").alias("a"), F.max("b").alias("b")).collect()
+
+
+def moments(df: DataFrame, names: Sequence[str]) -> Moments:
+    """One scan: as an aggregate where the columns fit into one, else in numpy."""
+    names = list(names)
+    if len(names) > _COLUMNS_PER_JOB:
+        found = {names[r["i"]]: r for r in _wide_moments(df, names)}
+        rows = max((r["rows"] for r in found.values()), default=0)
+        values = {c: (r["n"], r["m"], r["a"], r["b"]) for c, r in found.items()}
+    else:
+        row = df.agg(F.count(F.lit(1)).alias("rows"), *[f(number(df, c)).alias(f"{p}{i}") for i, c in enumerate(names) for p, f in (("n", F.count), ("m", F.avg), ("a", F.min), ("b", F.max))]).first()
+        rows = row["rows"]
+        values = {c: tuple(row[f"{p}{i}"] for p in "nmab") for i, c in enumerate(names)}
+    empty = (0, None, None, None)
+    values = {c: values[c] if c in values and values[c][0] else empty for c in names}
+    # the mean of equal values need not be that value
+    return Moments(rows, {c: v[0] for c, v in values.items()}, {c: v[1] for c, v in values.items()}, {c for c, v in values.items() if v[2] == v[3]})
+
+
+def _products(df: DataFrame, left: Sequence[str], right: Sequence[str], known: Moments) -> dict[tuple[str, str], tuple]:
+    """Sums over the rows that have both columns, of values less their means, for pairs of a left and a right column (or of the left ones).
+
+    Every task sums Gram matrices of its rows and of the places that hold values; matching cells are then summed by Spark.
+    """
+    names = [*left, *right]
+    means = np.array([known.mean[c] or 0.0 for c in names])
+    first, second = np.triu_indices(len(left), 1) if not right else (np.repeat(np.arange(len(left)), len(right)), np.tile(np.arange(len(left), len(names)), len(left)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, xy, x, xx = (np.zeros((len(names), len(names))) for _ in range(4))
+        for v in _matrices(batches):
+            v = v - means
+            there = (~np.isnan(v)).astype(float)
+            v[there == 0] = 0.0
+            n += there.T @ there
+            xy += v.T @ v
+            x += v.T @ there
+            xx += (v * v).T @ there
+        cells = [first, second, n[first, second], xy[first, second], x[first, second], x[second, first], xx[first, second], xx[second, first]]
+        for at in range(0, len(first) if n.any() else 0, 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in cells], ["i", "j", *fields])
+
+    fields = ["n", "xy", "x", "y", "xx", "yy"]
+    sums = _numbers(df, names).mapInArrow(run, "i long, j long, " + ", ".join(f"{f} double" for f in fields))
+    found = sums.groupBy("i", "j").agg(*[F.sum(f).alias(f) for f in fields])
+    return {(names[r["i"]], names[r["j"]]): tuple(r[f] for f in fields) for r in found.toLocalIterator()}
+
+
+def _wide_pairs(df: DataFrame, names: Sequence[str], known: Moments) -> dict[tuple[str, str], float | None]:
+    """All pairs in one scan up to _GRAM_COLUMNS columns, beyond that one per pair of column blocks.
+
+    A spread below 1e-13 of the squares it comes from is that of a constant: the sums hold no more digits.
+    """
+    blocks = list(chunks(list(names), _GRAM_COLUMNS if len(names) <= _GRAM_COLUMNS else _GRAM_COLUMNS // 2))
+    result: dict[tuple[str, str], float | None] = dict.fromkeys(combinations(names, 2))
+    for i, left in enumerate(blocks):
+        for right in [[], *blocks[i + 1 :]]:
+            for pair, (n, xy, x, y, xx, yy) in _products(df, left, right, known).items():
+                if n and not known.constant.intersection(pair):
+                    a, b = xx - x * x / n, yy - y * y / n
+                    if a > 1e-13 * xx and b > 1e-13 * yy:
+                        result[pair] = min(1.0, abs(xy - x * y / n) / (math.sqrt(a) * math.sqrt(b)))
+    return result
+
+
+def correlation_pairs(df: DataFrame, names: Sequence[str], known: Moments | None = None) -> dict[tuple[str, str], float | None]:
     """Absolute Pearson correlation of every pair i < j; None where a column is constant.
 
-    Complete columns are centred by their means first, so each pair needs one sum in the second pass.
-    Pairs with missing values use the rows that have both.
+    Values are centred by the means of a first scan. Pairs with missing values use the rows that have both. Where all sums fit into one
+    aggregate it makes the second scan, else Gram matrices do.
     """
-    result: dict[tuple[str, str], float | None] = {}
-    total, count, mean, constant = df.count(), {}, {}, set()
-    for part in chunks(list(names), _COLUMNS_PER_JOB):
-        row = df.agg(*[f(number(df, c)).alias(f"{p}{i}") for i, c in enumerate(part) for p, f in (("n", F.count), ("m", F.avg), ("a", F.min), ("b", F.max))]).first()
-        for i, c in enumerate(part):
-            count[c], mean[c] = row[f"n{i}"], row[f"m{i}"]
-            if row[f"a{i}"] == row[f"b{i}"]:  # the mean of equal values need not be that value
-                constant.add(c)
-    whole = [c for c in names if total and count[c] == total]
-    centred = {c: number(df, c) - F.lit(mean[c]) for c in whole}
-    products: dict[tuple[str, str], float] = {}
-    for part in chunks([(c, c) for c in whole] + list(combinations(whole, 2)), _PAIRS_PER_JOB):
-        row = df.agg(*[F.sum(centred[a] * centred[b]).alias(f"s{i}") for i, (a, b) in enumerate(part)]).first()
-        products.update({pair: row[f"s{i}"] for i, pair in enumerate(part)})
+    names, result = list(names), {}
+    known = known or moments(df, names)
+    whole = [c for c in names if known.rows and known.count[c] == known.rows]
+    sums = [(c, c) for c in whole] + list(combinations(whole, 2))
+    rest = [(a, b) for a, b in combinations(names, 2) if known.count[a] < known.rows or known.count[b] < known.rows]
+    if len(sums) > _PAIRS_PER_JOB or len(rest) > _GAP_PAIRS_PER_JOB:
+        return _wide_pairs(df, names, known)
+    if sums:
+        centred = {c: number(df, c) - F.lit(known.mean[c]) for c in whole}
+        row = df.agg(*[F.sum(centred[a] * centred[b]).alias(f"s{i}") for i, (a, b) in enumerate(sums)]).first()
+        products = {pair: row[f"s{i}"] for i, pair in enumerate(sums)}
     for a, b in combinations(whole, 2):
         spread = math.sqrt(products[(a, a)]) * math.sqrt(products[(b, b)])
-        result[(a, b)] = min(1.0, abs(products[(a, b)]) / spread) if spread > 0 and not {a, b} & constant else None
-    rest = [(a, b) for a, b in combinations(names, 2) if (a, b) not in result]
-    for part in chunks(rest, _GAP_PAIRS_PER_JOB):
-        row = df.agg(
-            *[F.abs(_correlation(number(df, a), number(df, b))).alias(f"r{i}") for i, (a, b) in enumerate(part)]
-        ).first()
-        result.update({pair: row[f"r{i}"] for i, pair in enumerate(part)})
-    return result
+        result[(a, b)] = min(1.0, abs(products[(a, b)]) / spread) if spread > 0 and not {a, b} & known.constant else None
+    if rest:
+        row = df.agg(*[F.abs(_correlation(number(df, a), number(df, b))).alias(f"r{i}") for i, (a, b) in enumerate(rest)]).first()
+        result.update({pair: row[f"r{i}"] for i, pair in enumerate(rest)})
+    return {pair: result.get(pair) for pair in combinations(names, 2)}
 
 
 def correlation_matrix(df: DataFrame, names: Sequence[str] | None = None, drop_incomplete: bool = True) -> DataFrame:
@@ -60,13 +166,13 @@ def correlation_matrix(df: DataFrame, names: Sequence[str] | None = None, drop_i
     if names is None:
         names = columns_of(df, "number", "bool")
     rows = drop_incomplete_rows(df) if drop_incomplete else df
-    edges = rows.agg(*[f(number(rows, c)).alias(f"{p}_{c}") for c in names for p, f in (("a", F.min), ("b", F.max))]).first()
-    pairs = correlation_pairs(rows, names)
+    known = moments(rows, names)
+    pairs = correlation_pairs(rows, names, known)
     table = []
     for a in names:
         for b in names:
             if a == b:
-                r = 1.0 if edges[f"a_{a}"] != edges[f"b_{a}"] else None
+                r = 1.0 if known.count[a] and a not in known.constant else None
             else:
                 r = pairs[(a, b)] if (a, b) in pairs else pairs[(b, a)]
             table.append((a, b, r))

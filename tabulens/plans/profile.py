@@ -19,7 +19,7 @@ def profile_dimensionality(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def profile_distribution(df: DataFrame, target: str | None = None) -> dict[str, DataFrame]:
-    """Description, box plots, outliers, histograms, fits, symbol counts and class counts.
+    """Description, box plots, outliers, histograms, fits and their densities, symbol counts and class counts.
 
     Moments and quartiles are computed once and serve the description, outliers, box plots and bins.
     """
@@ -35,6 +35,9 @@ def profile_distribution(df: DataFrame, target: str | None = None) -> dict[str,
         "histograms": distribution.histogram(df, numeric, summaries=summaries),
         "densities": distribution.histogram(df, numeric, density=True, summaries=summaries),
     }
+    fits = distribution.fit_all(df, numeric)
+    result["fits"] = distribution.fit_table(df, numeric, fits)
+    result["fitted_densities"] = distribution.density_grids(df, numeric, fits, summaries)
     if symbolic:
         result["symbols"] = granularity.property_granularity(df, symbolic)
     if target is not None:

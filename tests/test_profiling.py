@@ -1,6 +1,7 @@
 """Profiling operators on small tables with values worked out by hand."""
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -191,3 +192,40 @@ def test_fractions_of_seconds_are_kept(spark):
 
     df = spark.createDataFrame([("2024-01-05 10:11:12.5",), ("2024-01-05 10:11:12",)], "d string")
     assert sorted(r[0] for r in to_dates(df, infer_formats(df, ["d"])).selectExpr("unix_micros(d) % 1000000").collect()) == [0, 500000]
+
+
+@pytest.mark.parametrize("block", [1_024, 8])
+def test_wide_correlations_equal_those_of_each_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(spar, "_GRAM_COLUMNS", block)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 20)) * np.logspace(-3, 6, 20) + np.logspace(6, -3, 20)
+    x[:, 3] = x[:, 2] * -2 + 1
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 0], x[:, 1] = 1 / 3, np.nan
+    x[::2, 4], x[1::2, 4] = np.nan, np.where(np.arange(350) % 2, 5.0, 6.0)
+    x[:, 5] = np.where(x[:, 4] == 5.0, 0.1, np.where(x[:, 4] == 6.0, np.nan, x[:, 5]))  # constant where both are there
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"v{i} double" for i in range(20)))
+    found = spar.correlation_pairs(df, df.columns)
+    assert list(found) == list(combinations(df.columns, 2))
+    column = dict(zip(df.columns, x.T.astype(np.longdouble)))  # plain sums lose digits where the mean is far from zero
+    for (a, b), r in found.items():
+        if {a, b} & {"v0", "v1"} or (a, b) == ("v4", "v5"):
+            assert r is None
+        else:
+            both = ~np.isnan(column[a]) & ~np.isnan(column[b])
+            p, q = (column[c][both] - column[c][both].mean() for c in (a, b))
+            assert r == pytest.approx(float(abs((p * q).sum()) / np.sqrt((p * p).sum() * (q * q).sum())), abs=1e-10)
+    many = spar._wide_moments(df, df.columns)
+    few = spar.moments(df, df.columns)
+    assert {df.columns[m["i"]]: m["n"] for m in many} == few.count
+    assert set(spar.correlation_pairs(df.limit(0), df.columns).values()) == {None}
+
+
+def test_profile_holds_fits_of_all_numeric_variables(spark):
+    df = spark.createDataFrame([(float(i % 90 + 1), float(i * i % 1_000 - 500), "a") for i in range(900)], "x double, y double, s string")
+    result = profile.profile_distribution(df)
+    families = {(r["variable"], r["family"]) for r in result["fits"].collect()}
+    assert families == {(v, f) for v in "xy" for f in ("normal", "exponential", "lognormal")}
+    grid = result["fitted_densities"].collect()
+    assert {(r["variable"], r["family"]) for r in grid} == families and all(r["pdf"] >= 0 for r in grid)
+    assert dist.density_grids(df.limit(0), ["x"]).count() == 0
