@@ -270,6 +270,9 @@ QUERIES = {
     "p07_cap_sample": p07,
     "e01_cyclic_encoding": e01,
     "e02_one_hot": e02,
+    "e02_one_hot_long": lambda s, d: encoding.one_hot_long(
+        table(s, d, "lineitem").withColumn("part", F.when(F.col("l_linenumber") > 1, F.col("l_partkey"))), ["l_orderkey", "l_linenumber"], "part"
+    ),
     "e03_drop_sparse": lambda s, d: mv.drop_sparse(lines_with_gaps(s, d), 0.1, 0.7).drop("l_shipdate"),
     "e04_fill_frequent": e04,
     "e05_fill_constant": lambda s, d: mv.fill_missing(lines_with_gaps(s, d), "constant", LINE_KEY, drop_dates=True),
@@ -299,6 +302,9 @@ UNION ALL SELECT 'part', 'open', count(*), count(DISTINCT p_type) FROM part UNIO
     "e02_one_hot": "SELECT c_custkey, " + ", ".join(
         f"c_mktsegment = '{v}' AS \"c_mktsegment_{v}\"" for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
     ) + ", c_acctbal < 0 AS state_debt FROM customer",
+    "e02_one_hot_long": """WITH source AS (SELECT *, CASE WHEN l_linenumber > 1 THEN l_partkey END AS part FROM lineitem),
+places AS (SELECT part, row_number() OVER (ORDER BY part NULLS LAST) - 1 AS position FROM (SELECT DISTINCT part FROM source))
+SELECT l_orderkey, l_linenumber, position FROM source JOIN places ON source.part IS NOT DISTINCT FROM places.part""",
     "e03_drop_sparse": E03,
     "e04_fill_frequent": E04,
     "e05_fill_constant": E05,

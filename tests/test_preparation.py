@@ -98,3 +98,12 @@ def test_long_whole_numbers_keep_their_digits(spark, tmp_path):
     df = src.read_csv(spark, str(path))
     assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "decimal(38,0)", "double"]
     assert sorted(int(r["id"]) for r in df.collect()) == [-(10**18), 2**63 - 1] and max(int(r["huge"]) for r in df.collect()) == 12345678901234567890123
+
+
+def test_positions_of_many_categories_are_dense_and_ordered(spark):
+    df = spark.range(9_000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("c"), F.col("id") % 2_500)).alias("c"))
+    places = {r["value"]: r["position"] for r in encoding.category_positions(df, "c").collect()}
+    named = sorted(v for v in places if v is not None)
+    assert len(named) > 2_000 and [places[v] for v in named] == list(range(len(named))) and places[None] == len(named)
+    assert encoding.one_hot_long(df, ["k"], "c").count() == 9_000
+    assert encoding.one_hot_long(df.limit(0), ["k"], "c").count() == 0
