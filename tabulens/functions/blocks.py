@@ -28,11 +28,28 @@ def weighted_points(df: DataFrame, features: Sequence[str], target: str, labels:
     return df.select(F.array(*values).alias("x"), F.element_at(places, F.col(target)).alias("y")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
 
 
+def counted_points(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """(x, label, w) as in `weighted_points`, from one scan that needs no labels; gaps stay in it for `refuse_gap_points`."""
+    values = [number(df, f) + F.lit(0.0) for f in features]
+    return df.select(F.array(*values).alias("x"), F.col(target).alias("label")).groupBy("x", "label").agg(F.count(F.lit(1)).alias("w"))
+
+
+def placed_points(counted: DataFrame, labels: Sequence) -> DataFrame:
+    """(x, y, w) of counted points: labels become their positions."""
+    places = F.create_map(*[F.lit(v) for i, label in enumerate(labels) for v in (label, i)])
+    return counted.select("x", F.element_at(places, F.col("label")).alias("y"), "w")
+
+
 def refuse_gaps(df: DataFrame, features: Sequence[str]) -> None:
     if not df.where(any_missing(df, features)).isEmpty():
         raise ValueError("a row lacks a feature; fill or drop such rows first")
 
 
+def refuse_gap_points(counted: DataFrame) -> None:
+    if not counted.where(F.exists("x", lambda v: v.isNull())).isEmpty():
+        raise ValueError("a row lacks a feature; fill or drop such rows first")
+
+
 def _gathered(rows: Iterator, width: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     while some := list(itertools.islice(rows, limit)):
         x = np.array([r[0] for r in some], float).reshape(-1, width)

@@ -6,7 +6,7 @@ binned. Several trees (one per criterion) grow in the same passes, and one tree
 tables; each level is stored, so nothing is computed twice and the plan does not grow.
 
 Values are cut into ranges once, so a feature with very many values is summed range by range and the ranges' sums are put in order
-afterwards; no task sees all values of a feature.
+afterwards; no task sees all values of a feature. A value finds its range in two steps over about the square root of their number.
 
 An impure node is split as long as its rows differ, even where no split lowers the impurity. A leaf takes its most frequent class, the
 first on a tie. Rows that lack a feature are refused.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -31,7 +32,7 @@ MAX_DEPTH = 60
 DIGITS = 10
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tree-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -65,29 +66,40 @@ class Trees:
     levels: list[DataFrame] = field(default_factory=list)
 
 
-def _ranges(points: DataFrame, n_features: int, range_points: int) -> Callable[[Column, Column], Column]:
-    """Number of the range a value of a feature lies in."""
-    n = points.count()
+def _ranges(points: DataFrame, n: int, n_features: int, range_points: int) -> Callable[[Column, Column], Column]:
+    """Number of the range a value of a feature lies in: how many cut points are below it."""
     pieces = min(4_096, n // range_points + 1)
     if pieces == 1:
         return lambda f, v: F.lit(0)
     shares = [i / pieces for i in range(1, pieces)]
-    cuts = points.agg(*[F.percentile_approx(F.get("x", F.lit(i)), shares, 10 * pieces).alias(f"c{i}") for i in range(n_features)]).first()
-    table = F.array(*[F.array(*[F.lit(float(c)) for c in sorted(set(cuts[i]))]) for i in range(n_features)])
-    return lambda f, v: F.size(F.filter(F.get(table, f), lambda c: c < v))
+    found = points.agg(*[F.percentile_approx(F.get("x", F.lit(i)), shares, 10 * pieces).alias(f"c{i}") for i in range(n_features)]).first()
+    cuts = [sorted(set(c)) for c in found]
+    step = max(1, math.isqrt(pieces))
+    literal = lambda values: F.array(*[F.lit(float(c)) for c in values])
+    coarse = F.array(*[literal(c[step - 1 :: step]) for c in cuts])
+    fine = F.array(*[F.array(*[literal(c[j : j + step]) for j in range(0, len(c) + 1, step)]) for c in cuts])
+    below = lambda values, v: F.size(F.filter(values, lambda c: c < v))
+
+    def number_of(f: Column, v: Column) -> Column:
+        block = below(F.get(coarse, f), v)
+        return block * step + F.coalesce(below(F.get(F.get(fine, f), block), v), F.lit(0))
+
+    return number_of
 
 
 def _best_splits(rows: DataFrame, trees: Trees, range_of: Callable, one_range: bool) -> DataFrame:
     """The split of every open node that has one."""
     k = len(trees.labels)
-    counts = [f"c{i}" for i in range(k)]
-    long = rows.where("open and w > 0").select("tree", "node", "y", "w", "total", F.posexplode("x").alias("feature", "v"))
+    counts, totals = [f"c{i}" for i in range(k)], [f"t{i}" for i in range(k)]
+    # totals are numbers of their own: an array in the aggregate would have all cells sorted
+    long = rows.where("open and w > 0").select(
+        "tree", "node", "y", "w", *[F.get("total", F.lit(i)).alias(t) for i, t in enumerate(totals)], F.posexplode("x").alias("feature", "v"))
     cells = long.withColumn("part", range_of(F.col("feature"), F.col("v"))).groupBy("tree", "node", "feature", "part", "v").agg(
-        *[F.sum(F.when(F.col("y") == i, F.col("w")).otherwise(0)).alias(c) for i, c in enumerate(counts)], F.any_value("total").alias("total"))
+        *[F.sum(F.when(F.col("y") == i, F.col("w")).otherwise(0)).alias(c) for i, c in enumerate(counts)], *[F.max(t).alias(t) for t in totals])
     group = ["tree", "node", "feature"]
     inside = Window.partitionBy(*group, "part").orderBy("v")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    run = cells.select(*group, "part", "v", "total", F.lead("v").over(inside).alias("next"), *[F.sum(c).over(upto).alias(c) for c in counts])
+    run = cells.select(*group, "part", "v", *totals, F.lead("v").over(inside).alias("next"), *[F.sum(c).over(upto).alias(c) for c in counts])
     if not one_range:
         parts = cells.groupBy(*group, "part").agg(F.min("v").alias("least"), *[F.sum(c).alias(c) for c in counts])
         order = Window.partitionBy(*group).orderBy("part")
@@ -95,14 +107,15 @@ def _best_splits(rows: DataFrame, trees: Trees, range_of: Callable, one_range: b
         parts = parts.select(*group, "part", F.lead("least").over(order).alias("after"), *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"b_{c}") for c in counts])
         run = run.join(parts, [*group, "part"]).withColumns({"next": F.coalesce("next", "after"), **{c: F.col(c) + F.col(f"b_{c}") for c in counts}})
     left = [F.col(c) for c in counts]
-    right = [F.get("total", F.lit(i)) - F.col(c) for i, c in enumerate(counts)]
+    right = [F.col(t) - F.col(c) for c, t in zip(counts, totals)]
     score = F.lit(None).cast("double")
     for i, criterion in enumerate(trees.criteria):
         score = F.when(F.col("tree") == i, _impurity(criterion, left) + _impurity(criterion, right)).otherwise(score)
-    n = F.aggregate("total", F.lit(0).cast("long"), lambda a, c: a + c)
+    n = sum((F.col(t) for t in totals[1:]), F.col(totals[0]))
     found = run.where("next is not null").select(
-        "tree", "node", F.struct(F.round(score / n, DIGITS).alias("score"), "feature", "v", "next", F.array(*left).alias("left"), "total").alias("s"))
-    best = found.groupBy("tree", "node").agg(F.min("s").alias("s"))
+        *group, "part", F.struct(F.round(score / n, DIGITS).alias("score"), "feature", "v", "next", F.array(*left).alias("left"), F.array(*totals).alias("total")).alias("s"))
+    # the windows leave the rows in order of feature and part, so the first minimum needs no sort
+    best = found.groupBy(*group, "part").agg(F.min("s").alias("s")).groupBy("tree", "node").agg(F.min("s").alias("s"))
     middle = (F.col("s.v") + F.col("s.next")) / 2
     threshold = F.when(middle < F.col("s.next"), middle).otherwise(F.col("s.v"))
     return best.select("tree", "node", F.col("s.feature").alias("feature"), threshold.alias("threshold"), F.col("s.left").alias("left"), F.col("s.total").alias("all"))
@@ -111,17 +124,18 @@ def _best_splits(rows: DataFrame, trees: Trees, range_of: Callable, one_range: b
 def _moved(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """The rows one level down, with the class `p` of their new node."""
     names = rows.columns
-    joined = rows.join(splits, ["tree", "node"], "left")
+    right = F.zip_with("all", "left", lambda a, b: a - b)
+    ends = {f"{name}_{side}": of(c) for side, c in (("left", F.col("left")), ("right", right)) for name, of in (("p", _first_largest), ("open", _open), ("total", lambda c: c))}
+    joined = rows.join(splits.select("tree", "node", "feature", "threshold", *[e.alias(n) for n, e in ends.items()]), ["tree", "node"], "left")
     split = F.col("threshold").isNotNull()
     goes_left = F.get("x", F.col("feature")) <= F.col("threshold")
-    counts = F.when(goes_left, F.col("left")).otherwise(F.zip_with("all", "left", lambda a, b: a - b))
-    joined = joined.withColumn("counts", F.when(split, counts))
+    side = lambda name, other: F.when(~split, other).when(goes_left, F.col(f"{name}_left")).otherwise(F.col(f"{name}_right"))
     changed = {
         "node": F.when(split, F.col("node") * 2 + F.when(goes_left, 0).otherwise(1)).otherwise(F.col("node")),
-        "p": F.when(split, _first_largest(F.col("counts"))).otherwise(F.col("p")),
+        "p": side("p", F.col("p")),
     }
     if "open" in names:
-        changed |= {"total": F.when(split, F.col("counts")).otherwise(F.col("total")), "open": split & _open(F.col("counts"))}
+        changed |= {"total": side("total", F.col("total")), "open": side("open", F.lit(False))}
     return joined.withColumns(changed).select(*names)
 
 
@@ -134,37 +148,46 @@ def grow(
     `watched` rows go down with the train rows; `at_level(depth, rows)` sees them at every depth up to the last with a split as (tree, y, p, w): label, class of their
     node (as positions in `labels`, null for other labels) and number of rows.
     """
+    points = weighted_points(train, features, target, labels)
+    below = None if watched is None else weighted_points(watched, features, target, labels)
+    return grow_points(stored(points.where("y is not null")), features, labels, criteria, max_depth, below, at_level, range_points)
+
+
+def grow_points(
+    points: DataFrame, features: Sequence[str], labels: Sequence, criteria: Sequence[str] = ("gini",), max_depth: int = 10,
+    watched: DataFrame | None = None, at_level: Callable[[int, DataFrame], None] | None = None, range_points: int = RANGE_POINTS,
+) -> Trees:
+    """As `grow`, from stored points (x, y, w); train points without a known label are left out already."""
     if max_depth > MAX_DEPTH:
         raise ValueError(f"trees are at most {MAX_DEPTH} levels deep")
     if set(criteria) - set(CRITERIA):
         raise ValueError(f"criteria are {', '.join(CRITERIA)}")
-    points = _stored(weighted_points(train, features, target, labels).where("y is not null"))
     sums = dict(points.groupBy("y").agg(F.sum("w")).collect())
     if not sums:
         raise ValueError("no rows to learn from")
     total = [sums.get(i, 0) for i in range(len(labels))]
     trees = Trees(list(features), list(labels), list(criteria), total)
-    range_of = _ranges(points, len(features), range_points)
-    one_range = points.count() < range_points
+    n = points.count()
+    range_of, one_range = _ranges(points, n, len(features), range_points), n < range_points
     first = F.array(*[F.lit(t).cast("long") for t in total])
     rows = points.select("x", "y", "w", F.lit(0).cast("long").alias("seen"))
     if watched is not None:
-        rows = rows.union(weighted_points(watched, features, target, labels).select("x", "y", F.lit(0).cast("long"), "w"))
+        rows = rows.union(watched.select("x", "y", F.lit(0).cast("long"), "w"))
     rows = rows.select(
         F.explode(F.array(*[F.lit(i) for i in range(len(criteria))])).alias("tree"), F.lit(1).cast("long").alias("node"), "x", "y", "w", "seen",
         first.alias("total"), _first_largest(first).alias("p"), _open(first).alias("open"))
-    rows = _stored(rows)
+    rows = stored(rows)
     for depth in range(max_depth + 1):
         if at_level is not None:
             at_level(depth, rows.where("seen > 0").select("tree", "y", "p", F.col("seen").alias("w")))
         if depth == max_depth:
             break
-        splits = _stored(_best_splits(rows, trees, range_of, one_range))
+        splits = stored(_best_splits(rows, trees, range_of, one_range))
         if splits.isEmpty():
             break
         trees.levels.append(splits)
         # train rows in leaves have said what they know
-        rows = _stored(_moved(rows, splits).where("open or seen > 0"))
+        rows = stored(_moved(rows, splits).where("open or seen > 0"))
     return trees
 
 
@@ -178,6 +201,6 @@ def predict(trees: Trees, df: DataFrame, tree: int = 0, depth: int | None = None
     for i, splits in enumerate(trees.levels[:depth]):
         rows = _moved(rows, splits)
         if i % 4 == 3:
-            rows = _stored(rows)
+            rows = stored(rows)
     labels = F.array(*[F.lit(v) for v in trees.labels])
     return rows.select("row.*", F.get(labels, F.col("p")).alias(name))

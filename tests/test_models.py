@@ -317,3 +317,30 @@ def test_neighbours_refuse_gaps(spark):
     for a, b in ((holes, train), (train, holes)):
         with pytest.raises(ValueError, match="lacks a feature"):
             nn.knn_predict(a, b, ["a", "b"], "y", "k")
+
+
+def test_a_tree_study_reads_each_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    rows = [(float(i % 7), float(i), "ab"[i % 3 == 0]) for i in range(60)]
+    train, test = [spark.createDataFrame(part, "a double, b double, y string").mapInPandas(counted, "a double, b double, y string") for part in (rows[:40], rows[40:])]
+    scores = studies.tree_study(train, test, ["a", "b"], "y", ["gini"], [2, 3]).collect()
+    assert len(scores) == 2 and read.value == 60
+    gap = spark.createDataFrame([(None, 1.0, "a")], "a double, b double, y string")
+    with pytest.raises(ValueError):
+        studies.tree_study(gap, test, ["a", "b"], "y", ["gini"], [2])
+
+
+def test_ranges_of_many_cuts_count_the_cuts_below(spark):
+    points = spark.createDataFrame([([float(i), 1.0],) for i in range(500)], "x array<double>")
+    for size in (3, 10, 100):
+        number = trees._ranges(points, 500, 2, size)
+        found = points.select(F.get("x", F.lit(0)).alias("v"), number(F.lit(0), F.get("x", F.lit(0))).alias("r"), number(F.lit(1), F.lit(1.0)).alias("one")).collect()
+        parts = [r["r"] for r in sorted(found, key=lambda r: r["v"])]
+        assert parts == sorted(parts) and {r["one"] for r in found} == {0}
+        assert set(parts) == set(range(max(parts) + 1)) and max(parts.count(p) for p in set(parts)) <= 2 * size
