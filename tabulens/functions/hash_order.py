@@ -2,7 +2,8 @@
 
 The hash of a key is uniform, so the k-th smallest of n hashes lies within a few standard deviations
 (about sqrt(n) rows) of k/n. Only the rows inside that narrow band are ordered; everything below is only
-counted. The band is checked against the counts and widened when it misses, so the result is always exact.
+counted. The band is checked against the counts. Where it misses (the rows left by an earlier split have no small hashes), rows are
+counted by the leading digits of their hashes until few are in question, so the result is always exact.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabulens.functions.columns import key_hash, key_text
 
 HASH_DIGITS = 15
+MD5_DIGITS = 32
+#: Rows of a class that are ordered after a miss, and counts that reach the driver at once.
+BAND_ROWS = 50_000
+MAX_COUNTS = 65_536
 MAX_CLASSES = 1_000
 _NO_CLASS = "<missing>"
 
@@ -61,31 +66,57 @@ def hash_cutoffs(
     the band itself is ordered.
     """
     slim = df.select(class_text(by).alias("c"), key_hash(key, seed).alias("h"), key_text(key).alias("k"))
-    found: dict[str, tuple[str, str]] = {}
-    width = 6.0
     open_classes = {c: q for c, q in quotas.items() if q > 0}
-    while open_classes:
-        spread = {c: (width * math.sqrt(sizes[c]) + 50) / sizes[c] for c in open_classes}
-        low = _per_class(F.col("c"), {c: hash_at(q / sizes[c] - spread[c]) for c, q in open_classes.items()})
-        high = _per_class(F.col("c"), {c: hash_at(q / sizes[c] + spread[c]) for c, q in open_classes.items()})
-        rows = slim.filter(F.col("c").isin(list(open_classes))).filter(F.col("h") <= high)
-        below = F.col("h") < low
-        counted = (
-            rows.select("c", F.when(below, "").otherwise(F.col("h")).alias("h"), F.when(below, "").otherwise(F.col("k")).alias("k"))
-            .groupBy("c", "h", "k").agg(F.count("*").alias("n"))
-        )
-        order = Window.partitionBy("c").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
-        cut = counted.withColumn("upto", F.sum("n").over(order)).filter(
-            (F.col("upto") == _per_class(F.col("c"), open_classes)) & (F.col("h") != "")
-        )
-        found.update({r["c"]: (r["h"], r["k"]) for r in cut.collect()})
-        open_classes = {c: q for c, q in open_classes.items() if c not in found}
-        if any(spread[c] >= 1 for c in open_classes):  # the band held all rows of the class
-            raise ValueError(f"the key {key!r} repeats or is null where the quota ends; add columns that make it unique")
-        width *= 8
+    if not open_classes:
+        return {}
+    spread = {c: (6.0 * math.sqrt(sizes[c]) + 50) / sizes[c] for c in open_classes}
+    low = _per_class(F.col("c"), {c: hash_at(q / sizes[c] - spread[c]) for c, q in open_classes.items()})
+    high = _per_class(F.col("c"), {c: hash_at(q / sizes[c] + spread[c]) for c, q in open_classes.items()})
+    rows = slim.filter(F.col("c").isin(list(open_classes))).filter(F.col("h") <= high)
+    found = _last_within(rows, F.col("h") < low, open_classes)
+    missed = {c: q for c, q in open_classes.items() if c not in found}
+    if missed:
+        found.update(_cutoffs_by_digits(slim, missed))
+    if len(found) < len(open_classes):
+        raise ValueError(f"the key {key!r} repeats or is null where the quota ends; add columns that make it unique")
     return found
 
 
+def _last_within(rows: DataFrame, below: Column, quotas: dict[str, int]) -> dict[str, tuple[str, str]]:
+    """(hash, key) of the row that fills the quota of its class; rows below the band are only counted."""
+    counted = (
+        rows.select("c", F.when(below, "").otherwise(F.col("h")).alias("h"), F.when(below, "").otherwise(F.col("k")).alias("k"))
+        .groupBy("c", "h", "k").agg(F.count("*").alias("n"))
+    )
+    order = Window.partitionBy("c").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
+    cut = counted.withColumn("upto", F.sum("n").over(order)).filter((F.col("upto") == _per_class(F.col("c"), quotas)) & (F.col("h") != ""))
+    return {r["c"]: (r["h"], r["k"]) for r in cut.collect()}
+
+
+def _cutoffs_by_digits(slim: DataFrame, quotas: dict[str, int], band_rows: int = BAND_ROWS) -> dict[str, tuple[str, str]]:
+    """As `_last_within`, for hashes in any distribution: the digits of the last hash are found by counting, some digits a pass."""
+    prefix, left, wide = dict.fromkeys(quotas, ""), dict(quotas), set(quotas)
+    while wide:
+        digits = max(1, int(math.log(MAX_COUNTS / len(wide), 16) + 1e-9))
+        rows = slim.filter(F.col("c").isin(list(wide)))
+        start = _per_class(F.col("c"), {c: prefix[c] for c in wide})
+        counts: dict[str, list] = {c: [] for c in wide}
+        for r in rows.filter(F.startswith("h", start)).groupBy("c", F.substr("h", F.length(start) + 1, F.lit(digits)).alias("d")).count().collect():
+            counts[r["c"]].append((r["d"], r["count"]))
+        for c in list(wide):
+            for d, n in sorted(counts[c]):
+                if left[c] <= n:
+                    prefix[c] += d
+                    if n <= band_rows or len(prefix[c]) >= MD5_DIGITS:
+                        wide.discard(c)
+                    break
+                left[c] -= n
+            else:
+                raise ValueError("a class has fewer rows than its quota")
+    start = _per_class(F.col("c"), prefix)
+    return _last_within(slim.filter(F.col("c").isin(list(quotas))).filter(F.startswith("h", start)), F.lit(False), left)
+
+
 def within_quota(
     key: str | Sequence[str], cutoffs: dict[str, tuple[str, str]], by: str | None, seed: int
 ) -> Column:

@@ -1,11 +1,13 @@
 """Exact order statistics, hash order and running totals, with limits small enough to force their rounds."""
 
+import hashlib
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabulens.functions import hash_order
 from tabulens.functions.hash_order import share_quotas
 from tabulens.functions.order_statistics import exact_quantiles, kth_row, not_after
 from tabulens.functions.running import running_totals
@@ -135,3 +137,15 @@ def test_temporal_split_by_text_keys(spark, monkeypatch, limit):
     train, test = sampling.temporal_split(df, "t", "k", 0.6)
     n = int(len(keys) * 0.6)
     assert sorted((r["k"] for r in train.collect()), key=str.encode) == keys[:n] and test.count() == len(keys) - n
+
+
+def test_a_sample_of_what_a_split_left_orders_few_rows(spark):
+    df = spark.range(3_000).withColumn("y", F.when(F.col("id") % 3 == 0, "a").otherwise("b"))
+    train, _ = sampling.stratified_split(df, "id", "y")
+    hashes = sorted((hashlib.md5(f"{r['id']}|42".encode()).hexdigest(), str(r["id"]), r["y"]) for r in train.collect())
+    wanted = {c: [h for h in hashes if h[2] == c] for c in "ab"}
+    slim = train.select(F.col("y").alias("c"), F.md5(F.concat(F.col("id").cast("string"), F.lit("|42"))).alias("h"), F.col("id").cast("string").alias("k"))
+    for band in (1, 20, 5_000):
+        found = hash_order._cutoffs_by_digits(slim, {"a": 100, "b": 7}, band)
+        assert found == {"a": wanted["a"][99][:2], "b": wanted["b"][6][:2]}
+    assert {str(r["id"]) for r in sampling.sample_rows(train, "id", 50).collect()} == {h[1] for h in hashes[:50]}
