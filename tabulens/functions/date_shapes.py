@@ -11,11 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 import re
+import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulens.functions.columns import chunks
 
+#: Digits, and letters without a meaning of their own in `shape`, are alike. Texts up to so many characters are counted before their shapes are taken.
+_ALIKE = "123456789" + "".join(c for c in string.ascii_letters if c not in "AaPpMmTZf")
+_MASKED = 40
 #: Shapes looked at per column; more of them are no dates.
 MAX_SHAPES = 4
 _DATE = {
@@ -39,6 +43,11 @@ def shape(c: Column) -> Column:
     return F.translate(c, "\u0001\u0002\u0003", "TZP")
 
 
+def mask(c: Column) -> Column:
+    """The text with like characters made equal; its shape is the shape of the text."""
+    return F.translate(c, _ALIKE, "0" * 9 + "x" * (len(_ALIKE) - 9))
+
+
 def candidates(shapes: Sequence[str]) -> list[str]:
     """Formats that values of these shapes can have, best first; none if no single format covers them."""
     bare = {s.replace(".f", "") for s in shapes}
@@ -76,9 +85,14 @@ def infer_formats(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
     """The format that fits all values of a column, for the text columns that have one. Empty columns have none."""
     if not names:
         return {}
-    entries = [F.struct(F.lit(c).alias("variable"), shape(F.col(f"`{c}`")).alias("shape")) for c in names]
+    # values of one mask have one shape, so the patterns run once a mask; long texts, whose masks can all differ, get their shape at once
+    entries = [
+        F.struct(F.lit(c).alias("variable"), (F.length(v) > _MASKED).alias("done"), F.when(F.length(v) > _MASKED, shape(v)).otherwise(mask(v)).alias("mask"))
+        for c in names for v in (F.col(f"`{c}`"),)
+    ]
+    masks = df.select(F.inline(F.array(*entries))).where("mask is not null").distinct()
     # values that no date is as long as count as one shape
-    long = df.select(F.inline(F.array(*entries))).where("shape is not null").withColumn("shape", F.when(F.length("shape") <= 24, F.col("shape")).otherwise(""))
+    long = masks.select("variable", F.when(F.col("done"), F.col("mask")).otherwise(shape(F.col("mask"))).alias("shape")).withColumn("shape", F.when(F.length("shape") <= 24, F.col("shape")).otherwise(""))
     counted = long.groupBy("variable", "shape").count().groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.slice(F.sort_array(F.collect_set(F.substring("shape", 1, 24))), 1, MAX_SHAPES).alias("shapes"))
     few = {r["variable"]: r["shapes"] for r in counted.where(F.col("n") <= MAX_SHAPES).collect()}
     tried = [(c, f) for c, shapes in few.items() for f in candidates(shapes)]

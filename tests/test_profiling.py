@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabulens.functions import date_shapes
 from tabulens.operators import dimensionality as dim, distribution as dist, granularity as gran, sparsity as spar
 from tabulens.plans import profile
 
@@ -229,3 +230,14 @@ def test_profile_holds_fits_of_all_numeric_variables(spark):
     grid = result["fitted_densities"].collect()
     assert {(r["variable"], r["family"]) for r in grid} == families and all(r["pdf"] >= 0 for r in grid)
     assert dist.density_grids(df.limit(0), ["x"]).count() == 0
+
+
+def test_a_mask_keeps_the_shape_and_long_texts_keep_theirs(spark):
+    rng = np.random.default_rng(5)
+    texts = ["2024-01-31T12:00:59.125Z", "3 March 2024 11:59 PM", "11:59 pm", "T1T2", "f.f 1f2", "äf2é9", "Zf", "12:30:10,5+02:00", ""]
+    texts += ["".join(rng.choice(list("0159 TZAaPpMmfbcé.,:+-/"), rng.integers(1, 30))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    row = df.select(date_shapes.shape(F.col("t")).alias("a"), date_shapes.shape(date_shapes.mask(F.col("t"))).alias("b"), date_shapes.mask(F.col("t")).alias("m")).collect()
+    assert [r["a"] for r in row] == [r["b"] for r in row] and len({r["m"] for r in row}) < len(set(texts))
+    padded = spark.createDataFrame([(" " * 40 + f"2024-{m:02}-11", f"{m} " * 30) for m in range(1, 13)], "d string, free string")
+    assert date_shapes.infer_formats(padded, ["d", "free"]) == {"d": "yyyy-M-d"}
