@@ -5,7 +5,9 @@ exclude little), by their nearest pivot. Pivots are the means of a bounded sampl
 distance of its rows to the pivot, and the triangle inequality bounds distances in every metric offered. For every distinct query
 point the boxes give an upper limit of its k-th distance, and only boxes that can hold a closer row are searched.
 Query points travel to their boxes by an equi-key shuffle; a box and its query points meet in groups of bounded
-size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point.
+size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point. Within a group rows and
+queries are cut into small cells, and only cells within reach are compared; with many features euclidean distances are bounded by a
+matrix product first and computed for what can be among the nearest.
 Equal train points are cut to their first k keys and equal query points are searched once, so copies do not
 make a group hot. The result is exact for every metric offered. Rows that lack a feature are refused, in the train table and
 among the queries, unless the index is made for gaps. The cut and boxed train points are
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabulens.functions.blocks import refuse_gaps
 from tabulens.functions.columns import key_list, key_text, number, number_sql
+from tabulens.functions.running import range_number
 from tabulens.session import ensure_checkpoint_dir
 
 METRICS = ["manhattan", "euclidean", "chebyshev"]
@@ -30,6 +33,10 @@ BLOCK_ROWS = 2_048
 QUERY_ROWS = 16_384
 MAX_BOXES = 4_096
 MAX_SLICES = 64
+#: Boxes of larger tables hold more rows, up to this; a box is split by hash beyond so many times its planned rows.
+LARGE_ROWS, PART_BOXES = 16_384, 4
+#: Rows or queries of a cell within a group.
+CELL_ROWS = 64
 #: From so many features on, boxes are made around pivots; sampled rows per pivot, and rounds of moving pivots to their means.
 PIVOT_FEATURES, PIVOT_SAMPLE, PIVOT_ROUNDS = 8, 8, 4
 _DIGITS = 9
@@ -65,14 +72,18 @@ def _train_key(key: str | Sequence[str]) -> Column:
     return F.col(keys[0]) if len(keys) == 1 else key_text(keys)
 
 
-def _slices(points: DataFrame, names: list[str], block_rows: int) -> list[tuple[str, list[float]]]:
+def _planned_rows(points: DataFrame, block_rows: int | None) -> int:
+    return block_rows or max(BLOCK_ROWS, min(LARGE_ROWS, points.count() // 64))
+
+
+def _slices(points: DataFrame, names: list[str], block_rows: int, max_slices: int = MAX_SLICES) -> list[tuple[str, list[float]]]:
     """Cut points: the feature with the widest remaining slice is halved until the boxes are small enough."""
     row = points.agg(F.count("*").alias("n"), *[F.stddev_pop(x).alias(x) for x in names]).first()
     widths = np.array([row[x] or 0.0 for x in names])
     pieces = np.ones(len(names), dtype=int)
     target = min(MAX_BOXES, row["n"] // block_rows + 1)
     while pieces.prod() < target:
-        reach = np.where(pieces < MAX_SLICES, widths / pieces, 0.0)
+        reach = np.where(pieces < max_slices, widths / pieces, 0.0)
         if reach.max() <= 0:
             break
         pieces[int(reach.argmax())] *= 2
@@ -80,7 +91,7 @@ def _slices(points: DataFrame, names: list[str], block_rows: int) -> list[tuple[
     if not chosen:
         return []
     found = points.agg(
-        *[F.percentile_approx(x, [j / p for j in range(1, p)], 1_000).alias(x) for x, p in chosen]
+        *[F.percentile_approx(x, [j / p for j in range(1, p)], max(1_000, 10 * p)).alias(x) for x, p in chosen]
     ).first()
     return [(x, sorted(set(found[x] or []))) for x, _ in chosen]
 
@@ -90,6 +101,9 @@ def _box_name(names: list[str], slices: list[tuple[str, list[float]]], gaps: boo
     if gaps:
         parts.append(F.expr("concat(" + ", ".join(f"IF({x} IS NULL, '0', '1')" for x in names) + ")"))
     for x, cuts in slices:
+        if len(cuts) >= MAX_SLICES and not gaps:
+            parts.append(range_number(F.col(x), cuts).cast("string"))
+            continue
         above = " + ".join(f"IF({x} > {c!r}D, 1, 0)" for c in cuts) or "0"
         parts.append(F.expr(f"IF({x} IS NULL, '-', CAST({above} AS STRING))"))
     return F.concat_ws("/", *parts) if parts else F.lit("")
@@ -131,7 +145,7 @@ def _by_pivot(points: DataFrame, names: list[str], pivots: np.ndarray) -> DataFr
     return points.mapInPandas(assign, T.StructType(fields))
 
 
-def _collect_boxes(boxed: DataFrame, names: list[str], block_rows: int, pivots: np.ndarray | None = None) -> _Boxes:
+def _collect_boxes(boxed: DataFrame, names: list[str], part_rows: int, pivots: np.ndarray | None = None) -> _Boxes:
     edges = [f(x).alias(f"{p}_{x}") for x in names for p, f in (("low", F.min), ("high", F.max))]
     if pivots is not None:
         edges += [f(f"to_{m}").alias(f"{p}_{m}") for m in METRICS for p, f in (("low", F.min), ("high", F.max))]
@@ -143,7 +157,7 @@ def _collect_boxes(boxed: DataFrame, names: list[str], block_rows: int, pivots:
 
     counts = np.array([r["n"] for r in rows], dtype=np.int64)
     low = table("low")
-    found = _Boxes([r["box"] for r in rows], low, table("high"), counts, counts // block_rows + 1, ~np.isnan(low))
+    found = _Boxes([r["box"] for r in rows], low, table("high"), counts, counts // part_rows + 1, ~np.isnan(low))
     if pivots is not None:
         found.pivots = pivots[[int(r["box"][1:]) for r in rows]].reshape(-1, len(names))
         found.least, found.most = ({m: np.array([r[f"{side}_{m}"] for r in rows]) for m in METRICS} for side in ("low", "high"))
@@ -170,7 +184,7 @@ def build_index(
     k: int,
     carry: Sequence[str] = (),
     gaps: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> Index:
     """Prepare a train table for searches of up to k neighbours. `gaps` allows missing feature values."""
     ensure_checkpoint_dir(train.sparkSession)
@@ -188,12 +202,17 @@ def build_index(
         .checkpoint()
     )
     if not gaps and len(names) >= PIVOT_FEATURES:
+        block_rows = _planned_rows(points, block_rows)
         pivots = _pivots(points, names, block_rows)
         boxed = _by_pivot(points, names, pivots).checkpoint()
         return Index(features, names, carry, k, gaps, boxed.drop(*[f"to_{m}" for m in METRICS]), _collect_boxes(boxed, names, block_rows, pivots))
-    slices = _slices(points, names, block_rows)
-    boxed = points.withColumn("box", _box_name(names, slices, gaps))
-    return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, block_rows))
+    if gaps:
+        block_rows = block_rows or BLOCK_ROWS
+        boxed = points.withColumn("box", _box_name(names, _slices(points, names, block_rows), gaps))
+        return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, block_rows))
+    block_rows = _planned_rows(points, block_rows)
+    boxed = points.withColumn("box", _box_name(names, _slices(points, names, block_rows, MAX_BOXES), gaps))
+    return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, PART_BOXES * block_rows))
 
 
 def _fold(gaps: np.ndarray, metric: str) -> np.ndarray:
@@ -224,6 +243,10 @@ def _reachable(x: np.ndarray, need: np.ndarray | None, boxes: _Boxes, k: int, me
     if need is not None:
         usable &= boxes.present[:, need].T
     farthest = np.where(usable, farthest, np.inf)
+    full = boxes.rows >= k
+    if need is None and full.any():
+        limit = farthest[:, full].min(axis=1) * (1 + 1e-9) + 1e-9
+        return usable & (nearest <= limit[:, None]), limit
     order = np.argsort(farthest, axis=1, kind="stable")
     seen = np.cumsum(np.where(np.take_along_axis(usable, order, 1), boxes.rows[order], 0), axis=1)
     enough = seen >= k
@@ -247,6 +270,83 @@ def _k_smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return q[keep], r[keep]
 
 
+def _leaves(x: np.ndarray, size: int) -> list[np.ndarray]:
+    """Row numbers in cells: halved at the median of the widest feature until small or equal."""
+    done, todo = [], [np.arange(len(x))]
+    while todo:
+        rows = todo.pop()
+        spread = np.ptp(x[rows], axis=0)
+        j = int(spread.argmax())
+        if len(rows) <= size or not spread[j] > 0:
+            done.append(rows)
+            continue
+        half = len(rows) // 2
+        cut = np.argpartition(x[rows, j], half)
+        todo += [rows[cut[:half]], rows[cut[half:]]]
+    return done
+
+
+def _by_cells(q: np.ndarray, far: np.ndarray, r: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, distance) of the k nearest rows of every query within its limit; only cells within reach are compared."""
+    cells = _leaves(r, CELL_ROWS)
+    low, high = np.array([r[c].min(axis=0) for c in cells]), np.array([r[c].max(axis=0) for c in cells])
+    sizes = np.array([len(c) for c in cells])
+    found = []
+    for mine in _leaves(q, CELL_ROWS):
+        x, reach = q[mine], far[mine]
+        away = _fold(np.maximum(np.maximum(low - x.max(axis=0), x.min(axis=0) - high), 0.0), metric)
+        order = np.argsort(away, kind="stable")
+        enough = int(np.searchsorted(np.cumsum(sizes[order]), k)) + 1
+        rows = np.concatenate([cells[c] for c in order[:enough]])
+        if len(rows) >= k:
+            near = np.round(_distances(x, r[rows], metric), _DIGITS)
+            reach = np.minimum(reach, np.partition(near, k - 1, axis=1)[:, k - 1])
+        rest = order[enough:]
+        rest = rest[away[rest] <= reach.max() * (1 + 1e-9) + 1e-9 + 10.0**-_DIGITS]
+        # rows are numbered in the order of their keys, which decides ties
+        rows = np.sort(np.concatenate([rows, *[cells[c] for c in rest]]))
+        step = max(1, 2_000_000 // len(rows))
+        for i in range(0, len(mine), step):
+            here = mine[i : i + step]
+            dist = np.round(_distances(q[here], r[rows], metric), _DIGITS)
+            dist[dist > far[here][:, None]] = np.inf
+            a, b = _k_smallest(dist, k)
+            found.append((here[a], rows[b], dist[a, b]))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def _by_product(q: np.ndarray, far: np.ndarray, r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `_by_cells` for euclidean distances: squares from a matrix product leave few rows, whose distances are then computed exactly."""
+    middle = r.mean(axis=0)
+    rc, found = r - middle, []
+    r2 = (rc * rc).sum(axis=1)
+    step = max(1, 2_000_000 // len(r))
+    for i in range(0, len(q), step):
+        x = q[i : i + step]
+        xc = x - middle
+        x2 = (xc * xc).sum(axis=1)
+        square = xc @ rc.T
+        square *= -2.0
+        square += r2
+        square += x2[:, None]
+        error = 1e-13 * (1 + q.shape[1]) * (x2 + r2.max())
+        last = np.partition(square, k - 1, axis=1)[:, k - 1] if len(r) > k else np.full(len(x), np.inf)
+        reach = np.minimum(np.sqrt(np.maximum(last, 0.0) + error), far[i : i + step]) + 2 * 10.0**-_DIGITS
+        a, b = np.nonzero(square <= (reach * reach + error)[:, None])
+        exact = np.zeros(len(a))
+        for j in range(q.shape[1]):
+            gap = np.abs(x[a, j] - r[b, j])
+            exact += gap * gap
+        exact = np.round(np.sqrt(exact), _DIGITS)
+        there = exact <= far[i + a]
+        a, b, exact = a[there], b[there], exact[there]
+        place = np.lexsort((b, exact, a))
+        a, b, exact = a[place], b[place], exact[place]
+        keep = np.arange(len(a)) - np.searchsorted(a, np.arange(len(x)))[a] < k
+        found.append((i + a[keep], b[keep], exact[keep]))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
 def nearest_rows(
     index: Index,
     queries: DataFrame,
@@ -273,7 +373,7 @@ def nearest_rows(
         *[number(queries, f).alias(n) for f, n in zip(features, names)],
     )
     by = ["query", "need"] if need else ["query"]
-    asked = asked.groupBy(*by).agg(*[F.any_value(n).alias(n) for n in names])
+    asked = asked.groupBy(*by).agg(*[F.any_value(n).alias(n) for n in names]).checkpoint()
 
     schema = T.StructType(
         [asked.schema[c] for c in by] + [T.StructField(n, T.DoubleType()) for n in names]
@@ -300,7 +400,7 @@ def nearest_rows(
     routed = asked.mapInPandas(route, schema) if boxes.names else spark.createDataFrame([], schema)
 
     salts: dict[str, int] = {}
-    if boxes.names and queries.count() > query_rows:
+    if boxes.names and asked.count() > query_rows:
         load = routed.groupBy("box", "part").agg(F.count("*").alias("n")).groupBy("box").agg(F.max("n").alias("n"))
         salts = {r["box"]: r["n"] // query_rows + 1 for r in load.collect() if r["n"] > query_rows}
     salt_of = _by_box(salts)
@@ -326,6 +426,14 @@ def nearest_rows(
         rows_here = rows_here.sort_values("train_key", kind="stable").reset_index(drop=True)
         r = rows_here[names].to_numpy(dtype=float)
         outputs = []
+        asked_at = asked_here[names].to_numpy(dtype=float)
+        if not need and np.isfinite(r).all() and np.isfinite(asked_at).all():
+            far = asked_here["far"].to_numpy(dtype=float)
+            many = metric == "euclidean" and d >= PIVOT_FEATURES
+            q, t, dist = _by_product(asked_at, far, r, k) if many else _by_cells(asked_at, far, r, k, metric)
+            out = {c: _plain(asked_here[c])[q] for c in by} | {"distance": dist, "train_key": _plain(rows_here["train_key"])[t]}
+            out.update({c: _plain(rows_here[c])[t] for c in carry})
+            return pd.DataFrame({f.name: out[f.name] for f in found_schema.fields})
         step = max(1, 2_000_000 // len(r))
         for i in range(0, len(asked_here), step):
             pdf = asked_here.iloc[i : i + step]

@@ -344,3 +344,23 @@ def test_ranges_of_many_cuts_count_the_cuts_below(spark):
         parts = [r["r"] for r in sorted(found, key=lambda r: r["v"])]
         assert parts == sorted(parts) and {r["one"] for r in found} == {0}
         assert set(parts) == set(range(max(parts) + 1)) and max(parts.count(p) for p in set(parts)) <= 2 * size
+
+
+@pytest.mark.parametrize("features, scale", [(1, 1.0), (4, 1.0), (4, 1e4)])
+def test_search_by_cells_finds_the_same_rows_as_all_distances(features, scale):
+    rng = np.random.default_rng(features)
+    rows = np.round(rng.normal(size=(700, features)) * scale, 1)
+    rows[:60] = rows[0]
+    asked = np.vstack([np.round(rng.normal(size=(150, features)) * scale, 1), rows[:20]])
+    _assert_same_rows(asked, rows, nn.METRICS, lambda far, k, metric: nn._by_cells(asked, far, rows, k, metric))
+
+
+def _assert_same_rows(asked, rows, metrics, search):
+    for metric in metrics:
+        for k in (1, 5, 49):
+            for far in (np.full(len(asked), np.inf), np.linspace(0, np.abs(rows).max(), len(asked))):
+                dist = np.round(nn._distances(asked, rows, metric), 9)
+                dist[dist > far[:, None]] = np.inf
+                q, t = nn._k_smallest(dist, k)
+                found = list(zip(*search(far, k, metric)))
+                assert sorted(found) == sorted(zip(q, t, dist[q, t]))
