@@ -364,3 +364,12 @@ def _assert_same_rows(asked, rows, metrics, search):
                 q, t = nn._k_smallest(dist, k)
                 found = list(zip(*search(far, k, metric)))
                 assert sorted(found) == sorted(zip(q, t, dist[q, t]))
+
+
+@pytest.mark.parametrize("features, scale, rows", [(10, 1.0, 500), (64, 1e4, 300), (64, 1e-3, 3)])
+def test_search_by_product_finds_the_same_rows_as_all_distances(features, scale, rows):
+    rng = np.random.default_rng(features)
+    train = rng.normal(size=(rows, features)) * scale + 3
+    train[: rows // 5] = train[0]
+    asked = np.vstack([rng.normal(size=(60, features)) * scale + 3, train[:20]])
+    _assert_same_rows(asked, train, ["euclidean"], lambda far, k, _: nn._by_product(asked, far, train, k))
