@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabulens.functions.columns import any_missing, number
 
-#: Points in a block, and tasks whose vectors are summed together before the driver.
+#: Points in a block, points of a task where there are more than the cores need, and tasks whose vectors are summed together before the driver.
 BLOCK_POINTS = 4_096
+PART_POINTS = 500_000
 FAN_IN = 32
 
 def weighted_points(df: DataFrame, features: Sequence[str], target: str, labels: Sequence) -> DataFrame:
@@ -68,7 +69,8 @@ class Blocks:
     def __enter__(self) -> Blocks:
         kept = self.points.persist(StorageLevel.MEMORY_AND_DISK)
         n = kept.count()
-        parts = min(kept.rdd.getNumPartitions(), max(1, n // self.block_points))
+        # a pass takes one task a core: fewer leave cores idle, more cost time in every pass
+        parts = max(1, min(n // self.block_points, max(kept.sparkSession.sparkContext.defaultParallelism, math.ceil(n / PART_POINTS))))
         # the values themselves decide the block, so a task that runs again makes the same blocks
         spread = kept.repartition(parts, "x", "y").sortWithinPartitions("x", "y")
         width, limit = self.width, self.block_points

@@ -62,8 +62,17 @@ class Shape:
 def _forward(shape: Shape, v: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hidden values and output scores of one network."""
     w1, b1, w2, b2 = shape.split(v)
-    z = x @ w1 + b1
-    hidden = 1 / (1 + np.exp(-np.clip(z, -700, 700))) if shape.activation == "logistic" else np.maximum(z, 0)
+    hidden = x @ w1
+    hidden += b1
+    if shape.activation == "logistic":
+        # in place, and without limits: an overflow ends in 0, as it should
+        np.negative(hidden, out=hidden)
+        with np.errstate(over="ignore"):
+            np.exp(hidden, out=hidden)
+        hidden += 1
+        np.reciprocal(hidden, out=hidden)
+    else:
+        np.maximum(hidden, 0, out=hidden)
     return hidden, hidden @ w2 + b2
 
 
@@ -92,8 +101,16 @@ def _gradients(shape: Shape, networks: np.ndarray) -> Callable:
                 _, _, w2, _ = shape.split(v)
                 g1, gb1, g2, gb2 = shape.split(row[1:])
                 g2[...], gb2[...] = hidden.T @ delta, delta.sum(0)
-                back = delta @ w2.T * (hidden * (1 - hidden) if shape.activation == "logistic" else hidden > 0)
-                g1[...], gb1[...] = x.T @ back, back.sum(0)
+                if shape.activation == "logistic":
+                    slope = hidden * hidden
+                    np.subtract(hidden, slope, out=slope)
+                else:
+                    slope = (hidden > 0).astype(float)
+                if shape.outputs == 1:  # one output's weights are factors of the sums, not of every row
+                    g1[...], gb1[...] = (x * delta).T @ slope * w2[:, 0], (delta.T @ slope)[0] * w2[:, 0]
+                else:
+                    slope *= delta @ w2.T
+                    g1[...], gb1[...] = x.T @ slope, slope.sum(0)
         return np.append(out.ravel(), w.sum())
 
     return run

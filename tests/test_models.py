@@ -373,3 +373,12 @@ def test_search_by_product_finds_the_same_rows_as_all_distances(features, scale,
     train[: rows // 5] = train[0]
     asked = np.vstack([rng.normal(size=(60, features)) * scale + 3, train[:20]])
     _assert_same_rows(asked, train, ["euclidean"], lambda far, k, _: nn._by_product(asked, far, train, k))
+
+
+def test_blocks_use_the_cores_whatever_the_partitions(spark):
+    one = spark.createDataFrame([([float(i)], 0, 1) for i in range(400)], "x array<double>, y int, w long").coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    for frame in (one, one.repartition(3 * cores)):
+        with Blocks(frame, 1, 8) as blocks:
+            assert blocks.parts == cores
+            assert blocks.sum(lambda x, y, w: np.array([w.sum()]))[0] == 400
