@@ -382,3 +382,12 @@ def test_blocks_use_the_cores_whatever_the_partitions(spark):
         with Blocks(frame, 1, 8) as blocks:
             assert blocks.parts == cores
             assert blocks.sum(lambda x, y, w: np.array([w.sum()]))[0] == 400
+
+
+def test_a_feature_of_one_wide_scale_gets_many_slices(spark):
+    train, test = points(spark, 600, 1), points(spark, 60, 2)
+    wide = [df.withColumn("a", F.col("a") * 1000) for df in (train, test)]
+    index = nn.build_index(wide[0], ["a", "b", "c"], "k", 5, ["y"], block_rows=4)
+    assert len(index.boxes.names) > nn.MAX_SLICES
+    named = wide[1].withColumn("query", nn.query_id(wide[1], ["a", "b", "c"])).join(nn.knn_votes(index, wide[1], "y", [5], "manhattan"), "query")
+    assert {r["k"]: r["p"] for r in named.select(wide[1]["k"], "p").collect()} == brute(*wide, 5, "manhattan")
