@@ -5,9 +5,10 @@ exclude little), by their nearest pivot. Pivots are the means of a bounded sampl
 distance of its rows to the pivot, and the triangle inequality bounds distances in every metric offered. For every distinct query
 point the boxes give an upper limit of its k-th distance, and only boxes that can hold a closer row are searched.
 Query points travel to their boxes by an equi-key shuffle; a box and its query points meet in groups of bounded
-size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point. Within a group rows and
-queries are cut into small cells, and only cells within reach are compared; with many features euclidean distances are bounded by a
-matrix product first and computed for what can be among the nearest.
+size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point. Boxes around pivots meet
+their query points by shelves of neighbouring boxes, so that a point that no box excludes travels to few groups. Within a group rows and
+queries are cut into small cells, and only cells within reach are compared; on a shelf every query takes the boxes by their distance, and
+euclidean distances are bounded by a matrix product first and computed for what can be among the nearest.
 Equal train points are cut to their first k keys and equal query points are searched once, so copies do not
 make a group hot. The result is exact for every metric offered. Rows that lack a feature are refused, in the train table and
 among the queries, unless the index is made for gaps. The cut and boxed train points are
@@ -39,15 +40,20 @@ LARGE_ROWS, PART_BOXES = 16_384, 4
 CELL_ROWS = 64
 #: From so many features on, boxes are made around pivots; sampled rows per pivot, and rounds of moving pivots to their means.
 PIVOT_FEATURES, PIVOT_SAMPLE, PIVOT_ROUNDS = 8, 8, 4
+#: Boxes around pivots that are searched together, and rows of a shelf of such boxes, beyond which it is split by hash.
+SHELF_BOXES, SHELF_ROWS = 8, 65_536
+#: Queries and rows of one matrix product, pairs whose distances are computed at a time, and pairs per neighbour that are too many.
+PRODUCT_QUERIES, PRODUCT_ROWS, PAIR_ROWS, MANY_PAIRS = 256, 2_048, 8_192, 4
 _DIGITS = 9
 _NUMPY = {"double": "float64", "float": "float32", "long": "int64", "integer": "int32", "short": "int16", "byte": "int8", "boolean": "bool"}
 
 
 @dataclass
 class _Boxes:
-    """Box edges, row counts, number of parts per box, with missing values the present features, with pivots these and the rows' distances."""
+    """Box edges, row counts, number of parts per box, with missing values the present features, with pivots these, the rows' distances and
+    the shelf of each box; parts are then those of the shelves."""
 
-    names: list[str]
+    names: list
     low: np.ndarray
     high: np.ndarray
     rows: np.ndarray
@@ -56,6 +62,7 @@ class _Boxes:
     pivots: np.ndarray | None = None
     least: dict[str, np.ndarray] | None = None
     most: dict[str, np.ndarray] | None = None
+    shelves: np.ndarray | None = None
 
 
 def query_id(df: DataFrame, features: Sequence[str]) -> Column:
@@ -131,21 +138,34 @@ def _nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return ((pivots**2).sum(1) - 2 * x @ pivots.T).argmin(1)
 
 
-def _by_pivot(points: DataFrame, names: list[str], pivots: np.ndarray) -> DataFrame:
-    """The points with their box and, per metric, their distance to its pivot."""
-    fields = [*points.schema.fields, T.StructField("box", T.StringType()), *[T.StructField(f"to_{m}", T.DoubleType()) for m in METRICS]]
+def _shelves(pivots: np.ndarray) -> np.ndarray:
+    """The shelf of each pivot: neighbouring pivots are put together."""
+    found = np.zeros(len(pivots), dtype=np.int64)
+    for i, group in enumerate(_leaves(pivots, SHELF_BOXES)):
+        found[group] = i
+    return found
+
+
+def _by_pivot(points: DataFrame, names: list[str], pivots: np.ndarray, shelves: np.ndarray) -> DataFrame:
+    """The points with their box (the number of the pivot), its shelf and, per metric, their distance to its pivot."""
+    fields = [
+        *points.schema.fields, T.StructField("box", T.LongType()), T.StructField("shelf", T.LongType()),
+        *[T.StructField(f"to_{m}", T.DoubleType()) for m in METRICS],
+    ]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             x = pdf[names].to_numpy(dtype=float)
             near = _nearest_pivot(x, pivots)
             gaps = np.abs(x - pivots[near])
-            yield pdf.assign(box=[f"p{i}" for i in near], **{f"to_{m}": _fold(gaps, m) for m in METRICS})
+            yield pdf.assign(box=near, shelf=shelves[near], **{f"to_{m}": _fold(gaps, m) for m in METRICS})
 
     return points.mapInPandas(assign, T.StructType(fields))
 
 
-def _collect_boxes(boxed: DataFrame, names: list[str], part_rows: int, pivots: np.ndarray | None = None) -> _Boxes:
+def _collect_boxes(
+    boxed: DataFrame, names: list[str], part_rows: int, pivots: np.ndarray | None = None, shelves: np.ndarray | None = None
+) -> _Boxes:
     edges = [f(x).alias(f"{p}_{x}") for x in names for p, f in (("low", F.min), ("high", F.max))]
     if pivots is not None:
         edges += [f(f"to_{m}").alias(f"{p}_{m}") for m in METRICS for p, f in (("low", F.min), ("high", F.max))]
@@ -159,7 +179,9 @@ def _collect_boxes(boxed: DataFrame, names: list[str], part_rows: int, pivots: n
     low = table("low")
     found = _Boxes([r["box"] for r in rows], low, table("high"), counts, counts // part_rows + 1, ~np.isnan(low))
     if pivots is not None:
-        found.pivots = pivots[[int(r["box"][1:]) for r in rows]].reshape(-1, len(names))
+        place = np.array(found.names, dtype=np.int64)
+        found.pivots, found.shelves = pivots[place].reshape(-1, len(names)), shelves[place]
+        found.parts = np.bincount(found.shelves, counts, len(pivots)).astype(np.int64) // part_rows + 1
         found.least, found.most = ({m: np.array([r[f"{side}_{m}"] for r in rows]) for m in METRICS} for side in ("low", "high"))
     return found
 
@@ -204,8 +226,10 @@ def build_index(
     if not gaps and len(names) >= PIVOT_FEATURES:
         block_rows = _planned_rows(points, block_rows)
         pivots = _pivots(points, names, block_rows)
-        boxed = _by_pivot(points, names, pivots).checkpoint()
-        return Index(features, names, carry, k, gaps, boxed.drop(*[f"to_{m}" for m in METRICS]), _collect_boxes(boxed, names, block_rows, pivots))
+        shelves = _shelves(pivots)
+        boxed = _by_pivot(points, names, pivots, shelves).checkpoint()
+        boxes = _collect_boxes(boxed, names, SHELF_ROWS, pivots, shelves)
+        return Index(features, names, carry, k, gaps, boxed.drop(*[f"to_{m}" for m in METRICS]), boxes)
     if gaps:
         block_rows = block_rows or BLOCK_ROWS
         boxed = points.withColumn("box", _box_name(names, _slices(points, names, block_rows), gaps))
@@ -230,15 +254,25 @@ def _fold(gaps: np.ndarray, metric: str) -> np.ndarray:
         return np.where(n > 0, np.sqrt(total * gaps.shape[-1] / n), np.inf)
 
 
+def _bounds(x: np.ndarray, boxes: _Boxes, metric: str, some: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+    """Query-by-box tables: no row of the box is nearer, and none is farther."""
+    low, high = boxes.low[some], boxes.high[some]
+    nearest, farthest = np.empty((len(x), len(low))), np.empty((len(x), len(low)))
+    step = max(1, 250_000 // max(1, low.size))
+    for i in range(0, len(x), step):
+        below, above = low[None] - x[i : i + step, None], x[i : i + step, None] - high[None]
+        nearest[i : i + step] = _fold(np.maximum(np.maximum(below, above), 0.0), metric)
+        farthest[i : i + step] = _fold(np.maximum(np.abs(below), np.abs(above)), metric)
+    if boxes.pivots is not None:
+        away, least, most = _distances(x, boxes.pivots[some], metric), boxes.least[metric][some], boxes.most[metric][some]
+        nearest = np.maximum(nearest, np.maximum(away - most, least - away))
+        farthest = np.minimum(farthest, away + most)
+    return nearest, farthest
+
+
 def _reachable(x: np.ndarray, need: np.ndarray | None, boxes: _Boxes, k: int, metric: str):
     """Query-by-box table of boxes that can hold one of the k nearest rows, and the distance limit."""
-    below, above = boxes.low[None] - x[:, None], x[:, None] - boxes.high[None]
-    nearest = _fold(np.maximum(np.maximum(below, above), 0.0), metric)
-    farthest = _fold(np.maximum(np.abs(below), np.abs(above)), metric)
-    if boxes.pivots is not None:
-        away = _distances(x, boxes.pivots, metric)
-        nearest = np.maximum(nearest, np.maximum(away - boxes.most[metric], boxes.least[metric] - away))
-        farthest = np.minimum(farthest, away + boxes.most[metric])
+    nearest, farthest = _bounds(x, boxes, metric)
     usable = np.isfinite(nearest)
     if need is not None:
         usable &= boxes.present[:, need].T
@@ -315,38 +349,127 @@ def _by_cells(q: np.ndarray, far: np.ndarray, r: np.ndarray, k: int, metric: str
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
-def _by_product(q: np.ndarray, far: np.ndarray, r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As `_by_cells` for euclidean distances: squares from a matrix product leave few rows, whose distances are then computed exactly."""
-    middle = r.mean(axis=0)
-    rc, found = r - middle, []
-    r2 = (rc * rc).sum(axis=1)
-    step = max(1, 2_000_000 // len(r))
-    for i in range(0, len(q), step):
-        x = q[i : i + step]
-        xc = x - middle
+def _first_k(q: np.ndarray, row: np.ndarray, dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest of every query, in order; ties go to the row that comes first."""
+    order = np.lexsort((row, dist, q))
+    q, row, dist = q[order], row[order], dist[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], row[keep], dist[keep]
+
+
+def _tighter(reach: np.ndarray, q: np.ndarray, dist: np.ndarray, k: int) -> None:
+    """Lower the limits of queries that have k rows to the distance of the last; the rows are those of `_first_k`."""
+    last = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == k - 1)
+    reach[q[last]] = np.minimum(reach[q[last]], dist[last])
+
+
+def _paired(x: np.ndarray, r: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the pairs (x[a], r[b]), summed in the order of the features."""
+    total = np.zeros(len(a))
+    for i in range(0, len(a), PAIR_ROWS):
+        gaps = np.ascontiguousarray((x[a[i : i + PAIR_ROWS]] - r[b[i : i + PAIR_ROWS]]).T)
+        gaps *= gaps
+        for gap in gaps:
+            total[i : i + PAIR_ROWS] += gap
+    return np.round(np.sqrt(total), _DIGITS)
+
+
+def _close_pairs(
+    xc: np.ndarray, x2: np.ndarray, right: np.ndarray, longest: float, reach: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) of all pairs that can be among the k nearest within reach, from one matrix product in the precision of `right`.
+
+    `right` holds the rows and their squared lengths, so the product is the squared distance less that of the query's length. It is off by
+    `error` at most, whatever the order of its sums.
+    """
+    most = (np.sqrt(x2) + longest) ** 2
+    error = (0.5 * float(np.finfo(right.dtype).eps) + 1e-13) * (xc.shape[1] + 16) * most + 1e-30
+    slack = 2 * 10.0**-_DIGITS
+    square = np.column_stack([-2.0 * xc, np.ones(len(xc))]).astype(right.dtype) @ right.T
+    limit = np.minimum((reach + slack) ** 2, 1.01 * most) - x2 + error
+    near = square <= limit.astype(right.dtype)[:, None]
+    few = MANY_PAIRS * k * len(xc)
+    if np.count_nonzero(near) > few and square.shape[1] > k:
+        last = np.partition(square, k - 1, axis=1)[:, k - 1]
+        last = (np.sqrt(np.maximum(last + error + x2, 0.0)) + slack) ** 2
+        near = square <= np.minimum(limit, last - x2 + error).astype(right.dtype)[:, None]
+    return np.divmod(np.flatnonzero(near), near.shape[1])
+
+
+class _Rows:
+    """Rows of a box, ready for matrix products."""
+
+    def __init__(self, r: np.ndarray):
+        self.r, self.middle = r, r.mean(axis=0)
+        centred = r - self.middle
+        self.square = (centred * centred).sum(axis=1)
+        self.longest = float(np.sqrt(self.square.max()))
+        # single precision where nothing can overflow or vanish
+        self.single = np.column_stack([centred.astype(np.float32), self.square.astype(np.float32)]) if 1e-10 < self.longest < 1e10 else None
+
+    def double(self, here: slice) -> np.ndarray:
+        return np.column_stack([self.r[here] - self.middle, self.square[here]])
+
+
+def _by_product(q: np.ndarray, far: np.ndarray, rows: _Rows, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `_by_cells` for euclidean distances: squares from matrix products leave few rows, whose distances are then computed exactly.
+
+    Blocks of queries and rows are small enough for the processor's cache, and what a block finds limits the next. Where single precision
+    leaves too many rows, the block is done in double precision.
+    """
+    found = []
+    for i in range(0, len(q), PRODUCT_QUERIES):
+        x, reach = q[i : i + PRODUCT_QUERIES], far[i : i + PRODUCT_QUERIES].copy()
+        xc = x - rows.middle
         x2 = (xc * xc).sum(axis=1)
-        square = xc @ rc.T
-        square *= -2.0
-        square += r2
-        square += x2[:, None]
-        error = 1e-13 * (1 + q.shape[1]) * (x2 + r2.max())
-        last = np.partition(square, k - 1, axis=1)[:, k - 1] if len(r) > k else np.full(len(x), np.inf)
-        reach = np.minimum(np.sqrt(np.maximum(last, 0.0) + error), far[i : i + step]) + 2 * 10.0**-_DIGITS
-        a, b = np.nonzero(square <= (reach * reach + error)[:, None])
-        exact = np.zeros(len(a))
-        for j in range(q.shape[1]):
-            gap = np.abs(x[a, j] - r[b, j])
-            exact += gap * gap
-        exact = np.round(np.sqrt(exact), _DIGITS)
-        there = exact <= far[i + a]
-        a, b, exact = a[there], b[there], exact[there]
-        place = np.lexsort((b, exact, a))
-        a, b, exact = a[place], b[place], exact[place]
-        keep = np.arange(len(a)) - np.searchsorted(a, np.arange(len(x)))[a] < k
-        found.append((i + a[keep], b[keep], exact[keep]))
+        single = rows.single if x2.max() < 1e20 else None
+        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        for j in range(0, len(rows.r), PRODUCT_ROWS):
+            here = slice(j, j + PRODUCT_ROWS)
+            if single is not None:
+                a, b = _close_pairs(xc, x2, single[here], rows.longest, reach, k)
+            if single is None or len(a) > 2 * MANY_PAIRS * k * len(x):
+                a, b = _close_pairs(xc, x2, rows.double(here), rows.longest, reach, k)
+            if not len(a):
+                continue
+            b += j
+            exact = _paired(x, rows.r, a, b)
+            there = exact <= reach[a]
+            best = _first_k(*(np.concatenate([old, new[there]]) for old, new in zip(best, (a, b, exact))), k)
+            _tighter(reach, best[0], best[2], k)
+        found.append((best[0] + i, *best[1:]))
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def _by_boxes(
+    q: np.ndarray, far: np.ndarray, r: np.ndarray, box: np.ndarray, boxes: _Boxes, k: int, metric: str
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, distance) of the k nearest rows of every query within its limit, from rows of several boxes around pivots.
+
+    Every query takes the boxes by their distance, and only those that can hold a row nearer than what it has.
+    """
+    there, place = np.unique(box, return_inverse=True)
+    at = np.searchsorted(np.array(boxes.names), there)
+    nearest, _ = _bounds(q, boxes, metric, at)
+    order = np.argsort(nearest, axis=1, kind="stable")
+    # rows are numbered in the order of their keys, which decides ties
+    members = [np.flatnonzero(place == i) for i in range(len(there))]
+    ready = [_Rows(r[m]) if metric == "euclidean" else r[m] for m in members]
+    search = _by_product if metric == "euclidean" else lambda *given: _by_cells(*given, metric)
+    reach, best = far.copy(), (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    for turn in order.T:
+        gained = [best]
+        for i, rows in enumerate(ready):
+            mine = np.flatnonzero(turn == i)
+            mine = mine[nearest[mine, i] <= reach[mine] * (1 + 1e-9) + 1e-9 + 10.0**-_DIGITS]
+            if len(mine):
+                a, b, dist = search(q[mine], reach[mine], rows, k)
+                gained.append((mine[a], members[i][b], dist))
+        best = _first_k(*(np.concatenate(part) for part in zip(*gained)), k)
+        _tighter(reach, best[0], best[2], k)
+    return best
+
+
 def nearest_rows(
     index: Index,
     queries: DataFrame,
@@ -375,14 +498,16 @@ def nearest_rows(
     by = ["query", "need"] if need else ["query"]
     asked = asked.groupBy(*by).agg(*[F.any_value(n).alias(n) for n in names]).checkpoint()
 
-    schema = T.StructType(
-        [asked.schema[c] for c in by] + [T.StructField(n, T.DoubleType()) for n in names]
-        + [T.StructField("far", T.DoubleType()), T.StructField("box", T.StringType()), T.StructField("part", T.LongType())]
-    )
+    on_shelves = boxes.shelves is not None
+    spots = np.unique(boxes.shelves) if on_shelves else np.array(boxes.names, dtype=object)
+    parts = boxes.parts[spots] if on_shelves else boxes.parts
+    groups = ["shelf" if on_shelves else "box", "part", "salt"]
+    spot = groups[0]
+    limited = T.StructType([asked.schema[c] for c in by] + [T.StructField(n, T.DoubleType()) for n in names] + [T.StructField("far", T.DoubleType())])
+    schema = T.StructType([*limited.fields, index.boxed.schema[spot], T.StructField("part", T.LongType())])
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         step = max(1, 4_000_000 // max(1, len(boxes.names) * d))
-        box_names = np.array(boxes.names, dtype=object)
         for batch in batches:
             for i in range(0, len(batch), step):
                 pdf = batch.iloc[i : i + step]
@@ -390,23 +515,43 @@ def nearest_rows(
                 wanted = pdf["need"].to_numpy(dtype=int) if need else None
                 hit, limit = _reachable(x, wanted, boxes, k, metric)
                 q, b = np.nonzero(hit)
-                times = boxes.parts[b]
+                times = parts[b]
                 q, b = np.repeat(q, times), np.repeat(b, times)
                 part = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
                 out = {c: _plain(pdf[c])[q] for c in by}
                 out.update({n: x[q, j] for j, n in enumerate(names)})
-                yield pd.DataFrame({**out, "far": limit[q], "box": box_names[b], "part": part.astype(np.int64)})
+                yield pd.DataFrame({**out, "far": limit[q], spot: spots[b], "part": part.astype(np.int64)})
 
-    routed = asked.mapInPandas(route, schema) if boxes.names else spark.createDataFrame([], schema)
+    def shelve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of_shelf = np.argsort(boxes.shelves, kind="stable")
+        starts = np.searchsorted(boxes.shelves[of_shelf], spots)
+        step = max(1, 4_000_000 // len(boxes.names))
+        for batch in batches:
+            for i in range(0, len(batch), step):
+                pdf = batch.iloc[i : i + step]
+                wanted = pdf["need"].to_numpy(dtype=int) if need else None
+                hit, limit = _reachable(pdf[names].to_numpy(dtype=float), wanted, boxes, k, metric)
+                hit = np.logical_or.reduceat(hit[:, of_shelf], starts, axis=1)
+                yield pdf.assign(far=limit, shelves=[spots[row] for row in hit])
+
+    part_of = _by_box({n: int(p) for n, p in zip(spots.tolist(), parts) if p > 1}, spot)
+    if not boxes.names:
+        routed = spark.createDataFrame([], schema)
+    elif on_shelves:
+        # a query leaves Python once, with the shelves that it goes to
+        sent = asked.mapInPandas(shelve, T.StructType([*limited.fields, T.StructField("shelves", T.ArrayType(T.LongType()))])).checkpoint()
+        sent = sent.withColumn("shelf", F.explode("shelves")).drop("shelves")
+        routed = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), part_of.cast("bigint") - 1)))
+    else:
+        routed = asked.mapInPandas(route, schema)
 
-    salts: dict[str, int] = {}
+    salts: dict = {}
     if boxes.names and asked.count() > query_rows:
-        load = routed.groupBy("box", "part").agg(F.count("*").alias("n")).groupBy("box").agg(F.max("n").alias("n"))
-        salts = {r["box"]: r["n"] // query_rows + 1 for r in load.collect() if r["n"] > query_rows}
-    salt_of = _by_box(salts)
+        load = routed.groupBy(spot, "part").agg(F.count("*").alias("n")).groupBy(spot).agg(F.max("n").alias("n"))
+        salts = {r[spot]: r["n"] // query_rows + 1 for r in load.collect() if r["n"] > query_rows}
+    salt_of = _by_box(salts, spot)
     routed = routed.withColumn("salt", F.pmod(F.xxhash64("query"), salt_of).cast("int"))
 
-    part_of = _by_box({n: int(p) for n, p in zip(boxes.names, boxes.parts) if p > 1})
     rows = (
         index.boxed
         .withColumn("part", F.pmod(F.xxhash64("train_key"), part_of).cast("bigint"))
@@ -429,8 +574,10 @@ def nearest_rows(
         asked_at = asked_here[names].to_numpy(dtype=float)
         if not need and np.isfinite(r).all() and np.isfinite(asked_at).all():
             far = asked_here["far"].to_numpy(dtype=float)
-            many = metric == "euclidean" and d >= PIVOT_FEATURES
-            q, t, dist = _by_product(asked_at, far, r, k) if many else _by_cells(asked_at, far, r, k, metric)
+            if on_shelves:
+                q, t, dist = _by_boxes(asked_at, far, r, rows_here["box"].to_numpy(), boxes, k, metric)
+            else:
+                q, t, dist = _by_cells(asked_at, far, r, k, metric)
             out = {c: _plain(asked_here[c])[q] for c in by} | {"distance": dist, "train_key": _plain(rows_here["train_key"])[t]}
             out.update({c: _plain(rows_here[c])[t] for c in carry})
             return pd.DataFrame({f.name: out[f.name] for f in found_schema.fields})
@@ -452,8 +599,8 @@ def nearest_rows(
             outputs.append(out)
         return pd.DataFrame({f.name: np.concatenate([o[f.name] for o in outputs]) for f in found_schema.fields})
 
-    groups = ["box", "part", "salt"]
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, int(boxes.parts.sum()) // 4))
+    held = int(sum(p * salts.get(s, 1) for s, p in zip(spots.tolist(), parts)))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, 2 * held if on_shelves else int(parts.sum()) // 4))
     found = (
         routed.repartition(n, *groups).groupBy(*groups)
         .cogroup(rows.repartition(n, *groups).groupBy(*groups))
@@ -476,12 +623,12 @@ def boxes_searched(index: Index, queries: DataFrame, k: int, metric: str = "eucl
     return asked.dropDuplicates(["query"]).mapInPandas(count, "query string, boxes long")
 
 
-def _by_box(values: dict[str, int]) -> Column:
-    """The value of the row's box, 1 where it has none."""
+def _by_box(values: dict, box: str) -> Column:
+    """The value of the row's box (or shelf), 1 where it has none."""
     if not values:
         return F.lit(1)
     table = F.create_map(*[F.lit(v) for pair in sorted(values.items()) for v in pair])
-    return F.coalesce(F.element_at(table, F.col("box")), F.lit(1))
+    return F.coalesce(F.element_at(table, F.col(box)), F.lit(1))
 
 
 def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:

@@ -311,6 +311,54 @@ def test_pivot_boxes_are_exact_and_exclude(spark, metric):
     assert nn.boxes_searched(index, frame(q), 4, metric).agg(F.avg("boxes")).first()[0] < 0.3 * len(index.boxes.names)
 
 
+def test_rows_without_structure_are_searched_by_shelves(spark, monkeypatch):
+    """Directions at random: no box is excluded, yet a query meets few groups; copies, split shelves and split queries change nothing."""
+    rng = np.random.default_rng(11)
+    names = [f"f{i}" for i in range(16)]
+    made = lambda n: (lambda v: v / np.linalg.norm(v, axis=1)[:, None])(rng.normal(size=(n, 16)))
+    x, q = made(1500), made(70)
+    x[700:800], q[:20] = x[0], x[:20]
+    frame = lambda v: spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(v)], "k long, " + ", ".join(f"{n} double" for n in names))
+    monkeypatch.setattr(nn, "SHELF_ROWS", 200)
+    index = nn.build_index(frame(x), names, "k", 4, block_rows=30)
+    shelves = np.unique(index.boxes.shelves)
+    assert 1 < len(shelves) <= len(index.boxes.names) / 3 and index.boxes.parts[shelves].max() > 1
+    near = nn.nearest_rows(index, frame(q), 4, query_rows=20)
+    named = frame(q).withColumn("query", nn.query_id(frame(q), names)).select("k", "query").join(near, "query")
+    got = {(r["k"], r["place"]): r["train_key"] for r in named.collect()}
+    for i, row in enumerate(q):
+        d = np.round(np.sqrt(((x - row) ** 2).sum(-1)), 9)
+        assert [got[i, p] for p in range(1, 5)] == np.argsort(d, kind="stable")[:4].tolist()
+
+
+@pytest.mark.parametrize("shift, scale, most", [(0.0, 1.0, 0.02), (1e6, 1.0, 0.02), (0.0, 1e-12, 1.0), (0.0, 1e25, 0.02)])
+def test_matrix_products_leave_few_pairs_and_none_out(monkeypatch, shift, scale, most):
+    """All distances that decide are computed from the features, whatever the offset and size of the values; most pairs need none."""
+    rng = np.random.default_rng(3)
+    x, q = (np.round(rng.normal(size=(n, 12)), 2) * scale + shift for n in (6_000, 300))
+    x[3_000:3_050] = x[:50]
+    q[:50], pairs, paired = x[:50], [], nn._paired
+    monkeypatch.setattr(nn, "_paired", lambda x, r, a, b: pairs.append(len(a)) or paired(x, r, a, b))
+    a, b, dist = nn._by_product(q, np.full(len(q), np.inf), nn._Rows(x), 5)
+    total = np.zeros((len(q), len(x)))
+    for j in range(12):
+        total += (q[:, j, None] - x[None, :, j]) ** 2
+    d = np.round(np.sqrt(total), 9)
+    order = np.argsort(d, axis=1, kind="stable")[:, :5]
+    assert (a == np.repeat(np.arange(300), 5)).all() and (b == order.ravel()).all() and (dist == np.take_along_axis(d, order, 1).ravel()).all()
+    assert sum(pairs) <= most * d.size
+
+
+def test_single_precision_that_separates_too_little_is_not_used():
+    """Two far groups in one box: the rows of a group are nearer to each other than single precision can tell."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4_000, 12)) * 1e-4
+    x[::2] += 1e3
+    a, b, dist = nn._by_product(x[:64], np.full(64, np.inf), nn._Rows(x), 3)
+    d = np.round(nn._distances(x[:64], x, "euclidean"), 9)
+    assert (b.reshape(-1, 3) == np.argsort(d, axis=1, kind="stable")[:, :3]).all() and (dist[::3] == 0).all()
+
+
 def test_neighbours_refuse_gaps(spark):
     train = points(spark, 40, 1)
     holes = train.withColumn("b", F.when(F.col("k") != 3, F.col("b")))
