@@ -40,8 +40,8 @@ LARGE_ROWS, PART_BOXES = 16_384, 4
 CELL_ROWS = 64
 #: From so many features on, boxes are made around pivots; sampled rows per pivot, and rounds of moving pivots to their means.
 PIVOT_FEATURES, PIVOT_SAMPLE, PIVOT_ROUNDS = 8, 8, 4
-#: Boxes around pivots that are searched together, and rows of a shelf of such boxes, beyond which it is split by hash.
-SHELF_BOXES, SHELF_ROWS = 8, 65_536
+#: Boxes around pivots that are searched together; rows of a shelf of such boxes and queries of it, beyond which they are split by hash.
+SHELF_BOXES, SHELF_ROWS, SHELF_QUERIES = 8, 65_536, 32_768
 #: Queries and rows of one matrix product, pairs whose distances are computed at a time, and pairs per neighbour that are too many.
 PRODUCT_QUERIES, PRODUCT_ROWS, PAIR_ROWS, MANY_PAIRS = 256, 2_048, 8_192, 4
 _DIGITS = 9
@@ -476,7 +476,7 @@ def nearest_rows(
     k: int,
     metric: str = "euclidean",
     need: str | None = None,
-    query_rows: int = QUERY_ROWS,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """The k nearest train rows of every distinct query point: (query, [need,] place, distance, train_key, carry...).
 
@@ -499,6 +499,7 @@ def nearest_rows(
     asked = asked.groupBy(*by).agg(*[F.any_value(n).alias(n) for n in names]).checkpoint()
 
     on_shelves = boxes.shelves is not None
+    query_rows = query_rows or (SHELF_QUERIES if on_shelves else QUERY_ROWS)
     spots = np.unique(boxes.shelves) if on_shelves else np.array(boxes.names, dtype=object)
     parts = boxes.parts[spots] if on_shelves else boxes.parts
     groups = ["shelf" if on_shelves else "box", "part", "salt"]
