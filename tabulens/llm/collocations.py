@@ -1,7 +1,7 @@
 """Phrase collocations from counts in weighted acyclic automata.
 
 Texts are gathered into shards of one language. Each shard sorts its n-grams and builds a transducer from n-gram to count; the shards'
-transducers are cut at the edges of prefix ranges, and each range unites its parts and sums their weights. Three rounds go from short to
+transducers are cut at the edges of ranges, and each range unites its parts and sums their weights. Three rounds go from short to
 long, as no phrase is more frequent than its parts: words, pairs of frequent words, then runs of three to `longest` words of frequent
 pairs only. What a range finds frequent goes back to the shards that hold it (never to all of them). Phrases and the parts they are cut
 into are looked up by composing them with the united transducers.
@@ -21,15 +21,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tabulens.llm.common import batches_of, discard, staged
 from tabulens.llm.transducer import Transducer, packed, sort_paths, union, unpacked
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 8 << 20
-#: Sampled places for the edges, and bytes of a word that an edge keeps.
-EDGE_SAMPLE, EDGE_BYTES = 8192, 64
+#: Sampled places for the edges at least, such places per range, places at most, and bytes of a word that an edge keeps.
+EDGE_SAMPLE, EDGE_PLACES, EDGE_MOST, EDGE_BYTES = 8192, 8, 1 << 18, 64
 #: States a range holds on average.
 RANGE_STATES = 400_000
 LOWER = bytes(range(65, 91))
@@ -100,20 +100,36 @@ def _ranges(spark: SparkSession, states: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), states // RANGE_STATES + 1)
 
 
+def _sampling(n: int, states: int, ranges: int) -> tuple[Column, float, Column]:
+    """For places that lie evenly over the states of n shards: the shards to look at, the states from one place of a shard to the next, and
+    those before its first. Each shard starts at a share of its own, as shards have much the same order: equal shares would meet at few states.
+    """
+    wanted = min(EDGE_MOST, max(EDGE_SAMPLE, EDGE_PLACES * ranges))
+    share = min(1.0, wanted / max(n, 1))
+    step = max(1.0, states * share / wanted)
+    picked = F.pmod(F.xxhash64("shard"), F.lit(1 << 30)) < int(share * (1 << 30))
+    return picked, step, F.pmod(F.xxhash64("shard", F.lit(1)), F.lit(1 << 30)) * F.lit(step / (1 << 30))
+
+
 def _edges(sample: list, ranges: int) -> list:
     sample = sorted(sample)
     return sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
 
 
+def _word_edges(stored: DataFrame) -> list[tuple[str, bytes]]:
+    n, states = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+    ranges = _ranges(stored.sparkSession, states)
+    picked, step, first = _sampling(n, states, ranges)
+    last = F.ceil((F.size("words") - F.col("first")) / step) - 1
+    places = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: F.substring(F.get("words", (F.col("first") + i * F.lit(step)).cast("int")), 1, EDGE_BYTES))
+    few = stored.where(picked).withColumn("first", first).where(F.size("words") > F.col("first"))
+    return _edges([(r[0], bytes(r[1])) for r in few.select("lang", F.explode(places).alias("edge")).where("edge is not null").collect()], ranges)
+
+
 def frequent_words(stored: DataFrame, least: int) -> DataFrame:
     """Two kinds of rows. (lang, word, gid, n): words with n >= least, numbered in their order within lang. (lang, shard, local, gids): the
     numbers of a shard's words that are frequent, and their gids."""
-    spark = stored.sparkSession
-    n, states = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
-    each = -(-EDGE_SAMPLE // max(n, 1))
-    places = F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.substring(F.get("words", (i * F.size("words") / F.lit(each)).cast("int")), 1, EDGE_BYTES))
-    few = stored.where(F.size("words") > 0).where(F.pmod(F.xxhash64("shard"), F.lit(1 << 30)) < int(min(1.0, EDGE_SAMPLE / max(n, 1)) * (1 << 30)))
-    edges = _edges([(r[0], bytes(r[1])) for r in few.select("lang", F.explode(places)).collect()], _ranges(spark, states))
+    edges = _word_edges(stored)
 
     def deal(batches):
         for batch in batches:
@@ -237,25 +253,29 @@ def runs_of_shards(coded: DataFrame, pairs: DataFrame, longest: int) -> DataFram
     return joined.mapInArrow(run, "shard string, lang string, states long, automaton array<binary>")
 
 
-def united(made: DataFrame, least: int, width: int) -> DataFrame:
-    """Two kinds of rows. (lang, path, n): paths with a summed weight n >= least. (lang, shard, local): a shard's frequent paths, if width is 2.
-
-    `made` is a stored table of transducers; prefixes of `width` labels stay in one range.
-    """
-    spark = made.sparkSession
+def _path_edges(made: DataFrame, width: int) -> np.ndarray:
     n, states = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("states"), F.lit(0))).first()
-    each, share = -(-EDGE_SAMPLE // max(n, 1)), int(min(1.0, EDGE_SAMPLE / max(n, 1)) * (1 << 30))
+    ranges = _ranges(made.sparkSession, states)
+    picked, step, first = _sampling(n, states, ranges)
 
     def sample(batches):
         for batch in batches_of(batches):
-            for lang, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for at, lang, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 paths, _ = Transducer.of_bytes(parts).paths()
-                some = paths[np.arange(min(each, len(paths))) * len(paths) // each, :width]
+                some = paths[np.arange(at, len(paths), step).astype(np.int64), :width]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.tolist(), pa.list_(pa.int64()))], ["lang", "edge"])
 
-    few = made.where(F.pmod(F.xxhash64("shard"), F.lit(1 << 30)) < share).select("lang", "automaton").mapInArrow(sample, "lang string, edge array<long>")
+    few = made.where(picked).withColumn("first", first).where(F.col("first") < F.col("states")).select("first", "lang", "automaton")
     # languages share the edges
-    edges = np.array(_edges([tuple(r[1]) for r in few.collect()], _ranges(spark, states)), np.int64).reshape(-1, width)
+    return np.array(_edges([tuple(r[1]) for r in few.mapInArrow(sample, "lang string, edge array<long>").collect()], ranges), np.int64).reshape(-1, width)
+
+
+def united(made: DataFrame, least: int, width: int) -> DataFrame:
+    """Two kinds of rows. (lang, path, n): paths with a summed weight n >= least. (lang, shard, local): a shard's frequent paths, if width is 2.
+
+    `made` is a stored table of transducers of `width` layers.
+    """
+    edges = _path_edges(made, width)
 
     def deal(batches):
         for batch in batches_of(batches):
@@ -302,7 +322,7 @@ def looked_up(parts: DataFrame, grams: DataFrame, longest: int) -> DataFrame:
     """(lang, path, n) of all distinct (lang, path) of parts: composed with the transducers of the grams that begin alike."""
     spark = grams.sparkSession
     pieces = _ranges(spark, grams.count())
-    bucket = F.pmod(F.xxhash64(F.substring("path", 1, 8)), F.lit(pieces))
+    bucket = F.pmod(F.xxhash64(F.substring("path", 1, 16)), F.lit(pieces))
 
     def compose(_, asked, counted):
         paths, n = sort_paths(_matrix(counted["path"].to_pylist(), longest), counted["n"].to_numpy())
@@ -327,7 +347,7 @@ def counted(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFr
     if longest > 2:
         runs = staged(runs_of_shards(coded, pairs, longest), "collocation-runs")
         discard(coded)
-        grams = grams.union(united(runs, least, 3).select("lang", "path", "n"))
+        grams = grams.union(united(runs, least, longest).select("lang", "path", "n"))
     return totals, named.drop("n"), staged(grams, "collocation-counts")
 
 

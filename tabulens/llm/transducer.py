@@ -54,13 +54,26 @@ class Transducer:
     def paths(self) -> tuple[np.ndarray, np.ndarray]:
         """All states with a weight as padded paths, sorted, and their weights."""
         depth = len(self.layers)
-        found, weights, trail = [], [], np.zeros((1, 0), np.int64)
+        # below[d]: states with a weight in the part under each state of layer d, itself too
+        own, below = [weight != 0 for _, _, weight in self.layers], []
+        for d in reversed(range(depth)):
+            sums = own[d].astype(np.int64)
+            if below:
+                np.add.at(sums, self.layers[d + 1][1], below[-1])
+            below.append(sums)
+        below.reverse()
+        rows = int(below[0].sum()) if below else 0
+        found, weights = np.full((rows, depth), -1, np.int64), np.zeros(rows, np.int64)
+        place, held = np.zeros(1, np.int64), np.zeros(1, bool)
         for d, (labels, parents, weight) in enumerate(self.layers):
-            trail = np.concatenate([trail[parents], labels[:, None]], axis=1)
-            keep = weight != 0
-            found.append(np.pad(trail[keep], ((0, 0), (0, depth - d - 1)), constant_values=-1))
-            weights.append(weight[keep])
-        return sort_paths(np.concatenate(found), np.concatenate(weights))
+            # a path comes behind the one it extends and behind what its earlier siblings lead to
+            ahead = np.cumsum(below[d]) - below[d]
+            place, held = (place + held)[parents] + ahead - ahead[np.searchsorted(parents, parents)], own[d]
+            weights[place[held]] = weight[held]
+            under = np.arange(int(below[d].sum()))
+            under += np.repeat(place - ahead, below[d])
+            found[under, d] = np.repeat(labels, below[d])
+        return found, weights
 
     def compose(self, queries: np.ndarray) -> np.ndarray:
         """The weight of each padded query path, 0 where the automaton has no such path: all queries go down a layer at a time."""
@@ -103,10 +116,7 @@ class Transducer:
         return cls(layers)
 
     def cut(self, edges: np.ndarray) -> list[tuple[int, Transducer]]:
-        """(range, part): the states of each range of prefixes; edges are sorted prefixes, a path lies behind those not above it.
-
-        The edges' length must not exceed that of the shortest path with a weight, so that equal prefixes stay together.
-        """
+        """(range, part): the states of each range; edges are sorted paths or prefixes, a path lies behind those not above it, so equal paths do too."""
         paths, weights = self.paths()
         where = ranges_of(paths, edges)
         starts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else []
@@ -125,12 +135,14 @@ def sort_paths(paths: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def ranges_of(paths: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """How many of the sorted edges (prefixes of equal length) are not above each of the sorted paths."""
-    width = edges.shape[1]
-    both = np.concatenate([edges, paths[:, :width]])
-    # an edge comes before the paths it begins
-    order = np.lexsort([np.append(np.zeros(len(edges)), np.ones(len(paths))), *both.T[::-1]])
-    seen = np.cumsum(order < len(edges))
-    out = np.empty(len(both), np.int64)
-    out[order] = seen
-    return out[len(edges) :]
+    """How many of the sorted edges (of equal length, padded too) are not above each of the sorted paths."""
+    low, high = np.zeros(len(edges), np.int64), np.full(len(edges), len(paths), np.int64)
+    every = np.arange(len(edges))
+    while (low < high).any():  # the first path that is not below each edge
+        middle = (low + high) // 2
+        here = paths[np.minimum(middle, len(paths) - 1), : edges.shape[1]]
+        at = (here != edges).argmax(axis=1)
+        below = (low < high) & (here[every, at] < edges[every, at])
+        high = np.where(below, high, np.minimum(middle, high))
+        low = np.where(below, middle + 1, low)
+    return np.repeat(np.arange(len(edges) + 1), np.diff([0, *low, len(paths)]))

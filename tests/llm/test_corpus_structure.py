@@ -1,6 +1,7 @@
 """The conversation trie, the source mix and the collocations against brute force, on awkward tables too. Their SQL runs with the registry."""
 
 import hashlib
+from bisect import bisect_right
 import random
 import zlib
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabulens.llm import collocations, mixing, prefix_trie
-from tabulens.llm.transducer import Transducer, sort_paths, union
+from tabulens.llm.transducer import Transducer, ranges_of, sort_paths, union
 
 
 def _brute_trie(rows):
@@ -174,6 +175,51 @@ def test_collocations_match_brute_force(spark, monkeypatch, settings):
     assert collocations.collocations(docs.limit(0)).count() == 0
 
 
+def _shards_alike(spark, n, size):
+    """Sorted paths of n shards with much the same distribution, and their transducers as a table."""
+    rng, rows, every = np.random.default_rng(4), [], []
+    for i in range(n):
+        paths, ones = sort_paths(rng.integers(0, 400, (size, 2)), np.ones(size, np.int64))
+        made = Transducer.from_sorted(paths, ones)
+        every.append(made.paths()[0])
+        rows.append((f"shard{i}", "en", len(every[-1]), made.to_bytes()))
+    return every, spark.createDataFrame(rows, "shard string, lang string, states long, automaton array<binary>")
+
+
+@pytest.mark.parametrize("n", [20, 200])
+def test_ranges_stay_even_with_more_shards_than_places(spark, monkeypatch, n):
+    """Shards of one distribution: places at equal shares of each of them would meet at few states."""
+    monkeypatch.setattr(collocations, "EDGE_SAMPLE", 100)
+    monkeypatch.setattr(collocations, "RANGE_STATES", n * 10)
+    every, made = _shards_alike(spark, n, 200)
+    edges = collocations._path_edges(made, 2)
+    held = sum(np.bincount(ranges_of(p, edges), minlength=len(edges) + 1) for p in every)
+    assert len(held) >= 15 and held.max() < 6 * n * 10
+    words = [(f"shard{i}", "en", sorted({b"%08d" % (400 * a + b) for a, b in p})) for i, p in enumerate(every)]
+    edges = [w for _, w in collocations._word_edges(spark.createDataFrame(words, "shard string, lang string, words array<binary>"))]
+    held = np.bincount([bisect_right(edges, w) for _, _, some in words for w in some], minlength=len(edges) + 1)
+    assert len(held) >= 15 and held.max() < 6 * n * 10
+
+
+def test_runs_of_one_beginning_are_cut_too(spark, monkeypatch):
+    """All runs begin with the same three words; a range still holds only some of them."""
+    monkeypatch.setattr(collocations, "RANGE_STATES", 50)
+    rng, rows, want = np.random.default_rng(5), [], {}
+    for i in range(10):
+        runs = np.concatenate([np.tile([1, 2, 3], (60, 1)), rng.integers(0, 30, (60, 2))], axis=1)
+        runs[rng.random(60) < 0.2, 4] = -1
+        paths, ones = sort_paths(runs, np.ones(60, np.int64))
+        rows.append((f"shard{i}", "en", 200, Transducer.from_sorted(paths, ones, prefixes=3).to_bytes()))
+        for r in runs.tolist():
+            for k in range(3, 6):
+                if min(r[:k]) >= 0:
+                    want[tuple(r[:k])] = want.get(tuple(r[:k]), 0) + 1
+    made = spark.createDataFrame(rows, "shard string, lang string, states long, automaton array<binary>")
+    assert len(collocations._path_edges(made, 5)) > 10
+    got = {tuple(np.frombuffer(r["path"], ">i8").tolist()): r["n"] for r in collocations.united(made, 3, 5).collect()}
+    assert got == {k: n for k, n in want.items() if n >= 3}
+
+
 def test_scores_beyond_64_bits(spark):
     """The product of a, n and 1000 takes 70 bits here; the quotient is exact."""
     a, total = 10**8 + 7, 10**13 + 9
