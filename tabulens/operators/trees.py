@@ -2,11 +2,13 @@
 
 A level counts the classes of every (node, feature, value) cell of its open nodes; running sums over the values give the class counts on
 both sides of every split point, and each node takes the split of least impurity (ties: first feature, smallest value). No value is
-binned. Several trees (one per criterion) grow in the same passes, and one tree answers for every smaller depth limit. Nodes and rows stay
-tables; each level is stored, so nothing is computed twice and the plan does not grow.
+binned. Several trees (one per criterion) grow in the same passes, and one tree answers for every smaller depth limit. The splits of each
+level are stored, so nothing is computed twice and the plan does not grow.
 
-Values are cut into ranges once, so a feature with very many values is summed range by range and the ranges' sums are put in order
-afterwards; no task sees all values of a feature. A value finds its range in two steps over about the square root of their number.
+While a level has few nodes, rows are numpy blocks (`tree_blocks`): stored once per feature of many values, in its order, so no level sorts
+or sends rows. With more nodes or many classes, nodes and rows are tables. Values are cut into ranges there, so a feature with very many
+values is summed range by range and the ranges' sums are put in order afterwards; no task sees all values of a feature. A value finds its
+range in two steps over about the square root of their number.
 
 An impure node is split as long as its rows differ, even where no split lowers the impurity. A leaf takes its most frequent class, the
 first on a tie. Rows that lack a feature are refused.
@@ -17,12 +19,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabulens.functions.blocks import weighted_points
-from tabulens.session import shared_folder
+from tabulens.operators import tree_blocks
+from tabulens.operators.tree_blocks import stored
 
 CRITERIA = ("gini", "entropy")
 #: Distinct points of a range of values, on average.
@@ -30,12 +32,8 @@ RANGE_POINTS = 200_000
 #: Node numbers are 64-bit paths.
 MAX_DEPTH = 60
 DIGITS = 10
-
-
-def stored(df: DataFrame) -> DataFrame:
-    path = f"{shared_folder(df.sparkSession)}/tree-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Features with more values are searched in their order; classes beyond which nodes and rows are tables from the root on.
+MANY_VALUES, BLOCK_CLASSES = 1_000, 32
 
 
 def _impurity(criterion: str, counts: list[Column]) -> Column:
@@ -87,15 +85,23 @@ def _ranges(points: DataFrame, n: int, n_features: int, range_points: int) -> Ca
     return number_of
 
 
-def _best_splits(rows: DataFrame, trees: Trees, range_of: Callable, one_range: bool) -> DataFrame:
-    """The split of every open node that has one."""
-    k = len(trees.labels)
-    counts, totals = [f"c{i}" for i in range(k)], [f"t{i}" for i in range(k)]
+def _cells(rows: DataFrame, trees: Trees, range_of: Callable) -> DataFrame:
+    """Class counts of every (node, feature, value) of the open nodes."""
+    counts, totals = _count_names(trees)
     # totals are numbers of their own: an array in the aggregate would have all cells sorted
     long = rows.where("open and w > 0").select(
         "tree", "node", "y", "w", *[F.get("total", F.lit(i)).alias(t) for i, t in enumerate(totals)], F.posexplode("x").alias("feature", "v"))
-    cells = long.withColumn("part", range_of(F.col("feature"), F.col("v"))).groupBy("tree", "node", "feature", "part", "v").agg(
+    return long.withColumn("part", range_of(F.col("feature"), F.col("v"))).groupBy("tree", "node", "feature", "part", "v").agg(
         *[F.sum(F.when(F.col("y") == i, F.col("w")).otherwise(0)).alias(c) for i, c in enumerate(counts)], *[F.max(t).alias(t) for t in totals])
+
+
+def _count_names(trees: Trees) -> tuple[list[str], list[str]]:
+    return [f"c{i}" for i in range(len(trees.labels))], [f"t{i}" for i in range(len(trees.labels))]
+
+
+def _split_points(cells: DataFrame, trees: Trees, one_range: bool) -> DataFrame:
+    """Values with the next value of their node and feature, and the class counts up to them."""
+    counts, totals = _count_names(trees)
     group = ["tree", "node", "feature"]
     inside = Window.partitionBy(*group, "part").orderBy("v")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -106,13 +112,20 @@ def _best_splits(rows: DataFrame, trees: Trees, range_of: Callable, one_range: b
         before = order.rowsBetween(Window.unboundedPreceding, -1)
         parts = parts.select(*group, "part", F.lead("least").over(order).alias("after"), *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"b_{c}") for c in counts])
         run = run.join(parts, [*group, "part"]).withColumns({"next": F.coalesce("next", "after"), **{c: F.col(c) + F.col(f"b_{c}") for c in counts}})
+    return run.where("next is not null").select(*group, "part", "v", "next", *counts, *totals)
+
+
+def _best_splits(run: DataFrame, trees: Trees) -> DataFrame:
+    """The split of every open node that has one."""
+    counts, totals = _count_names(trees)
+    group = ["tree", "node", "feature"]
     left = [F.col(c) for c in counts]
     right = [F.col(t) - F.col(c) for c, t in zip(counts, totals)]
     score = F.lit(None).cast("double")
     for i, criterion in enumerate(trees.criteria):
         score = F.when(F.col("tree") == i, _impurity(criterion, left) + _impurity(criterion, right)).otherwise(score)
     n = sum((F.col(t) for t in totals[1:]), F.col(totals[0]))
-    found = run.where("next is not null").select(
+    found = run.select(
         *group, "part", F.struct(F.round(score / n, DIGITS).alias("score"), "feature", "v", "next", F.array(*left).alias("left"), F.array(*totals).alias("total")).alias("s"))
     # the windows leave the rows in order of feature and part, so the first minimum needs no sort
     best = found.groupBy(*group, "part").agg(F.min("s").alias("s")).groupBy("tree", "node").agg(F.min("s").alias("s"))
@@ -162,33 +175,59 @@ def grow_points(
         raise ValueError(f"trees are at most {MAX_DEPTH} levels deep")
     if set(criteria) - set(CRITERIA):
         raise ValueError(f"criteria are {', '.join(CRITERIA)}")
-    sums = dict(points.groupBy("y").agg(F.sum("w")).collect())
-    if not sums:
+    width = len(features)
+    about = points.groupBy("y").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(F.get("x", F.lit(i))).alias(f"v{i}") for i in range(width)]).collect()
+    if not about:
         raise ValueError("no rows to learn from")
+    sums = {r["y"]: r["w"] for r in about}
     total = [sums.get(i, 0) for i in range(len(labels))]
     trees = Trees(list(features), list(labels), list(criteria), total)
-    n = points.count()
-    range_of, one_range = _ranges(points, n, len(features), range_points), n < range_points
-    first = F.array(*[F.lit(t).cast("long") for t in total])
+    n = sum(r["n"] for r in about)
+    depth = 0
+    if len(labels) <= BLOCK_CLASSES:
+        wide = [i for i in range(width) if max(r[f"v{i}"] for r in about) > MANY_VALUES]
+        depth = tree_blocks.grow(points, trees, wide, n, range_points, max_depth, watched, at_level, _best_of_blocks)
+    if depth is not None:
+        _grow_tables(points, trees, n, range_points, depth, max_depth, watched, at_level)
+    return trees
+
+
+def _best_of_blocks(cells: DataFrame | None, ends: DataFrame | None, trees: Trees) -> DataFrame:
+    """The stored splits from the cells of features of few values and the candidates of the others."""
+    counts, totals = _count_names(trees)
+    found = []
+    if cells is not None:
+        summed = cells.groupBy("tree", "node", "feature", "v").agg(*[F.sum(c).alias(c) for c in counts], *[F.max(t).alias(t) for t in totals])
+        found.append(_split_points(summed.withColumn("part", F.lit(0)), trees, True))
+    if ends is not None:
+        found.append(ends.withColumn("part", F.lit(0)).select("tree", "node", "feature", "part", "v", "next", *counts, *totals))
+    return stored(_best_splits(found[0].union(found[1]) if len(found) > 1 else found[0], trees))
+
+
+def _grow_tables(points: DataFrame, trees: Trees, n: int, range_points: int, start: int, max_depth: int, watched: DataFrame | None, at_level: Callable | None) -> None:
+    """Levels from `start` on, with nodes and rows as tables: for any number of nodes and classes."""
+    range_of, one_range = _ranges(points, n, len(trees.features), range_points), n < range_points
+    first = F.array(*[F.lit(t).cast("long") for t in trees.root])
     rows = points.select("x", "y", "w", F.lit(0).cast("long").alias("seen"))
     if watched is not None:
         rows = rows.union(watched.select("x", "y", F.lit(0).cast("long"), "w"))
     rows = rows.select(
-        F.explode(F.array(*[F.lit(i) for i in range(len(criteria))])).alias("tree"), F.lit(1).cast("long").alias("node"), "x", "y", "w", "seen",
+        F.explode(F.array(*[F.lit(i) for i in range(len(trees.criteria))])).alias("tree"), F.lit(1).cast("long").alias("node"), "x", "y", "w", "seen",
         first.alias("total"), _first_largest(first).alias("p"), _open(first).alias("open"))
     rows = stored(rows)
-    for depth in range(max_depth + 1):
+    for splits in trees.levels:
+        rows = stored(_moved(rows, splits).where("open or seen > 0"))
+    for depth in range(start, max_depth + 1):
         if at_level is not None:
             at_level(depth, rows.where("seen > 0").select("tree", "y", "p", F.col("seen").alias("w")))
         if depth == max_depth:
             break
-        splits = stored(_best_splits(rows, trees, range_of, one_range))
+        splits = stored(_best_splits(_split_points(_cells(rows, trees, range_of), trees, one_range), trees))
         if splits.isEmpty():
             break
         trees.levels.append(splits)
         # train rows in leaves have said what they know
         rows = stored(_moved(rows, splits).where("open or seen > 0"))
-    return trees
 
 
 def predict(trees: Trees, df: DataFrame, tree: int = 0, depth: int | None = None, name: str = "prediction") -> DataFrame:

@@ -191,6 +191,32 @@ def test_trees_take_the_best_of_all_splits(spark, criterion, range_points):
         assert {(r["a"], r["b"]): r["prediction"] for r in got.collect()} == {q: tree(q) for q in asked}
 
 
+@pytest.mark.parametrize("settings", [{}, {"MANY_VALUES": 0}, {"MANY_VALUES": 30}, {"MANY_VALUES": 0, "MOST_NODES": 3}, {"MANY_VALUES": 0, "MOST_COLUMNS": 2}])
+def test_trees_over_blocks_and_over_tables_are_equal(spark, monkeypatch, settings):
+    """Features of few and of many values, equal values across blocks, and a change to tables on the way."""
+    rng = np.random.default_rng(8)
+    x = np.stack([np.round(rng.normal(size=300), 2), rng.integers(0, 4, 300), np.where(rng.random(300) < 0.5, 0.0, np.round(rng.normal(size=300), 1))], axis=1)
+    y = (x[:, 0] + x[:, 1] + rng.normal(size=300) > 1).astype(int) + (rng.random(300) < 0.2)
+    frame = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(np.vstack([x, x[:40]]), [*y, *y[:40]])], "a double, b double, c double, y int")
+    asked = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(rng.normal(size=(50, 3)) * 2, rng.integers(0, 5, 50))], "a double, b double, c double, y int")
+
+    def grown():
+        seen = {}
+        made = trees.grow(frame, ["a", "b", "c"], "y", [0, 1, 2], ["gini", "entropy"], 5, asked,
+                          lambda depth, rows: seen.update({depth: sorted(map(str, rows.groupBy("tree", "y", "p").agg(F.sum("w")).collect()))}), range_points=17)
+        return [sorted(map(str, level.select("tree", "node", "feature", "threshold", "left", "all").collect())) for level in made.levels], seen
+
+    with monkeypatch.context() as patch:
+        patch.setattr(trees, "BLOCK_CLASSES", 0)
+        expected = grown()
+    asked_of = []
+    for name, value in settings.items():
+        monkeypatch.setattr(trees if hasattr(trees, name) else trees.tree_blocks, name, value)
+    monkeypatch.setattr(trees, "_grow_tables", lambda *given, run=trees._grow_tables: (asked_of.append(given[4]), run(*given)))
+    assert grown() == expected and len(expected[0]) == 5
+    assert asked_of == ([2] if "MOST_NODES" in settings else [0] if "MOST_COLUMNS" in settings else [])
+
+
 @pytest.mark.parametrize("penalty", ["l1", "l2"])
 @pytest.mark.parametrize("labels", [2, 3])
 def test_logistic_weights_are_optimal(spark, penalty, labels):
