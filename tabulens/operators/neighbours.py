@@ -3,7 +3,8 @@
 The train rows are cut into boxes: by quantile slices of the widest features, or, with many features (where slices of a few
 exclude little), by their nearest pivot. Pivots are the means of a bounded sample; a box then also knows the least and largest
 distance of its rows to the pivot, and the triangle inequality bounds distances in every metric offered. For every distinct query
-point the boxes give an upper limit of its k-th distance, and only boxes that can hold a closer row are searched.
+point a bounded sample of the rows (else the boxes) gives an upper limit of its k-th distance, and only boxes that can hold a closer row are
+searched; neighbouring query points are placed together, so that few boxes are looked at for each.
 Query points travel to their boxes by an equi-key shuffle; a box and its query points meet in groups of bounded
 size (large boxes and busy boxes are split by hash), and each group returns at most k rows per query point. Boxes around pivots meet
 their query points by shelves of neighbouring boxes, so that a point that no box excludes travels to few groups. Within a group rows and
@@ -31,13 +32,16 @@ from tabulens.session import ensure_checkpoint_dir
 
 METRICS = ["manhattan", "euclidean", "chebyshev"]
 BLOCK_ROWS = 2_048
-QUERY_ROWS = 16_384
+#: Queries of a box, beyond which they are split by hash.
+QUERY_ROWS = 65_536
 MAX_BOXES = 4_096
 MAX_SLICES = 64
 #: Boxes of larger tables hold more rows, up to this; a box is split by hash beyond so many times its planned rows.
 LARGE_ROWS, PART_BOXES = 16_384, 4
 #: Rows or queries of a cell within a group.
 CELL_ROWS = 64
+#: Sampled rows per box that limit distances, rows of a cell of them, queries that are placed at a time, and in a cell of those.
+SAMPLE_ROWS, SAMPLE_CELL, PLACE_ROWS, PLACE_CELL = 32, 32, 131_072, 128
 #: From so many features on, boxes are made around pivots; sampled rows per pivot, and rounds of moving pivots to their means.
 PIVOT_FEATURES, PIVOT_SAMPLE, PIVOT_ROUNDS = 8, 8, 4
 #: Boxes around pivots that are searched together; rows of a shelf of such boxes and queries of it, beyond which they are split by hash.
@@ -103,17 +107,25 @@ def _slices(points: DataFrame, names: list[str], block_rows: int, max_slices: in
     return [(x, sorted(set(found[x] or []))) for x, _ in chosen]
 
 
-def _box_name(names: list[str], slices: list[tuple[str, list[float]]], gaps: bool) -> Column:
-    parts = []
-    if gaps:
-        parts.append(F.expr("concat(" + ", ".join(f"IF({x} IS NULL, '0', '1')" for x in names) + ")"))
+def _box_name(names: list[str], slices: list[tuple[str, list[float]]]) -> Column:
+    """The box of a point with gaps: its present features, and a slice of each cut feature."""
+    parts = [F.expr("concat(" + ", ".join(f"IF({x} IS NULL, '0', '1')" for x in names) + ")")]
     for x, cuts in slices:
-        if len(cuts) >= MAX_SLICES and not gaps:
-            parts.append(range_number(F.col(x), cuts).cast("string"))
-            continue
-        above = " + ".join(f"IF({x} > {c!r}D, 1, 0)" for c in cuts) or "0"
-        parts.append(F.expr(f"IF({x} IS NULL, '-', CAST({above} AS STRING))"))
-    return F.concat_ws("/", *parts) if parts else F.lit("")
+        parts.append(F.expr(f"IF({x} IS NULL, '-', CAST({_above(x, cuts)} AS STRING))"))
+    return F.concat_ws("/", *parts)
+
+
+def _box_number(slices: list[tuple[str, list[float]]]) -> Column:
+    """The box of a point without gaps."""
+    number = F.lit(0).cast("long")
+    for x, cuts in slices:
+        place = range_number(F.col(x), cuts) if len(cuts) >= MAX_SLICES else F.expr(_above(x, cuts))
+        number = number * (len(cuts) + 1) + place
+    return number
+
+
+def _above(x: str, cuts: list[float]) -> str:
+    return " + ".join(f"IF({x} > {c!r}D, 1, 0)" for c in cuts) or "0"
 
 
 def _pivots(points: DataFrame, names: list[str], block_rows: int) -> np.ndarray:
@@ -186,6 +198,37 @@ def _collect_boxes(
     return found
 
 
+class _Sample:
+    """Some train rows in small cells. Any k of them limit the distance of the k-th nearest row."""
+
+    def __init__(self, rows: np.ndarray):
+        cells = _leaves(rows, SAMPLE_CELL)
+        self.rows = rows[np.concatenate(cells)]
+        self.starts = np.cumsum([0, *map(len, cells)])
+        self.low, self.high = (np.array([f(rows[c], axis=0) for c in cells]) for f in (np.min, np.max))
+
+    def limits(self, x: np.ndarray, low: np.ndarray, high: np.ndarray, k: int, metric: str) -> np.ndarray:
+        """For queries between low and high no less than the distance of the k-th nearest row, from the cells near by."""
+        away = _apart(low, high, self.low, self.high, metric)
+        few = min(len(away), max(8, k // SAMPLE_CELL * 4))
+        near = np.argpartition(away, few - 1)[:few] if few < len(away) else np.arange(len(away))
+        inside = np.flatnonzero(away == 0)
+        near = np.union1d(near, inside[:: -(-len(inside) // 64)] if len(inside) else inside)
+        rows = np.concatenate([self.rows[self.starts[c] : self.starts[c + 1]] for c in near])
+        if len(rows) < k:
+            rows = self.rows
+        return np.partition(np.round(_distances(x, rows, metric), _DIGITS), k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
+
+
+def _sampled(points: DataFrame, names: list[str], boxes: _Boxes) -> _Sample | None:
+    n, wanted = int(boxes.rows.sum()), SAMPLE_ROWS * len(boxes.names)
+    picked = points.where(F.pmod(F.xxhash64("train_key", *names), F.lit(1 << 30)) < int(min(1.0, wanted / max(n, 1)) * (1 << 30)))
+    found = picked.select(*names).limit(4 * wanted).toArrow()
+    rows = np.stack([found.column(x).to_numpy() for x in names], axis=1) if found.num_rows else np.empty((0, len(names)))
+    rows = rows[np.isfinite(rows).all(axis=1)]
+    return _Sample(rows) if len(rows) else None
+
+
 @dataclass
 class Index:
     """Train points cut to k rows per point, with their box; `names` are the feature columns x0, x1, ..."""
@@ -197,6 +240,7 @@ class Index:
     gaps: bool
     boxed: DataFrame
     boxes: _Boxes
+    sample: _Sample | None = None
 
 
 def build_index(
@@ -211,8 +255,6 @@ def build_index(
     """Prepare a train table for searches of up to k neighbours. `gaps` allows missing feature values."""
     ensure_checkpoint_dir(train.sparkSession)
     features, carry = list(features), list(carry)
-    if not gaps:
-        refuse_gaps(train, features)
     names = [f"x{i}" for i in range(len(features))]
     first = Window.partitionBy("point").orderBy("train_key")
     points = (
@@ -223,6 +265,8 @@ def build_index(
         .withColumn("copy", F.row_number().over(first)).filter(F.col("copy") <= k).drop("copy", "point")
         .checkpoint()
     )
+    if not gaps:
+        refuse_gaps(points, names)
     if not gaps and len(names) >= PIVOT_FEATURES:
         block_rows = _planned_rows(points, block_rows)
         pivots = _pivots(points, names, block_rows)
@@ -232,11 +276,12 @@ def build_index(
         return Index(features, names, carry, k, gaps, boxed.drop(*[f"to_{m}" for m in METRICS]), boxes)
     if gaps:
         block_rows = block_rows or BLOCK_ROWS
-        boxed = points.withColumn("box", _box_name(names, _slices(points, names, block_rows), gaps))
+        boxed = points.withColumn("box", _box_name(names, _slices(points, names, block_rows)))
         return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, block_rows))
     block_rows = _planned_rows(points, block_rows)
-    boxed = points.withColumn("box", _box_name(names, _slices(points, names, block_rows, MAX_BOXES), gaps))
-    return Index(features, names, carry, k, gaps, boxed, _collect_boxes(boxed, names, PART_BOXES * block_rows))
+    boxed = points.withColumn("box", _box_number(_slices(points, names, block_rows, MAX_BOXES)))
+    boxes = _collect_boxes(boxed, names, PART_BOXES * block_rows)
+    return Index(features, names, carry, k, gaps, boxed, boxes, _sampled(points, names, boxes))
 
 
 def _fold(gaps: np.ndarray, metric: str) -> np.ndarray:
@@ -290,6 +335,28 @@ def _reachable(x: np.ndarray, need: np.ndarray | None, boxes: _Boxes, k: int, me
     return usable & (nearest <= limit[:, None]), limit
 
 
+def _apart(low: np.ndarray, high: np.ndarray, lows: np.ndarray, highs: np.ndarray, metric: str) -> np.ndarray:
+    """Distance between a box and each of several."""
+    return _fold(np.maximum(np.maximum(lows - high, low - highs), 0.0), metric)
+
+
+def _near_boxes(x: np.ndarray, boxes: _Boxes, sample: _Sample, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, box) of the boxes that can hold one of the k nearest rows, and the distance limits. Queries are taken by cells."""
+    limit, pairs = np.empty(len(x)), []
+    for mine in _leaves(x, PLACE_CELL):
+        for here in np.array_split(mine, -(-len(mine) // (4 * PLACE_CELL))):  # equal points are one cell
+            q = x[here]
+            low, high = q.min(axis=0), q.max(axis=0)
+            limit[here] = far = sample.limits(q, low, high, k, metric)
+            some = np.flatnonzero(_apart(low, high, boxes.low, boxes.high, metric) <= far.max())
+            gaps = np.maximum(np.maximum(boxes.low[some][None] - q[:, None], q[:, None] - boxes.high[some][None]), 0.0)
+            a, b = np.nonzero(_fold(gaps, metric) <= far[:, None])
+            pairs.append((here[a], some[b]))
+    q, b = (np.concatenate(part) for part in zip(*pairs))
+    order = np.argsort(q, kind="stable")
+    return q[order], b[order], limit
+
+
 def _k_smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) indices of the k smallest finite distances; ties go to the row that comes first."""
     if d.shape[1] > k:
@@ -411,13 +478,13 @@ class _Rows:
         return np.column_stack([self.r[here] - self.middle, self.square[here]])
 
 
-def _by_product(q: np.ndarray, far: np.ndarray, rows: _Rows, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _by_product(q: np.ndarray, far: np.ndarray, rows: _Rows | np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As `_by_cells` for euclidean distances: squares from matrix products leave few rows, whose distances are then computed exactly.
 
     Blocks of queries and rows are small enough for the processor's cache, and what a block finds limits the next. Where single precision
     leaves too many rows, the block is done in double precision.
     """
-    found = []
+    rows, found = rows if isinstance(rows, _Rows) else _Rows(rows), []
     for i in range(0, len(q), PRODUCT_QUERIES):
         x, reach = q[i : i + PRODUCT_QUERIES], far[i : i + PRODUCT_QUERIES].copy()
         xc = x - rows.middle
@@ -486,8 +553,6 @@ def nearest_rows(
     if k > index.k:
         raise ValueError(f"the index keeps {index.k} rows per point, not {k}")
     features, names, carry, boxes = index.features, index.names, index.carry, index.boxes
-    if not index.gaps:
-        refuse_gaps(queries, features)
     spark, d = queries.sparkSession, len(names)
 
     asked = queries.select(
@@ -496,32 +561,46 @@ def nearest_rows(
         *[number(queries, f).alias(n) for f, n in zip(features, names)],
     )
     by = ["query", "need"] if need else ["query"]
-    asked = asked.groupBy(*by).agg(*[F.any_value(n).alias(n) for n in names]).checkpoint()
+    asked = asked.groupBy(*by).agg(*[F.any_value(n).alias(n) for n in names])
 
     on_shelves = boxes.shelves is not None
+    if on_shelves or not boxes.names:
+        asked = asked.checkpoint()
+        if not index.gaps:
+            refuse_gaps(asked, names)
     query_rows = query_rows or (SHELF_QUERIES if on_shelves else QUERY_ROWS)
-    spots = np.unique(boxes.shelves) if on_shelves else np.array(boxes.names, dtype=object)
+    spots = np.unique(boxes.shelves) if on_shelves else np.array(boxes.names, dtype=object)  # a shelf or box is a number, with gaps a name
     parts = boxes.parts[spots] if on_shelves else boxes.parts
     groups = ["shelf" if on_shelves else "box", "part", "salt"]
     spot = groups[0]
     limited = T.StructType([asked.schema[c] for c in by] + [T.StructField(n, T.DoubleType()) for n in names] + [T.StructField("far", T.DoubleType())])
     schema = T.StructType([*limited.fields, index.boxed.schema[spot], T.StructField("part", T.LongType())])
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    sample, box_names = index.sample, np.array(boxes.names, dtype=object if index.gaps else np.int64)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         step = max(1, 4_000_000 // max(1, len(boxes.names) * d))
-        for batch in batches:
-            for i in range(0, len(batch), step):
-                pdf = batch.iloc[i : i + step]
-                x = pdf[names].to_numpy(dtype=float)
-                wanted = pdf["need"].to_numpy(dtype=int) if need else None
-                hit, limit = _reachable(x, wanted, boxes, k, metric)
-                q, b = np.nonzero(hit)
-                times = parts[b]
-                q, b = np.repeat(q, times), np.repeat(b, times)
-                part = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
-                out = {c: _plain(pdf[c])[q] for c in by}
-                out.update({n: x[q, j] for j, n in enumerate(names)})
-                yield pd.DataFrame({**out, "far": limit[q], spot: spots[b], "part": part.astype(np.int64)})
+        for pdf in _gathered(batches, 1 if sample is None else PLACE_ROWS):
+            x = pdf[names].to_numpy(dtype=float)
+            if sample is not None and not need and k <= len(sample.rows):
+                known = np.flatnonzero(np.isfinite(x).all(axis=1))
+                q, b, limit = np.arange(0), np.arange(0), np.full(len(x), np.nan)
+                if len(known):
+                    q, b, limit[known] = _near_boxes(x[known], boxes, sample, k, metric)
+                    q = known[q]
+                rest = np.setdiff1d(np.arange(len(x)), known)
+            else:
+                q, b, limit, rest = np.arange(0), np.arange(0), np.full(len(x), np.nan), np.arange(len(x))
+            found = [(q, b)]
+            for i in range(0, len(rest), step):
+                some = rest[i : i + step]
+                hit, limit[some] = _reachable(x[some], pdf["need"].to_numpy(dtype=int)[some] if need else None, boxes, k, metric)
+                a, c = np.nonzero(hit)
+                found.append((some[a], c))
+            q, b = (np.concatenate(part) for part in zip(*found))
+            order = np.argsort(q, kind="stable")
+            lists = np.split(box_names[b[order]], np.searchsorted(q[order], np.arange(1, len(x))))
+            yield pdf.assign(far=limit, boxes=lists)
 
     def shelve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of_shelf = np.argsort(boxes.shelves, kind="stable")
@@ -544,10 +623,15 @@ def nearest_rows(
         sent = sent.withColumn("shelf", F.explode("shelves")).drop("shelves")
         routed = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), part_of.cast("bigint") - 1)))
     else:
-        routed = asked.mapInPandas(route, schema)
+        kind = index.boxed.schema["box"].dataType
+        sent = asked.mapInPandas(place, T.StructType([*limited.fields, T.StructField("boxes", T.ArrayType(kind))])).checkpoint()
+        if not index.gaps:
+            refuse_gaps(sent, names)
+        routed = sent.withColumn("box", F.explode("boxes")).drop("boxes")
+        routed = routed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), part_of.cast("bigint") - 1)))
 
     salts: dict = {}
-    if boxes.names and asked.count() > query_rows:
+    if boxes.names and sent.count() > query_rows:
         load = routed.groupBy(spot, "part").agg(F.count("*").alias("n")).groupBy(spot).agg(F.max("n").alias("n"))
         salts = {r[spot]: r["n"] // query_rows + 1 for r in load.collect() if r["n"] > query_rows}
     salt_of = _by_box(salts, spot)
@@ -628,10 +712,24 @@ def _by_box(values: dict, box: str) -> Column:
     """The value of the row's box (or shelf), 1 where it has none."""
     if not values:
         return F.lit(1)
+    if all(isinstance(v, int) for v in values):  # a map would be searched from its start for every row
+        return F.coalesce(F.get(F.array(*[F.lit(values.get(i, 1)) for i in range(max(values) + 1)]), F.col(box).cast("int")), F.lit(1))
     table = F.create_map(*[F.lit(v) for pair in sorted(values.items()) for v in pair])
     return F.coalesce(F.element_at(table, F.col(box)), F.lit(1))
 
 
+def _gathered(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """The same rows in larger batches."""
+    held = []
+    for batch in batches:
+        held += [batch] if len(batch) else []
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     """Distances of all query points of a group to all its rows, feature by feature."""
     total = np.zeros((len(q), len(r)))

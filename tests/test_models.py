@@ -429,6 +429,27 @@ def test_search_by_cells_finds_the_same_rows_as_all_distances(features, scale):
     _assert_same_rows(asked, rows, nn.METRICS, lambda far, k, metric: nn._by_cells(asked, far, rows, k, metric))
 
 
+@pytest.mark.parametrize("metric", nn.METRICS)
+@pytest.mark.parametrize("features, k", [(1, 5), (3, 5), (3, 40)])
+def test_queries_go_to_few_boxes_and_miss_none(metric, features, k):
+    """A sample of the rows limits the distances, closer than the boxes' far corners do."""
+    rng = np.random.default_rng(features)
+    rows = rng.normal(size=(6_000, features)) * [100, 1, 1][:features]
+    rows[:50] = rows[0]
+    box = np.searchsorted(np.quantile(rows[:, 0], np.arange(1, 60) / 60), rows[:, 0])
+    held = [rows[box == i] for i in range(60)]
+    boxes = nn._Boxes(list(range(60)), *(np.array([f(h, axis=0) for h in held]) for f in (np.min, np.max)), np.array([len(h) for h in held]), np.ones(60, int), np.ones((60, features), bool))
+    asked = np.vstack([rng.normal(size=(300, features)) * 100, rows[:20], rows[rng.integers(0, len(rows), 1_500)]])
+    q, b, limit = nn._near_boxes(asked, boxes, nn._Sample(rows[rng.permutation(len(rows))[:1_800]]), k, metric)
+    dist = np.round(nn._distances(asked, rows, metric), 9)
+    last = np.sort(dist, axis=1)[:, k - 1]
+    assert (limit >= last).all() and (np.diff(q) >= 0).all()
+    near = {(i, int(box[j])) for i, j in zip(*np.nonzero(dist <= last[:, None]))}
+    assert near <= set(zip(q.tolist(), b.tolist()))
+    if k == 5:
+        assert len(q) < 0.7 * np.count_nonzero(nn._reachable(asked, None, boxes, k, metric)[0])
+
+
 def _assert_same_rows(asked, rows, metrics, search):
     for metric in metrics:
         for k in (1, 5, 49):
