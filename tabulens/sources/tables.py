@@ -66,7 +66,7 @@ def infer_types(text: DataFrame) -> T.StructType:
             v = F.col(f"`{c}`")
             checks += [
                 F.count(v).alias(f"n_{c}"),
-                F.count_if(~v.rlike(r"^[+-]?\d+$") | v.try_cast("bigint").isNull()).alias(f"whole_{c}"),
+                F.count_if(~v.rlike(r"^[+-]?\d+$") | (v.isNotNull() & v.try_cast("bigint").isNull())).alias(f"whole_{c}"),
                 F.count_if(~v.rlike(r"^[+-]?0*\d{1,38}$")).alias(f"long_{c}"),
                 F.count_if(~v.rlike(NUMBER_PATTERN)).alias(f"number_{c}"),
                 F.count_if(~F.lower(v).isin("true", "false")).alias(f"bool_{c}"),
