@@ -261,8 +261,13 @@ def _path_edges(made: DataFrame, width: int) -> np.ndarray:
     def sample(batches):
         for batch in batches_of(batches):
             for at, lang, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                paths, _ = Transducer.of_bytes(parts).paths()
-                some = paths[np.arange(at, len(paths), step).astype(np.int64), :width]
+                found = []
+                for piece in Transducer.of_bytes(parts).pieces():
+                    paths, _ = piece.paths()
+                    places = np.arange(at, len(paths), step)
+                    found.append(paths[places.astype(np.int64), :width])
+                    at += len(places) * step - len(paths)
+                some = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.tolist(), pa.list_(pa.int64()))], ["lang", "edge"])
 
     few = made.where(picked).withColumn("first", first).where(F.col("first") < F.col("states")).select("first", "lang", "automaton")
@@ -280,9 +285,9 @@ def united(made: DataFrame, least: int, width: int) -> DataFrame:
     def deal(batches):
         for batch in batches_of(batches):
             for lang, shard, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                cut = Transducer.of_bytes(parts).cut(edges)
+                cut = [(p, a.to_bytes()) for p, a in Transducer.of_bytes(parts).cuts(edges)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p for p, _ in cut], pa.int64()), pa.array([lang] * len(cut), pa.string()), pa.array([shard] * len(cut), pa.string()), pa.array([a.to_bytes() for _, a in cut], WORDS)], ["part", "lang", "shard", "automaton"])
+                    [pa.array([p for p, _ in cut], pa.int64()), pa.array([lang] * len(cut), pa.string()), pa.array([shard] * len(cut), pa.string()), pa.array([a for _, a in cut], WORDS)], ["part", "lang", "shard", "automaton"])
 
     schema = pa.schema([("lang", pa.string()), ("path", pa.binary()), ("n", pa.int64()), ("shard", pa.string()), ("local", pa.binary())])
 

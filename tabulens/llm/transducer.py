@@ -7,9 +7,14 @@ before its extensions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import zstandard
 
+#: States whose paths are made at a time.
+PIECE_STATES = 250_000
+
 
 def packed(values: np.ndarray) -> bytes:
     """Whole numbers in few bytes: byte planes (the upper ones are nearly constant), compressed."""
@@ -115,12 +120,38 @@ class Transducer:
             layers.append((unpacked(labels), np.repeat(np.arange(len(counts)), counts), unpacked(weights)))
         return cls(layers)
 
+    def pieces(self, states: int = PIECE_STATES) -> Iterator[Transducer]:
+        """The same paths in order, in parts of about so many states, cut between first labels; their arrays are views."""
+        if not self.layers:
+            return
+        bounds = [np.arange(len(self.layers[0][0]) + 1)]  # per layer where the part under each state of the first begins
+        for _, parents, _ in self.layers[1:]:
+            bounds.append(np.searchsorted(parents, bounds[-1]))
+        held, begin = sum(bounds), 0
+        while begin < len(held) - 1:
+            end = max(begin + 1, int(np.searchsorted(held, held[begin] + states, "right")) - 1)
+            layers, above = [], 0
+            for (labels, parents, weights), bound in zip(self.layers, bounds):
+                here = slice(bound[begin], bound[end])
+                layers.append((labels[here], parents[here] - above, weights[here]))
+                above = bound[begin]
+            yield Transducer(layers)
+            begin = end
+
     def cut(self, edges: np.ndarray) -> list[tuple[int, Transducer]]:
-        """(range, part): the states of each range; edges are sorted paths or prefixes, a path lies behind those not above it, so equal paths do too."""
-        paths, weights = self.paths()
-        where = ranges_of(paths, edges)
-        starts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else []
-        return [(int(where[a]), Transducer.from_sorted(paths[a:b], weights[a:b])) for a, b in zip(starts, [*starts[1:], len(where)])]
+        return list(self.cuts(edges))
+
+    def cuts(self, edges: np.ndarray) -> Iterator[tuple[int, Transducer]]:
+        """(range, part): the states of each range; edges are sorted paths or prefixes, a path lies behind those not above it, so equal paths do too.
+
+        A range may come in several parts, without common paths.
+        """
+        for piece in self.pieces():
+            paths, weights = piece.paths()
+            where = ranges_of(paths, edges)
+            starts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else []
+            for a, b in zip(starts, [*starts[1:], len(where)]):
+                yield int(where[a]), Transducer.from_sorted(paths[a:b], weights[a:b])
 
 
 def union(automata: list[Transducer]) -> Transducer:

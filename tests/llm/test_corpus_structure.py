@@ -201,6 +201,23 @@ def test_ranges_stay_even_with_more_shards_than_places(spark, monkeypatch, n):
     assert len(held) >= 15 and held.max() < 6 * n * 10
 
 
+def test_pieces_of_a_transducer_hold_its_paths_in_order():
+    rng = np.random.default_rng(6)
+    rows = rng.integers(0, 9, (400, 4))
+    rows[rng.random(400) < 0.3, 3] = -1
+    whole = Transducer.from_sorted(*sort_paths(rows, np.ones(400, np.int64)), prefixes=3)
+    paths, weights = whole.paths()
+    order = np.lexsort(paths.T[::-1])
+    assert (order == np.arange(len(paths))).all() and weights.min() > 0
+    edges = np.unique(rng.integers(0, 9, (6, 4)), axis=0)
+    for states in (1, 100, 10**6):
+        pieces = [p.paths() for p in whole.pieces(states)]
+        assert len(pieces) == {1: 9, 10**6: 1}.get(states, len(pieces))
+        assert (np.concatenate([p for p, _ in pieces]) == paths).all() and (np.concatenate([w for _, w in pieces]) == weights).all()
+    assert (np.concatenate([p.paths()[0] for _, p in whole.cuts(edges)]) == paths).all()
+    assert list(whole.pieces(1))[0].layers[0][0].base is not None
+
+
 def test_runs_of_one_beginning_are_cut_too(spark, monkeypatch):
     """All runs begin with the same three words; a range still holds only some of them."""
     monkeypatch.setattr(collocations, "RANGE_STATES", 50)
