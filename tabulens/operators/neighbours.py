@@ -23,7 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabulens.functions.blocks import refuse_gaps
 from tabulens.functions.columns import key_list, key_text, number, number_sql
@@ -49,7 +52,6 @@ SHELF_BOXES, SHELF_ROWS, SHELF_QUERIES = 8, 65_536, 32_768
 #: Queries and rows of one matrix product, pairs whose distances are computed at a time, and pairs per neighbour that are too many.
 PRODUCT_QUERIES, PRODUCT_ROWS, PAIR_ROWS, MANY_PAIRS = 256, 2_048, 8_192, 4
 _DIGITS = 9
-_NUMPY = {"double": "float64", "float": "float32", "long": "int64", "integer": "int32", "short": "int16", "byte": "int8", "boolean": "bool"}
 
 
 @dataclass
@@ -550,6 +552,22 @@ def nearest_rows(
     Distances are compared after rounding to nine digits, ties by train key. `need` names a query column with
     a feature number; only rows that have this feature count then, and its value is returned as `value`.
     """
+    by = ["query", "need"] if need else ["query"]
+    row = F.posexplode("near").alias("at", "row")
+    names = {"distance": "d", "train_key": "t", **({"value": "v"} if need else {}), **{c: f"c{i}" for i, c in enumerate(index.carry)}}
+    listed = nearest_lists(index, queries, k, metric, need, query_rows).select(*by, row)
+    return listed.select(*by, *[F.col("row")[n].alias(c) for c, n in names.items()], (F.col("at") + 1).alias("place"))
+
+
+def nearest_lists(
+    index: Index,
+    queries: DataFrame,
+    k: int,
+    metric: str = "euclidean",
+    need: str | None = None,
+    query_rows: int | None = None,
+) -> DataFrame:
+    """As `nearest_rows`, with a query's rows in order in an array `near` of (d: distance, t: train key, [v: value,] c0...: carried columns)."""
     if k > index.k:
         raise ValueError(f"the index keeps {index.k} rows per point, not {k}")
     features, names, carry, boxes = index.features, index.names, index.carry, index.boxes
@@ -643,56 +661,56 @@ def nearest_rows(
         .withColumn("salt", F.explode(F.sequence(F.lit(0), salt_of - 1)))
     )
 
-    found_schema = T.StructType(
-        [asked.schema[c] for c in by]
-        + [T.StructField("distance", T.DoubleType()), rows.schema["train_key"]]
-        + ([T.StructField("value", T.DoubleType())] if need else [])
-        + [rows.schema[c] for c in carry]
-    )
+    near_type = T.StructType([
+        T.StructField("d", T.DoubleType()), T.StructField("t", rows.schema["train_key"].dataType), *([T.StructField("v", T.DoubleType())] if need else []),
+        *[T.StructField(f"c{i}", rows.schema[c].dataType) for i, c in enumerate(carry)],
+    ])
+    found_schema = T.StructType([asked.schema[c] for c in by] + [T.StructField("near", T.ArrayType(near_type))])
+
+    def matrix(table: pa.Table) -> np.ndarray:
+        return np.stack([table[n].to_numpy() for n in names], axis=1).astype(float)
 
-    def search(asked_here: pd.DataFrame, rows_here: pd.DataFrame) -> pd.DataFrame:
-        if asked_here.empty or rows_here.empty:
-            return pd.DataFrame({f.name: np.empty(0, dtype=_NUMPY.get(f.dataType.typeName(), object)) for f in found_schema.fields})
-        rows_here = rows_here.sort_values("train_key", kind="stable").reset_index(drop=True)
-        r = rows_here[names].to_numpy(dtype=float)
-        outputs = []
-        asked_at = asked_here[names].to_numpy(dtype=float)
-        if not need and np.isfinite(r).all() and np.isfinite(asked_at).all():
-            far = asked_here["far"].to_numpy(dtype=float)
-            if on_shelves:
-                q, t, dist = _by_boxes(asked_at, far, r, rows_here["box"].to_numpy(), boxes, k, metric)
+    def search(asked_here: pa.Table, rows_here: pa.Table) -> pa.Table:
+        if not asked_here.num_rows or not rows_here.num_rows:
+            q, t, dist = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        else:
+            rows_here = rows_here.take(pc.sort_indices(rows_here, [("train_key", "ascending")])).combine_chunks()
+            r, asked_at, far = matrix(rows_here), matrix(asked_here), asked_here["far"].to_numpy()
+            wanted = asked_here["need"].to_numpy().astype(int) if need else None
+            if not need and np.isfinite(r).all() and np.isfinite(asked_at).all():
+                if on_shelves:
+                    q, t, dist = _by_boxes(asked_at, far, r, rows_here["box"].to_numpy(), boxes, k, metric)
+                else:
+                    q, t, dist = _by_cells(asked_at, far, r, k, metric)
             else:
-                q, t, dist = _by_cells(asked_at, far, r, k, metric)
-            out = {c: _plain(asked_here[c])[q] for c in by} | {"distance": dist, "train_key": _plain(rows_here["train_key"])[t]}
-            out.update({c: _plain(rows_here[c])[t] for c in carry})
-            return pd.DataFrame({f.name: out[f.name] for f in found_schema.fields})
-        step = max(1, 2_000_000 // len(r))
-        for i in range(0, len(asked_here), step):
-            pdf = asked_here.iloc[i : i + step]
-            dist = np.round(_distances(pdf[names].to_numpy(dtype=float), r, metric), _DIGITS)
-            dist[dist > pdf["far"].to_numpy()[:, None]] = np.inf
-            if need:
-                wanted = pdf["need"].to_numpy(dtype=int)
-                dist[np.isnan(r[:, wanted].T)] = np.inf
-            q, t = _k_smallest(dist, k)
-            out = {c: _plain(pdf[c])[q] for c in by}
-            out["distance"] = dist[q, t]
-            out["train_key"] = _plain(rows_here["train_key"])[t]
-            if need:
-                out["value"] = r[t, wanted[q]]
-            out.update({c: _plain(rows_here[c])[t] for c in carry})
-            outputs.append(out)
-        return pd.DataFrame({f.name: np.concatenate([o[f.name] for o in outputs]) for f in found_schema.fields})
+                step, parts_found = max(1, 2_000_000 // len(r)), []
+                for i in range(0, len(asked_at), step):
+                    some = np.round(_distances(asked_at[i : i + step], r, metric), _DIGITS)
+                    some[some > far[i : i + step, None]] = np.inf
+                    if need:
+                        some[np.isnan(r[:, wanted[i : i + step]].T)] = np.inf
+                    a, b = _k_smallest(some, k)
+                    parts_found.append((a + i, b, some[a, b]))
+                q, t, dist = (np.concatenate(part) for part in zip(*parts_found))
+        # the rows of a query stand together
+        starts = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.empty(0, np.int64)
+        taken = lambda table, c, at: table[c].combine_chunks().take(pa.array(at)) if table.num_rows else pa.array([], table.schema.field(c).type)
+        values = [pa.array(dist), taken(rows_here, "train_key", t), *([pa.array(r[t, wanted[q]] if len(q) else dist)] if need else []), *[taken(rows_here, c, t) for c in carry]]
+        listed = to_arrow_type(found_schema["near"].dataType)
+        fields = [pa.field(f.name, v.type, f.nullable) for f, v in zip(listed.value_type, values)]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(q)), pa.int32()), pa.StructArray.from_arrays(values, fields=fields))
+        return pa.table({**{c: taken(asked_here, c, q[starts]) for c in by}, "near": lists})
 
     held = int(sum(p * salts.get(s, 1) for s, p in zip(spots.tolist(), parts)))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, 2 * held if on_shelves else int(parts.sum()) // 4))
     found = (
         routed.repartition(n, *groups).groupBy(*groups)
         .cogroup(rows.repartition(n, *groups).groupBy(*groups))
-        .applyInPandas(search, found_schema)
+        .applyInArrow(search, found_schema)
     )
-    nearest = Window.partitionBy(*by).orderBy("distance", "train_key")
-    return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k)
+    lists = found.groupBy(*by).agg(F.collect_list("near").alias("lists"))
+    merged = F.when(F.size("lists") == 1, F.get("lists", F.lit(0))).otherwise(F.slice(F.array_sort(F.flatten("lists")), 1, k))
+    return lists.select(*by, merged.alias("near"))
 
 
 def boxes_searched(index: Index, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
@@ -754,11 +772,6 @@ def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     return total
 
 
-def _plain(column: pd.Series) -> np.ndarray:
-    """Numbers as they are, everything else as Python objects."""
-    return column.to_numpy() if column.dtype.kind in "iufb" else column.to_numpy(dtype=object)
-
-
 def _vote(labels: Column, k: int) -> Column:
     """Most frequent of the first k labels, the smallest on a tie."""
     near = F.slice(labels, 1, k)
@@ -771,9 +784,8 @@ def _vote(labels: Column, k: int) -> Column:
 
 def knn_votes(index: Index, test: DataFrame, target: str, ks: Sequence[int], metric: str = "euclidean", **limits: int) -> DataFrame:
     """(query, k, p): the prediction of every distinct test point for every k, from one neighbour search."""
-    near = nearest_rows(index, test, max(ks), metric, **limits)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col(target).alias("label")))), lambda s: s["label"])
-    labels = near.groupBy("query").agg(ordered.alias("labels"))
+    label = f"c{index.carry.index(target)}"
+    labels = nearest_lists(index, test, max(ks), metric, **limits).select("query", F.transform("near", lambda s: s[label]).alias("labels"))
     votes = F.array(*[F.struct(F.lit(k).alias("k"), _vote(F.col("labels"), k).alias("p")) for k in ks])
     return labels.select("query", F.inline(votes))
 
